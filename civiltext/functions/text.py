@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from civiltext import tables
+from civiltext.functions import sqltext
 from civiltext.functions.patterns import SPACE, WORD, any_of
 
 _SPLIT_WORDS = "\\b(" + "|".join(f"{a}(?={b}\\b)" for a, b in tables.CONTRACTIONS) + ")"
@@ -73,7 +74,8 @@ def drop_stopwords(tokens: Column, stopwords: list[str] | None = None) -> Column
     """Remove English stopwords, except those that carry meaning here."""
     drop = [w for w in (tables.STOPWORDS if stopwords is None else stopwords)
             if w not in tables.KEPT_STOPWORDS]
-    return F.filter(tokens, lambda w: ~w.isin(drop)) if drop else tokens
+    known = F.expr(sqltext.map_of(dict.fromkeys(drop, "")))
+    return F.filter(tokens, lambda w: ~F.map_contains_key(known, w)) if drop else tokens
 
 
 def preprocess(text: Column, for_model: bool = True, remove_stops: bool = False) -> Column:
@@ -147,21 +149,19 @@ def _accent_table() -> tuple[str, str, str]:
     return "".join(accented), "".join(plain), "".join(marks)
 
 
-def contains_any(text: Column, needles: list[str]) -> Column:
-    """True if one of ``needles`` occurs in ``text``; byte scans, no regular expression."""
-    found = F.lit(False)
-    for needle in needles:
-        found = found | F.contains(text, F.lit(needle))
-    return found
+def squeeze(text: Column) -> Column:
+    """Delete everything but word characters and whitespace, in one pass."""
+    return F.regexp_replace(text, f"[^{WORD}{SPACE}]+", "")
 
 
-def has_whole_token(squeezed: Column, terms: list[str]) -> Column:
-    """True if one of ``terms`` is a whitespace-separated token of ``squeezed``."""
+def has_whole_token(squeezed: str, terms: list[str]) -> Column:
+    """True if one of ``terms`` is a whitespace-separated token of column ``squeezed``.
+
+    The first test uses a separator class that is cheap to check and lets a few rows too
+    many through; the second decides.
+    """
     if not terms:
         return F.lit(False)
-    return squeezed.rlike(f"(?<![^{SPACE}]){any_of(terms)}(?![^{SPACE}])")
-
-
-def squeeze(text: Column) -> Column:
-    """Delete everything but word characters and whitespace, in one pass."""
-    return F.regexp_replace(text, f"[^{WORD}{SPACE}]+", "")
+    body, col = any_of(terms), F.col(squeezed)
+    return (col.rlike(f"(?:^|[^a-z]){body}(?:[^a-z]|\\z)")
+            & col.rlike(f"(?:^|[{SPACE}]){body}(?:[{SPACE}]|\\z)"))

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from civiltext import tables
-from civiltext.functions import numbers, patterns, text as txt
+from civiltext.functions import numbers, patterns, sqltext as sql, text as txt
 from civiltext.operators.broadcasts import is_small, lookup_join
 from civiltext.operators.lexicon import Lexicon
 
@@ -21,53 +21,49 @@ HIT = ("struct<word:string,category:string,position:int,is_phrase:boolean,"
 HITS = f"array<{HIT}>"
 
 
-def _hit(word: Column, category: Column, position: Column, is_phrase: bool,
-         intensified: Column, negated: Column) -> Column:
-    return F.struct(word.alias("word"), category.alias("category"),
-                    position.cast("int").alias("position"), F.lit(is_phrase).alias("is_phrase"),
-                    intensified.alias("has_intensifier"), negated.alias("is_negated"))
+def has_phrase(low: str, lexicon: Lexicon) -> Column:
+    """Whether one of the phrases occurs anywhere in column ``low``, even inside words."""
+    return F.expr(sql.any_contained(low, lexicon.phrases))
 
 
-def has_phrase(low: Column, lexicon: Lexicon) -> Column:
-    return txt.contains_any(low, list(lexicon.phrases))
+def phrase_hits(low: str, lexicon: Lexicon) -> Column:
+    """One hit per phrase that occurs anywhere in the lower-cased text, even inside words."""
+    listed = ", ".join(
+        f"named_struct('word', {sql.quote(p)}, 'category', {sql.quote(c)}, 'position', -1, "
+        "'is_phrase', true, 'has_intensifier', false, 'is_negated', false)"
+        for p, c in lexicon.phrases.items())
+    return F.expr(f"filter(cast(array({listed}) AS {HITS}), h -> contains({low}, h.word))")
 
 
-def phrase_hits(low: Column, lexicon: Lexicon) -> Column:
-    """One hit per phrase that occurs anywhere in the lower-cased text, even inside words."""
-    no = F.lit(False)
-    found = [F.when(F.contains(low, F.lit(p)),
-                    _hit(F.lit(p), F.lit(c), F.lit(-1), True, no, no))
-             for p, c in lexicon.phrases.items()]
-    return F.array_compact(F.array(*found)) if found else F.array().cast(HITS)
+# Modifier flags of the token at ``i``: the word before it, and the three words before it.
+def _intensified(words: str) -> str:
+    return f"coalesce({sql.is_one_of(f'get({words}, i - 1)', tables.INTENSIFIERS)}, false)"
 
 
-def token_hits(words: Column, lexicon: Lexicon) -> Column:
-    """Hits among normalized tokens. ``words`` must be a plain column."""
-    terms = lexicon.words
-    if not terms:
-        return F.array().cast(HITS)
-    category = F.create_map(*[F.lit(x) for pair in terms.items() for x in pair])
+def _negated(words: str) -> str:
+    return (f"exists(slice({words}, greatest(i - 2, 1), least(i, 3)), "
+            f"x -> {sql.is_one_of('x', tables.NEGATORS)})")
 
-    def at(word: Column, i: Column) -> Column:
-        before = F.get(words, i - 1)
-        intensified = F.coalesce(before.isin(tables.INTENSIFIERS), F.lit(False))
-        last_three = F.slice(words, F.greatest(i - 2, F.lit(1)), F.least(i, F.lit(3)))
-        negated = F.exists(last_three, lambda w: w.isin(tables.NEGATORS))
-        return F.when(word.isin(list(terms)),
-                      _hit(word, F.element_at(category, word), i, False, intensified, negated))
 
-    return F.filter(F.transform(words, at), lambda h: h.isNotNull())
+def token_hits(words: str, lexicon: Lexicon) -> Column:
+    """Hits among the normalized tokens in column ``words``."""
+    terms = lexicon.words
+    return F.expr(
+        f"filter(transform({words}, (w, i) -> CASE WHEN {sql.is_one_of('w', terms)} THEN "
+        f"named_struct('word', w, 'category', element_at({sql.map_of(terms)}, w), "
+        f"'position', i, 'is_phrase', false, 'has_intensifier', {_intensified(words)}, "
+        f"'is_negated', {_negated(words)}) END), h -> h IS NOT NULL)")
 
 
-def raw_intensity(hits: Column, tokens: Column) -> Column:
+def raw_intensity(hits: str, tokens: Column) -> Column:
     """Share of hits among tokens, adjusted by modifiers and threats, before rounding."""
-    def times(keep) -> Column:
-        return F.size(F.filter(hits, keep))
+    def times(test: str) -> Column:
+        return F.expr(f"size(filter({hits}, h -> {test}))")
 
     score = (F.size(hits) / tokens
-             + numbers.repeated_sum(tables.INTENSIFIER_BOOST, times(lambda h: h.has_intensifier))
-             + numbers.repeated_sum(tables.THREAT_BOOST, times(lambda h: h.category == "threat"))
-             - numbers.repeated_sum(tables.NEGATION_DISCOUNT, times(lambda h: h.is_negated)))
+             + numbers.repeated_sum(tables.INTENSIFIER_BOOST, times("h.has_intensifier"))
+             + numbers.repeated_sum(tables.THREAT_BOOST, times("h.category = 'threat'"))
+             - numbers.repeated_sum(tables.NEGATION_DISCOUNT, times("h.is_negated")))
     return F.least(F.lit(1.0), F.greatest(F.lit(0.0), score))
 
 
@@ -130,21 +126,21 @@ def detect(df: DataFrame, text_col: str = "text", lexicon: Lexicon | None = None
     """
     lexicon = lexicon or Lexicon.default()
     lexicon.check_inline()
-    own = ["_low", "_hit", "_flat", "_words", "_raw", "_text"]
-    text = F.col("_text")
+    own = ["_text", "_low", "_squeezed", "_hit", "_flat", "_words", "_raw"]
+    text, hit = F.col("_text"), F.col("_hit")
     staged = (
         df.withColumn("_text", txt.null_to_empty(F.col(text_col)))
         .withColumn("_low", F.lower(text))
-        .withColumn("_hit", has_phrase(F.col("_low"), lexicon)
-                    | txt.has_whole_token(txt.squeeze(F.col("_low")), list(lexicon.words)))
+        .withColumn("_squeezed", txt.squeeze(F.col("_low")))
+        .withColumn("_hit", has_phrase("_low", lexicon)
+                    | txt.has_whole_token("_squeezed", list(lexicon.words)))
         # From here on, null stands for "no hit" and every function passes it through.
-        .withColumn("_flat", F.when(F.col("_hit"), txt.collapse_space(F.col("_low"))))
+        .withColumn("_flat", F.when(hit, txt.collapse_space(F.col("_low"))))
         .withColumn("_words", F.split(F.regexp_replace("_flat", f"[^{patterns.WORD} ]+", ""), " "))
-        .withColumn("toxic_words", F.when(F.col("_hit"), F.concat(
-            phrase_hits(F.col("_low"), lexicon), token_hits(F.col("_words"), lexicon)))
-            .otherwise(F.array().cast(HITS)))
-        .withColumn("_raw", F.when(F.col("_hit"), raw_intensity(F.col("toxic_words"),
-                                                                F.size("_words"))))
+        .withColumn("toxic_words", F.when(hit, F.concat(
+            phrase_hits("_low", lexicon), token_hits("_words", lexicon)))
+            .otherwise(F.expr(f"cast(array() AS {HITS})")))
+        .withColumn("_raw", F.when(hit, raw_intensity("toxic_words", F.size("_words"))))
     )
     hits = F.col("toxic_words")
     if mark_repeats:
@@ -154,11 +150,11 @@ def detect(df: DataFrame, text_col: str = "text", lexicon: Lexicon | None = None
     return staged.withColumns({
         "toxic_count": F.size(hits),
         "categories_found": categories_of(hits),
-        "highlighted_text": F.when(F.col("_hit"), marked).otherwise(unmarked),
-        "intensity_score": F.when(F.col("_hit"), numbers.round_exact(F.col("_raw"), 3))
+        "highlighted_text": F.when(hit, marked).otherwise(unmarked),
+        "intensity_score": F.when(hit, numbers.round_exact(F.col("_raw"), 3))
                             .otherwise(F.lit(0.0)),
         "non_toxic_words": F.when(
-            F.col("_hit"),
+            hit,
             F.filter(F.split("_flat", " "), lambda w, i: ~F.array_contains(
                 F.transform(hits, lambda h: h.position), i)))
             .otherwise(txt.words_lower(F.col("_low"))),
@@ -170,24 +166,15 @@ def token_table(df: DataFrame, id_col: str, text_col: str = "text") -> DataFrame
 
     Flags look back inside the row's own token array, so no window and no shuffle.
     """
-    words = F.col("_words")
-
-    def row(word: Column, i: Column) -> Column:
-        last_three = F.slice(words, F.greatest(i - 2, F.lit(1)), F.least(i, F.lit(3)))
-        return F.struct(
-            i.cast("int").alias("position"), F.get(F.col("_tokens"), i).alias("token"),
-            word.alias("word"),
-            F.coalesce(F.get(words, i - 1).isin(tables.INTENSIFIERS), F.lit(False))
-            .alias("has_intensifier"),
-            F.exists(last_three, lambda w: w.isin(tables.NEGATORS)).alias("is_negated"))
-
+    row = (f"named_struct('position', i, 'token', get(_tokens, i), 'word', w, "
+           f"'has_intensifier', {_intensified('_words')}, 'is_negated', {_negated('_words')})")
     return (df.select(id_col, txt.collapse_space(F.lower(txt.null_to_empty(F.col(text_col))))
                       .alias("_flat"))
             .filter(F.col("_flat") != "")
             .select(id_col, F.split("_flat", " ").alias("_tokens"),
                     F.split(F.regexp_replace("_flat", f"[^{patterns.WORD} ]+", ""), " ")
                     .alias("_words"))
-            .select(id_col, F.inline(F.transform(words, row))))
+            .select(id_col, F.inline(F.expr(f"transform(_words, (w, i) -> {row})"))))
 
 
 def token_hits_by_join(df: DataFrame, id_col: str, lexicon: DataFrame,

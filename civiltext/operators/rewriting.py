@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, functions as F
 
 from civiltext import tables
-from civiltext.functions import numbers, patterns, text as txt
+from civiltext.functions import numbers, patterns, sqltext as sql, text as txt
 
 CHANGES = "array<struct<old:string,new:string>>"
 REST = 1 << 30  # "up to the end" for substring
@@ -39,21 +39,15 @@ class Wording:
         return sorted(self.replacements.items(), key=lambda pair: -len(pair[0]))
 
 
-def _changes(*pairs: Column) -> Column:
-    return F.array(*pairs).cast(CHANGES)
+def _log(*pairs: tuple[str, str]) -> Column:
+    return F.expr(sql.changes_of(pairs))
 
 
-def _change(old: str, new: str) -> Column:
-    return F.struct(F.lit(old).alias("old"), F.lit(new).alias("new"))
-
-
-def sentence_rewrite(text: Column, wording: Wording | None = None) -> Column:
-    """The fixed sentence for the first pattern the text contains; null if there is none."""
-    low, chosen = F.lower(text), None
-    for pattern, sentence in (wording or Wording()).sentences.items():
-        test = F.contains(low, F.lit(pattern))
-        chosen = F.when(test, sentence) if chosen is None else chosen.when(test, sentence)
-    return F.lit(None).cast("string") if chosen is None else chosen
+def sentence_rewrite(text: str, wording: Wording | None = None) -> Column:
+    """The fixed sentence for the first pattern column ``text`` contains; null if none."""
+    cases = " ".join(f"WHEN contains(lower({text}), {sql.quote(pattern)}) THEN {sql.quote(sentence)}"
+                     for pattern, sentence in (wording or Wording()).sentences.items())
+    return F.expr(f"CASE {cases} END" if cases else "cast(NULL AS string)")
 
 
 def independent_groups(ordered: list[tuple[str, str]]) -> list[list[tuple[str, str]]]:
@@ -85,19 +79,22 @@ def _plain_case(piece: Column) -> Column:
     return F.lower(F.translate(piece, patterns.CASE_ODD, patterns.CASE_PLAIN))
 
 
-def _cut_at(terms: list[str]) -> str:
-    """Matches the empty places right before and right behind a whole-word term."""
-    body = patterns.any_of(terms)
-    before, after = patterns.NOT_AFTER_WORD, patterns.NOT_BEFORE_WORD
-    return f"(?iu){before}(?={body}{after})|{after}(?<={before}{body})"
+# Put around a found term and cut at. Both are noncharacters, which texts do not hold;
+# requiring the pair makes sure no lone one is taken for a mark.
+_MARK = "\ufdd2\ufdd3"
+
+
+def _cut_at_terms(text: Column, terms: list[str]) -> Column:
+    """``text`` cut into whole-word terms and the stretches between them."""
+    term = f"(?iu){patterns.NOT_AFTER_WORD}{patterns.any_of(terms)}{patterns.NOT_BEFORE_WORD}"
+    return F.split(F.regexp_replace(text, term, f"{_MARK}$0{_MARK}"), _MARK)
 
 
 def _neutral_of(piece: Column, group: list[tuple[str, str]]) -> Column:
     """The replacement if ``piece`` is a term, else null."""
-    table = F.create_map(*[F.lit(x) for pair in group for x in pair])
     # The length test spares the stretches between terms the lower-casing.
-    return F.when(F.length(piece) <= max(len(t) for t, _ in group),
-                  F.element_at(table, _plain_case(piece)))
+    return F.when(F.octet_length(piece) <= 3 * max(len(t) for t, _ in group),
+                  F.element_at(F.expr(sql.map_of(dict(group))), _plain_case(piece)))
 
 
 def _join_replaced(pieces: Column, group: list[tuple[str, str]]) -> Column:
@@ -107,8 +104,7 @@ def _join_replaced(pieces: Column, group: list[tuple[str, str]]) -> Column:
 
 def _log_replaced(pieces: Column, group: list[tuple[str, str]]) -> Column:
     changed = F.transform(F.filter(pieces, lambda p: _neutral_of(p, group) != p), _plain_case)
-    return F.filter(_changes(*[_change(*pair) for pair in group]),
-                    lambda c: F.array_contains(changed, c.old))
+    return F.filter(_log(*group), lambda c: F.array_contains(changed, c.old))
 
 
 def replace_words(df: DataFrame, col: str, out: str, log: str,
@@ -127,16 +123,16 @@ def replace_words(df: DataFrame, col: str, out: str, log: str,
             term, neutral = group[0]
             df = df.withColumn(target, F.regexp_replace(
                 source, patterns.whole_word(term), patterns.escape_replacement(neutral)))
-            logs.append(F.when(F.col(target) != F.col(source), _changes(_change(term, neutral)))
-                        .otherwise(_changes()))
+            logs.append(F.when(F.col(target) != F.col(source), _log((term, neutral)))
+                        .otherwise(_log()))
         else:
             pieces = f"{out}_{n}_pieces"
             own.append(pieces)
-            df = df.withColumn(pieces, F.split(source, _cut_at([t for t, _ in group])))
+            df = df.withColumn(pieces, _cut_at_terms(F.col(source), [t for t, _ in group]))
             df = df.withColumn(target, _join_replaced(F.col(pieces), group))
             logs.append(_log_replaced(F.col(pieces), group))
         source = target
-    done = F.concat(*logs) if logs else _changes()
+    done = F.concat(*logs) if logs else _log()
     return (df.withColumn(log, F.when(F.col(col).isNotNull(), done))
             .withColumn(out, F.col(source)).drop(*own))
 
@@ -173,9 +169,9 @@ def phrase_rules(df: DataFrame, col: str, out: str, log: str,
         df = df.withColumn(target, apply_rule(F.col(source), pattern, replacement,
                                               wording.shout_only))
         logs.append(F.when(F.col(target) != F.col(source),
-                           _changes(_change(pattern, replacement))).otherwise(_changes()))
+                           _log((pattern, replacement))).otherwise(_log()))
         source = target
-    done = F.concat(*logs) if logs else _changes()
+    done = F.concat(*logs) if logs else _log()
     return (df.withColumn(log, F.when(F.col(col).isNotNull(), done))
             .withColumn(out, F.col(source)).drop(*own))
 
@@ -223,18 +219,18 @@ def neutralize(df: DataFrame, text_col: str = "text", strategy: str = "combined"
     if only_when is not None:
         gate = gate & F.coalesce(only_when, F.lit(False))
     df = (df.withColumn("_todo", F.when(gate, F.col(text_col)))
-          .withColumn("_sentence", sentence_rewrite(F.col("_todo"), wording))
+          .withColumn("_sentence", sentence_rewrite("_todo", wording))
           .withColumn("_in", F.when(F.col("_sentence").isNull(), F.col("_todo"))))
     df = replace_words(df, "_in", "_w", "_w_log", wording)
     if strategy in ("combined", "rule_based"):
         df = phrase_rules(df, "_w", "_r", "_r_log", wording)
     else:
-        df = df.withColumn("_r", F.col("_w")).withColumn("_r_log", _changes())
+        df = df.withColumn("_r", F.col("_w")).withColumn("_r_log", _log())
     df = final_cleanup(df, "_r", "_clean")
     whole = F.array(F.struct(F.col(text_col).alias("old"), F.col("_sentence").alias("new")))
     df = df.withColumn("_changes", F.when(F.col("_sentence").isNotNull(), whole.cast(CHANGES))
                        .when(F.col("_in").isNotNull(), F.concat("_w_log", "_r_log"))
-                       .otherwise(_changes()))
+                       .otherwise(_log()))
     df = neutralization_score(df, "_changes", text_col, "neutralization_score")
     return df.withColumns({
         "neutral_text": F.coalesce("_sentence", "_clean", text_col),
