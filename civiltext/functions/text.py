@@ -6,6 +6,9 @@ generation, so cleaning runs in the scan stage without a shuffle.
 
 from __future__ import annotations
 
+import functools
+import operator
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from civiltext import tables
@@ -165,3 +168,8 @@ def has_whole_token(squeezed: str, terms: list[str]) -> Column:
     body, col = any_of(terms), F.col(squeezed)
     return (col.rlike(f"(?:^|[^a-z]){body}(?:[^a-z]|\\z)")
             & col.rlike(f"(?:^|[{SPACE}]){body}(?:[{SPACE}]|\\z)"))
+
+
+def contains_one_of(text: Column, needles: list[str]) -> Column:
+    """True if one of a few ``needles`` occurs anywhere in ``text``."""
+    return functools.reduce(operator.or_, (F.contains(text, F.lit(n)) for n in needles))
