@@ -14,6 +14,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from civiltext.functions import numbers, text as txt
+from civiltext.functions.barrier import computed_once, rows_of
 from civiltext.operators.exploration import binary_metrics, discover_labels
 from civiltext.operators.features import TfidfModel
 from civiltext.operators.sampling import in_test_part
@@ -95,6 +96,9 @@ class ToxicityModel:
         """Append ``is_toxic, confidence, labels, detected_types, clean_text``; no shuffle."""
         cleaned = df.withColumn("clean_text", txt.preprocess(F.col(text_col)))
         scored = self.probabilities(self.tfidf.transform(cleaned, out="_features"), "_features")
+        scored = computed_once(scored, {name: F.col(name) for name in
+                                        ["clean_text", *[f"_p_{c}" for c in self.models]]},
+                               "_features")
         raw = {label: F.col(f"_p_{label}") for label in self.models}
         scored = scored.withColumn("labels", F.create_map(*[
             x for label, p in raw.items() for x in (F.lit(label), numbers.round_exact(p, 4))]))
@@ -102,7 +106,7 @@ class ToxicityModel:
             F.when(p >= threshold, F.lit(label)) for label, p in raw.items()])))
         return (scored.withColumn("is_toxic", F.size("detected_types") > 0)
                 .withColumn("confidence", F.array_max(F.map_values("labels")))
-                .drop("_features", *[f"_p_{label}" for label in self.models]))
+                .drop(*[f"_p_{label}" for label in self.models]))
 
     def outcomes(self, features: DataFrame, id_col: str) -> DataFrame:
         """``id, label, actual, predicted`` rows at the models' own cut."""
@@ -111,7 +115,7 @@ class ToxicityModel:
                                   F.col(label).cast("int").alias("actual"),
                                   (F.col(f"_p_{label}") > DECISION).cast("int").alias("predicted"))
                          for label in self.models])
-        return scored.select(id_col, F.inline(rows))
+        return rows_of(scored, [id_col], rows, "label")
 
     def feature_importance(self, spark: SparkSession, label: str = "toxic",
                            top_n: int = 20) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from civiltext import tables
 from civiltext.functions import numbers, patterns, sqltext as sql, text as txt
+from civiltext.functions.barrier import computed_once, rows_of
 from civiltext.operators.broadcasts import is_small, lookup_join
 from civiltext.operators.lexicon import Lexicon
 
@@ -126,7 +127,7 @@ def detect(df: DataFrame, text_col: str = "text", lexicon: Lexicon | None = None
     """
     lexicon = lexicon or Lexicon.default()
     lexicon.check_inline()
-    own = ["_text", "_low", "_squeezed", "_hit", "_flat", "_words", "_raw"]
+    own = ["_text", "_low", "_hit", "_flat"]
     text, hit = F.col("_text"), F.col("_hit")
     staged = (
         df.withColumn("_text", txt.null_to_empty(F.col(text_col)))
@@ -142,6 +143,10 @@ def detect(df: DataFrame, text_col: str = "text", lexicon: Lexicon | None = None
             .otherwise(F.expr(f"cast(array() AS {HITS})")))
         .withColumn("_raw", F.when(hit, raw_intensity("toxic_words", F.size("_words"))))
     )
+    staged = computed_once(staged, {
+        "_hit": hit, "_flat": F.col("_flat"), "toxic_words": F.col("toxic_words"),
+        "intensity_score": F.when(hit, numbers.round_exact(F.col("_raw"), 3))
+                            .otherwise(F.lit(0.0))}, "_squeezed", "_words", "_raw")
     hits = F.col("toxic_words")
     if mark_repeats:
         marked, unmarked = highlight_repeated(text, hits), text
@@ -151,8 +156,6 @@ def detect(df: DataFrame, text_col: str = "text", lexicon: Lexicon | None = None
         "toxic_count": F.size(hits),
         "categories_found": categories_of(hits),
         "highlighted_text": F.when(hit, marked).otherwise(unmarked),
-        "intensity_score": F.when(hit, numbers.round_exact(F.col("_raw"), 3))
-                            .otherwise(F.lit(0.0)),
         "non_toxic_words": F.when(
             hit,
             F.filter(F.split("_flat", " "), lambda w, i: ~F.array_contains(
@@ -168,13 +171,13 @@ def token_table(df: DataFrame, id_col: str, text_col: str = "text") -> DataFrame
     """
     row = (f"named_struct('position', i, 'token', get(_tokens, i), 'word', w, "
            f"'has_intensifier', {_intensified('_words')}, 'is_negated', {_negated('_words')})")
-    return (df.select(id_col, txt.collapse_space(F.lower(txt.null_to_empty(F.col(text_col))))
-                      .alias("_flat"))
-            .filter(F.col("_flat") != "")
-            .select(id_col, F.split("_flat", " ").alias("_tokens"),
-                    F.split(F.regexp_replace("_flat", f"[^{patterns.WORD} ]+", ""), " ")
-                    .alias("_words"))
-            .select(id_col, F.inline(F.expr(f"transform(_words, (w, i) -> {row})"))))
+    texts = (df.select(id_col, txt.collapse_space(F.lower(txt.null_to_empty(F.col(text_col))))
+                       .alias("_flat"))
+             .filter(F.col("_flat") != "")
+             .select(id_col, F.split("_flat", " ").alias("_tokens"),
+                     F.split(F.regexp_replace("_flat", f"[^{patterns.WORD} ]+", ""), " ")
+                     .alias("_words")))
+    return rows_of(texts, [id_col], F.expr(f"transform(_words, (w, i) -> {row})"), "position")
 
 
 def token_hits_by_join(df: DataFrame, id_col: str, lexicon: DataFrame,
@@ -200,9 +203,8 @@ def phrase_hits_by_join(df: DataFrame, id_col: str, lexicon: DataFrame,
                .select("term", "category", F.substring("term", 1, 3).alias("piece")))
     texts = df.select(id_col, F.lower(txt.null_to_empty(F.col(text_col))).alias("_low"))
     chars = F.col("_chars")
-    pieces = (texts.withColumn("_chars", F.split("_low", ""))
-              .filter(F.size(chars) >= 3)
-              .select(id_col, "_low", F.explode(F.array_distinct(F.transform(
+    split = texts.withColumn("_chars", F.split("_low", "")).filter(F.size(chars) >= 3)
+    pieces = (split.select(id_col, "_low", F.explode_outer(F.array_distinct(F.transform(
                   F.sequence(F.lit(0), F.size(chars) - 3),
                   lambda i: F.concat(F.get(chars, i), F.get(chars, i + 1),
                                      F.get(chars, i + 2))))).alias("piece")))

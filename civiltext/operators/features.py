@@ -16,6 +16,7 @@ from pyspark.ml.feature import CountVectorizerModel, NGram
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from civiltext.functions.barrier import rows_of
 from civiltext.functions.patterns import WORD
 from civiltext.functions.text import null_to_empty
 
@@ -53,7 +54,8 @@ def term_counts(df: DataFrame, terms_col: str = "terms") -> DataFrame:
     """
     flagged = F.expr("transform(_sorted, (t, i) -> named_struct('term', t, 'first', "
                      "CASE WHEN i > 0 AND get(_sorted, i - 1) = t THEN 0 ELSE 1 END))")
-    return (df.select(F.sort_array(terms_col).alias("_sorted")).select(F.inline(flagged))
+    terms = df.select(F.sort_array(terms_col).alias("_sorted"))
+    return (rows_of(terms, [], flagged, "term")
             .groupBy("term").agg(F.count("*").alias("tf"), F.sum("first").alias("df")))
 
 
@@ -107,9 +109,9 @@ class TfidfModel:
     def weights(self, df: DataFrame, id_col: str, clean_col: str = "clean_text") -> DataFrame:
         """``id, term, weight`` rows; the vocabulary is broadcast, being bounded."""
         vectors = self.transform(df.select(id_col, clean_col), clean_col)
-        entries = vectors.select(id_col, F.unwrap_udt("features").alias("v")).select(
-            id_col, F.inline(F.arrays_zip(F.col("v.indices").alias("idx"),
-                                          F.col("v.values").alias("weight"))))
+        entries = rows_of(
+            vectors.select(id_col, F.unwrap_udt("features").alias("v")), [id_col],
+            F.arrays_zip(F.col("v.indices").alias("idx"), F.col("v.values").alias("weight")), "idx")
         names = self.table(df.sparkSession).select("idx", "term")
         return entries.join(F.broadcast(names), "idx").select(id_col, "term", "weight")
 

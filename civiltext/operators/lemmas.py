@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from civiltext.functions.barrier import elements_of
 from civiltext.operators.broadcasts import lookup_join
 from civiltext.sources.shared import cut_lineage
 
@@ -26,8 +27,8 @@ def lemmatize(df: DataFrame, id_col: str, clean_col: str, lemmas: DataFrame | No
                                        .alias("best"))
     changes = words.select(F.col("form").alias("_form"), F.col("best.lemma").alias("_lemma")) \
                    .filter("_form <> _lemma")
-    tokens = df.select(F.col(id_col).alias("_id"),
-                       F.posexplode(F.split(clean_col, " ")).alias("_pos", "_form"))
+    tokens = elements_of(df.withColumn("_id", F.col(id_col)), ["_id"], F.split(clean_col, " "),
+                         "_pos", "_form")
     found = lookup_join(tokens, changes, "_form", spread=F.struct("_id", "_pos"))
     per_text = found.groupBy("_id").agg(
         F.map_from_entries(F.collect_list(F.struct("_pos", "_lemma"))).alias("_new"))

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from civiltext import tables
 from civiltext.functions import numbers, patterns, sqltext as sql, text as txt
+from civiltext.functions.barrier import computed_once
 
 CHANGES = "array<struct<old:string,new:string>>"
 REST = 1 << 30  # "up to the end" for substring
@@ -107,34 +108,76 @@ def _log_replaced(pieces: Column, group: list[tuple[str, str]]) -> Column:
     return F.filter(_log(*group), lambda c: F.array_contains(changed, c.old))
 
 
+@dataclass
+class Stages:
+    """A chain of steps over one column: the table with a column per step, and their logs."""
+
+    df: DataFrame
+    source: str
+    first: str
+    columns: list[str] = field(default_factory=list)
+    logs: list[Column] = field(default_factory=list)
+
+    def step(self, name: str, text: Column, *log: tuple[str, str]) -> None:
+        self.df = self.df.withColumn(name, text)
+        self.columns.append(name)
+        if log:
+            self.logs.append(F.when(F.col(name) != F.col(self.source), _log(*log))
+                             .otherwise(_log()))
+        self.source = name
+
+    def log(self) -> Column:
+        """All changes in order; null where the text is null."""
+        return F.when(F.col(self.first).isNotNull(),
+                      F.concat(*self.logs) if self.logs else _log())
+
+    def finish(self, out: str, log: str) -> DataFrame:
+        done = computed_once(self.df, {c: F.col(c) for c in self.columns}) \
+            if self.columns else self.df
+        return (done.withColumn(log, self.log()).withColumn(out, F.col(self.source))
+                .drop(*self.columns))
+
+
+def _word_stages(stages: Stages, wording: Wording) -> None:
+    for n, group in enumerate(independent_groups(wording.application_order())):
+        name = f"{stages.first}_w{n}"
+        if len(group) == 1:
+            term, neutral = group[0]
+            stages.step(name, F.regexp_replace(stages.source, patterns.whole_word(term),
+                                               patterns.escape_replacement(neutral)), group[0])
+            continue
+        pieces = F.col(f"{name}_pieces")
+        stages.df = stages.df.withColumn(
+            f"{name}_pieces", _cut_at_terms(F.col(stages.source), [t for t, _ in group]))
+        stages.columns.append(f"{name}_pieces")
+        stages.step(name, _join_replaced(pieces, group))
+        stages.logs.append(_log_replaced(pieces, group))
+
+
+def _rule_stages(stages: Stages, wording: Wording) -> None:
+    for n, (pattern, replacement) in enumerate(wording.rules):
+        stages.step(f"{stages.first}_r{n}",
+                    apply_rule(F.col(stages.source), pattern, replacement, wording.shout_only),
+                    (pattern, replacement))
+
+
 def replace_words(df: DataFrame, col: str, out: str, log: str,
                   wording: Wording | None = None) -> DataFrame:
     """Apply all word replacements to ``col``; whole words, any letter case.
 
     Appends the new text and the log of terms that changed something. Null stays null.
     """
-    source = col
-    logs = []
-    own = []
-    for n, group in enumerate(independent_groups((wording or Wording()).application_order())):
-        target = f"{out}_{n}"
-        own.append(target)
-        if len(group) == 1:
-            term, neutral = group[0]
-            df = df.withColumn(target, F.regexp_replace(
-                source, patterns.whole_word(term), patterns.escape_replacement(neutral)))
-            logs.append(F.when(F.col(target) != F.col(source), _log((term, neutral)))
-                        .otherwise(_log()))
-        else:
-            pieces = f"{out}_{n}_pieces"
-            own.append(pieces)
-            df = df.withColumn(pieces, _cut_at_terms(F.col(source), [t for t, _ in group]))
-            df = df.withColumn(target, _join_replaced(F.col(pieces), group))
-            logs.append(_log_replaced(F.col(pieces), group))
-        source = target
-    done = F.concat(*logs) if logs else _log()
-    return (df.withColumn(log, F.when(F.col(col).isNotNull(), done))
-            .withColumn(out, F.col(source)).drop(*own))
+    stages = Stages(df, col, col)
+    _word_stages(stages, wording or Wording())
+    return stages.finish(out, log)
+
+
+def phrase_rules(df: DataFrame, col: str, out: str, log: str,
+                 wording: Wording | None = None) -> DataFrame:
+    """Apply the phrase rules to ``col`` in order; appends the new text and the log."""
+    stages = Stages(df, col, col)
+    _rule_stages(stages, wording or Wording())
+    return stages.finish(out, log)
 
 
 def title_case_runs(text: Column, shout_only: bool = False) -> Column:
@@ -158,24 +201,6 @@ def apply_rule(text: Column, pattern: str, replacement: str, shout_only: bool =
                             patterns.to_java_replacement(replacement))
 
 
-def phrase_rules(df: DataFrame, col: str, out: str, log: str,
-                 wording: Wording | None = None) -> DataFrame:
-    """Apply the phrase rules to ``col`` in order; appends the new text and the log."""
-    wording = wording or Wording()
-    source, logs, own = col, [], []
-    for n, (pattern, replacement) in enumerate(wording.rules):
-        target = f"{out}_{n}"
-        own.append(target)
-        df = df.withColumn(target, apply_rule(F.col(source), pattern, replacement,
-                                              wording.shout_only))
-        logs.append(F.when(F.col(target) != F.col(source),
-                           _log((pattern, replacement))).otherwise(_log()))
-        source = target
-    done = F.concat(*logs) if logs else _log()
-    return (df.withColumn(log, F.when(F.col(col).isNotNull(), done))
-            .withColumn(out, F.col(source)).drop(*own))
-
-
 def final_cleanup(df: DataFrame, col: str, out: str) -> DataFrame:
     """Collapse whitespace, start with a capital, end with punctuation, write ``i`` as ``I``."""
     flat, first = f"{out}_flat", f"{out}_first"
@@ -214,30 +239,28 @@ def neutralize(df: DataFrame, text_col: str = "text", strategy: str = "combined"
     text. Missing text stays missing.
     """
     wording = wording or Wording()
-    own = ["_todo", "_sentence", "_in", "_w", "_w_log", "_r", "_r_log", "_clean", "_changes"]
     gate = ~txt.is_blank(F.col(text_col))
     if only_when is not None:
         gate = gate & F.coalesce(only_when, F.lit(False))
     df = (df.withColumn("_todo", F.when(gate, F.col(text_col)))
           .withColumn("_sentence", sentence_rewrite("_todo", wording))
           .withColumn("_in", F.when(F.col("_sentence").isNull(), F.col("_todo"))))
-    df = replace_words(df, "_in", "_w", "_w_log", wording)
+    stages = Stages(df, "_in", "_in")
+    _word_stages(stages, wording)
     if strategy in ("combined", "rule_based"):
-        df = phrase_rules(df, "_w", "_r", "_r_log", wording)
-    else:
-        df = df.withColumn("_r", F.col("_w")).withColumn("_r_log", _log())
-    df = final_cleanup(df, "_r", "_clean")
+        _rule_stages(stages, wording)
+    cleaned = final_cleanup(stages.df, stages.source, "_clean")
+    own = ["_sentence", "_in", "_clean", *stages.columns]
+    df = computed_once(cleaned, {c: F.col(c) for c in own}, "_todo")
     whole = F.array(F.struct(F.col(text_col).alias("old"), F.col("_sentence").alias("new")))
-    df = df.withColumn("_changes", F.when(F.col("_sentence").isNotNull(), whole.cast(CHANGES))
-                       .when(F.col("_in").isNotNull(), F.concat("_w_log", "_r_log"))
-                       .otherwise(_log()))
-    df = neutralization_score(df, "_changes", text_col, "neutralization_score")
+    df = df.withColumn("changes_made", F.when(F.col("_sentence").isNotNull(), whole.cast(CHANGES))
+                       .otherwise(F.coalesce(stages.log(), _log())))
+    df = neutralization_score(df, "changes_made", text_col, "neutralization_score")
     return df.withColumns({
         "neutral_text": F.coalesce("_sentence", "_clean", text_col),
         "strategy_used": F.when(F.col("_sentence").isNotNull(), F.lit("sentence_rewrite"))
-                          .when(F.size("_changes") > 0, F.lit("combined"))
+                          .when(F.size("changes_made") > 0, F.lit("combined"))
                           .otherwise(F.lit("none")),
-        "changes_made": F.col("_changes"),
     }).drop(*own)
 
 

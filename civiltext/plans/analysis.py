@@ -12,6 +12,7 @@ from typing import TYPE_CHECKING
 from pyspark.sql import Column, DataFrame, functions as F
 
 from civiltext.functions import numbers, text as txt
+from civiltext.functions.barrier import elements_of
 from civiltext.operators.detection import detect
 from civiltext.operators.lexicon import Lexicon
 from civiltext.operators.rewriting import Wording, neutralize
@@ -79,7 +80,7 @@ def lines_to_rows(df: DataFrame, text_col: str = "text", out: str = "line") -> D
     """One row per non-blank line, trimmed, with its number among those lines from 0."""
     lines = F.filter(F.transform(F.split(text_col, "\n"), txt.strip_space), lambda t: t != "")
     others = [c for c in df.columns if c != text_col]
-    return df.select(*others, F.posexplode(lines).alias("line_no", out))
+    return elements_of(df, others, lines, "line_no", out)
 
 
 def clip(text: Column, width: int = 70) -> Column:

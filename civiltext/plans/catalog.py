@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from civiltext import tables
 from civiltext.functions import text as txt
+from civiltext.functions.barrier import elements_of
 from civiltext.operators import (classifier as clf, detection as det, exploration as ex,
                                  features as ft, lemmas as lm, lexicon as lx, rewriting as rw,
                                  sampling as sm)
@@ -237,8 +238,8 @@ def spoken(spark, sf) -> DataFrame:
 
 @query
 def tokenize(spark, sf):
-    return spoken(spark, sf).select("doc_id", F.posexplode(txt.tokenize(F.col("clean")))
-                                    .alias("position", "token"))
+    return elements_of(spoken(spark, sf), ["doc_id"], txt.tokenize(F.col("clean")), "position",
+                       "token")
 
 
 @query
@@ -335,8 +336,8 @@ def phrase_hits_by_join(spark, sf):
 
 @query
 def tokenize_ws(spark, sf):
-    return documents(spark, sf).select(
-        "doc_id", F.posexplode(txt.words_lower(F.col("text"))).alias("position", "token"))
+    return elements_of(documents(spark, sf), ["doc_id"], txt.words_lower(F.col("text")),
+                       "position", "token")
 
 
 @query
@@ -638,7 +639,7 @@ def strip_accents(spark, sf):
 @query
 def ngrams_1_2(spark, sf):
     terms = ft.with_terms(clean_documents(spark, sf), "clean_text")
-    return terms.select("doc_id", F.posexplode("terms").alias("position", "term"))
+    return elements_of(terms, ["doc_id"], F.col("terms"), "position", "term")
 
 
 def document_counts(spark, sf) -> DataFrame:
