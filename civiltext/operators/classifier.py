@@ -25,6 +25,7 @@ THRESHOLD = 0.3      # predict: a label is detected from this probability on
 DECISION = 0.5       # evaluation: the models' own cut
 NB_SMOOTHING = 0.1
 MAX_ITER = 200
+ROWS_PER_PARTITION = 10_000
 
 
 def _check_type(model_type: str) -> None:
@@ -173,6 +174,8 @@ def train(df: DataFrame, id_col: str = "id", text_col: str = "comment_text",
     rows = totals["_rows"]
     tfidf = TfidfModel.fit(in_training, texts=rows, **vectorizer)
     features = cut_lineage(tfidf.transform(corpus).drop("clean_text"))
+    # Iterations are short jobs; a small corpus is better off in few partitions.
+    features = features.coalesce(max(1, -(-rows // ROWS_PER_PARTITION)))
     features.persist(StorageLevel.MEMORY_AND_DISK)
     training = features.filter("NOT _test")
     learnable = [c for c in labels if 0 < (totals[c] or 0) < rows]

@@ -189,15 +189,26 @@ def highlighted(expr: str) -> str:
 ORDERED = sorted(tables.REPLACEMENTS.items(), key=lambda p: -len(p[0]))
 
 
+# This dialect has no lookaround and its word boundary knows ASCII letters only, so the
+# character before (and after) is matched and put back. Two neighbours share a separator;
+# a second round catches the second of them.
+BEFORE, AFTER = f"(^|[^{W}])", f"($|[^{W}])"
+
+
 def word_steps(pairs=ORDERED):
-    return [(rf"(?i)\b{t}\b", n, t, n) for t, n in pairs]
+    """Per step: pattern, replacement, rounds, and what the log says."""
+    return [(f"(?i){BEFORE}{t}{AFTER}", rf"\1{n}\2", 2, t, n) for t, n in pairs]
 
 
 def rule_steps():
     out = []
     for pattern, replacement in tables.PHRASE_RULES[:-1]:
         regex = pattern.replace(r"\w", f"[{W}]").replace(r"\s", f"[{S}]")
-        out.append(("(?i)" + regex, replacement, pattern, replacement))
+        new = replacement
+        if regex.startswith(r"\b"):
+            regex = BEFORE + regex[2:]
+            new = r"\1" + replacement.replace(r"\2", r"\3").replace(r"\1", r"\2")
+        out.append(("(?i)" + regex, new, 1, pattern, replacement))
     return out
 
 
@@ -217,8 +228,11 @@ def chain(source: str, todo, title: bool = False) -> str:
                 f"FROM (SELECT *, {new} AS nxt FROM ({inner}))")
 
     sql = f"SELECT *, text AS cur, '' AS log, 0 AS n, 0 AS chars FROM ({source})"
-    for pattern, replacement, old, wording in todo:
-        sql = step(sql, sub("cur", pattern, replacement), old, wording)
+    for pattern, replacement, rounds, old, wording in todo:
+        new = "cur"
+        for _ in range(rounds):
+            new = sub(new, pattern, replacement)
+        sql = step(sql, new, old, wording)
     if title:
         old, wording = tables.PHRASE_RULES[-1]
         sql = step(sql, title_cased("cur"), old, wording)
