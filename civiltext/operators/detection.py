@@ -164,31 +164,40 @@ def detect(df: DataFrame, text_col: str = "text", lexicon: Lexicon | None = None
     }).drop(*own)
 
 
-def token_table(df: DataFrame, id_col: str, text_col: str = "text") -> DataFrame:
-    """One row per token: id, ``position``, ``token``, ``word`` and the modifier flags.
+def _split_texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """id with the raw and the normalized tokens of every non-blank text."""
+    return (df.select(id_col, txt.collapse_space(F.lower(txt.null_to_empty(F.col(text_col))))
+                      .alias("_flat"))
+            .filter(F.col("_flat") != "")
+            .select(id_col, F.split("_flat", " ").alias("_tokens"),
+                    F.split(F.regexp_replace("_flat", f"[^{patterns.WORD} ]+", ""), " ")
+                    .alias("_words")))
 
-    Flags look back inside the row's own token array, so no window and no shuffle.
-    """
-    row = (f"named_struct('position', i, 'token', get(_tokens, i), 'word', w, "
-           f"'has_intensifier', {_intensified('_words')}, 'is_negated', {_negated('_words')})")
-    texts = (df.select(id_col, txt.collapse_space(F.lower(txt.null_to_empty(F.col(text_col))))
-                       .alias("_flat"))
-             .filter(F.col("_flat") != "")
-             .select(id_col, F.split("_flat", " ").alias("_tokens"),
-                     F.split(F.regexp_replace("_flat", f"[^{patterns.WORD} ]+", ""), " ")
-                     .alias("_words")))
-    return rows_of(texts, [id_col], F.expr(f"transform(_words, (w, i) -> {row})"), "position")
+
+def token_table(df: DataFrame, id_col: str, text_col: str = "text") -> DataFrame:
+    """One row per token: id, ``position``, ``token`` and normalized ``word``."""
+    row = "transform(_words, (w, i) -> named_struct('position', i, 'token', get(_tokens, i), 'word', w))"
+    return rows_of(_split_texts(df, id_col, text_col), [id_col], F.expr(row), "position")
 
 
 def token_hits_by_join(df: DataFrame, id_col: str, lexicon: DataFrame,
                        text_col: str = "text") -> DataFrame:
-    """Token hits as rows, for a lexicon given as a table of any size."""
-    words = (lexicon.filter(~F.col("is_phrase"))
+    """Token hits as rows, for a lexicon given as a table of any size.
+
+    Every token row carries the three words before it, cut from its own text, so modifiers
+    need no window; they are only looked at for tokens that turn out to be hits.
+    """
+    terms = (lexicon.filter(~F.col("is_phrase"))
              .select(F.col("term").alias("word"), "category"))
-    return (lookup_join(token_table(df, id_col, text_col), words, "word",
-                        spread=F.struct(id_col, "position"))
-            .select(id_col, "word", "category", "position", F.lit(False).alias("is_phrase"),
-                    "has_intensifier", "is_negated"))
+    row = ("transform(_words, (w, i) -> named_struct('position', i, 'word', w, "
+           "'before', slice(_words, greatest(i - 2, 1), least(i, 3))))")
+    tokens = rows_of(_split_texts(df, id_col, text_col), [id_col], F.expr(row), "position")
+    found = lookup_join(tokens, terms, "word", spread=F.struct(id_col, "position"))
+    return found.select(
+        id_col, "word", "category", "position", F.lit(False).alias("is_phrase"),
+        F.expr(f"coalesce({sql.is_one_of('try_element_at(before, -1)', tables.INTENSIFIERS)}, "
+               "false)").alias("has_intensifier"),
+        F.expr(f"exists(before, x -> {sql.is_one_of('x', tables.NEGATORS)})").alias("is_negated"))
 
 
 def phrase_hits_by_join(df: DataFrame, id_col: str, lexicon: DataFrame,

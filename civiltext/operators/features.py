@@ -16,7 +16,7 @@ from pyspark.ml.feature import CountVectorizerModel, NGram
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from civiltext.functions.barrier import rows_of
+from civiltext.functions.barrier import elements_of, rows_of
 from civiltext.functions.patterns import WORD
 from civiltext.functions.text import null_to_empty
 
@@ -52,10 +52,10 @@ def term_counts(df: DataFrame, terms_col: str = "terms") -> DataFrame:
     from the rest; that makes both counts plain sums and lets tasks add up before the
     shuffle.
     """
-    flagged = F.expr("transform(_sorted, (t, i) -> named_struct('term', t, 'first', "
-                     "CASE WHEN i > 0 AND get(_sorted, i - 1) = t THEN 0 ELSE 1 END))")
-    terms = df.select(F.sort_array(terms_col).alias("_sorted"))
-    return (rows_of(terms, [], flagged, "term")
+    sorted_terms = df.select(F.sort_array(terms_col).alias("_sorted"))
+    rows = elements_of(sorted_terms, ["_sorted"], F.col("_sorted"), "_i", "term")
+    repeated = (F.col("_i") > 0) & (F.get("_sorted", F.col("_i") - 1) == F.col("term"))
+    return (rows.select("term", F.when(repeated, 0).otherwise(1).alias("first"))
             .groupBy("term").agg(F.count("*").alias("tf"), F.sum("first").alias("df")))
 
 
