@@ -8,15 +8,15 @@ vector happens in the text's own row.
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.feature import CountVectorizerModel, NGram
+from pyspark.ml.feature import CountVectorizer, CountVectorizerModel, NGram
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from civiltext.functions.barrier import elements_of, rows_of
+from civiltext.functions.barrier import computed_once, elements_of, rows_of
 from civiltext.functions.patterns import WORD
 from civiltext.functions.text import null_to_empty
 
@@ -77,6 +77,21 @@ class TfidfModel:
     terms: list[str]
     idf: list[float]
     ngrams: tuple[int, int] = NGRAMS
+    _counter: tuple | None = field(default=None, repr=False, compare=False)
+
+    def counter(self, spark: SparkSession) -> tuple[CountVectorizerModel, np.ndarray]:
+        """A count vectorizer over the terms, and the place of each of its terms in ``terms``.
+
+        Fitting it to one row that holds the terms hands them over in one piece; passing
+        them in one by one takes seconds. The fit picks its own order, hence the places.
+        """
+        if self._counter is None:
+            row = spark.createDataFrame([(self.terms,)], "_terms array<string>")
+            model = CountVectorizer(inputCol="_terms", outputCol="_counts", minDF=1,
+                                    vocabSize=len(self.terms)).fit(row)
+            place = {term: i for i, term in enumerate(self.terms)}
+            self._counter = model, np.array([place[t] for t in model.vocabulary], dtype=np.int32)
+        return self._counter
 
     @classmethod
     def fit(cls, df: DataFrame, clean_col: str = "clean_text", max_features: int = MAX_FEATURES,
@@ -95,11 +110,11 @@ class TfidfModel:
     def transform(self, df: DataFrame, clean_col: str = "clean_text",
                   out: str = "features") -> DataFrame:
         """Append the feature vector; no shuffle."""
-        counter = CountVectorizerModel.from_vocabulary(self.terms, inputCol="_terms",
-                                                       outputCol="_counts")
+        counter, places = self.counter(df.sparkSession)
         counted = counter.transform(with_terms(df, clean_col, "_terms", self.ngrams))
-        weigh = _weigher(np.asarray(self.idf))
-        return counted.withColumn(out, weigh(F.unwrap_udt("_counts"))).drop("_terms", "_counts")
+        counted = computed_once(counted, {"_counts": F.unwrap_udt("_counts")}, "_terms")
+        weigh = _weigher(np.asarray(self.idf), places)
+        return counted.withColumn(out, weigh("_counts")).drop("_counts")
 
     def table(self, spark: SparkSession) -> DataFrame:
         """``idx, term, idf``."""
@@ -117,16 +132,18 @@ class TfidfModel:
 
 
 
-def _weigher(idf: np.ndarray):
+def _weigher(idf: np.ndarray, places: np.ndarray):
     """Turns count vectors into weighted vectors, one Arrow batch at a time."""
 
     def weigh(counts: pa.Array) -> pa.Array:
         indices, values = counts.field("indices"), counts.field("values")
         offsets = np.asarray(indices.offsets)
         sizes = np.diff(offsets)
-        idx = np.asarray(indices.flatten())
-        weight = (1.0 + np.log(np.asarray(values.flatten()))) * idf[idx]
         row = np.repeat(np.arange(len(sizes)), sizes)
+        idx = places[np.asarray(indices.flatten())]
+        order = np.lexsort((idx, row))
+        idx = idx[order]
+        weight = (1.0 + np.log(np.asarray(values.flatten())[order])) * idf[idx]
         norm = np.sqrt(np.bincount(row, weights=weight * weight, minlength=len(sizes)))
         scaled = pa.array(weight / norm[row])
         starts = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
