@@ -312,21 +312,48 @@ SORT_KEY = "md5('42:' || id)"
 
 # --- features ------------------------------------------------------------------------------
 
-TERMS = f"""c AS (SELECT doc_id, {clean('text')} AS clean_text FROM documents),
-uni AS (SELECT doc_id, unnest(t) AS term, unnest(range(len(t))) AS position, len(t) AS n FROM
+# Expects ``c`` (doc_id, clean_text, test): the texts, of which those not in ``test`` are fitted on.
+TERM_CTES = """uni AS (SELECT doc_id, unnest(t) AS term, unnest(range(len(t))) AS position, len(t) AS n FROM
   (SELECT doc_id, list_filter(string_split(clean_text, ' '), lambda x: length(x) >= 2) AS t FROM c)),
 pairs AS (SELECT doc_id, term || ' ' || lead(term) OVER (PARTITION BY doc_id ORDER BY position)
   AS term, position + n AS position FROM uni),
 terms AS (SELECT doc_id, term, position FROM uni UNION ALL
   SELECT * FROM pairs WHERE term IS NOT NULL),
 tf AS (SELECT doc_id, term, count(*) AS tf FROM terms GROUP BY ALL),
-counts AS (SELECT term, sum(tf)::BIGINT AS tf, count(*) AS df FROM tf GROUP BY term),
-total AS (SELECT count(*) AS n FROM documents),
+counts AS (SELECT term, sum(tf)::BIGINT AS tf, count(*) AS df FROM tf JOIN c USING (doc_id)
+  WHERE NOT test GROUP BY term),
+total AS (SELECT count(*) AS n FROM c WHERE NOT test),
 pruned AS (SELECT counts.* FROM counts, total WHERE df >= 3 AND df <= 0.9 * n),
 vocab AS (SELECT * FROM pruned ORDER BY tf DESC, term LIMIT 50000),
 raw AS (SELECT doc_id, term, (1 + ln(tf.tf)) * (ln((1 + n) / (1 + df)::DOUBLE) + 1) AS w
   FROM tf JOIN vocab USING (term), total),
 weights AS (SELECT doc_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS weight FROM raw)"""
+TERMS = (f"c AS (SELECT doc_id, {clean('text')} AS clean_text, false AS test FROM documents), "
+         + TERM_CTES)
+
+# Multinomial naive Bayes in closed form: fitted on the training part, judged on the rest.
+NAIVE_BAYES = f"""WITH l AS (SELECT *, {SORT_KEY} < '33333333' AS test FROM ({LABELED})),
+c AS (SELECT id AS doc_id, {clean('comment_text')} AS clean_text, test FROM l),
+{TERM_CTES},
+y AS (SELECT id, 'toxic' AS label, toxic AS actual, test FROM l
+  UNION ALL SELECT id, 'insult', insult, test FROM l),
+classes AS (SELECT label, actual AS cls, count(*) AS n FROM y WHERE NOT test GROUP BY ALL),
+sums AS (SELECT label, actual AS cls, term, sum(weight) AS s FROM weights JOIN y ON id = doc_id
+  WHERE NOT test GROUP BY ALL),
+totals AS (SELECT label, cls, sum(s) AS total FROM sums GROUP BY ALL),
+theta AS (SELECT classes.label, classes.cls, vocab.term, ln(coalesce(s, 0) + 0.1)
+    - ln(total + 0.1 * (SELECT count(*) FROM vocab)) AS t
+  FROM classes CROSS JOIN vocab JOIN totals USING (label, cls) LEFT JOIN sums
+  ON sums.label = classes.label AND sums.cls = classes.cls AND sums.term = vocab.term),
+priors AS (SELECT label, cls, ln(n / sum(n) OVER (PARTITION BY label)) AS p FROM classes),
+scores AS (SELECT y.id, y.label, y.actual, priors.cls, any_value(p) + coalesce(sum(weight * t), 0)
+    AS score FROM y JOIN priors ON y.label = priors.label LEFT JOIN weights ON doc_id = y.id
+  LEFT JOIN theta ON theta.label = y.label AND theta.cls = priors.cls AND theta.term = weights.term
+  WHERE y.test GROUP BY y.id, y.label, y.actual, priors.cls),
+u AS (SELECT label, actual, CAST(max(score) FILTER (cls = 1) > max(score) FILTER (cls = 0) AS INT)
+  AS predicted FROM scores GROUP BY id, label, actual)
+SELECT label, {', '.join(f"{metric(m)} AS {m}" for m in ('accuracy', 'precision', 'recall', 'f1'))}
+FROM u GROUP BY label"""
 
 NOUN_RULES = rows([("s", ""), ("ses", "s"), ("ves", "f"), ("xes", "x"), ("zes", "z"),
                    ("ches", "ch"), ("shes", "sh"), ("men", "man"), ("ies", "y")])
@@ -555,6 +582,7 @@ def sql_by_query() -> dict[str, str]:
         "df_pruning": f"WITH {TERMS} SELECT * FROM pruned",
         "vocab_top_k": f"WITH {TERMS} SELECT * FROM pruned ORDER BY tf DESC, term LIMIT 5000",
         "tfidf": f"WITH {TERMS} SELECT doc_id, term, round(weight, 6) AS weight FROM weights",
+        "train_nb": NAIVE_BAYES,
         "doc_vectors": f"WITH {TERMS} SELECT c.doc_id, count(term) AS entries, "
                        "round(coalesce(sum(weight * weight), 0), 6) AS squared_length FROM c LEFT "
                        "JOIN weights USING (doc_id) GROUP BY c.doc_id",
