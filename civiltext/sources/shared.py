@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder in ``spark.checkpoint.dir``; in local mode one is made if it is unset."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
