@@ -689,7 +689,8 @@ def trained(spark, sf, model_type: str = "logistic_regression"):
 
 def probability_columns(predictions: DataFrame, *keys) -> DataFrame:
     return predictions.select(*keys, F.col("is_toxic").cast("int").alias("is_toxic"),
-                              "confidence", F.map_values("labels").alias("probabilities"),
+                              "confidence", F.col("labels.toxic").alias("p_toxic"),
+                              F.col("labels.insult").alias("p_insult"),
                               joined("detected_types").alias("types"))
 
 
@@ -743,7 +744,8 @@ def top_features(spark, sf):
 def model_save(spark, sf):
     path = scratch_path(spark, "model")
     trained(spark, sf)[0].save(spark, path)
-    return spark.read.parquet(f"{path}/vocabulary")
+    vocabulary = spark.read.parquet(f"{path}/vocabulary")
+    return vocabulary.select("idx", "term", F.round("idf", 9).alias("idf"))
 
 
 @query

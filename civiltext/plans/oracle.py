@@ -332,7 +332,7 @@ TERMS = (f"c AS (SELECT doc_id, {clean('text')} AS clean_text, false AS test FRO
          + TERM_CTES)
 
 # Multinomial naive Bayes in closed form: fitted on the training part, judged on the rest.
-NAIVE_BAYES = f"""WITH l AS (SELECT *, {SORT_KEY} < '33333333' AS test FROM ({LABELED})),
+_FIT = f"""WITH l AS (SELECT *, {SORT_KEY} < '33333333' AS test FROM ({LABELED})),
 c AS (SELECT id AS doc_id, {clean('comment_text')} AS clean_text, test FROM l),
 {TERM_CTES},
 y AS (SELECT id, 'toxic' AS label, toxic AS actual, test FROM l
@@ -345,7 +345,8 @@ theta AS (SELECT classes.label, classes.cls, vocab.term, ln(coalesce(s, 0) + 0.1
     - ln(total + 0.1 * (SELECT count(*) FROM vocab)) AS t
   FROM classes CROSS JOIN vocab JOIN totals USING (label, cls) LEFT JOIN sums
   ON sums.label = classes.label AND sums.cls = classes.cls AND sums.term = vocab.term),
-priors AS (SELECT label, cls, ln(n / sum(n) OVER (PARTITION BY label)) AS p FROM classes),
+priors AS (SELECT label, cls, ln(n / sum(n) OVER (PARTITION BY label)) AS p FROM classes)"""
+NAIVE_BAYES = f"""{_FIT},
 scores AS (SELECT y.id, y.label, y.actual, priors.cls, any_value(p) + coalesce(sum(weight * t), 0)
     AS score FROM y JOIN priors ON y.label = priors.label LEFT JOIN weights ON doc_id = y.id
   LEFT JOIN theta ON theta.label = y.label AND theta.cls = priors.cls AND theta.term = weights.term
@@ -355,6 +356,34 @@ u AS (SELECT label, actual, CAST(max(score) FILTER (cls = 1) > max(score) FILTER
 SELECT label, {', '.join(f"{metric(m)} AS {m}" for m in ('accuracy', 'precision', 'recall', 'f1'))}
 FROM u GROUP BY label"""
 
+# The same model applied to conversations.
+NB_PREDICT = f"""{_FIT},
+tc AS (SELECT conv_id, turn, {clean('text')} AS clean_text FROM ({TALK})),
+tuni AS (SELECT conv_id, turn, unnest(t) AS term, unnest(range(len(t))) AS position FROM (SELECT
+  conv_id, turn, list_filter(string_split(clean_text, ' '), lambda x: length(x) >= 2) AS t FROM tc)),
+tterms AS (SELECT conv_id, turn, term FROM tuni UNION ALL SELECT conv_id, turn, term || ' ' ||
+  lead(term) OVER (PARTITION BY conv_id, turn ORDER BY position) FROM tuni),
+ttf AS (SELECT conv_id, turn, term, count(*) AS tf FROM tterms WHERE term IS NOT NULL GROUP BY ALL),
+traw AS (SELECT conv_id, turn, term, (1 + ln(ttf.tf)) * (ln((1 + n) / (1 + df)::DOUBLE) + 1) AS w
+  FROM ttf JOIN vocab USING (term), total),
+tw AS (SELECT conv_id, turn, term, w / sqrt(sum(w * w) OVER (PARTITION BY conv_id, turn)) AS weight
+  FROM traw),
+sums_by_class AS (SELECT conv_id, turn, label, cls, sum(weight * t) AS s FROM tw JOIN theta
+  USING (term) GROUP BY ALL),
+scored AS (SELECT tc.conv_id, tc.turn, priors.label, priors.cls, p + coalesce(s, 0) AS score
+  FROM tc CROSS JOIN priors LEFT JOIN sums_by_class x ON x.conv_id = tc.conv_id AND
+  x.turn = tc.turn AND x.label = priors.label AND x.cls = priors.cls),
+prob AS (SELECT conv_id, turn, label, 1 / (1 + exp(max(score) FILTER (cls = 0)
+  - max(score) FILTER (cls = 1))) AS p FROM scored GROUP BY ALL),
+wide AS (SELECT conv_id, turn, max(p) FILTER (label = 'toxic') AS a,
+  max(p) FILTER (label = 'insult') AS b FROM prob GROUP BY ALL)
+SELECT conv_id, turn, CAST(a >= 0.3 OR b >= 0.3 AS INT) AS is_toxic,
+  greatest({rounded('a', 4)}, {rounded('b', 4)}) AS confidence, {rounded('a', 4)} AS p_toxic,
+  {rounded('b', 4)} AS p_insult, concat_ws(' ', CASE WHEN a >= 0.3 THEN 'toxic' END,
+  CASE WHEN b >= 0.3 THEN 'insult' END) AS types FROM wide"""
+SAVED_VOCABULARY = f"""{_FIT} SELECT row_number() OVER (ORDER BY term) - 1 AS idx, term,
+  round(ln((1 + n) / (1 + df)::DOUBLE) + 1, 9) AS idf FROM vocab, total"""
+
 NOUN_RULES = rows([("s", ""), ("ses", "s"), ("ves", "f"), ("xes", "x"), ("zes", "z"),
                    ("ches", "ch"), ("shes", "sh"), ("men", "man"), ("ies", "y")])
 LEMMATIZE = f"""WITH RECURSIVE
@@ -583,6 +612,9 @@ def sql_by_query() -> dict[str, str]:
         "vocab_top_k": f"WITH {TERMS} SELECT * FROM pruned ORDER BY tf DESC, term LIMIT 5000",
         "tfidf": f"WITH {TERMS} SELECT doc_id, term, round(weight, 6) AS weight FROM weights",
         "train_nb": NAIVE_BAYES,
+        "predict_batch": NB_PREDICT,
+        "model_save": SAVED_VOCABULARY,
+        "model_load": "SELECT count(*) AS texts, count(*) AS equal FROM documents",
         "doc_vectors": f"WITH {TERMS} SELECT c.doc_id, count(term) AS entries, "
                        "round(coalesce(sum(weight * weight), 0), 6) AS squared_length FROM c LEFT "
                        "JOIN weights USING (doc_id) GROUP BY c.doc_id",
