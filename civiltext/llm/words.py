@@ -145,22 +145,32 @@ def find_words(column: pa.Array, separators: np.ndarray = BLANKS,
 
 
 def shingles(words: Words, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct ``n``-word runs per text: text, hash and first word, by text and hash.
+    """Text, hash and first word of all ``n``-word runs, in the order of the texts.
 
     A text with fewer words has its whole sequence as its only run; without words it has none.
     """
-    doc, start, value = words.runs(n)
-    parts = [(doc, value, start)]
+    parts = [words.runs(n)]
     for m in range(1, n):
         few = np.flatnonzero(words.counts == m)
         begin = words.first[few]
         whole = np.full(len(few), m, np.uint64)
         for i in range(m):
             whole = whole * BASE + words.hashes[begin + i]
-        parts.append((few, mix(~whole), begin))
-    doc, value, start = (np.concatenate(x) for x in zip(*parts))
-    order = np.lexsort((value, doc))
-    doc, value, start = doc[order], value[order], start[order]
+        parts.append((few, begin, mix(~whole)))
+    doc, start, value = (np.concatenate(x) for x in zip(*parts))
+    if len(parts[0][0]) < len(doc):
+        order = np.argsort(doc, kind="stable")
+        doc, start, value = doc[order], start[order], value[order]
+    return doc, value, start
+
+
+def distinct_sorted(doc: np.ndarray, values: np.ndarray,
+                    n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ``values`` of each of ``n`` texts in ascending order, text by text."""
+    values = values.copy()
+    edges = np.searchsorted(doc, np.arange(n + 1))
+    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+        values[a:b].sort()
     new = np.ones(len(doc), dtype=bool)
-    new[1:] = (doc[1:] != doc[:-1]) | (value[1:] != value[:-1])
-    return doc[new], value[new], start[new]
+    new[1:] = (doc[1:] != doc[:-1]) | (values[1:] != values[:-1])
+    return doc[new], values[new]
