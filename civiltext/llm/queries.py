@@ -4,25 +4,104 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from civiltext.llm import jaccard_join
+from civiltext.llm import (decontamination, jaccard_join, pieces, piecewise, sanitise, secrets,
+                           sentence_spans, token_store, toxicity, warc)
+from civiltext.sources.shared import scratch_path
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def _count(spans: str, kind: str) -> Column:
+    of_kind = F.filter(spans, lambda s: s["kind"] == kind)
+    return F.size(of_kind).cast("long").alias(f"n_{kind}")
+
+
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of known form and strings that tokenize badly, in every document."""
+    base = secrets.KINDS[:3]
+    found = secrets.find_secrets(_read(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"), *(_count("spans", k) for k in base),
+        F.sha2(secrets.span_text(F.col("spans"), base), 256).alias("base_sha256"),
+        secrets.span_text(F.col("spans")).alias("spans"))
+
+
+def op2_token_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids written as entropy-coded segments and read back."""
+    path = scratch_path(spark, "tokens")
+    token_store.write_tokens(_read(spark, sf_dir, "documents"), path)
+    return token_store.read_tokens(spark, path).select(
+        F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32")
+
+
+def op3_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that contain benchmark items, whole or in pieces."""
+    found = decontamination.contaminations(_read(spark, sf_dir, "documents"),
+                                           _read(spark, sf_dir, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), "item_id", "n_words", "matched", "tiles",
+                        "longest", "coverage")
+
+
+def op4_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A toxicity score for every document, learned without the held-out quarter."""
+    docs = _read(spark, sf_dir, "documents")
+    model = toxicity.train(toxicity.labelled_documents(docs, _read(spark, sf_dir, "labels")))
+    return toxicity.score(docs, model).select(
+        F.col("id").alias("doc_id"), (toxicity.fold(F.col("id")) == 2).alias("held_out"), "score",
+        (F.col("score") >= toxicity.DECISION).cast("int").alias("predicted"))
+
+
+def op5_piecewise_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of documents, of their edited texts, and how alike they are."""
+    return piecewise.neighbour_likeness(_read(spark, sf_dir, "documents")) \
+                    .withColumnRenamed("id", "doc_id")
+
+
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three-word sets that overlap by nine tenths; component of each document."""
     found = jaccard_join.jaccard_components(_read(spark, sf_dir, "documents"), n=3,
                                             threshold="0.9")
-    return found.select(found.id.alias("doc_id"), "n_shingles", "component_id")
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
+def op7_disclosure_sanitisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of known form, and the terms beside it that give it away."""
+    found = sanitise.find_personal_data(_read(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"] != sanitise.TERM)
+    return found.select(
+        F.col("id").alias("doc_id"), *(_count("spans", k) for k in sanitise.KINDS),
+        F.sha2(sanitise.span_text(base), 256).alias("base_sha256"),
+        sanitise.span_text(F.col("spans")).alias("spans"))
+
+
+def op8_piece_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of every document, and whether decoding gives back its text."""
+    return pieces.round_trip(_read(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+def op9_warc_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as monolithic archives, normalised, and read back by index."""
+    path = scratch_path(spark, "warc")
+    names = warc.write_monolithic(_read(spark, sf_dir, "pages"), f"{path}/mono")
+    warc.normalise(spark, names, f"{path}/mono", f"{path}/members", remove_source=True)
+    return warc.read_records(spark, names, f"{path}/members").drop("payload")
+
+
+def op10_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the sentences of passages that stand elsewhere before."""
+    return sentence_spans.remove_repeated_spans(_read(spark, sf_dir, "documents")) \
+                         .withColumnRenamed("id", "doc_id")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
-}
+    query.__name__: query for query in (
+        op1_secret_scan, op2_token_segments, op3_string_tiling, op4_compression_toxicity,
+        op5_piecewise_hashing, op6_ngram_jaccard_join, op7_disclosure_sanitisation,
+        op8_piece_viterbi, op9_warc_normaliser, op10_sentence_spans)}
 
 _OP6 = r"""
 WITH RECURSIVE words AS (
@@ -57,4 +136,21 @@ SELECT m.doc_id, m.n::BIGINT AS n_shingles,
 FROM members m LEFT JOIN roots r ON m.id = r.id
 """
 
-SQL: dict[str, str] = {"op6_ngram_jaccard_join": _OP6}
+_OP9 = r"""
+WITH payloads AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS hex FROM pages),
+firsts AS (SELECT hex, min(page_id) AS original FROM payloads GROUP BY hex),
+base32 AS (
+  SELECT hex, array_to_string(list_transform(
+           list_transform(range(32), lambda i:
+             (('0x' || substr(hex, 5 * (i // 4) + 1, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31),
+           lambda v: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', v + 1, 1)), '') AS digest
+  FROM firsts)
+SELECT p.page_id, p.n::BIGINT AS payload_bytes, b.digest AS payload_digest,
+       CASE WHEN p.page_id IS NOT DISTINCT FROM f.original THEN 'response' ELSE 'revisit' END
+         AS record_type,
+       CASE WHEN p.page_id IS DISTINCT FROM f.original THEN f.original END AS refers_to
+FROM payloads p JOIN firsts f ON p.hex = f.hex JOIN base32 b ON p.hex = b.hex
+"""
+
+SQL: dict[str, str] = {"op6_ngram_jaccard_join": _OP6, "op9_warc_normaliser": _OP9}
