@@ -8,12 +8,16 @@ different (``(?U)``), so patterns here spell the classes out.
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterable
 
 WORD = r"\p{L}\p{N}_"
 # A class costs a test per member and character, so it has few: all separators, the control
 # characters that count as whitespace, and next-line.
 SPACE = r"\p{Z}\t-\r\x1c-\x1f\x85"
+#: The characters of ``SPACE``, one by one.
+SPACES = "".join(c for c in map(chr, range(0x3001))
+                 if unicodedata.category(c).startswith("Z") or c in "\t\n\v\f\r\x1c\x1d\x1e\x1f\x85")
 NOT_AFTER_WORD = f"(?<![{WORD}])"
 NOT_BEFORE_WORD = f"(?![{WORD}])"
 

@@ -1,7 +1,8 @@
 """Text-cleaning column functions.
 
-Every function takes and returns a string column and stays inside whole-stage code
-generation, so cleaning runs in the scan stage without a shuffle.
+Every function takes and returns a string column and is built from native expressions, so
+cleaning runs in the scan stage without a shuffle. Those that work on arrays of tokens are
+interpreted per row; the others take part in whole-stage code generation.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from civiltext import tables
 from civiltext.functions import sqltext
-from civiltext.functions.patterns import SPACE, WORD
+from civiltext.functions.patterns import SPACE, SPACES, WORD
 
 _SPLIT_WORDS = "\\b(" + "|".join(f"{a}(?={b}\\b)" for a, b in tables.CONTRACTIONS) + ")"
 
@@ -35,7 +36,8 @@ def collapse_space(text: Column) -> Column:
 
 def strip_space(text: Column) -> Column:
     """Remove whitespace at both ends only."""
-    return F.regexp_replace(text, f"^[{SPACE}]+|[{SPACE}]+\\z", "")
+    # Not a pattern: one tries every character of a run inside the text anew.
+    return F.btrim(text, F.lit(SPACES))
 
 
 def lowercase(text: Column) -> Column:
@@ -77,8 +79,7 @@ def drop_stopwords(tokens: Column, stopwords: list[str] | None = None) -> Column
     """Remove English stopwords, except those that carry meaning here."""
     drop = [w for w in (tables.STOPWORDS if stopwords is None else stopwords)
             if w not in tables.KEPT_STOPWORDS]
-    known = F.expr(sqltext.map_of(dict.fromkeys(drop, "")))
-    return F.filter(tokens, lambda w: ~F.map_contains_key(known, w)) if drop else tokens
+    return F.filter(tokens, lambda w: ~w.isin(drop)) if drop else tokens
 
 
 def preprocess(text: Column, for_model: bool = True, remove_stops: bool = False) -> Column:
@@ -86,7 +87,7 @@ def preprocess(text: Column, for_model: bool = True, remove_stops: bool = False)
 
     ``for_model=False`` is the light form that only deletes punctuation. Addresses go
     before tags, so an address inside a tag takes the rest of the tag with it.
-    Lemmas are a table lookup, see ``operators.lemmas``.
+    Lemmas are a table lookup, see ``operators.lemmas.Cleaning``, which adds them.
     """
     plain = strip_html(strip_urls(lowercase(null_to_empty(text))))
     if not for_model:
@@ -124,20 +125,27 @@ def word_count(text: Column) -> Column:
 
 
 def strip_accents(text: Column) -> Column:
-    """Fold accented letters to their base letter.
+    """Fold accented and composed characters to their base letters.
 
-    Covers every character that decomposes into one base letter plus accents, and loose
-    combining accents. Text that went through ``keep_letters`` is left as it is.
+    Covers every character that decomposes into base letters plus accents, ligatures among
+    them, and loose combining accents; only Hangul syllables stay whole. Text of ASCII alone,
+    such as went through ``keep_letters``, is passed on as it is.
     """
-    accented, plain, marks = _accent_table()
-    return F.translate(text, accented + marks, plain)
+    accented, plain, marks, several = _accent_table()
+    folded = F.translate(text, accented + marks, plain)
+    table = F.expr(sqltext.map_of(several))
+    spelled = F.array_join(F.transform(
+        F.split(folded, ""), lambda c: F.coalesce(F.element_at(table, c), c)), "")
+    spelled = F.when(folded.rlike("[" + "".join(several) + "]"), spelled).otherwise(folded)
+    return F.when(text.rlike("[^\\x00-\\x7f]"), spelled).otherwise(text)
 
 
-def _accent_table() -> tuple[str, str, str]:
+@functools.cache
+def _accent_table() -> tuple[str, str, str, dict[str, str]]:
     """The accent fold, derived from the Unicode character database."""
     import sys
     import unicodedata as u
-    accented, plain, marks = [], [], []
+    accented, plain, marks, several = [], [], [], {}
     for code in range(0x80, sys.maxunicode + 1):
         if 0xAC00 <= code <= 0xD7A3 or 0xD800 <= code <= 0xDFFF:
             continue
@@ -149,7 +157,9 @@ def _accent_table() -> tuple[str, str, str]:
         if len(base) == 1 and base[0] != ch:
             accented.append(ch)
             plain.append(base[0])
-    return "".join(accented), "".join(plain), "".join(marks)
+        elif len(base) > 1:
+            several[ch] = "".join(base)
+    return "".join(accented), "".join(plain), "".join(marks), several
 
 
 def squeeze(text: Column) -> Column:

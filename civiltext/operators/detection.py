@@ -78,7 +78,8 @@ def highlight(text: Column, lexicon: Lexicon) -> Column:
 
     One pass: a token is marked if it consists of a term and surrounding punctuation, so
     marks never nest and a short term never hits the markup of another. The writer's letter
-    case is kept. ``highlight_repeated`` is the variant that marks every occurrence.
+    case is kept. Marks are put in as noncharacters before the text is escaped; the same
+    characters in a text are spelled by others meanwhile, so that no text can forge a mark.
     """
     words = lexicon.words
     if not words:
@@ -86,44 +87,36 @@ def highlight(text: Column, lexicon: Lexicon) -> Column:
     junk = f"[^{patterns.WORD}{patterns.SPACE}]*"
     token = (f"(?iu)(?<![^{patterns.SPACE}])({junk})({patterns.any_of(words)})({junk})"
              f"(?![^{patterns.SPACE}])")
-    marked = F.regexp_replace(text, token, "$1﷐$2﷑$3")
-    escaped = _escape_html(marked)
-    return F.replace(F.replace(escaped, F.lit("﷐"), F.lit(tables.MARK_OPEN)),
-                     F.lit("﷑"), F.lit(tables.MARK_CLOSE))
+    spelled = _replaced(text, _SPELLED)
+    marked = F.regexp_replace(spelled, token, f"$1{_OPEN}$2{_CLOSE}$3")
+    marks = [(_OPEN, tables.MARK_OPEN), (_CLOSE, tables.MARK_CLOSE)]
+    back = [(spelling, char) for char, spelling in reversed(_SPELLED)]
+    return _replaced(_escape_html(marked), marks + back)
 
 
-def _escape_html(text: Column) -> Column:
-    for raw, safe in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
-        text = F.replace(text, F.lit(raw), F.lit(safe))
+# Noncharacters: they are part of no word, so spelling one by others changes no token.
+_OPEN, _CLOSE, _ESCAPE = "\ufdd0", "\ufdd1", "\ufdd2"
+_SPELLED = [(_ESCAPE, _ESCAPE + "\ufdd3"), (_OPEN, _ESCAPE + "\ufdd4"),
+            (_CLOSE, _ESCAPE + "\ufdd5")]
+
+
+def _replaced(text: Column, pairs: list[tuple[str, str]]) -> Column:
+    for old, new in pairs:
+        text = F.replace(text, F.lit(old), F.lit(new))
     return text
 
 
-def highlight_repeated(text: Column, hits: Column) -> Column:
-    """Mark every occurrence of every hit word, longest word first, as often as it was hit.
+def _escape_html(text: Column) -> Column:
+    return _replaced(text, [("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")])
 
-    Occurrences inside other words and inside earlier marks count too, and the text is not
-    escaped. Kept for output that has to equal that of older tooling. The patterns come
-    from the row, so apply it to rows with hits only.
-    """
-    words = F.transform(F.filter(hits, lambda h: ~h.is_phrase), lambda h: h.word)
-    longest_first = F.array_sort(
-        F.transform(words, lambda w, i: F.struct((-F.length(w)).alias("s"), i.alias("i"),
-                                                 w.alias("w"))))
-    return F.aggregate(
-        longest_first, text,
-        lambda acc, h: F.regexp_replace(
-            acc, F.concat(F.lit("(?iu)"), h.w),
-            F.concat(F.lit(tables.MARK_OPEN), h.w, F.lit(tables.MARK_CLOSE))))
-
-
-def detect(df: DataFrame, text_col: str = "text", lexicon: Lexicon | None = None,
-           mark_repeats: bool = False) -> DataFrame:
+
+def detect(df: DataFrame, text_col: str = "text",
+           lexicon: Lexicon | None = None) -> DataFrame:
     """Append detection columns to ``df``.
 
     ``toxic_words`` (hits: phrases in lexicon order, then tokens by position),
     ``toxic_count``, ``categories_found``, ``highlighted_text``, ``intensity_score`` and
     ``non_toxic_words``. Columns that are not selected later are not computed.
-    ``mark_repeats`` switches highlighting to ``highlight_repeated``.
     """
     lexicon = lexicon or Lexicon.default()
     lexicon.check_inline()
@@ -148,10 +141,7 @@ def detect(df: DataFrame, text_col: str = "text", lexicon: Lexicon | None = None
         "intensity_score": F.when(hit, numbers.round_exact(F.col("_raw"), 3))
                             .otherwise(F.lit(0.0))}, "_squeezed", "_words", "_raw")
     hits = F.col("toxic_words")
-    if mark_repeats:
-        marked, unmarked = highlight_repeated(text, hits), text
-    else:
-        marked, unmarked = highlight(text, lexicon), _escape_html(text)
+    marked, unmarked = highlight(text, lexicon), _escape_html(text)
     return staged.withColumns({
         "toxic_count": F.size(hits),
         "categories_found": categories_of(hits),
@@ -164,12 +154,13 @@ def detect(df: DataFrame, text_col: str = "text", lexicon: Lexicon | None = None
     }).drop(*own)
 
 
-def _split_texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id with the raw and the normalized tokens of every non-blank text."""
-    return (df.select(id_col, txt.collapse_space(F.lower(txt.null_to_empty(F.col(text_col))))
-                      .alias("_flat"))
-            .filter(F.col("_flat") != "")
-            .select(id_col, F.split("_flat", " ").alias("_tokens"),
+def split_texts(df: DataFrame, keep: list[str], text_col: str) -> DataFrame:
+    """``keep`` with the raw and the normalized tokens of every non-blank text."""
+    flat = txt.collapse_space(F.lower(F.col(text_col)))
+    # The test is on the raw text: a filter on the cleaned one would clean it a second time.
+    return (df.filter(F.col(text_col).rlike(f"[^{patterns.SPACE}]"))
+            .select(*keep, flat.alias("_flat"))
+            .select(*keep, F.split("_flat", " ").alias("_tokens"),
                     F.split(F.regexp_replace("_flat", f"[^{patterns.WORD} ]+", ""), " ")
                     .alias("_words")))
 
@@ -177,55 +168,88 @@ def _split_texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def token_table(df: DataFrame, id_col: str, text_col: str = "text") -> DataFrame:
     """One row per token: id, ``position``, ``token`` and normalized ``word``."""
     row = "transform(_words, (w, i) -> named_struct('position', i, 'token', get(_tokens, i), 'word', w))"
-    return rows_of(_split_texts(df, id_col, text_col), [id_col], F.expr(row), "position")
+    return rows_of(split_texts(df, [id_col], text_col), [id_col], F.expr(row), "position")
 
 
 def token_hits_by_join(df: DataFrame, id_col: str, lexicon: DataFrame,
                        text_col: str = "text") -> DataFrame:
     """Token hits as rows, for a lexicon given as a table of any size.
 
-    Every token row carries the three words before it, cut from its own text, so modifiers
-    need no window; they are only looked at for tokens that turn out to be hits.
+    Tokens are looked up before anything is built for them; the words before a hit are cut
+    from its own text. If the lexicon is too large to broadcast, the distinct words of the
+    texts are looked up first and only known ones take part in the second, smaller join.
     """
+    return _token_hits(df, [id_col], lexicon, text_col)
+
+
+def _token_hits(df: DataFrame, keep: list[str], lexicon: DataFrame, text_col: str) -> DataFrame:
     terms = (lexicon.filter(~F.col("is_phrase"))
              .select(F.col("term").alias("word"), "category"))
-    row = ("transform(_words, (w, i) -> named_struct('position', i, 'word', w, "
-           "'before', slice(_words, greatest(i - 2, 1), least(i, 3))))")
-    tokens = rows_of(_split_texts(df, id_col, text_col), [id_col], F.expr(row), "position")
-    found = lookup_join(tokens, terms, "word", spread=F.struct(id_col, "position"))
+    texts = split_texts(df, keep, text_col).select(*keep, "_words")
+    tokens = texts.select(*keep, "_words", F.posexplode_outer("_words").alias("position", "word")) \
+                  .filter(F.col("word").isNotNull())
+    if is_small(terms, ["word", "category"]):
+        found = tokens.join(F.broadcast(terms), "word")
+    else:
+        three = F.slice("_words", F.greatest(F.col("position") - 2, F.lit(1)),
+                        F.least(F.col("position"), F.lit(3)))
+        found = lookup_join(tokens.select(*keep, "position", "word", three.alias("_before")), terms,
+                            "word", spread=F.struct(*keep, "position"))
+    before = "slice(_words, greatest(position - 2, 1), least(position, 3))" \
+        if "_words" in found.columns else "_before"
     return found.select(
-        id_col, "word", "category", "position", F.lit(False).alias("is_phrase"),
-        F.expr(f"coalesce({sql.is_one_of('try_element_at(before, -1)', tables.INTENSIFIERS)}, "
+        *keep, "word", "category", "position", F.lit(False).alias("is_phrase"),
+        F.expr(f"coalesce({sql.is_one_of(f'try_element_at({before}, -1)', tables.INTENSIFIERS)}, "
                "false)").alias("has_intensifier"),
-        F.expr(f"exists(before, x -> {sql.is_one_of('x', tables.NEGATORS)})").alias("is_negated"))
+        F.expr(f"exists({before}, x -> {sql.is_one_of('x', tables.NEGATORS)})").alias("is_negated"))
+
+
+PIECE = 3           # characters by which phrases are looked up
+MAX_PIECES = 5_000  # known pieces that are kept in the row
 
 
 def phrase_hits_by_join(df: DataFrame, id_col: str, lexicon: DataFrame,
                         text_col: str = "text") -> DataFrame:
     """Phrase hits as rows, for a lexicon given as a table of any size.
 
-    A text can only contain a phrase if it contains the phrase's first three characters.
-    The distinct three-character pieces of a text are matched to those by equi-join; only
-    the candidates found that way are compared in full.
+    A text can only contain a phrase if it contains the phrase's first characters: three, or
+    as many as the phrase has. The distinct pieces of a text are matched to those by equi-join;
+    only the candidates found that way are compared in full. If there are few different
+    pieces, others are left out in the row already.
     """
+    return _phrase_hits(df, [id_col], lexicon, text_col)
+
+
+def _phrase_hits(df: DataFrame, keep: list[str], lexicon: DataFrame, text_col: str) -> DataFrame:
     phrases = (lexicon.filter("is_phrase")
-               .select("term", "category", F.substring("term", 1, 3).alias("piece")))
-    texts = df.select(id_col, F.lower(txt.null_to_empty(F.col(text_col))).alias("_low"))
+               .select("term", "category", F.substring("term", 1, PIECE).alias("piece")))
+    starts = phrases.select("piece").distinct().limit(MAX_PIECES + 1).collect()
+    few = len(starts) <= MAX_PIECES
+    sizes = sorted({len(r.piece) for r in starts}) if few else list(range(1, PIECE + 1))
+    texts = df.select(*keep, F.lower(txt.null_to_empty(F.col(text_col))).alias("_low"))
+    texts = computed_once(texts, {"_low": F.col("_low")})
     chars = F.col("_chars")
-    split = texts.withColumn("_chars", F.split("_low", "")).filter(F.size(chars) >= 3)
-    pieces = (split.select(id_col, "_low", F.explode_outer(F.array_distinct(F.transform(
-                  F.sequence(F.lit(0), F.size(chars) - 3),
-                  lambda i: F.concat(F.get(chars, i), F.get(chars, i + 1),
-                                     F.get(chars, i + 2))))).alias("piece")))
+    split = texts.filter("_low <> ''").withColumn("_chars", F.split("_low", ""))
+
+    def of_size(n: int) -> Column:
+        cut = F.transform(F.sequence(F.lit(0), F.size(chars) - n), lambda i: F.concat(
+            *[F.get(chars, i + j) for j in range(n)]))
+        return F.when(F.size(chars) >= n, cut).otherwise(F.array().cast("array<string>"))
+
+    pieces = F.array_distinct(F.concat(*[of_size(n) for n in sizes])) if sizes \
+        else F.array().cast("array<string>")
+    if few:
+        listed = ", ".join(sql.quote(r.piece) for r in starts)
+        pieces = F.array_intersect(pieces, F.expr(f"cast(array({listed}) AS array<string>)"))
+    found = split.select(*keep, "_low", F.explode_outer(pieces).alias("piece")) \
+                 .filter(F.col("piece").isNotNull())
     if is_small(phrases, ["term", "category"]):
-        candidates = pieces.join(F.broadcast(phrases), "piece")
+        candidates = found.join(F.broadcast(phrases), "piece")
     else:
-        # Keep the text out of the shuffle of its pieces; fetch it for candidates only.
-        candidates = (lookup_join(pieces.select(id_col, "piece"), phrases, "piece",
-                                  spread=F.col(id_col)).join(texts, id_col))
+        candidates = lookup_join(found, phrases, "piece", spread=F.struct(*keep))
     no = F.lit(False)
     return (candidates.filter(F.contains("_low", F.col("term")))
-            .select(id_col, F.col("term").alias("word"), "category",
+            .select(*keep, F.col("term").alias("word"), "category",
                     F.lit(-1).alias("position"), F.lit(True).alias("is_phrase"),
                     no.alias("has_intensifier"), no.alias("is_negated")))
 
@@ -235,3 +259,37 @@ def detect_by_join(df: DataFrame, id_col: str, lexicon: DataFrame,
     """All hits as rows (id and hit fields); same hits as ``detect`` has in ``toxic_words``."""
     return token_hits_by_join(df, id_col, lexicon, text_col).unionByName(
         phrase_hits_by_join(df, id_col, lexicon, text_col))
+
+
+def detect_table(df: DataFrame, lexicon: DataFrame, text_col: str = "text") -> DataFrame:
+    """``detect`` for a lexicon given as a table (``term, category, is_phrase, ord``) of any size.
+
+    Appends ``toxic_words``, ``toxic_count``, ``categories_found`` and ``intensity_score``;
+    ``lexicon_verdict`` works on the result. Hits come back to their texts by the text itself
+    (its digest), so ids may be missing or repeated and copies of a text are looked up once.
+    """
+    key = "_text_key"
+    texts = df.withColumn(key, F.md5(txt.null_to_empty(F.col(text_col)).cast("binary")))
+    once = texts.select(key, text_col).dropDuplicates([key])
+    rank = lexicon.select(F.col("term").alias("word"), F.col("ord").alias("_ord"))
+    phrases = lookup_join(_phrase_hits(once, [key], lexicon, text_col), rank, "word",
+                          spread=F.col(key))
+    hits = _token_hits(once, [key], lexicon, text_col).withColumn(
+        "_ord", F.lit(None).cast(lexicon.schema["ord"].dataType)).unionByName(phrases)
+    # Phrases first, in lexicon order, then tokens by position. A text bounds its own hits.
+    order = F.struct((~F.col("is_phrase")).alias("a"), "_ord", "position",
+                     F.struct("word", "category", "position", "is_phrase", "has_intensifier",
+                              "is_negated").alias("hit"))
+    per_text = hits.groupBy(key).agg(F.array_sort(F.collect_list(order)).alias("_hits")) \
+                   .select(key, F.transform("_hits", lambda h: h.hit).alias("_hits"))
+    own = ["_n", "_raw", "_hits", key]
+    found = texts.join(per_text, key, "left").withColumns({
+        "toxic_words": F.coalesce(F.col("_hits").cast(HITS), F.expr(f"cast(array() AS {HITS})")),
+        "_n": F.when(F.col("_hits").isNotNull(), txt.word_count(F.col(text_col)))})
+    found = found.withColumn("_raw", F.when(F.col("_hits").isNotNull(),
+                                            raw_intensity("toxic_words", F.col("_n"))))
+    return found.withColumns({
+        "toxic_count": F.size("toxic_words"),
+        "categories_found": categories_of(F.col("toxic_words")),
+        "intensity_score": F.coalesce(numbers.round_exact(F.col("_raw"), 3), F.lit(0.0)),
+    }).drop(*own)

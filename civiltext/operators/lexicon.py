@@ -11,6 +11,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from civiltext import tables
+from civiltext.sources.shared import cut_lineage
 
 # A lexicon up to this many terms is written into expressions; beyond it, use the join form.
 MAX_INLINE_TERMS = 5_000
@@ -56,7 +57,7 @@ class Lexicon:
     def check_inline(self) -> None:
         if len(self.category) > MAX_INLINE_TERMS:
             raise ValueError(f"{len(self.category)} terms are too many for expressions "
-                             f"(limit {MAX_INLINE_TERMS}); use detect_by_join")
+                             f"(limit {MAX_INLINE_TERMS}); use detect_table")
 
     def listing_table(self, spark: SparkSession) -> DataFrame:
         """Every listing, duplicates included: ``term, category, ord``."""
@@ -96,14 +97,16 @@ def terms_per_category(lexicon: DataFrame) -> DataFrame:
 def replacement_order(replacements: DataFrame) -> DataFrame:
     """Application order of replacements: longest term first, ties in listing order.
 
-    The rank is a running count over term lengths, of which there are few, plus the rank
-    inside one length; no window spans the whole table.
+    A range-partitioned sort; the rank is the place in the own part plus the sizes of the
+    parts before, of which there are as many rows as parts.
     """
-    sized = replacements.withColumn("size", F.length("term"))
-    per_size = sized.groupBy("size").agg(F.count("*").alias("n"))
-    before = per_size.select("size", (F.sum("n").over(
-        Window.orderBy(F.desc("size"))) - F.col("n")).alias("longer"))
-    inside = F.row_number().over(Window.partitionBy("size").orderBy("ord"))
-    return (sized.withColumn("inside", inside).join(F.broadcast(before), "size")
+    ranked = cut_lineage(
+        replacements.select("term", "neutral", "ord").orderBy(F.desc(F.length("term")), "ord")
+        .withColumn("_at", F.monotonically_increasing_id()))
+    part, place = F.shiftright("_at", 33), F.col("_at").bitwiseAND((1 << 33) - 1)
+    sizes = ranked.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
+    before = sizes.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n"))
+                          .alias("_before"))
+    return (ranked.withColumn("_part", part).join(F.broadcast(before), "_part")
             .select("term", "neutral", "ord",
-                    (F.col("longer") + F.col("inside")).cast("int").alias("step")))
+                    (F.col("_before") + place + 1).cast("int").alias("step")))

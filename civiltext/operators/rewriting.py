@@ -80,15 +80,18 @@ def _plain_case(piece: Column) -> Column:
     return F.lower(F.translate(piece, patterns.CASE_ODD, patterns.CASE_PLAIN))
 
 
-# Put around a found term and cut at. Both are noncharacters, which texts do not hold;
-# requiring the pair makes sure no lone one is taken for a mark.
+# Put around a found term and cut at: a pair of noncharacters. The first one in a text is put
+# beside another noncharacter before, so that no text holds the pair, and is restored after.
 _MARK = "\ufdd2\ufdd3"
+_OWN, _APART = "\ufdd2", "\ufdd2\ufdd4"
 
 
 def _cut_at_terms(text: Column, terms: list[str]) -> Column:
     """``text`` cut into whole-word terms and the stretches between them."""
     term = f"(?iu){patterns.NOT_AFTER_WORD}{patterns.any_of(terms)}{patterns.NOT_BEFORE_WORD}"
-    return F.split(F.regexp_replace(text, term, f"{_MARK}$0{_MARK}"), _MARK)
+    kept = F.replace(text, F.lit(_OWN), F.lit(_APART))
+    pieces = F.split(F.regexp_replace(kept, term, f"{_MARK}$0{_MARK}"), _MARK)
+    return F.transform(pieces, lambda p: F.replace(p, F.lit(_APART), F.lit(_OWN)))
 
 
 def _neutral_of(piece: Column, group: list[tuple[str, str]]) -> Column:

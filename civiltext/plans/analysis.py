@@ -37,8 +37,7 @@ def lexicon_verdict(df: DataFrame) -> DataFrame:
 
 def analyze(df: DataFrame, text_col: str = "text", strategy: str = "combined",
             lexicon: Lexicon | None = None, wording: Wording | None = None,
-            classifier: "ToxicityModel | None" = None, threshold: float = 0.3,
-            mark_repeats: bool = False) -> DataFrame:
+            classifier: "ToxicityModel | None" = None, threshold: float = 0.3) -> DataFrame:
     """Append the eleven analysis columns.
 
     With a trained ``classifier`` verdict, confidence and types come from the model at
@@ -46,7 +45,7 @@ def analyze(df: DataFrame, text_col: str = "text", strategy: str = "combined",
     toxic texts are rewritten.
     """
     found = detect(df.withColumn("_source", txt.null_to_empty(F.col(text_col))), "_source",
-                   lexicon, mark_repeats)
+                   lexicon)
     if classifier is None:
         judged = lexicon_verdict(found).withColumn("clean_text", txt.preprocess(F.col("_source")))
     else:

@@ -13,13 +13,8 @@ from civiltext.operators.sampling import balanced_sample, shuffle_rows
 
 
 def read_texts(spark: SparkSession, path: str) -> DataFrame:
-    """A parquet table, spread over all cores if it comes in fewer pieces than there are.
-
-    Large tables come in more pieces than cores and are left alone, without a shuffle.
-    """
-    df = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """A parquet table, in the pieces it comes in; texts are not moved to spread them."""
+    return spark.read.parquet(path)
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:

@@ -2,25 +2,55 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
+import re
+import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; in local mode one is made if it is unset."""
+    """The folder in ``spark.checkpoint.dir``.
+
+    Without that setting it is an error, but for local mode, where driver and executors are one
+    process: there a folder is made for its lifetime.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="civiltext-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", folder)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 
+@contextlib.contextmanager
+def stored(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """``df`` written to the shared folder and read back; deleted at the end of the block.
+
+    A lost executor then costs a read of its partitions, not their computation.
+    """
+    path = scratch_path(df.sparkSession, name)
+    try:
+        df.write.parquet(path)
+        yield df.sparkSession.read.schema(df.schema).parquet(path)
+    finally:
+        delete(df.sparkSession, path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder wherever the cluster keeps it."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

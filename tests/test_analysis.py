@@ -54,9 +54,9 @@ def test_plan_has_no_shuffle(spark):
 def test_report_and_summary(texts):
     a = an.analyze(texts.filter("id < 21"))
     report = {r.id: r for r in an.batch_report(a, "id").collect()}
-    assert report[0].Status == "🔴 Toxic" and report[0].Confidence == "67%"
+    assert report[0].Status == "🔴 Toxic" and report[0].Confidence == "86%"
     assert report[0].Types == "hate, insult" and report[5].Types == "—"
-    assert report[10].Neutralized.endswith("...") and len(report[10].Neutralized) == 73
+    assert report[7].Neutralized.endswith("...") and len(report[7].Neutralized) == 73
     assert tuple(an.batch_summary(a).first()) == (21, 19, 2, 90.5)
 
 

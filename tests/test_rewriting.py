@@ -30,14 +30,14 @@ def test_change_log_and_score(texts):
     def log(row):
         return [(c.old, c.new) for c in row.changes_made]
 
-    assert log(words[1]) == [("destroy", "change")] and words[1].neutralization_score == 0.179
+    assert log(words[1]) == [("destroy", "change")] and words[1].neutralization_score == 0.146
     assert log(combined[1]) == [("destroy", "change"), rules[7]]
-    assert combined[1].neutralization_score == 0.564
+    assert combined[1].neutralization_score == 0.458
     assert log(words[2]) == [("worthless", "struggling"), ("pathetic", "disappointing")]
-    assert words[2].neutralization_score == 0.362
+    assert words[2].neutralization_score == 0.333
     assert log(combined[2])[2:] == [rules[4], rules[7]]
     assert combined[2].neutralization_score == 1.0
-    assert combined[6].neutralization_score == 0.605
+    assert combined[6].neutralization_score == 0.63
     assert log(words[11]) == [("piss off", "go away"), ("go away", "please leave"),
                               ("clown", "person"), ("damn", "very")]
     assert words[11].neutralization_score == 0.889
@@ -93,3 +93,10 @@ def test_rules_with_custom_tables(spark):
     assert got == {0: "I Would Like To Change Them.",
                    1: "Well, I Strongly Disagree With Everyone.",
                    2: "Please Excuse Yourself."}
+
+
+def test_texts_with_the_marks_used_inside(spark):
+    own = "\ufdd2\ufdd3 stupid \ufdd2 \ufdd2\ufdd4 idiot \ufdd3"
+    df = spark.createDataFrame([(1, own)], "id int, text string")
+    got = rw.replace_words(df, "text", "out", "log").first().out
+    assert got == own.replace("stupid", "mistaken").replace("idiot", "person")

@@ -81,11 +81,44 @@ def test_highlight(spark):
     r = det.detect(df).first().highlighted_text
     assert r.count("<mark") == 3 and "&lt;b&gt;" in r and ">IDIOT</mark>!" in r
     assert "idiotic" in r
-    df = spark.createDataFrame([("Stupid idiot",)], "text string")
-    r = det.detect(df, mark_repeats=True).first().highlighted_text
-    tag = ('<mark class="toxic-word" style="background-color:#ffcccc;border-radius:3px;'
-           'padding:1px 3px;">')
-    assert r == f"{tag}stupid</mark> {tag}idiot</mark>"
+
+
+def test_texts_cannot_forge_marks(spark):
+    own = "\ufdd0 stupid\ufdd1 \ufdd2\ufdd4 idiot\ufdd0 \ufdd2\ufdd3\ufdd5"
+    r = det.detect(spark.createDataFrame([(own,)], "text string")).first().highlighted_text
+    assert r.count("<mark") == r.count("</mark>") == 2
+    assert r.replace("</mark>", "").replace(r[r.index("<mark"):r.index(">") + 1], "") == own
+
+
+def test_long_runs_of_blanks(spark):
+    long = "a" + " " * 500_000 + "\n" + "\u2003" * 500_000 + "b"
+    df = spark.createDataFrame([(f"  {long}\t\x85",)], "text string")
+    assert df.select(txt.strip_space(F.col("text"))).first()[0] == long
+    assert det.detect(df).first().non_toxic_words == ["a", "b"]
+
+
+def test_short_phrases_and_texts(spark):
+    lexicon = Lexicon([("b ", "x"), ("x y", "x"), (" ", "y"), ("zz", "w"), ("long phrase", "p")])
+    rows = [(1, "a b c x y"), (2, "b "), (3, "x"), (4, " "), (5, None), (6, "a long phrase"), (7, "")]
+    df = spark.createDataFrame(rows, "id int, text string")
+    array_form = det.detect(df, lexicon=lexicon).select("id", F.inline("toxic_words"))
+    join_form = det.detect_by_join(df, "id", lexicon.table(spark))
+    assert sorted(map(tuple, array_form.collect())) == sorted(map(tuple, join_form.collect()))
+
+
+def test_table_form_equals_array_form(spark, texts, monkeypatch):
+    from civiltext.operators import broadcasts
+    columns = ["id", "toxic_words", "toxic_count", "categories_found", "intensity_score"]
+    rows = texts.union(texts.limit(3)).union(spark.createDataFrame(
+        [(None, "a stupid row"), (None, None), (1, "")], "id int, text string"))
+    lexicon = Lexicon.default()
+    expected = sorted(map(str, det.detect(rows).select(*columns).collect()))
+    got = det.detect_table(rows, lexicon.table(spark)).select(*columns)
+    assert sorted(map(str, got.collect())) == expected
+    monkeypatch.setattr(broadcasts, "MAX_BROADCAST_BYTES", 1)
+    monkeypatch.setattr(det, "MAX_PIECES", 1)
+    got = det.detect_table(rows, lexicon.table(spark)).select(*columns)
+    assert sorted(map(str, got.collect())) == expected
 
 
 def test_rounding_follows_exact_value(spark):
