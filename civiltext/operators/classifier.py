@@ -13,24 +13,24 @@ from pyspark.ml.classification import (LogisticRegression, LogisticRegressionMod
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from civiltext.functions import numbers, text as txt
+from civiltext.functions import numbers
 from civiltext.functions.barrier import computed_once, rows_of
 from civiltext.operators.exploration import binary_metrics, discover_labels
 from civiltext.operators.features import TfidfModel
+from civiltext.operators.lemmas import Cleaning
 from civiltext.operators.sampling import in_test_part
-from civiltext.sources.shared import cut_lineage
+from civiltext.sources.shared import stored
 
 MODEL_TYPES = {"logistic_regression": LogisticRegressionModel, "naive_bayes": NaiveBayesModel}
 THRESHOLD = 0.3      # predict: a label is detected from this probability on
 DECISION = 0.5       # evaluation: the models' own cut
 NB_SMOOTHING = 0.1
 MAX_ITER = 200
-ROWS_PER_PARTITION = 10_000
 
 
 def _check_type(model_type: str) -> None:
     if model_type not in MODEL_TYPES:
-        raise ValueError(f"Unknown model type: {model_type}")
+        raise ValueError(f"no such kind of model: {model_type!r}; there are {list(MODEL_TYPES)}")
 
 
 def fit_logistic_regression(features: DataFrame, label: str, rows: int, positives: int):
@@ -70,6 +70,7 @@ class ToxicityModel:
     models: dict
     shifts: dict[str, float] = field(default_factory=dict)
     skipped: list[str] = field(default_factory=list)
+    cleaning: Cleaning = field(default_factory=Cleaning)
     is_trained = True
 
     @property
@@ -95,7 +96,7 @@ class ToxicityModel:
     def predict(self, df: DataFrame, text_col: str = "text",
                 threshold: float = THRESHOLD) -> DataFrame:
         """Append ``is_toxic, confidence, labels, detected_types, clean_text``; no shuffle."""
-        cleaned = df.withColumn("clean_text", txt.preprocess(F.col(text_col)))
+        cleaned = self.cleaning.apply(df, text_col)
         scored = self.probabilities(self.tfidf.transform(cleaned, out="_features"), "_features")
         scored = computed_once(scored, {name: F.col(name) for name in
                                         ["clean_text", *[f"_p_{c}" for c in self.models]]},
@@ -122,9 +123,9 @@ class ToxicityModel:
                            top_n: int = 20) -> DataFrame:
         """``word, importance``: the terms with the highest coefficients."""
         if label not in self.models:
-            raise ValueError(f"Label '{label}' not found. Choose from: {self.labels}")
+            raise ValueError(f"no model for {label!r}; trained were {self.labels}")
         if self.model_type != "logistic_regression":
-            raise ValueError("Feature importance not available for this model type")
+            raise ValueError(f"a {self.model_type} model has no coefficients to rank terms by")
         rows = zip(self.tfidf.terms, self.models[label].coefficients.toArray().tolist())
         return (spark.createDataFrame(rows, "word string, importance double")
                 .orderBy(F.desc("importance"), "word").limit(top_n))
@@ -135,7 +136,10 @@ class ToxicityModel:
             model.write().overwrite().save(f"{path}/models/{label}")
         self.tfidf.table(spark).write.mode("overwrite").parquet(f"{path}/vocabulary")
         settings = {"model_type": self.model_type, "labels": self.labels, "shifts": self.shifts,
-                    "skipped": self.skipped, "ngrams": list(self.tfidf.ngrams)}
+                    "skipped": self.skipped, "ngrams": list(self.tfidf.ngrams),
+                    "remove_stops": self.cleaning.remove_stops,
+                    "lemmas": self.cleaning.lemmas is not None}
+        self.cleaning.save(f"{path}/lemmas")
         spark.createDataFrame([(json.dumps(settings),)], "settings string") \
              .write.mode("overwrite").parquet(f"{path}/settings")
 
@@ -148,56 +152,97 @@ class ToxicityModel:
                            tuple(settings["ngrams"]))
         loader = MODEL_TYPES[settings["model_type"]]
         models = {label: loader.load(f"{path}/models/{label}") for label in settings["labels"]}
+        cleaning = Cleaning.load(spark, f"{path}/lemmas", settings["remove_stops"],
+                                 settings["lemmas"])
         return cls(settings["model_type"], tfidf, models, settings["shifts"],
-                   settings["skipped"])
+                   settings["skipped"], cleaning)
 
 
 def train(df: DataFrame, id_col: str = "id", text_col: str = "comment_text",
           model_type: str = "logistic_regression", test_size: float = 0.2, seed: int = 42,
-          labels: list[str] | None = None, parallelism: int = 4,
-          **vectorizer) -> tuple[ToxicityModel, DataFrame]:
+          labels: list[str] | None = None, parallelism: int = 4, remove_stops: bool = False,
+          lemmas: DataFrame | None = None, **vectorizer) -> tuple[ToxicityModel, DataFrame]:
     """Train one model per label column; returns the model and its metrics per label.
 
-    Cleaning and features are computed once, written to the shared folder and cached, since
-    every iteration of every label reads them. Labels with a single class in the training
-    part cannot be learned; they are skipped and listed in ``skipped``.
+    Cleaned texts and features are computed once and written to the shared folder, since every
+    iteration of every label reads them; they are deleted at the end. ``remove_stops`` and
+    ``lemmas`` (``form, lemma``) belong to the cleaning and are kept with the model. Rows
+    without an id take part like others. Labels with a single class in the training part
+    cannot be learned; they are skipped and listed in ``skipped``.
     """
     _check_type(model_type)
     labels = labels or discover_labels(df)
-    corpus = df.select(
-        id_col, *[F.coalesce(F.col(c), F.lit(0)).cast("int").alias(c) for c in labels],
-        txt.preprocess(F.col(text_col)).alias("clean_text"),
-        in_test_part(id_col, test_size, seed).alias("_test"))
-    in_training = corpus.filter("NOT _test")
-    totals = in_training.agg(F.count("*").alias("_rows"),
-                             *[F.sum(c).alias(c) for c in labels]).first()
-    rows = totals["_rows"]
-    tfidf = TfidfModel.fit(in_training, texts=rows, **vectorizer)
-    features = cut_lineage(tfidf.transform(corpus).drop("clean_text"))
-    # Iterations are short jobs; a small corpus is better off in few partitions.
-    features = features.coalesce(max(1, -(-rows // ROWS_PER_PARTITION)))
-    features.persist(StorageLevel.MEMORY_AND_DISK)
-    training = features.filter("NOT _test")
-    learnable = [c for c in labels if 0 < (totals[c] or 0) < rows]
-
-    def fit(label: str):
-        if model_type == "naive_bayes":
-            return fit_naive_bayes(training, label)
-        return fit_logistic_regression(training, label, rows, totals[label])
-
     spark = df.sparkSession
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        fitted = list(pool.map(inheritable_thread_target(spark)(fit), learnable))
-    model = ToxicityModel(model_type, tfidf, dict(zip(learnable, fitted)),
-                          {c: _prior_shift(rows, totals[c]) for c in learnable},
-                          [c for c in labels if c not in learnable])
-    if not learnable:
-        raise ValueError(f"no label has two classes: {labels}")
-    outcomes = model.outcomes(features.filter("_test"), id_col)
-    # Small and final: materialized so that the cached features can be released.
-    metrics = cut_lineage(binary_metrics(outcomes))
-    features.unpersist()
-    return model, metrics
+    cleaning = Cleaning(remove_stops, lemmas)
+    corpus = cleaning.apply(df.select(
+        id_col, text_col, *[F.coalesce(F.col(c), F.lit(0)).cast("int").alias(c) for c in labels],
+        in_test_part(id_col, test_size, seed, (text_col,)).alias("_test")), text_col).drop(text_col)
+    with stored(corpus, "corpus") as corpus:
+        in_training = corpus.filter("NOT _test")
+        totals = in_training.agg(F.count("*").alias("_rows"),
+                                 *[F.sum(c).alias(c) for c in labels]).first()
+        rows = totals["_rows"]
+        learnable = [c for c in labels if 0 < (totals[c] or 0) < rows]
+        if not learnable:
+            raise ValueError(f"no label has two classes: {labels}")
+        tfidf = TfidfModel.fit(in_training, texts=rows, **vectorizer)
+        with stored(tfidf.transform(corpus).drop("clean_text"), "features") as features:
+            features.persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                training = features.filter("NOT _test")
+
+                def fit(label: str):
+                    if model_type == "naive_bayes":
+                        return fit_naive_bayes(training, label)
+                    return fit_logistic_regression(training, label, rows, totals[label])
+
+                with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+                    fitted = list(pool.map(inheritable_thread_target(spark)(fit), learnable))
+                model = ToxicityModel(model_type, tfidf, dict(zip(learnable, fitted)),
+                                      {c: _prior_shift(rows, totals[c]) for c in learnable},
+                                      [c for c in labels if c not in learnable], cleaning)
+                measured = binary_metrics(model.outcomes(features.filter("_test"), id_col))
+                metrics = measured.collect()  # a row per label
+            finally:
+                features.unpersist()
+    return model, spark.createDataFrame(metrics, measured.schema)
+
+
+def gradient_sizes(model: ToxicityModel, df: DataFrame, id_col: str = "id",
+                   text_col: str = "comment_text", test_size: float = 0.2,
+                   seed: int = 42) -> DataFrame:
+    """How far a trained logistic regression is from the minimum of what it minimizes.
+
+    Per label ``rows, positives, vocabulary`` and ``gradient``: the largest entry of the
+    gradient of half the squared norm plus the class-balanced log loss, over all training rows.
+    """
+    labels = model.labels
+    kept = df.select(id_col, text_col, *[F.coalesce(F.col(c), F.lit(0)).cast("int").alias(c)
+                                         for c in labels])
+    training = kept.filter(~in_test_part(id_col, test_size, seed, (text_col,)))
+    vectors = model.tfidf.transform(model.cleaning.apply(training, text_col))
+    vectors = computed_once(model.probabilities(vectors), {
+        "v": F.unwrap_udt("features"), **{f"_p_{c}": F.col(f"_p_{c}") for c in labels}}, "features")
+    totals = training.agg(F.count("*").alias("rows"), *[F.sum(c).alias(c) for c in labels]).first()
+    n = totals["rows"]
+    errors = F.array(*[F.struct(
+        F.lit(c).alias("label"),
+        ((F.col(f"_p_{c}") - F.col(c)) * F.when(F.col(c) == 1, n / (2.0 * totals[c]))
+         .otherwise(n / (2.0 * (n - totals[c])))).alias("error")) for c in labels])
+    entries = F.arrays_zip(F.col("v.indices").alias("idx"), F.col("v.values").alias("weight"))
+    parts = (vectors.select("v", F.inline(errors)).select("label", "error", F.inline(entries))
+             .groupBy("label", "idx").agg(F.sum(F.col("error") * F.col("weight")).alias("loss")))
+    spark = df.sparkSession
+    # As many rows as coefficients, which the driver holds anyway.
+    norms = spark.createDataFrame(
+        [(c, i, float(w)) for c in labels
+         for i, w in enumerate(model.models[c].coefficients.toArray())],
+        "label string, idx int, coefficient double")
+    sizes = spark.createDataFrame([(c, n, int(totals[c]), len(model.tfidf.terms)) for c in labels],
+                                  "label string, rows long, positives long, vocabulary long")
+    steepest = (norms.join(parts, ["label", "idx"], "left").groupBy("label").agg(
+        F.max(F.abs(F.col("coefficient") + F.coalesce("loss", F.lit(0.0)))).alias("gradient")))
+    return sizes.join(steepest, "label")
 
 
 def prediction_table(predictions: DataFrame, text_col: str = "text", *keep: str) -> DataFrame:

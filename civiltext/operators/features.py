@@ -14,11 +14,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.feature import CountVectorizer, CountVectorizerModel, NGram
 from pyspark.ml.linalg import VectorUDT
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from civiltext.functions.barrier import computed_once, elements_of, rows_of
 from civiltext.functions.patterns import WORD
-from civiltext.functions.text import null_to_empty
+from civiltext.functions.text import null_to_empty, strip_accents
+from civiltext.operators.broadcasts import is_small
+from civiltext.sources.shared import stored
 
 MAX_FEATURES = 50_000
 MIN_DF = 3
@@ -27,8 +29,8 @@ NGRAMS = (1, 2)
 
 
 def term_tokens(clean: Column) -> Column:
-    """Tokens of two or more word characters."""
-    return F.regexp_extract_all(null_to_empty(clean), F.lit(f"[{WORD}]{{2,}}"), F.lit(0))
+    """Tokens of two or more word characters, accents folded."""
+    return F.regexp_extract_all(strip_accents(null_to_empty(clean)), F.lit(f"[{WORD}]{{2,}}"), F.lit(0))
 
 
 def with_terms(df: DataFrame, clean_col: str, out: str = "terms",
@@ -65,9 +67,32 @@ def prune(counts: DataFrame, texts: int, min_df: int = MIN_DF,
     return counts.filter((F.col("df") >= min_df) & (F.col("df") <= max_df * texts))
 
 
+PREFIX = 4  # characters by which equally frequent terms are counted
+
+
 def vocabulary(counts: DataFrame, max_features: int = MAX_FEATURES) -> DataFrame:
-    """The most frequent terms; ties go to the alphabetically first."""
-    return counts.orderBy(F.desc("tf"), "term").limit(max_features)
+    """The most frequent terms; ties go to the alphabetically first.
+
+    No task ranks all terms: a histogram tells at which frequency the vocabulary is full, and
+    one over the first characters of the terms with that frequency, up to which of them. All
+    terms before are taken by a plain filter; only those at that place are ranked.
+    """
+    by_tf = counts.groupBy("tf").agg(F.count("*").alias("n"))
+    over = Window.orderBy(F.desc("tf"))
+    cut = (by_tf.withColumn("before", F.sum("n").over(over) - F.col("n"))
+           .filter((F.col("before") < max_features)
+                   & (F.col("before") + F.col("n") >= max_features)).first())
+    if cut is None:
+        return counts if max_features else counts.limit(0)
+    ties, room = counts.filter(F.col("tf") == cut.tf), max_features - cut.before
+    prefix = F.substring("term", 1, PREFIX)
+    by_prefix = ties.groupBy(prefix.alias("prefix")).agg(F.count("*").alias("n"))
+    last = (by_prefix.withColumn("before", F.sum("n").over(Window.orderBy("prefix")) - F.col("n"))
+            .filter((F.col("before") < room) & (F.col("before") + F.col("n") >= room)).first())
+    # Fewer than ``room`` terms share the prefix at the cut or come before it.
+    ranked = ties.filter(prefix == last.prefix).orderBy("term").limit(room - last.before)
+    return counts.filter((F.col("tf") > cut.tf) | ((F.col("tf") == cut.tf)
+                                                   & (prefix < last.prefix))).unionByName(ranked)
 
 
 @dataclass
@@ -99,9 +124,10 @@ class TfidfModel:
             max_df: float = MAX_DF, texts: int | None = None) -> "TfidfModel":
         n = df.count() if texts is None else texts
         counts = term_counts(with_terms(df.select(clean_col), clean_col, ngrams=ngrams))
-        # Bounded: vocabulary() keeps max_features rows, which the driver needs as a model.
-        kept = sorted((r.term, r.df) for r in vocabulary(prune(counts, n, min_df, max_df),
-                                                         max_features).collect())
+        # Written once: the vocabulary reads the counts three times.
+        with stored(prune(counts, n, min_df, max_df), "terms") as pruned:
+            # Bounded: max_features rows, which the driver needs as a model.
+            kept = sorted((r.term, r.df) for r in vocabulary(pruned, max_features).collect())
         if not kept:
             raise ValueError("no term is left; lower min_df or raise max_df")
         return cls([t for t, _ in kept],
@@ -122,14 +148,14 @@ class TfidfModel:
                                      "idx int, term string, idf double")
 
     def weights(self, df: DataFrame, id_col: str, clean_col: str = "clean_text") -> DataFrame:
-        """``id, term, weight`` rows; the vocabulary is broadcast, being bounded."""
+        """``id, term, weight`` rows; the vocabulary is broadcast if its size allows."""
         vectors = self.transform(df.select(id_col, clean_col), clean_col)
         entries = rows_of(
             vectors.select(id_col, F.unwrap_udt("features").alias("v")), [id_col],
             F.arrays_zip(F.col("v.indices").alias("idx"), F.col("v.values").alias("weight")), "idx")
         names = self.table(df.sparkSession).select("idx", "term")
-        return entries.join(F.broadcast(names), "idx").select(id_col, "term", "weight")
-
+        names = F.broadcast(names) if is_small(names, ["term"]) else names
+        return entries.join(names, "idx").select(id_col, "term", "weight")
 
 
 def _weigher(idf: np.ndarray, places: np.ndarray):

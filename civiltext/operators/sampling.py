@@ -1,7 +1,8 @@
 """Samples and splits that do not depend on partitioning.
 
 Randomness comes from a hash of seed and row id, so a rerun, a retried task or another
-cluster size gives the same rows. Ids have to be unique.
+cluster size gives the same rows. Where the id is missing, the row's other columns take its
+place; rows that are equal in all of them share a key and are told apart at random.
 """
 
 from __future__ import annotations
@@ -12,24 +13,33 @@ SAMPLE_SIZE = 50_000
 BUCKET_DIGITS = 4  # 16^4 buckets
 
 
-def shuffle_key(id_col: str, seed: int = 42) -> Column:
-    """A uniformly distributed hex string per row."""
-    return F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string")).cast("binary"))
+def shuffle_key(id_col: str, seed: int = 42, others: tuple[str, ...] = ()) -> Column:
+    """A uniformly distributed hex string per row; ``others`` stand in for a missing id."""
+    rest = F.concat_ws("|", F.lit("missing"), *[F.col(c).cast("string") for c in others])
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), rest))
+                 .cast("binary"))
+
+
+def stand_ins(df: DataFrame, id_col: str) -> tuple[str, ...]:
+    """The columns that tell rows without an id apart, by name."""
+    return tuple(sorted(name for name, kind in df.dtypes
+                        if name != id_col and not kind.startswith(("map", "array", "struct"))))
 
 
 def shuffle_rows(df: DataFrame, id_col: str, seed: int = 42) -> DataFrame:
     """All rows in a reproducible random order (a range-partitioned sort)."""
-    return df.orderBy(shuffle_key(id_col, seed), id_col)
+    return df.orderBy(shuffle_key(id_col, seed, stand_ins(df, id_col)), id_col)
 
 
-def in_test_part(id_col: str, test_size: float = 0.2, seed: int = 42) -> Column:
+def in_test_part(id_col: str, test_size: float = 0.2, seed: int = 42,
+                 others: tuple[str, ...] = ()) -> Column:
     """Whether a row belongs to the held-out part; about ``test_size`` of all rows do."""
-    return shuffle_key(id_col, seed) < format(int(test_size * 16 ** 8), "08x")
+    return shuffle_key(id_col, seed, others) < format(int(test_size * 16 ** 8), "08x")
 
 
 def train_test_split(df: DataFrame, id_col: str, test_size: float = 0.2,
                      seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    test = in_test_part(id_col, test_size, seed)
+    test = in_test_part(id_col, test_size, seed, stand_ins(df, id_col))
     return df.filter(~test), df.filter(test)
 
 
@@ -41,7 +51,8 @@ def concat_rows(first: DataFrame, *others: DataFrame) -> DataFrame:
 
 def _histogram(df: DataFrame, id_col: str, stratum: str, seed: int) -> DataFrame:
     """Rows per stratum and key prefix: at most 16^4 rows per stratum, whatever the input."""
-    bucket = F.substring(shuffle_key(id_col, seed), 1, BUCKET_DIGITS)
+    key = shuffle_key(id_col, seed, stand_ins(df, id_col))
+    bucket = F.substring(key, 1, BUCKET_DIGITS)
     return df.groupBy(F.col(stratum).alias("stratum"), bucket.alias("bucket")) \
              .agg(F.count("*").alias("n"))
 
@@ -61,7 +72,7 @@ def take_per_stratum(df: DataFrame, id_col: str, stratum: str, quotas: dict,
             .withColumn("before", up_to - F.col("n"))
             .withColumn("quota", F.element_at(quota, F.col("stratum")))
             .filter("before < quota and quota <= before + n").collect())  # one row per stratum
-    key = shuffle_key(id_col, seed)
+    key = shuffle_key(id_col, seed, stand_ins(df, id_col))
     bucket = F.substring(key, 1, BUCKET_DIGITS)
     below, at, rest = F.lit(False), F.lit(False), F.lit(0)
     for cut in cuts:

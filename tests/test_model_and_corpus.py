@@ -4,22 +4,23 @@ import pytest
 from pyspark.sql import functions as F
 
 from civiltext import tables
+from civiltext.functions import text as txt
 from civiltext.operators import classifier as clf, exploration as ex, features as ft, sampling as sm
 from civiltext.operators.lemmas import lemmatize, noun_lemmas
 from civiltext.sources import corpus as cp
 from civiltext.sources.shared import scratch_path
 
 SENTENCES = [
-    ("You are a complete idiot!", 1, 0, 0, 0, 1, 0),
-    ("I will find you and hurt you badly", 1, 1, 0, 1, 0, 0),
-    ("This is such an obscene and disgusting comment", 1, 0, 1, 0, 0, 0),
-    ("Have a wonderful day everyone!", 0, 0, 0, 0, 0, 0),
-    ("Thank you for your help", 0, 0, 0, 0, 0, 0),
-    ("The weather is nice today", 0, 0, 0, 0, 0, 0),
-    ("You stupid moron, go away", 1, 0, 0, 0, 1, 0),
-    ("Great job on the project!", 0, 0, 0, 0, 0, 0),
-    ("I hate people like you so much", 1, 0, 0, 0, 0, 1),
-    ("This was very helpful, thanks!", 0, 0, 0, 0, 0, 0),
+    ("What an idiot parked this van", 1, 0, 0, 0, 1, 0),
+    ("Someone should attack that village tonight", 1, 1, 0, 1, 0, 0),
+    ("Pure shit, as obscene as it gets", 1, 0, 1, 0, 0, 0),
+    ("Lunch is served on the terrace", 0, 0, 0, 0, 0, 0),
+    ("Our train leaves from platform four", 0, 0, 0, 0, 0, 0),
+    ("Rain is expected along the coast", 0, 0, 0, 0, 0, 0),
+    ("Only a moron or a fool buys this", 1, 0, 0, 0, 1, 0),
+    ("The choir sang two more songs", 0, 0, 0, 0, 0, 0),
+    ("They despise foreigners and say it", 1, 0, 0, 0, 0, 1),
+    ("Please bring your own cups", 0, 0, 0, 0, 0, 0),
 ]
 
 
@@ -40,11 +41,11 @@ def test_train_metrics_and_predictions(spark, trained):
     got = {r.label: r for r in metrics.collect()}
     assert set(got) == set(tables.LABELS) and model.skipped == []
     assert all(r.accuracy == 1.0 and r.f1 == 1.0 for r in got.values())
-    df = spark.createDataFrame([("You are such a stupid idiot!",),
-                                ("I hope you have a great day!",), (None,)], "text string")
+    df = spark.createDataFrame([("An idiot, only an idiot parked this!",),
+                                ("Two more songs on the terrace!",), (None,)], "text string")
     toxic, clean, missing = model.predict(df).collect()
     assert toxic.is_toxic and "insult" in toxic.detected_types
-    assert toxic.clean_text == "you are such a stupid idiot"
+    assert toxic.clean_text == "an idiot only an idiot parked this"
     assert toxic.confidence == max(toxic.labels.values())
     assert set(clean.labels) == set(tables.LABELS)
     assert missing.clean_text == ""
@@ -56,7 +57,7 @@ def test_gradient_is_zero_at_the_solution(small_set, trained):
     """The solution minimizes half the squared norm plus the balanced log loss."""
     model, _ = trained
     train, _ = sm.train_test_split(small_set, "id")
-    clean = train.select("toxic", clf.txt.preprocess(F.col("comment_text")).alias("clean_text"))
+    clean = train.select("toxic", txt.preprocess(F.col("comment_text")).alias("clean_text"))
     rows = model.tfidf.transform(clean).select("toxic", "features").collect()
     n, pos = len(rows), sum(r.toxic for r in rows)
     lr = model.models["toxic"]
@@ -85,20 +86,20 @@ def test_save_and_load(spark, trained):
 def test_naive_bayes_matches_formula(spark, small_set):
     model, metrics = clf.train(small_set, model_type="naive_bayes", labels=["toxic"])
     train, _ = sm.train_test_split(small_set, "id")
-    clean = train.select("toxic", clf.txt.preprocess(F.col("comment_text")).alias("clean_text"))
+    clean = train.select("toxic", txt.preprocess(F.col("comment_text")).alias("clean_text"))
     rows = model.tfidf.transform(clean).collect()
     size = len(model.tfidf.terms)
     sums = {0: [0.1] * size, 1: [0.1] * size}
     for r in rows:
         for i, v in zip(r.features.indices, r.features.values):
             sums[r.toxic][i] += v
-    x = model.tfidf.transform(spark.createDataFrame([("you stupid people",)], "clean_text string"))
+    x = model.tfidf.transform(spark.createDataFrame([("only a moron sang",)], "clean_text string"))
     x = x.first().features
     score = {c: math.log(sum(r.toxic == c for r in rows) / len(rows))
              + sum(v * math.log(sums[c][i] / sum(sums[c])) for i, v in zip(x.indices, x.values))
              for c in (0, 1)}
     expected = 1 / (1 + math.exp(score[0] - score[1]))
-    got = model.predict(spark.createDataFrame([("You stupid people",)], "text string")).first()
+    got = model.predict(spark.createDataFrame([("Only a moron sang",)], "text string")).first()
     assert got.labels["toxic"] == pytest.approx(expected, abs=1e-4)
     with pytest.raises(ValueError):
         model.feature_importance(spark, "toxic")
@@ -187,9 +188,80 @@ def test_lemma_lookup(spark):
         "dogss": "dog"}
     df = spark.createDataFrame([(1, "dogs run men dogs"), (2, "run"), (3, "")],
                                "id int, clean string")
-    got = {r.id: r.out for r in lemmatize(df, "id", "clean", table, "out").collect()}
+    got = {r.id: r.out for r in lemmatize(df, "clean", table, "out").collect()}
     assert got == {1: "dog run man dog", 2: "run", 3: ""}
-    assert lemmatize(df, "id", "clean", None, "out").filter("out <> clean").count() == 0
+    assert lemmatize(df, "clean", None, "out").filter("out <> clean").count() == 0
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_lemmas_need_no_ids(spark, monkeypatch, small):
+    from civiltext.operators import broadcasts
+    if not small:
+        monkeypatch.setattr(broadcasts, "MAX_BROADCAST_BYTES", 1)
+    table = spark.createDataFrame([("dogs", "dog"), ("runs", "run"), ("dog", "dog")],
+                                  "form string, lemma string")
+    rows = [(1, "dogs run"), (1, "run dogs"), (1, "runs dogs runs"), (None, "dogs"), (None, "cat"),
+            (None, None), (2, "dogs run"), (2, "")]
+    df = spark.createDataFrame(rows, "id int, clean string")
+    got = [(r.id, r.out) for r in lemmatize(df, "clean", table, "out").collect()]
+    swap = {"dogs": "dog", "runs": "run"}
+    expected = [(i, t if t is None else " ".join(swap.get(w, w) for w in t.split(" ")))
+                for i, t in rows]
+    assert sorted(map(str, got)) == sorted(map(str, expected))
+
+
+def test_long_forms_take_one_pass(spark):
+    forms = spark.createDataFrame([("a" + "s" * 60,), ("b" + "ses" * 12,)], "form string")
+    nouns = spark.createDataFrame([("as",), ("a",), ("bs",)], "noun string")
+    assert {r.form[0]: r.lemma for r in noun_lemmas(forms, nouns).collect()} == {"a": "as", "b": "bs"}
+
+
+def test_rows_without_ids(spark):
+    df = spark.range(1000).select(F.when(F.col("id") % 4 > 0, F.col("id")).alias("id"),
+                                  (F.col("id") % 3 == 0).cast("int").alias("toxic"),
+                                  F.concat(F.lit("text "), F.col("id")).alias("text"))
+    train, test = sm.train_test_split(df, "id")
+    assert train.count() + test.count() == 1000 and 120 < test.count() < 280
+    sample = sm.balanced_sample(df, "id", size=400)
+    assert sample.count() == 400 and sample.filter("toxic = 1").count() == 100
+    assert sample.filter("id IS NULL").count() > 50
+
+
+def test_training_leaves_nothing_and_takes_rows_without_ids(spark, small_set):
+    from civiltext.sources.shared import shared_dir
+    import os
+    folder = shared_dir(spark)
+
+    def names():
+        return {n for n in os.listdir(folder) if n.startswith(("corpus-", "features-", "terms-"))}
+
+    before = names()
+    nameless = small_set.withColumn("id", F.lit(None).cast("string"))
+    model, metrics = clf.train(nameless, labels=["toxic"], model_type="naive_bayes")
+    assert names() == before and metrics.count() <= 1 and model.labels == ["toxic"]
+
+
+def test_cleaning_belongs_to_the_model(spark, small_set):
+    lemmas = spark.createDataFrame([("songs", "song"), ("idiot", "fool")],
+                                   "form string, lemma string")
+    model, _ = clf.train(small_set, labels=["toxic"], remove_stops=True, lemmas=lemmas)
+    path = scratch_path(spark, "model")
+    model.save(spark, path)
+    again = clf.ToxicityModel.load(spark, path)
+    df = spark.createDataFrame([("The idiot sang two songs",), (None,)], "text string")
+    for m in (model, again):
+        rows = m.predict(df).collect()
+        assert [r.clean_text for r in rows] == ["fool sang two song", ""]
+    sizes = clf.gradient_sizes(again, small_set).first()
+    assert sizes.gradient < 0.02 and sizes.vocabulary == len(model.tfidf.terms)
+
+
+def test_vocabulary_is_not_ranked_by_one_task(spark):
+    rows = [(f"t{i:04d}", 2 + (i % 7 == 0) * 5 + (i % 50 == 0) * i) for i in range(3000)]
+    counts = spark.createDataFrame(rows, "term string, tf long").repartition(5)
+    for k in (0, 1, 10, 59, 60, 61, 500, 2999, 3000, 4000):
+        got = {r.term for r in ft.vocabulary(counts, k).collect()}
+        assert got == {t for t, _ in sorted(rows, key=lambda r: (-r[1], r[0]))[:k]}, k
 
 
 def test_statistics(spark, small_set):
