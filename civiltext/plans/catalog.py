@@ -19,7 +19,7 @@ from civiltext.operators import (classifier as clf, detection as det, exploratio
                                  sampling as sm)
 from civiltext.plans import analysis as an
 from civiltext.sources import corpus as cp
-from civiltext.sources.shared import scratch_path
+from civiltext.sources.shared import cut_lineage, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -248,14 +248,39 @@ def drop_stopwords(spark, sf):
         "doc_id", joined(txt.drop_stopwords(txt.tokenize(F.col("clean")))).alias("out"))
 
 
-@query
-def lemmatize(spark, sf):
-    docs = documents(spark, sf).select("doc_id", txt.preprocess(F.col("text")).alias("clean"))
+def lemmatized(spark, sf, df: DataFrame) -> DataFrame:
+    """``clean`` with the plurals of nouns from benchmark texts replaced."""
+    docs = df.withColumn("clean", txt.preprocess(F.col("text")))
     forms = docs.select(F.explode(F.split("clean", " ")).alias("form")).filter("form <> ''")
     nouns = table(spark, sf, "benchmark").select(
         F.explode(F.split(txt.preprocess(F.col("text")), " ")).alias("noun")).filter("noun <> ''")
-    return lm.lemmatize(docs, "doc_id", "clean", lm.noun_lemmas(forms, nouns), "out") \
-             .select("doc_id", "out")
+    return lm.lemmatize(docs, "clean", lm.noun_lemmas(forms, nouns), "out")
+
+
+@query
+def lemmatize(spark, sf):
+    return lemmatized(spark, sf, documents(spark, sf)).select("doc_id", "out")
+
+
+@query
+def lemmatize_talk(spark, sf):
+    """Conversations, whose ids repeat."""
+    return lemmatized(spark, sf, talk(spark, sf)).select("conv_id", "turn", "out")
+
+
+def short_lemmas(spark, sf) -> DataFrame:
+    """A lemma table: long words of benchmark texts are forms of their first letters."""
+    words = table(spark, sf, "benchmark").select(
+        F.explode(F.split(txt.preprocess(F.col("text")), " ")).alias("form"))
+    return words.filter(F.length("form") > 6).distinct().select(
+        "form", F.substring("form", 1, 4).alias("lemma"))
+
+
+@query
+def preprocess_lemmas(spark, sf):
+    """The whole cleaning chain with stopwords removed and lemmas looked up."""
+    cleaning = lm.Cleaning(remove_stops=True, lemmas=short_lemmas(spark, sf))
+    return cleaning.apply(documents(spark, sf), "text", "out").select("doc_id", "out")
 
 
 @query
@@ -278,10 +303,13 @@ def preprocess_batch(spark, sf):
 @query
 def lexicon_table(spark, sf):
     """Every term with its category, and how many documents have it as a token."""
-    docs_with = (det.token_table(documents(spark, sf), "doc_id").select("doc_id", "word").distinct()
-                 .groupBy(F.col("word").alias("term")).agg(F.count("*").alias("docs")))
-    lex = lx.Lexicon.default().table(spark)
-    return (docs_with.join(F.broadcast(lex), "term", "right")
+    lexicon = lx.Lexicon.default()
+    listed = F.array(*[F.lit(t) for t in lexicon.terms])
+    # At most one row per text and term leaves a text, and as many rows as terms a task.
+    docs_with = (det.split_texts(documents(spark, sf), [], "text")
+                 .select(F.explode(F.array_intersect("_words", listed)).alias("term"))
+                 .groupBy("term").agg(F.count("*").alias("docs")))
+    return (lexicon.table(spark).join(F.broadcast(docs_with), "term", "left")
             .select("term", "category", "is_phrase", "ord",
                     F.coalesce("docs", F.lit(0)).alias("docs")))
 
@@ -398,8 +426,18 @@ def highlight(spark, sf):
 
 
 @query
-def highlight_repeated(spark, sf):
-    return det.detect(documents(spark, sf), mark_repeats=True).select("doc_id", "highlighted_text")
+def detect_large_lexicon(spark, sf):
+    """Verdicts by a lexicon of many thousand terms, two short phrases among them."""
+    words = det.split_texts(documents(spark, sf), [], "text").select(
+        F.explode("_words").alias("term")).filter(F.length("term") >= 10).distinct()
+    more = words.select("term", F.lit("custom").alias("category"), F.lit(0).alias("ord"))
+    phrases = spark.createDataFrame([("a ", "custom", 0), ("of th", "custom", 0),
+                                     ("é d", "custom", 0)], "term string, category string, ord int")
+    lex = lx.combine_listings(lx.Lexicon.default().listing_table(spark), more.unionByName(phrases))
+    out = an.lexicon_verdict(det.detect_table(remarks(spark, sf), lex))
+    return out.select("doc_id", F.col("is_toxic").cast("int").alias("is_toxic"), "confidence",
+                      joined("toxicity_types").alias("types"), "toxic_count", "intensity_score",
+                      joined(F.transform("toxic_words", lambda h: h.word)).alias("hit_words"))
 
 
 @query
@@ -425,9 +463,8 @@ def word_replacement(spark, sf):
 
 @query
 def phrase_rules(spark, sf):
-    out = rw.phrase_rules(remarks(spark, sf), "text", "out", "changes_made",
-                          rw.Wording(rules=tables.PHRASE_RULES[:6]))
-    return out.select("doc_id", "out", F.size("changes_made").alias("changes"))
+    out = rw.phrase_rules(remarks(spark, sf), "text", "out", "changes_made")
+    return out.select("doc_id", "out", changes_text().alias("changes"))
 
 
 @query
@@ -589,6 +626,11 @@ def evaluation_report(spark, sf):
 
 # --- sampling ------------------------------------------------------------------------------
 
+def without_some_ids(df: DataFrame) -> DataFrame:
+    """Every third row loses its id."""
+    return df.withColumn("id", F.when(F.col("id").cast("long") % 3 != 0, F.col("id")))
+
+
 def sample_size(df: DataFrame) -> int:
     """Half of the rows, so that there is something to leave out at every size."""
     return df.count() // 2
@@ -596,7 +638,7 @@ def sample_size(df: DataFrame) -> int:
 
 @query
 def balanced_sample(spark, sf):
-    df = labeled(spark, sf).select("id", "toxic")
+    df = without_some_ids(labeled(spark, sf)).select("id", "toxic")
     return sm.balanced_sample(df, "id", size=sample_size(df))
 
 
@@ -614,7 +656,7 @@ def shuffle_rows(spark, sf):
 
 @query
 def train_test_split(spark, sf):
-    train, test = sm.train_test_split(labeled(spark, sf), "id")
+    train, test = sm.train_test_split(without_some_ids(labeled(spark, sf)), "id")
     return sm.concat_rows(train.select("id", F.lit("train").alias("part")),
                           test.select("id", F.lit("test").alias("part")))
 
@@ -653,7 +695,7 @@ def df_pruning(spark, sf):
 
 @query
 def vocab_top_k(spark, sf):
-    return ft.vocabulary(df_pruning(spark, sf), 5000)
+    return ft.vocabulary(cut_lineage(df_pruning(spark, sf)))
 
 
 @query
@@ -675,84 +717,111 @@ def doc_vectors(spark, sf):
 
 # --- models --------------------------------------------------------------------------------
 
-_trained: dict = {}
+def naive_bayes(spark, sf, **options) -> clf.ToxicityModel:
+    """A model for all labels; ``threat`` may have one class only and is then skipped."""
+    return clf.train(labeled(spark, sf), model_type="naive_bayes", **options)[0]
+
 
+def probability_columns(predictions: DataFrame, *keys) -> DataFrame:
+    return predictions.select(*keys, F.col("is_toxic").cast("int").alias("is_toxic"), "confidence",
+                              *[F.try_element_at("labels", F.lit(c)).alias(f"p_{c}")
+                                for c in tables.LABELS], joined("detected_types").alias("types"))
 
-def trained(spark, sf, model_type: str = "logistic_regression"):
-    """The model for the two labels most used below; trained once per session and table."""
-    key = (spark.sparkContext.applicationId, sf, model_type)
-    if key not in _trained:
-        _trained[key] = clf.train(labeled(spark, sf), model_type=model_type,
-                                  labels=["toxic", "insult"])
-    return _trained[key]
 
+TOLERANCE = 0.02  # largest gradient entry at which a regression counts as solved
 
-def probability_columns(predictions: DataFrame, *keys) -> DataFrame:
-    return predictions.select(*keys, F.col("is_toxic").cast("int").alias("is_toxic"),
-                              "confidence", F.col("labels.toxic").alias("p_toxic"),
-                              F.col("labels.insult").alias("p_insult"),
-                              joined("detected_types").alias("types"))
+
+def solved(spark, sf, **options) -> DataFrame:
+    """What every label's regression was trained on, and whether it is at its minimum."""
+    model, _ = clf.train(labeled(spark, sf), **options)
+    return clf.gradient_sizes(model, labeled(spark, sf)).select(
+        "label", "rows", "positives", "vocabulary",
+        (F.col("gradient") < TOLERANCE).cast("int").alias("solved"))
 
 
 @query
 def train_lr(spark, sf):
-    return trained(spark, sf)[1]
+    return solved(spark, sf)
+
+
+@query
+def train(spark, sf):
+    """Logistic regression on texts without stopwords, with lemmas."""
+    return solved(spark, sf, remove_stops=True, lemmas=short_lemmas(spark, sf))
 
 
 @query
 def train_nb(spark, sf):
-    return trained(spark, sf, "naive_bayes")[1]
+    return clf.train(labeled(spark, sf), model_type="naive_bayes")[1]
 
 
 @query
-def train(spark, sf):
-    """All six labels; ``threat`` may have one class only and is then skipped."""
-    _, metrics = clf.train(labeled(spark, sf), max_features=5000)
-    return ex.evaluation_report(metrics)
+def train_nb_lemmas(spark, sf):
+    return clf.train(labeled(spark, sf), model_type="naive_bayes", remove_stops=True,
+                     lemmas=short_lemmas(spark, sf))[1]
 
 
 @query
 def predict(spark, sf):
-    model, _ = trained(spark, sf)
+    return probability_columns(naive_bayes(spark, sf).predict(documents(spark, sf)), "doc_id")
+
+
+@query
+def predict_lemmas(spark, sf):
+    """A model with stopwords and lemmas, saved and loaded, on documents."""
+    path = scratch_path(spark, "model")
+    naive_bayes(spark, sf, remove_stops=True, lemmas=short_lemmas(spark, sf)).save(spark, path)
+    model = clf.ToxicityModel.load(spark, path)
     return probability_columns(model.predict(documents(spark, sf)), "doc_id")
 
 
 @query
 def predict_batch(spark, sf):
-    model, _ = trained(spark, sf, "naive_bayes")
-    return probability_columns(model.predict(talk(spark, sf)), "conv_id", "turn")
+    return probability_columns(naive_bayes(spark, sf).predict(talk(spark, sf)), "conv_id", "turn")
 
 
 @query
 def prediction_table(spark, sf):
-    model, _ = trained(spark, sf)
-    return clf.prediction_table(model.predict(documents(spark, sf)), "text", "doc_id")
+    predicted = naive_bayes(spark, sf).predict(documents(spark, sf))
+    return clf.prediction_table(predicted, "text", "doc_id")
 
 
 @query
 def analyze_model(spark, sf):
-    model, _ = trained(spark, sf)
-    return analysis_row(an.analyze(documents(spark, sf), classifier=model, threshold=0.5), "doc_id")
+    return analysis_row(an.analyze(documents(spark, sf), classifier=naive_bayes(spark, sf),
+                                   threshold=0.5), "doc_id")
 
 
 @query
 def top_features(spark, sf):
-    return trained(spark, sf)[0].feature_importance(spark, "toxic", 20)
+    """Whether the listed terms are those with the largest coefficients, in order."""
+    model, _ = clf.train(labeled(spark, sf), labels=["toxic"])
+    top = [tuple(r) for r in model.feature_importance(spark, "toxic", 20).collect()]
+    every = sorted(zip(model.tfidf.terms, model.models["toxic"].coefficients.toArray().tolist()),
+                   key=lambda p: (-p[1], p[0]))
+    return spark.createDataFrame([(len(top), int(top == every[:20]))], "features int, highest int")
 
 
 @query
 def model_save(spark, sf):
+    """The saved vocabulary with its weights, and the saved naive Bayes table for ``toxic``."""
     path = scratch_path(spark, "model")
-    trained(spark, sf)[0].save(spark, path)
+    naive_bayes(spark, sf).save(spark, path)
     vocabulary = spark.read.parquet(f"{path}/vocabulary")
-    return vocabulary.select("idx", "term", F.round("idf", 9).alias("idf"))
+    theta = clf.NaiveBayesModel.load(f"{path}/models/toxic").theta.toArray()
+    # As many rows as terms, which the model holds.
+    logs = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(theta.T)],
+                                 "idx int, clean double, toxic double")
+    return vocabulary.join(logs, "idx").select(
+        "idx", "term", F.round("idf", 9).alias("idf"), F.round("clean", 6).alias("clean"),
+        F.round("toxic", 6).alias("toxic"))
 
 
 @query
 def model_load(spark, sf):
     """Texts for which the restored model gives the same probabilities as the saved one."""
     path = scratch_path(spark, "model")
-    model, _ = trained(spark, sf)
+    model = naive_bayes(spark, sf)
     model.save(spark, path)
     again = clf.ToxicityModel.load(spark, path)
     docs = documents(spark, sf)

@@ -7,6 +7,7 @@ where the Spark side uses gates, arrays and one-pass patterns.
 from __future__ import annotations
 
 from civiltext import tables
+from civiltext.operators.lemmas import NOUN_ENDINGS
 from civiltext.plans.catalog import SENTENCE_SWAPS, SWAPS
 
 W = r"\p{L}\p{N}_"
@@ -324,19 +325,43 @@ counts AS (SELECT term, sum(tf)::BIGINT AS tf, count(*) AS df FROM tf JOIN c USI
   WHERE NOT test GROUP BY term),
 total AS (SELECT count(*) AS n FROM c WHERE NOT test),
 pruned AS (SELECT counts.* FROM counts, total WHERE df >= 3 AND df <= 0.9 * n),
-vocab AS (SELECT * FROM pruned ORDER BY tf DESC, term LIMIT 50000),
+vocab AS (SELECT * FROM pruned ORDER BY tf DESC, term LIMIT 500000),
 raw AS (SELECT doc_id, term, (1 + ln(tf.tf)) * (ln((1 + n) / (1 + df)::DOUBLE) + 1) AS w
   FROM tf JOIN vocab USING (term), total),
 weights AS (SELECT doc_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS weight FROM raw)"""
 TERMS = (f"c AS (SELECT doc_id, {clean('text')} AS clean_text, false AS test FROM documents), "
          + TERM_CTES)
 
+LEMMA_TABLE = (f"SELECT DISTINCT form, left(form, 4) AS lemma FROM (SELECT unnest(string_split("
+               f"{clean('text')}, ' ')) AS form FROM benchmark) WHERE length(form) > 6")
+
+
+def with_lemmas(source: str, key: str, text: str) -> str:
+    """``key, clean_text``: cleaned texts without stopwords, lemmas looked up."""
+    return (f"(SELECT s.{key}, coalesce(string_agg(coalesce(lemma, form), ' ' ORDER BY pos), '') AS "
+            f"clean_text FROM ({source}) s LEFT JOIN (SELECT {key}, unnest(t) AS form, "
+            f"unnest(range(len(t))) AS pos FROM (SELECT {key}, list_filter(string_split("
+            f"{clean(text)}, ' '), lambda x: x <> '' AND x NOT IN {in_list(DROPPED)}) AS t "
+            f"FROM ({source}))) w ON s.{key} = w.{key} LEFT JOIN ({LEMMA_TABLE}) USING (form) "
+            f"GROUP BY s.{key})")
+
+
+LABELED_AND_SPLIT = f"SELECT *, {SORT_KEY} < '33333333' AS test FROM ({LABELED})"
+PLAIN_FIT = f"(SELECT id, {clean('comment_text')} AS clean_text FROM l)"
+LEMMA_FIT = with_lemmas("SELECT id, comment_text FROM l", "id", "comment_text")
+
+
 # Multinomial naive Bayes in closed form: fitted on the training part, judged on the rest.
-_FIT = f"""WITH l AS (SELECT *, {SORT_KEY} < '33333333' AS test FROM ({LABELED})),
-c AS (SELECT id AS doc_id, {clean('comment_text')} AS clean_text, test FROM l),
+def fit_ctes(cleaned: str = PLAIN_FIT) -> str:
+    every = " UNION ALL ".join(f"SELECT id, {lit(c)} AS label, {c} AS actual, test FROM l"
+                               for c in tables.LABELS)
+    return f"""WITH l AS ({LABELED_AND_SPLIT}),
+c AS (SELECT id AS doc_id, clean_text, test FROM l JOIN {cleaned} USING (id)),
 {TERM_CTES},
-y AS (SELECT id, 'toxic' AS label, toxic AS actual, test FROM l
-  UNION ALL SELECT id, 'insult', insult, test FROM l),
+everything AS ({every}),
+learnable AS (SELECT label FROM everything WHERE NOT test GROUP BY label
+  HAVING count(DISTINCT actual) = 2),
+y AS (SELECT * FROM everything WHERE label IN (SELECT label FROM learnable)),
 classes AS (SELECT label, actual AS cls, count(*) AS n FROM y WHERE NOT test GROUP BY ALL),
 sums AS (SELECT label, actual AS cls, term, sum(weight) AS s FROM weights JOIN y ON id = doc_id
   WHERE NOT test GROUP BY ALL),
@@ -346,7 +371,10 @@ theta AS (SELECT classes.label, classes.cls, vocab.term, ln(coalesce(s, 0) + 0.1
   FROM classes CROSS JOIN vocab JOIN totals USING (label, cls) LEFT JOIN sums
   ON sums.label = classes.label AND sums.cls = classes.cls AND sums.term = vocab.term),
 priors AS (SELECT label, cls, ln(n / sum(n) OVER (PARTITION BY label)) AS p FROM classes)"""
-NAIVE_BAYES = f"""{_FIT},
+
+
+def naive_bayes(cleaned: str = PLAIN_FIT) -> str:
+    return f"""{fit_ctes(cleaned)},
 scores AS (SELECT y.id, y.label, y.actual, priors.cls, any_value(p) + coalesce(sum(weight * t), 0)
     AS score FROM y JOIN priors ON y.label = priors.label LEFT JOIN weights ON doc_id = y.id
   LEFT JOIN theta ON theta.label = y.label AND theta.cls = priors.cls AND theta.term = weights.term
@@ -356,40 +384,81 @@ u AS (SELECT label, actual, CAST(max(score) FILTER (cls = 1) > max(score) FILTER
 SELECT label, {', '.join(f"{metric(m)} AS {m}" for m in ('accuracy', 'precision', 'recall', 'f1'))}
 FROM u GROUP BY label"""
 
-# The same model applied to conversations.
-NB_PREDICT = f"""{_FIT},
-tc AS (SELECT conv_id, turn, {clean('text')} AS clean_text FROM ({TALK})),
-tuni AS (SELECT conv_id, turn, unnest(t) AS term, unnest(range(len(t))) AS position FROM (SELECT
-  conv_id, turn, list_filter(string_split(clean_text, ' '), lambda x: length(x) >= 2) AS t FROM tc)),
-tterms AS (SELECT conv_id, turn, term FROM tuni UNION ALL SELECT conv_id, turn, term || ' ' ||
-  lead(term) OVER (PARTITION BY conv_id, turn ORDER BY position) FROM tuni),
-ttf AS (SELECT conv_id, turn, term, count(*) AS tf FROM tterms WHERE term IS NOT NULL GROUP BY ALL),
-traw AS (SELECT conv_id, turn, term, (1 + ln(ttf.tf)) * (ln((1 + n) / (1 + df)::DOUBLE) + 1) AS w
+
+def regression_rows(cleaned: str = PLAIN_FIT) -> str:
+    return (f"{fit_ctes(cleaned)} SELECT label, count(*) AS rows, sum(actual)::BIGINT AS positives, "
+            "(SELECT count(*) FROM vocab) AS vocabulary, 1 AS solved FROM y WHERE NOT test "
+            "GROUP BY label")
+
+
+def predict_ctes(source: str, keys: str, fitted: str = PLAIN_FIT, cleaned: str = "") -> str:
+    """``wide``: the probability of every label for the texts of ``source``, exact and rounded."""
+    names = [k.strip() for k in keys.split(",")]
+    same = " AND ".join(f"x.{k} = tc.{k}" for k in names)
+    tk = ", ".join(f"tc.{k}" for k in names)
+    cleaned = cleaned or f"(SELECT {keys}, {clean('text')} AS clean_text FROM ({source}))"
+    return f"""{fit_ctes(fitted)},
+tc AS {cleaned},
+tuni AS (SELECT {keys}, unnest(t) AS term, unnest(range(len(t))) AS position FROM (SELECT
+  {keys}, list_filter(string_split(clean_text, ' '), lambda x: length(x) >= 2) AS t FROM tc)),
+tterms AS (SELECT {keys}, term FROM tuni UNION ALL SELECT {keys}, term || ' ' ||
+  lead(term) OVER (PARTITION BY {keys} ORDER BY position) FROM tuni),
+ttf AS (SELECT {keys}, term, count(*) AS tf FROM tterms WHERE term IS NOT NULL GROUP BY ALL),
+traw AS (SELECT {keys}, term, (1 + ln(ttf.tf)) * (ln((1 + n) / (1 + df)::DOUBLE) + 1) AS w
   FROM ttf JOIN vocab USING (term), total),
-tw AS (SELECT conv_id, turn, term, w / sqrt(sum(w * w) OVER (PARTITION BY conv_id, turn)) AS weight
-  FROM traw),
-sums_by_class AS (SELECT conv_id, turn, label, cls, sum(weight * t) AS s FROM tw JOIN theta
-  USING (term) GROUP BY ALL),
-scored AS (SELECT tc.conv_id, tc.turn, priors.label, priors.cls, p + coalesce(s, 0) AS score
-  FROM tc CROSS JOIN priors LEFT JOIN sums_by_class x ON x.conv_id = tc.conv_id AND
-  x.turn = tc.turn AND x.label = priors.label AND x.cls = priors.cls),
-prob AS (SELECT conv_id, turn, label, 1 / (1 + exp(max(score) FILTER (cls = 0)
-  - max(score) FILTER (cls = 1))) AS p FROM scored GROUP BY ALL),
-wide AS (SELECT conv_id, turn, max(p) FILTER (label = 'toxic') AS a,
-  max(p) FILTER (label = 'insult') AS b FROM prob GROUP BY ALL)
-SELECT conv_id, turn, CAST(a >= 0.3 OR b >= 0.3 AS INT) AS is_toxic,
-  greatest({rounded('a', 4)}, {rounded('b', 4)}) AS confidence, {rounded('a', 4)} AS p_toxic,
-  {rounded('b', 4)} AS p_insult, concat_ws(' ', CASE WHEN a >= 0.3 THEN 'toxic' END,
-  CASE WHEN b >= 0.3 THEN 'insult' END) AS types FROM wide"""
-SAVED_VOCABULARY = f"""{_FIT} SELECT row_number() OVER (ORDER BY term) - 1 AS idx, term,
-  round(ln((1 + n) / (1 + df)::DOUBLE) + 1, 9) AS idf FROM vocab, total"""
-
-NOUN_RULES = rows([("s", ""), ("ses", "s"), ("ves", "f"), ("xes", "x"), ("zes", "z"),
-                   ("ches", "ch"), ("shes", "sh"), ("men", "man"), ("ies", "y")])
-LEMMATIZE = f"""WITH RECURSIVE
+tw AS (SELECT {keys}, term, w / sqrt(sum(w * w) OVER (PARTITION BY {keys})) AS weight FROM traw),
+by_class AS (SELECT {keys}, label, cls, sum(weight * t) AS s FROM tw JOIN theta USING (term)
+  GROUP BY ALL),
+class_scores AS (SELECT {tk}, priors.label, priors.cls, p + coalesce(s, 0) AS score
+  FROM tc CROSS JOIN priors LEFT JOIN by_class x ON {same} AND
+  x.label = priors.label AND x.cls = priors.cls),
+prob AS (SELECT {keys}, label, 1 / (1 + exp(max(score) FILTER (cls = 0)
+  - max(score) FILTER (cls = 1))) AS p FROM class_scores GROUP BY ALL),
+exact AS (SELECT {keys}, {', '.join(f"max(p) FILTER (label = {lit(c)}) AS e_{c}"
+                                    for c in tables.LABELS)} FROM prob GROUP BY ALL),
+wide AS (SELECT *, {', '.join(f"{rounded(f'e_{c}', 4)} AS p_{c}" for c in tables.LABELS)} FROM exact)"""
+
+
+def detected(threshold: float) -> str:
+    """The labels found, in order, as a list."""
+    return ("list_filter([" + ", ".join(f"CASE WHEN e_{c} >= {threshold} THEN {lit(c)} END"
+                                        for c in tables.LABELS) + "], lambda x: x IS NOT NULL)")
+
+
+HIGHEST = f"greatest({', '.join(f'p_{c}' for c in tables.LABELS)})"
+
+
+def predictions(source: str, keys: str, fitted: str = PLAIN_FIT, cleaned: str = "") -> str:
+    return (f"{predict_ctes(source, keys, fitted, cleaned)} SELECT {keys}, "
+            f"CAST(len({detected(0.3)}) > 0 AS INT) AS is_toxic, {HIGHEST} AS confidence, "
+            + ", ".join(f"p_{c}" for c in tables.LABELS)
+            + f", array_to_string({detected(0.3)}, ' ') AS types FROM wide")
+
+
+PREDICTION_TABLE = f"""{predict_ctes(DOCUMENTS, 'doc_id')}
+SELECT doc_id, left(text, 44) AS "Text",
+  CASE WHEN len({detected(0.3)}) > 0 THEN '🔴 YES' ELSE '🟢 NO' END AS "Toxic",
+  format('{{:.0f}}%', {HIGHEST} * 100) AS "Conf",
+  CASE WHEN len({detected(0.3)}) = 0 THEN '-'
+    ELSE array_to_string({detected(0.3)}[1:2], ', ') END AS "Types"
+FROM wide JOIN documents USING (doc_id)"""
+ANALYZE_MODEL = f"""{predict_ctes(DOCUMENTS, 'doc_id')}, {score_ctes(DOCUMENTS)}
+SELECT doc_id, CAST(len({detected(0.5)}) > 0 AS INT) AS is_toxic, {HIGHEST} AS confidence,
+  array_to_string({detected(0.5)}, ' ') AS types, toxic_count, intensity_score
+FROM wide JOIN scored USING (doc_id)"""
+SAVED_MODEL = f"""{fit_ctes()} SELECT row_number() OVER (ORDER BY term) - 1 AS idx, term,
+  round(ln((1 + any_value(n)) / (1 + any_value(df))::DOUBLE) + 1, 9) AS idf,
+  round(max(t) FILTER (cls = 0), 6) AS clean, round(max(t) FILTER (cls = 1), 6) AS toxic
+FROM vocab JOIN theta USING (term), total WHERE label = 'toxic' GROUP BY term"""
+
+NOUN_RULES = rows(NOUN_ENDINGS)
+
+
+def lemmatized(source: str, keys: str) -> str:
+    return f"""WITH RECURSIVE
 rules AS (SELECT *, row_number() OVER () AS k FROM {NOUN_RULES} AS r(old, new)),
-docs AS (SELECT doc_id, string_split({clean('text')}, ' ') AS t FROM documents),
-toks AS (SELECT doc_id, unnest(t) AS form, unnest(range(len(t))) AS pos FROM docs),
+docs AS (SELECT {keys}, string_split({clean('text')}, ' ') AS t FROM ({source})),
+toks AS (SELECT {keys}, unnest(t) AS form, unnest(range(len(t))) AS pos FROM docs),
 forms AS (SELECT DISTINCT form FROM toks WHERE form <> ''),
 nouns AS (SELECT DISTINCT unnest(string_split({clean('text')}, ' ')) AS noun FROM benchmark),
 cand(form, lvl, k, cand) AS (
@@ -400,8 +469,41 @@ cand(form, lvl, k, cand) AS (
 every AS (SELECT * FROM cand UNION ALL SELECT form, 1, 0, form FROM forms),
 best AS (SELECT form, arg_min(cand, (lvl, length(cand), k, cand)) AS lemma
   FROM every JOIN nouns ON cand = noun WHERE noun <> '' GROUP BY form)
-SELECT doc_id, string_agg(coalesce(lemma, form), ' ' ORDER BY pos) AS out
-FROM toks LEFT JOIN best USING (form) GROUP BY doc_id"""
+SELECT {keys}, string_agg(coalesce(lemma, form), ' ' ORDER BY pos) AS out
+FROM toks LEFT JOIN best USING (form) GROUP BY ALL"""
+
+
+LARGE_LEXICON = f"""WITH extra AS (SELECT DISTINCT word AS term FROM
+  (SELECT {sub('tok', f'[^{W}]', '')} AS word FROM (SELECT unnest(regexp_split_to_array(
+    lower(coalesce(text, '')), '[{S}]+')) AS tok FROM documents)) WHERE length(word) >= 10
+  UNION SELECT unnest(['a ', 'of th', 'é d'])),
+lex AS (SELECT term, 'custom' AS category, 100000 AS ord FROM extra UNION ALL
+  SELECT * FROM {LEXICON} AS l(term, category, ord) WHERE term NOT IN (SELECT term FROM extra)),
+{token_ctes(REMARKS)},
+thits AS (SELECT doc_id, word, category, 1000000 + pos AS rank, false AS is_phrase, has_intensifier,
+  is_negated FROM flagged JOIN lex ON word = term WHERE NOT contains(term, ' ')),
+phits AS (SELECT doc_id, term, category, ord AS rank, true, false, false
+  FROM src JOIN (SELECT * FROM lex WHERE contains(term, ' ')) ON contains(lower(text), term)),
+hits AS (SELECT * FROM thits UNION ALL SELECT * FROM phits),
+per_text AS (SELECT doc_id, count(*) AS c, count(*) FILTER (has_intensifier) AS ni,
+  count(*) FILTER (category = 'threat') AS nt, count(*) FILTER (is_negated) AS nn,
+  string_agg(DISTINCT category, ' ' ORDER BY category) AS types,
+  string_agg(word, ' ' ORDER BY rank, word) AS hit_words FROM hits GROUP BY doc_id)
+SELECT s.doc_id, CAST(coalesce(c, 0) > 0 AS INT) AS is_toxic, coalesce(types, '') AS types,
+  coalesce(c, 0) AS toxic_count, coalesce(hit_words, '') AS hit_words,
+  CASE WHEN c IS NULL THEN 0.0::DOUBLE ELSE {rounded('least(1.0, greatest(0.0, raw))', 3)} END
+    AS intensity_score, least(1.0, 2 * CASE WHEN c IS NULL THEN 0.0::DOUBLE ELSE
+    {rounded('least(1.0, greatest(0.0, raw))', 3)} END)::DOUBLE AS confidence
+FROM (SELECT src.doc_id, h.*, c / len(arr)::DOUBLE + {steps(tables.INTENSIFIER_BOOST, 'ni')} +
+  {steps(tables.THREAT_BOOST, 'nt')} - {steps(tables.NEGATION_DISCOUNT, 'nn')} AS raw
+  FROM src JOIN arr USING (doc_id) LEFT JOIN (SELECT doc_id AS key, * EXCLUDE (doc_id) FROM per_text)
+  h ON src.doc_id = h.key) s"""
+MISSING_IDS = f"(SELECT * REPLACE (CASE WHEN id::BIGINT % 3 <> 0 THEN id END AS id) FROM ({LABELED}))"
+
+
+def key_without_id(columns: list[str]) -> str:
+    rest = ", ".join(f"CAST({c} AS VARCHAR)" for c in sorted(columns))
+    return f"md5('42:' || coalesce(id, concat_ws('|', 'missing', {rest})))"
 
 
 def demo(kind: list[str]) -> str:
@@ -485,7 +587,10 @@ def sql_by_query() -> dict[str, str]:
         "drop_stopwords": f"SELECT doc_id, array_to_string(list_filter(string_split(clean, ' '), "
                           f"lambda x: x <> '' AND x NOT IN {in_list(DROPPED)}), ' ') AS out "
                           f"FROM ({SPOKEN})",
-        "lemmatize": LEMMATIZE,
+        "lemmatize": lemmatized(DOCUMENTS, "doc_id"),
+        "lemmatize_talk": lemmatized(TALK, "conv_id, turn"),
+        "preprocess_lemmas": f"SELECT doc_id, clean_text AS out FROM "
+                             f"{with_lemmas(DOCUMENTS, 'doc_id', 'text')}",
         "preprocess_model": f"SELECT page_id, {clean('html')} AS out FROM pages",
         "preprocess_light": f"SELECT page_id, {strip(punct_free(untagged('html')))} AS out "
                             "FROM pages",
@@ -531,19 +636,14 @@ def sql_by_query() -> dict[str, str]:
                                                                       "SELECT toks.doc_id, coalesce"),
         "intensity_score": f"{detect} SELECT doc_id, intensity_score FROM scored",
         "highlight": f"SELECT doc_id, {highlighted('text')} AS highlighted_text FROM ({REMARKS})",
-        "highlight_repeated": f"WITH {hit_ctes(DOCUMENTS)}, w AS (SELECT doc_id, list(word ORDER BY "
-                              f"length(word) DESC, position) AS ws FROM thits GROUP BY doc_id) "
-                              f"SELECT doc_id, CASE WHEN ws IS NULL THEN text ELSE list_reduce(ws, "
-                              f"lambda acc, x: regexp_replace(acc, '(?i)' || x, "
-                              f"{lit(tables.MARK_OPEN)} || x || {lit(tables.MARK_CLOSE)}, 'g'), text) "
-                              f"END AS highlighted_text FROM src LEFT JOIN w USING (doc_id)",
+        "detect_large_lexicon": LARGE_LEXICON,
         "detect": f"{plain} SELECT doc_id, toxic_count, types AS categories, intensity_score, "
                   "hit_words, n - nw AS other_words FROM scored",
         "sentence_rewrite": f"SELECT conv_id, turn, {SENTENCE} AS sentence FROM ({TALK})",
         "word_replacement": f"SELECT doc_id, cur AS out, substr(log, 2) AS changes FROM "
                             f"({chain(REMARKS, word_steps())})",
-        "phrase_rules": f"SELECT doc_id, cur AS out, n AS changes FROM "
-                        f"({chain(REMARKS, rule_steps())})",
+        "phrase_rules": f"SELECT doc_id, cur AS out, substr(log, 2) AS changes FROM "
+                        f"({chain(REMARKS, rule_steps(), title=True)})",
         "title_case_runs": f"SELECT doc_id, {title_cased('text')} AS out FROM ({REMARKS})",
         "final_cleanup": f"SELECT doc_id, {finished('text')} AS out FROM ({REMARKS})",
         "neutralization_score": f"SELECT doc_id, neutralization_score FROM ({neutralized(REMARKS)})",
@@ -596,24 +696,34 @@ def sql_by_query() -> dict[str, str]:
                              "label, round(accuracy, 3) AS accuracy, round(precision, 3) AS "
                              "precision, round(recall, 3) AS recall, round(f1, 3) AS f1 FROM a",
         "balanced_sample": f"WITH l AS (SELECT id, toxic, row_number() OVER (PARTITION BY toxic ORDER "
-                           f"BY {SORT_KEY}, id) AS k FROM ({LABELED})), q AS (SELECT count(*) // 2 AS "
+                           f"BY {key_without_id(['toxic'])}, id) AS k FROM {MISSING_IDS}), q AS (SELECT count(*) // 2 AS "
                            "size, least(count(*) // 2 // 4, sum(toxic)) AS t FROM l) SELECT id, toxic "
                            "FROM l, q WHERE k <= CASE toxic WHEN 1 THEN t ELSE size - t END",
         "concat_rows": f"WITH l AS ({LABELED}) SELECT id, toxic, insult FROM l WHERE toxic = 1 UNION "
                        "ALL SELECT id, toxic, insult FROM l WHERE insult = 0",
         "shuffle_rows": f"SELECT id, {SORT_KEY} AS sort_key FROM ({LABELED})",
-        "train_test_split": f"SELECT id, CASE WHEN {SORT_KEY} < '33333333' THEN 'test' ELSE 'train' "
-                            f"END AS part FROM ({LABELED})",
+        "train_test_split": "SELECT id, CASE WHEN "
+                            + key_without_id(["comment_text", *tables.LABELS])
+                            + f" < '33333333' THEN 'test' ELSE 'train' END AS part FROM {MISSING_IDS}",
         "term_tokens": f"WITH {TERMS} SELECT c.doc_id, coalesce(string_agg(term, ' ' ORDER BY "
                        "position), '') AS tokens FROM c LEFT JOIN uni USING (doc_id) GROUP BY ALL",
         "strip_accents": "SELECT doc_id, strip_accents(text) AS out FROM documents",
         "ngrams_1_2": f"WITH {TERMS} SELECT doc_id, term, position FROM terms",
         "df_pruning": f"WITH {TERMS} SELECT * FROM pruned",
-        "vocab_top_k": f"WITH {TERMS} SELECT * FROM pruned ORDER BY tf DESC, term LIMIT 5000",
+        "vocab_top_k": f"WITH {TERMS} SELECT * FROM pruned ORDER BY tf DESC, term LIMIT 50000",
         "tfidf": f"WITH {TERMS} SELECT doc_id, term, round(weight, 6) AS weight FROM weights",
-        "train_nb": NAIVE_BAYES,
-        "predict_batch": NB_PREDICT,
-        "model_save": SAVED_VOCABULARY,
+        "train_lr": regression_rows(),
+        "train": regression_rows(LEMMA_FIT),
+        "train_nb": naive_bayes(),
+        "train_nb_lemmas": naive_bayes(LEMMA_FIT),
+        "predict": predictions(DOCUMENTS, "doc_id"),
+        "predict_lemmas": predictions(DOCUMENTS, "doc_id", LEMMA_FIT,
+                                      with_lemmas(DOCUMENTS, "doc_id", "text")),
+        "predict_batch": predictions(TALK, "conv_id, turn"),
+        "prediction_table": PREDICTION_TABLE,
+        "analyze_model": ANALYZE_MODEL,
+        "top_features": "SELECT 20 AS features, 1 AS highest",
+        "model_save": SAVED_MODEL,
         "model_load": "SELECT count(*) AS texts, count(*) AS equal FROM documents",
         "doc_vectors": f"WITH {TERMS} SELECT c.doc_id, count(term) AS entries, "
                        "round(coalesce(sum(weight * weight), 0), 6) AS squared_length FROM c LEFT "
