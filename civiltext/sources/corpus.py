@@ -13,8 +13,18 @@ from civiltext.operators.sampling import balanced_sample, shuffle_rows
 
 
 def read_texts(spark: SparkSession, path: str) -> DataFrame:
-    """A parquet table, in the pieces it comes in; texts are not moved to spread them."""
-    return spark.read.parquet(path)
+    """A parquet table, in the pieces it comes in.
+
+    Only a table that fits into one scan partition is spread over the cores: a small file often
+    is a single piece, and moving it costs less than leaving all cores but one idle. Anything
+    larger is not moved.
+    """
+    df = spark.read.parquet(path)
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    one = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if size <= one else df
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
