@@ -24,9 +24,9 @@ from dataclasses import dataclass
 import numpy as np
 
 MAGIC = b"RANS1\0"
-LANES = 256
-BLOCK_TOKENS = 1 << 17         # a block is closed by the document that reaches this
-CHECKPOINT_STEPS = 256
+LANES = 1024
+BLOCK_TOKENS = 1 << 18         # a block is closed by the document that reaches this
+CHECKPOINT_STEPS = 128
 MIN_SCALE = 16
 _LOW = np.uint64(1 << 31)      # states stay in [2 ** 31, 2 ** 63)
 _HEADER = struct.Struct("<6sHIII")
@@ -111,7 +111,12 @@ def encode_segment(documents: list[np.ndarray], block_tokens: int = BLOCK_TOKENS
     """A segment of the token ids of ``documents``."""
     lengths = np.array([len(d) for d in documents], np.int64)
     tokens = np.concatenate([np.zeros(0, np.uint32), *documents]).astype(np.uint32)
-    symbols, index, counts = np.unique(tokens, return_inverse=True, return_counts=True)
+    counts = np.bincount(tokens)
+    symbols = np.flatnonzero(counts)
+    counts = counts[symbols]
+    number = np.zeros(int(symbols[-1]) + 1 if len(symbols) else 0, np.int64)
+    number[symbols] = np.arange(len(symbols))
+    index = number[tokens]
     scale = max(MIN_SCALE, len(symbols).bit_length() + 2)
     freq = frequency_table(counts, scale) if len(symbols) else np.zeros(0, np.int64)
     ends, blocks, begin, first = np.cumsum(lengths), [], 0, 0

@@ -27,13 +27,15 @@ from civiltext.llm import rans
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 0
 SEGMENT_TOKENS = 1 << 20       # a segment is closed by the document that reaches this
-CACHED_WORDS = 400_000         # per Python worker; the cache starts anew beyond
+CACHED_WORDS = 1_200_000       # per Python worker; the cache starts anew beyond
+WORDS = 4096                   # new words that are encoded together
 TEXTS = 256                    # whose new words are sent to the tokenizer together
 
 #: Blanks that Unicode knows beside the ASCII ones.
 _RARE_BLANK = re.compile(r"[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029"
                          r"\u202f\u205f\u3000]")
-_RUN = re.compile(r"[\x20\x09-\x0d]{2}|[\x09\x0b-\x0d]")
+#: Blanks that are not a single space or line break between words.
+_RUNS = ("  ", "\n ", " \n", "\n\n", "\t", "\v", "\f", "\r")
 
 
 class WordTokenizer:
@@ -51,41 +53,73 @@ class WordTokenizer:
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(vocabulary))
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, special)) or r"(?!)")
-        self.known: dict[str, bytes] = {"": b""}
-
-    def _learn(self, words: set[str]) -> None:
-        new = words.difference(self.known)
-        if len(self.known) + len(new) > CACHED_WORDS:
-            self.known, new = {"": b""}, words.difference([""])
-        new = list(new)
-        for word, found in zip(new, self.tokenizer.encode_batch_fast(
-                new, add_special_tokens=False) if new else []):
-            self.known[word] = np.array(found.ids, "<u4").tobytes()
-
-    def _words(self, text: str) -> list[str] | None:
-        if _RUN.search(text) or self.special.search(text) \
+        (self.line,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.line_bytes = np.array([self.line], "<u4").tobytes()
+        #: Words at the start of a line, and words after a space.
+        self.first: dict[str, bytes] = {"": b""}
+        self.later: dict[str, bytes] = {}
+
+    def _learn(self, known: dict[str, bytes], words: list[str], before: str) -> None:
+        """Encode new words, many at a time with line breaks between: no word holds one, so
+        their id tells words apart."""
+        parts = [words[at:at + WORDS] for at in range(0, len(words), WORDS)]
+        coded = self.tokenizer.encode_batch_fast(
+            ["\n".join([before + w for w in some]) for some in parts],
+            add_special_tokens=False) if parts else []
+        for some, found in zip(parts, coded):
+            ids = np.array(found.ids, "<u4")
+            ends = np.append(np.flatnonzero(ids == self.line), len(ids))
+            if len(ends) != len(some):
+                raise ValueError("the tokenizer does not cut at line breaks")
+            data, start = ids.tobytes(), 0
+            for word, end in zip(some, (4 * ends).tolist()):
+                known[word] = data[start:end]
+                start = end + 4
+
+    def _lines(self, text: str) -> list[list[str]] | None:
+        if any(run in text for run in _RUNS) or self.special.search(text) \
                 or not text.isascii() and _RARE_BLANK.search(text):
             return None
-        if "\n" not in text:
-            first, *rest = text.split(" ")
-            return [first, *[" " + w for w in rest]]
-        out = []
-        for line in text.split("\n"):
-            first, *rest = line.split(" ")
-            out += ["\n", first]
-            out += [" " + w for w in rest]
-        return out[1:]
+        return [line.split(" ") for line in text.split("\n")]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Token ids of each text."""
-        cut = [self._words(t) for t in texts]
-        self._learn({w for words in cut if words for w in words})
-        whole = [t for t, words in zip(texts, cut) if words is None]
+        cut = [self._lines(t) for t in texts]
+        if len(self.first) + len(self.later) > CACHED_WORDS:
+            self.first, self.later = {"": b""}, {}
+        first, later, at_start, after = self.first, self.later, set(), []
+        coded = []                           # ids of each word by line; None where unknown
+        for lines in cut:
+            found = []
+            for words in lines or ():
+                ids = [first.get(words[0])]
+                ids += map(later.get, words[1:])
+                if None in ids:
+                    if ids[0] is None:
+                        at_start.add(words[0])
+                    after += [w for w, i in zip(words[1:], ids[1:]) if i is None]
+                found.append(ids)
+            coded.append(found)
+        after = set(after)
+        if "" in after:                      # a space that ends a text
+            after.remove("")
+            later[""] = np.array(self.tokenizer.encode(" ", add_special_tokens=False).ids,
+                                 "<u4").tobytes()
+        self._learn(first, list(at_start), "")
+        self._learn(later, list(after), " ")
+        whole = [t for t, lines in zip(texts, cut) if lines is None]
         others = iter(self.tokenizer.encode_batch_fast(whole, add_special_tokens=False)
                       if whole else [])
-        at = self.known.__getitem__
-        return [np.array(next(others).ids, np.uint32) if words is None
-                else np.frombuffer(b"".join(map(at, words)), "<u4") for words in cut]
+        out = []
+        for lines, found in zip(cut, coded):
+            if lines is None:
+                out.append(np.array(next(others).ids, np.uint32))
+                continue
+            for words, ids in zip(lines, found):
+                if None in ids:
+                    ids[:] = [first[words[0]], *map(later.__getitem__, words[1:])]
+            out.append(np.frombuffer(self.line_bytes.join(map(b"".join, found)), "<u4"))
+        return out
 
 
 @functools.cache
