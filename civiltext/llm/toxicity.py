@@ -2,12 +2,12 @@
 
 Labels belong to documents, so which stretches of a toxic document are the toxic ones is
 learned first: words, and beginnings of words, whose document frequency in toxic documents
-exceeds that in ordinary ones (counted over all labelled training documents) mark a word as
-toxic. Two zstandard dictionaries are then trained, each of the words of its text that occur in
+far exceeds that in ordinary ones (counted over all labelled training documents) mark a word
+as toxic. Two zstandard dictionaries are then trained, each of the words of its text that occur in
 most documents, the commonest last, where references are shortest: one of ordinary words, one
 of toxic words followed by the same ordinary words, so that ordinary text compresses alike.
 
-A document is compressed in windows of ``WINDOW`` words, each half a window further, once with
+A document is compressed in windows of ``WINDOW`` words, each ``STEP`` words further, once with
 either dictionary. What the toxic dictionary saves, over the windows, makes a few features; a
 logistic curve, fitted on labelled documents that no dictionary was trained on, turns them
 into a score. Scores depend on the text alone.
@@ -29,10 +29,13 @@ import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
 from civiltext.llm.words import find_words, slices
+from civiltext.operators.features import vocabulary
+from civiltext.operators.sampling import take_per_stratum
+from civiltext.sources.shared import cut_lineage
 
-WINDOW = 6                     # words
-ORDINARY_BYTES = 24_000        # of the ordinary dictionary
-TOXIC_BYTES = 4_000
+WINDOW, STEP = 6, 6            # words
+ORDINARY_BYTES = 64_000        # of the ordinary dictionary
+TOXIC_BYTES = 512              # of the toxic one: few words keep chance matches rare
 LEVEL = 12
 SHORTEST, LONGEST = 4, 8       # code points of word beginnings
 MIN_DOCUMENTS = 4              # toxic documents a term must occur in
@@ -61,39 +64,45 @@ def _beginnings(word: Column) -> Column:
     return F.filter(F.concat(F.array(word), cut), lambda t: t.isNotNull())
 
 
-def toxic_terms(labelled: DataFrame) -> list[str]:
-    """Terms that mark toxic documents, strongest first, from ``text, toxic`` rows."""
-    n_toxic, n = labelled.agg(F.sum("toxic"), F.count("*")).first()
-    if not n_toxic or n_toxic == n:
+def word_counts(labelled: DataFrame) -> DataFrame:
+    """``word, toxic, n``: in how many toxic documents a word is, and in how many of all."""
+    return (labelled.select("toxic", F.explode(_words(F.col("text"))).alias("word"))
+            .groupBy("word").agg(F.sum("toxic").alias("toxic"), F.count("*").alias("n")))
+
+
+def toxic_terms(counts: DataFrame) -> list[str]:
+    """Terms that mark toxic documents, strongest first, from ``word_counts``.
+
+    What is counted are pairs of a document and a word in it, by words and by beginnings.
+    """
+    toxic, n = counts.agg(F.sum("toxic"), F.sum("n")).first()
+    if not toxic or toxic == n:
         return []
-    terms = F.array_distinct(F.flatten(F.transform(
-        F.filter(_words("text"), lambda w: F.length(w) >= SHORTEST), _beginnings)))
-    counts = (labelled.select("toxic", F.explode(terms).alias("term"))
-              .groupBy("term").agg(F.sum("toxic").alias("a"), F.count("*").alias("n")))
-    share = F.col("n") / n
-    expected = share * n_toxic
-    above = (F.col("a") - expected) / F.sqrt(expected * (1 - share) + 1e-9)
-    ratio = F.log((F.col("a") + 0.5) / (n_toxic + 1)) \
-        - F.log((F.col("n") - F.col("a") + 0.5) / (n - n_toxic + 1))
-    found = (counts.filter(F.col("a") >= MIN_DOCUMENTS).withColumn("above", above)
-             .filter((F.col("above") > MIN_DEVIATIONS) & (ratio > MIN_LOG_RATIO))
-             .orderBy(F.desc("above"), "term").limit(MAX_TERMS))
-    return [r.term for r in found.collect()]
-
-
-def _dictionary(labelled: DataFrame, toxic: int, keep: Column | None, size: int) -> bytes:
-    """The words in most documents of one kind, commonest last, up to ``size`` bytes.
+    terms = (counts.filter(F.length("word") >= SHORTEST)
+             .select("toxic", "n", F.explode(_beginnings(F.col("word"))).alias("term"))
+             .groupBy("term").agg(F.sum("toxic").alias("a"), F.sum("n").alias("n")))
+    share = toxic / n
+    expected = F.col("n") * share
+    above = (F.col("a") - expected) / F.sqrt(expected * (1 - share))
+    ratio = F.log((F.col("a") + 0.5) / (toxic + 1)) \
+        - F.log((F.col("n") - F.col("a") + 0.5) / (n - toxic + 1))
+    found = (terms.filter(F.col("a") >= MIN_DOCUMENTS)
+             .select("term", F.round(1000 * above).cast("long").alias("tf"))
+             .filter((F.col("tf") > 1000 * MIN_DEVIATIONS) & (ratio > MIN_LOG_RATIO)))
+    strongest = vocabulary(cut_lineage(found), MAX_TERMS).collect()
+    return [r.term for r in sorted(strongest, key=lambda r: (-r.tf, r.term))]
+
+
+def _dictionary(counts: DataFrame, number: Column, size: int) -> bytes:
+    """The words with the highest ``number``, highest last, up to ``size`` bytes.
 
     A word has at least two bytes here, so at most ``size / 2`` words come to the driver.
     """
-    words = labelled.filter(F.col("toxic") == toxic).select(F.explode(_words("text")).alias("w"))
-    if keep is not None:
-        words = words.filter(keep)
-    top = (words.groupBy("w").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "w")
-           .limit(size // 2).collect())
+    listed = counts.select(F.col("word").alias("term"), number.alias("tf")).filter("tf > 0")
+    top = sorted(vocabulary(listed, size // 2).collect(), key=lambda r: (-r.tf, r.term))
     out, room = [], size
     for row in top:
-        word = b" " + row.w.encode()
+        word = b" " + row.term.encode()
         if len(word) > room:
             break
         out.append(word)
@@ -137,11 +146,10 @@ def _lengths(compressor: zstandard.ZstdCompressor, data: bytes,
     return np.fromiter((len(out[i]) for i in range(len(out))), np.int64, len(out))
 
 
-def savings(column: pa.Array, compressors, window: int = WINDOW) -> np.ndarray:
+def savings(column: pa.Array, compressors, window: int = WINDOW, step: int = STEP) -> np.ndarray:
     """Features of each text: how many bytes the toxic dictionary saves over its windows."""
     words = find_words(column)
     n = len(words.counts)
-    step = max(1, window // 2)
     many = np.where(words.counts > 0, np.maximum(0, -(-(words.counts - window) // step)) + 1, 0)
     doc = np.repeat(np.arange(n), many)
     first = words.first[doc] + step * (np.arange(len(doc)) - np.repeat(np.cumsum(many) - many,
@@ -189,11 +197,10 @@ def _fit_curve(x: np.ndarray, y: np.ndarray, ridge: float = 0.01) -> np.ndarray:
 def _with_features(docs: DataFrame, model: CompressionModel, keep: list[str],
                    finish) -> DataFrame:
     """``keep`` and what ``finish(features)`` makes of the features of column ``text``."""
-    sent = docs.sparkSession.sparkContext.broadcast(
-        {k: getattr(model, k) for k in ("ordinary", "toxic", "means", "scales", "weights")})
+    sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        here = CompressionModel(**sent.value)
+        here = sent.value
         compressors = here.compressors()
         for batch in batches:
             for piece in slices(batch, "text"):
@@ -214,37 +221,47 @@ def _scores(model: CompressionModel, features: np.ndarray) -> pa.Array:
     return pa.array(model.score(features))
 
 
-def labelled_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
-                       text_col: str = "text", label_col: str = "toxic") -> DataFrame:
-    """``id, text, toxic, fold`` of labelled documents outside the held-out quarter."""
-    labels = (labels.select(F.col(id_col).alias("label_id"), F.col(label_col).alias("toxic"))
-              .filter("label_id IS NOT NULL AND toxic IS NOT NULL")
-              .groupBy("label_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic")))
-    docs = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
-    return docs.join(labels, F.col("id") == F.col("label_id")).select(
-        "id", "text", "toxic", fold(F.col("id")).alias("fold")).filter("fold <> 2")
+def usable_labels(labels: DataFrame, id_col: str = "doc_id",
+                  label_col: str = "toxic") -> DataFrame:
+    """``label_id, toxic, fold`` of the labels outside the held-out quarter."""
+    return (labels.select(F.col(id_col).alias("label_id"), F.col(label_col).alias("toxic"))
+            .filter("label_id IS NOT NULL AND toxic IS NOT NULL")
+            .groupBy("label_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
+            .withColumn("fold", fold(F.col("label_id"))).filter("fold <> 2"))
 
 
-def train(labelled: DataFrame, calibration_rows: int = CALIBRATION_ROWS) -> CompressionModel:
-    """Train on ``id, text, toxic, fold`` rows.
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+          label_col: str = "toxic", calibration_rows: int = CALIBRATION_ROWS) -> CompressionModel:
+    """Train on the documents that ``labels`` covers.
 
-    Counts for the dictionaries are taken over all rows of folds 0 and 1. The curve is fitted
-    on the rows of fold 3, on at most ``calibration_rows`` of them, chosen by a hash of the id.
+    Counts for the dictionaries are taken over all documents of folds 0 and 1; their texts are
+    shuffled once (labels grow with the corpus, so they are never broadcast). The curve is
+    fitted on documents of fold 3, on at most ``calibration_rows`` of them, chosen by a hash of
+    the id, so their labels may be sent to every executor.
     """
-    for_words = labelled.filter("fold < 2")
-    terms = toxic_terms(for_words)
-    model = CompressionModel(ordinary=_dictionary(for_words, 0, None, ORDINARY_BYTES))
+    labels = cut_lineage(usable_labels(labels, id_col, label_col))
+    docs = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
+    same = F.col("id") == F.col("label_id")
+    counts = cut_lineage(word_counts(docs.filter(fold(F.col("id")) < 2)
+                                     .join(labels.filter("fold < 2").hint("merge"), same)))
+    terms = toxic_terms(counts)
+    model = CompressionModel(ordinary=_dictionary(counts, F.col("n") - F.col("toxic"),
+                                                  ORDINARY_BYTES))
     if terms:
-        whole = [t for t in terms if not t.endswith("*")]
-        begins = [t[:-1] for t in terms if t.endswith("*")]
-        marked = F.col("w").isin(whole)
+        marked = F.col("word").isin([t for t in terms if not t.endswith("*")])
         for n in range(SHORTEST, LONGEST + 1):
-            cut = [b for b in begins if len(b) == n]
+            cut = [t[:-1] for t in terms if t.endswith("*") and len(t) == n + 1]
             if cut:
-                marked |= F.substring("w", 1, n).isin(cut) & (F.length("w") > n)
-        model.toxic = _dictionary(for_words, 1, marked, TOXIC_BYTES)
-    rows = (labelled.filter("fold = 3").orderBy(F.xxhash64("id"), "id").limit(calibration_rows))
-    rows = _with_features(rows, model, ["toxic"], _feature_lists).collect()
+                marked |= F.substring("word", 1, n).isin(cut) & (F.length("word") > n)
+        model.toxic = _dictionary(counts.filter(marked), F.col("toxic"), TOXIC_BYTES)
+    chosen = labels.filter("fold = 3").withColumn("any", F.lit(1))
+    if chosen.count() > calibration_rows:
+        chosen = take_per_stratum(chosen, "label_id", "any", {1: calibration_rows})
+    chosen = chosen.select("label_id", "toxic")
+    rows = docs.filter(fold(F.col("id")) == 3).join(F.broadcast(chosen), same)
+    # A row per label chosen, however often its id stands in ``docs``.
+    rows = (_with_features(rows, model, ["id", "toxic"], _feature_lists).groupBy("id")
+            .agg(F.max("toxic").alias("toxic"), F.min("out").alias("out")).collect())
     y = np.array([r.toxic for r in rows], float)
     share = float(y.mean()) if len(y) else 0.0
     if 0 < share < 1:
@@ -266,12 +283,11 @@ def score(docs: DataFrame, model: CompressionModel, id_col: str = "doc_id",
 def drop_toxic(docs: DataFrame, model: CompressionModel, text_col: str = "text",
                decision: float = DECISION) -> DataFrame:
     """``docs`` without the documents that score ``decision`` or more; all columns stay."""
-    sent = docs.sparkSession.sparkContext.broadcast(
-        {k: getattr(model, k) for k in ("ordinary", "toxic", "means", "scales", "weights")})
+    sent = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("boolean")
     def clean(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        here = CompressionModel(**sent.value)
+        here = sent.value
         compressors = here.compressors()
         for column in columns:
             batch = pa.RecordBatch.from_arrays([column], names=["text"])

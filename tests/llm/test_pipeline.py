@@ -39,7 +39,7 @@ def trained(spark, frame):
     rows, labels = corpus()
     docs = frame(rows)
     marks = spark.createDataFrame(labels, "doc_id long, toxic int")
-    return docs, dict(labels), toxicity.train(toxicity.labelled_documents(docs, marks))
+    return docs, dict(labels), toxicity.train(docs, marks)
 
 
 def held_out(i):
@@ -61,7 +61,7 @@ def test_held_out_labels_are_not_used(spark, trained):
     docs, labels, model = trained
     turned = [(i, 1 - x if held_out(i) else x) for i, x in labels.items()]
     marks = spark.createDataFrame(turned, "doc_id long, toxic int")
-    again = toxicity.train(toxicity.labelled_documents(docs, marks))
+    again = toxicity.train(docs, marks)
     assert again.toxic == model.toxic and again.ordinary == model.ordinary
     assert (again.weights == model.weights).all()
 
@@ -76,7 +76,7 @@ def test_savings_match_single_compressions(trained):
         blanks = re.sub(r"[\t\n\v\f\r]", " ", brute.lower(text))
         padded = f" {blanks} ".encode()
         spans = [m.span() for m in re.finditer(rb"[^ ]+", padded)]
-        step, saved = toxicity.WINDOW // 2, []
+        step, saved = toxicity.STEP, []
         for at in range(0, len(spans), step):
             if at and at + toxicity.WINDOW - step >= len(spans):
                 break
@@ -89,11 +89,11 @@ def test_savings_match_single_compressions(trained):
 
 
 def test_toxicity_without_labels(spark, frame, odd):
-    docs = frame([(1, "some text"), (2, "other text")])
-    for rows, expected in (([], 0), ([(1, 1), (2, 1)], 1), ([(1, 0)], 0), ([(1, None)], 0)):
+    a, b = [i for i in range(100) if zlib.crc32(str(i).encode()) % 4 == 3][:2]
+    docs = frame([(a, "some text"), (b, "other text")])
+    for rows, expected in (([], 0), ([(a, 1), (b, 1)], 1), ([(a, 0)], 0), ([(a, None)], 0)):
         marks = spark.createDataFrame(rows, "doc_id long, toxic int")
-        model = toxicity.train(toxicity.labelled_documents(docs, marks).withColumn(
-            "fold", F.lit(3)))
+        model = toxicity.train(docs, marks)
         scores = [r.score for r in toxicity.score(docs, model).collect()]
         assert len(scores) == 2 and all(round(s) == expected for s in scores)
     assert toxicity.score(odd, model).count() == len(ODD_ROWS)
@@ -122,7 +122,7 @@ def test_near_duplicates_stage(spark, frame, odd):
 
 def test_pipeline_matches_plain_versions(spark, tables):
     docs = tables("documents")
-    model = toxicity.train(toxicity.labelled_documents(docs, tables("labels")))
+    model = toxicity.train(docs, tables("labels"))
     clean = [(r.id, r.score) for r in toxicity.score(docs, model).collect()]
     ids = {i for i, score in clean if score < toxicity.DECISION}
     rows = [(r.doc_id, r.text) for r in docs.collect() if r.doc_id in ids]
@@ -165,3 +165,12 @@ def test_query_matches_sql(spark, name):
 def test_every_operator_is_registered():
     numbers = {int(m[1]) for m in (re.match(r"op(\d+)_", q) for q in queries()) if m}
     assert numbers == set(range(1, 11)) and "pipeline" in queries()
+
+
+def test_calibration_rows_are_bounded(spark, frame, monkeypatch):
+    rows, labels = corpus(200)
+    seen = []
+    monkeypatch.setattr(toxicity, "_fit_curve", lambda x, y: seen.append(len(y)) or np.zeros(7))
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int")
+    toxicity.train(frame(rows), marks, calibration_rows=30)
+    assert seen == [30]
