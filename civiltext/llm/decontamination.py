@@ -21,9 +21,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from civiltext.llm import bloom
+from civiltext.llm.rows import row_key
 from civiltext.llm.words import BASE, LOWER, NOT_ALNUM, find_words, mix, slices
 from civiltext.sources.shared import cut_lineage
 
@@ -31,11 +32,6 @@ MIN_MATCH = 4
 THRESHOLD = 0.5
 
 
-def row_key(id_col: str, text_col: str) -> Column:
-    """What tells documents apart."""
-    return F.xxhash64(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")))
-
-
 def karp_rabin(tokens: np.ndarray, n: int) -> np.ndarray:
     """Hashes of all windows of ``n`` tokens."""
     if len(tokens) < n:

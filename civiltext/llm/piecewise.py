@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from civiltext.llm.words import BASE, INVERSE, mix, powers
+from civiltext.llm.words import INVERSE, mix, powers
 
 WINDOW = 7
 SMALLEST = 3

@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 
 PIECE_BYTES = 1 << 20            # texts handled together; longer ones are handled alone
+HASH_BYTES = 4 * PIECE_BYTES     # of a longer text that are hashed together
 BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -136,12 +137,26 @@ def find_words(column: pa.Array, separators: np.ndarray = BLANKS,
     after[edges[edges > 0] - 1] = False
     starts = np.flatnonzero(here & ~before)
     ends = np.flatnonzero(here & ~after) + 1
-    up = powers(size)
-    total = np.zeros(size + 1, np.uint64)
-    np.cumsum(_BYTE_VALUES[fold[data]] * up[:size], out=total[1:])
-    hashes = mix((total[ends] - total[starts]) * powers(size, INVERSE)[starts])
     first = np.searchsorted(starts, offsets)
-    return Words(data, offsets, starts, ends, hashes, first)
+    return Words(data, offsets, starts, ends, _hashes(data, starts, ends, fold), first)
+
+
+def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray,
+            fold: np.ndarray) -> np.ndarray:
+    """Word hashes; bytes are turned into numbers ``HASH_BYTES`` (or one word) at a time."""
+    out = np.empty(len(starts), np.uint64)
+    at = 0
+    while at < len(starts):
+        begin = starts[at]
+        stop = max(at + 1, int(np.searchsorted(ends, begin + HASH_BYTES, side="right")))
+        size = int(ends[stop - 1] - begin)
+        total = np.zeros(size + 1, np.uint64)
+        np.cumsum(_BYTE_VALUES[fold[data[begin:begin + size]]] * powers(size)[:size],
+                  out=total[1:])
+        a, b = starts[at:stop] - begin, ends[at:stop] - begin
+        out[at:stop] = mix((total[b] - total[a]) * powers(size, INVERSE)[a])
+        at = stop
+    return out
 
 
 def shingles(words: Words, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
