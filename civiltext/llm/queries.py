@@ -8,11 +8,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from civiltext.llm import (decontamination, jaccard_join, pieces, piecewise, sanitise, secrets,
                            sentence_spans, token_store, toxicity, warc)
+from civiltext.sources.corpus import read_texts
 from civiltext.sources.shared import scratch_path
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return read_texts(spark, f"{sf_dir}/{table}.parquet")
 
 
 def _count(spans: str, kind: str) -> Column:
@@ -49,7 +50,7 @@ def op3_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A toxicity score for every document, learned without the held-out quarter."""
     docs = _read(spark, sf_dir, "documents")
-    model = toxicity.train(toxicity.labelled_documents(docs, _read(spark, sf_dir, "labels")))
+    model = toxicity.train(docs, _read(spark, sf_dir, "labels"))
     return toxicity.score(docs, model).select(
         F.col("id").alias("doc_id"), (toxicity.fold(F.col("id")) == 2).alias("held_out"), "score",
         (F.col("score") >= toxicity.DECISION).cast("int").alias("predicted"))
@@ -153,4 +154,113 @@ SELECT p.page_id, p.n::BIGINT AS payload_bytes, b.digest AS payload_digest,
 FROM payloads p JOIN firsts f ON p.hex = f.hex JOIN base32 b ON p.hex = b.hex
 """
 
-SQL: dict[str, str] = {"op6_ngram_jaccard_join": _OP6, "op9_warc_normaliser": _OP9}
+_OP10 = r"""
+WITH tokens AS (
+  SELECT doc_id, unnest(t) AS token, unnest(range(len(t))) AS pos, len(t) AS n FROM (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+[\x20\x09-\x0D]*') AS t
+    FROM documents)),
+words AS (
+  SELECT doc_id, pos, token, translate(regexp_extract(token, '^[^\x20\x09-\x0D]+'),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS word,
+    pos = n - 1 OR regexp_matches(token, '[.!?]["'')\]}]?[\x20\x09-\x0D]*$')
+      OR regexp_matches(token, '[\x0A-\x0D]') AS closes FROM tokens),
+numbered AS (
+  SELECT *, coalesce(sum(closes::INT) OVER (PARTITION BY doc_id ORDER BY pos
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS sid FROM words),
+sentences AS (
+  SELECT doc_id, sid, count(*) AS n, min(pos) AS first, max(pos) + 1 AS stop,
+    string_agg(token, '' ORDER BY pos) AS text FROM numbered GROUP BY ALL),
+texts AS (SELECT doc_id, list(word ORDER BY pos) AS w FROM words GROUP BY doc_id),
+enough AS (
+  SELECT a.doc_id, a.sid AS i, b.sid AS j, a.first, b.stop
+  FROM sentences a JOIN sentences b ON a.doc_id = b.doc_id AND b.sid > a.sid AND b.sid < a.sid + 12
+  WHERE b.stop - a.first >= 12),
+shortest AS (
+  SELECT doc_id, i, min(j) AS j, any_value(first) AS first, min(stop) AS stop FROM enough
+  GROUP BY doc_id, i
+  UNION SELECT doc_id, max(i), j, max(first), any_value(stop) FROM enough GROUP BY doc_id, j),
+runs AS (
+  SELECT doc_id, i, j, array_to_string(w[first + 1:stop], ' ') AS run
+  FROM shortest JOIN texts USING (doc_id)),
+later AS (
+  SELECT doc_id, i, j FROM (SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, i) AS k
+    FROM runs) WHERE k > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i::BIGINT, j::BIGINT + 1)) AS sid FROM later),
+rest AS (
+  SELECT s.doc_id, count(g.sid) AS n_removed, coalesce(sum(s.n) FILTER (g.sid IS NOT NULL), 0)
+      AS words_removed, string_agg(s.text, '' ORDER BY s.sid) FILTER (g.sid IS NULL) AS text
+  FROM sentences s LEFT JOIN gone g ON s.doc_id = g.doc_id AND s.sid = g.sid GROUP BY s.doc_id)
+SELECT d.doc_id, CASE WHEN coalesce(n_removed, 0) = 0 THEN coalesce(d.text, '')
+    ELSE coalesce(trim(r.text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '') END
+    AS text, coalesce(n_removed, 0)::BIGINT AS n_removed,
+  coalesce(words_removed, 0)::BIGINT AS words_removed
+FROM documents d LEFT JOIN rest r ON d.doc_id = r.doc_id
+"""
+
+# The forms of personal data as the query's contract writes them.
+_FORMS = [("email", 0, r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "true"),
+          ("ip", 1, r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+",
+           r"regexp_full_match(v, '(?:0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])(?:\.|$)){4}')"),
+          ("card", 2, r"[0-9](?:[ -]?[0-9])+", "length(digits) BETWEEN 14 AND 19 AND luhn % 10 = 0"),
+          ("phone", 3, r"\+[0-9][ ().0-9-]+[0-9]", "length(digits) BETWEEN 10 AND 15")]
+
+
+def _found(source: str, column: str, keep: str, pattern: str) -> str:
+    """Matches of a pattern with their places, from the text between them."""
+    return f"""SELECT {keep}, m[k] AS v, (list_sum(list_transform(p[1:k], lambda x: length(x)))
+  + coalesce(list_sum(list_transform(m[1:k - 1], lambda x: length(x))), 0))::INT AS start
+FROM (SELECT {keep}, m, p, unnest(range(1, len(m) + 1)) AS k FROM (SELECT {keep},
+  regexp_extract_all({column}, '{pattern}') AS m, regexp_split_to_array({column}, '{pattern}') AS p
+  FROM {source}))"""
+
+
+def _personal_data(support: int, disclosure: float, width: int) -> str:
+    forms = " UNION ALL ".join(f"""SELECT doc_id, text, start, {number} AS number,
+  start + length(v) AS stop, '{kind}' AS kind, CASE WHEN {number} >= 2 THEN digits ELSE lower(v) END
+  AS value FROM (SELECT *, regexp_replace(v, '[^0-9]', '', 'g') AS digits,
+  list_sum(list_transform(range(length(regexp_replace(v, '[^0-9]', '', 'g'))), lambda i:
+    list_sum(list_transform(string_split((string_split(reverse(regexp_replace(v, '[^0-9]', '', 'g')),
+    '')[i + 1]::INT * (1 + i % 2))::VARCHAR, ''), lambda d: d::INT)))) AS luhn
+  FROM ({_found('docs', 'text', 'doc_id, text', pattern)})) WHERE {valid}"""
+                              for kind, number, pattern, valid in _FORMS)
+    word = r"\p{L}{3,}"
+    return f"""WITH docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+forms AS ({forms}),
+mentions AS (SELECT *, kind || ':' || value AS entity, greatest(start - {width}, 0) AS begin,
+  substr(text, greatest(start - {width}, 0) + 1, least(start, {width})) AS before,
+  substr(text, stop + 1, {width}) AS after FROM forms),
+terms AS (
+  SELECT doc_id, entity, before, after, lower(v) AS term, begin + start AS start,
+    begin + start + length(v) AS stop FROM ({_found('mentions', 'before',
+        'doc_id, entity, before, after, begin', word)}) WHERE NOT (begin > 0 AND start = 0)
+  UNION ALL SELECT doc_id, entity, before, after, lower(v), stop + start, stop + start + length(v)
+  FROM ({_found('mentions', 'after', 'doc_id, entity, before, after, stop', word)})
+  WHERE NOT (length(after) = {width} AND start + length(v) = length(after))),
+together AS (SELECT entity, term, count(DISTINCT (before, after)) AS pairs FROM terms
+  GROUP BY ALL HAVING count(DISTINCT (before, after)) >= {support}),
+named AS (SELECT entity, count(DISTINCT (doc_id, text)) AS n FROM mentions GROUP BY entity),
+known AS (SELECT term, count(*) AS n FROM (SELECT unnest(list_distinct(regexp_extract_all(lower(text),
+  '{word}'))) AS term FROM docs) GROUP BY term),
+reveals AS (SELECT entity, term FROM (SELECT entity, term, pairs, known.n AS with_term,
+    named.n / (SELECT count(*) FROM docs)::DOUBLE AS share
+    FROM together JOIN named USING (entity) JOIN known USING (term))
+  WHERE share < 1 AND log2(least(1.0, pairs / with_term::DOUBLE) / share) / -log2(share)
+    >= {disclosure}),
+spans AS (SELECT doc_id, start, number, stop, kind FROM forms UNION
+  SELECT doc_id, start, 4, stop, 'term' FROM terms JOIN reveals USING (entity, term)),
+joined AS (SELECT doc_id, string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, number,
+    stop) AS spans, string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, number, stop)
+    FILTER (number < 4) AS base, {', '.join(f"count(*) FILTER (kind = '{k}') AS n_{k}"
+                                             for k, *_ in _FORMS)} FROM spans GROUP BY doc_id)
+SELECT d.doc_id, {', '.join(f'coalesce(n_{k}, 0)::BIGINT AS n_{k}' for k, *_ in _FORMS)},
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs d LEFT JOIN joined j ON d.doc_id = j.doc_id"""
+
+
+SQL: dict[str, str] = {
+    "op6_ngram_jaccard_join": _OP6,
+    "op7_disclosure_sanitisation": _personal_data(sanitise.SUPPORT, sanitise.DISCLOSURE,
+                                                  sanitise.WIDTH),
+    "op9_warc_normaliser": _OP9,
+    "op10_sentence_spans": _OP10,
+}
