@@ -107,10 +107,10 @@ def decode_block(data: bytes, tokens: int, freq: np.ndarray, slots: np.ndarray,
     return out
 
 
-def encode_segment(documents: list[np.ndarray], block_tokens: int = BLOCK_TOKENS) -> bytes:
-    """A segment of the token ids of ``documents``."""
-    lengths = np.array([len(d) for d in documents], np.int64)
-    tokens = np.concatenate([np.zeros(0, np.uint32), *documents]).astype(np.uint32)
+def encode_segment(tokens: np.ndarray, lengths: np.ndarray,
+                   block_tokens: int = BLOCK_TOKENS) -> bytes:
+    """A segment of documents whose token ids stand one after the other in ``tokens``."""
+    lengths = np.asarray(lengths, np.int64)
     counts = np.bincount(tokens)
     symbols = np.flatnonzero(counts)
     counts = counts[symbols]
@@ -126,7 +126,7 @@ def encode_segment(documents: list[np.ndarray], block_tokens: int = BLOCK_TOKENS
         data = encode_block(index[begin:end], freq, scale)
         blocks.append((last + 1 - first, end - begin, data))
         begin, first = end, last + 1
-    head = _HEADER.pack(MAGIC, scale, len(symbols), len(blocks), len(documents))
+    head = _HEADER.pack(MAGIC, scale, len(symbols), len(blocks), len(lengths))
     table = np.column_stack([symbols, freq]).astype("<u4").tobytes()
     entries = [struct.pack("<IIII", n, t, len(data), zlib.crc32(data)) for n, t, data in blocks]
     return b"".join([head, table, lengths.astype("<u4").tobytes(), *entries,

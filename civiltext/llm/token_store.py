@@ -19,31 +19,37 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from civiltext.llm import rans
+from civiltext.llm.words import BLANKS, slices, text_bytes
 
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 0
 SEGMENT_TOKENS = 1 << 20       # a segment is closed by the document that reaches this
-CACHED_WORDS = 1_200_000       # per Python worker; the cache starts anew beyond
-WORDS = 4096                   # new words that are encoded together
-TEXTS = 256                    # whose new words are sent to the tokenizer together
+CACHED_WORDS = 2_000_000       # per Python worker; the cache starts anew beyond
+WORDS = 64                     # new words that are encoded together
+TEXT_BYTES = 8 << 20           # of texts whose words are looked up together
 
-#: Blanks that Unicode knows beside the ASCII ones.
+#: Blanks that Unicode knows beside the ASCII ones, and bytes one of which each has.
 _RARE_BLANK = re.compile(r"[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029"
                          r"\u202f\u205f\u3000]")
-#: Blanks that are not a single space or line break between words.
-_RUNS = ("  ", "\n ", " \n", "\n\n", "\t", "\v", "\f", "\r")
+_RARE_BYTES = np.zeros(256, bool)
+_RARE_BYTES[[0x1C, 0x1D, 0x1E, 0x1F, 0xC2, 0xE1, 0xE2, 0xE3]] = True
+_SINGLE = np.zeros(256, bool)          # blanks that may stand alone between words
+_SINGLE[[0x0A, 0x20]] = True
+_OTHER = BLANKS & ~_SINGLE
 
 
 class WordTokenizer:
     """A byte-level BPE tokenizer that remembers the ids of words.
 
     The tokenizer cuts a text before each blank that follows a word, whatever the word, so
-    texts whose blanks are single spaces and line breaks are encoded word by word. Any other
-    text, and one that names a special token, is given to the tokenizer whole.
+    texts whose blanks are single spaces and line breaks are encoded word by word: the distinct
+    words of many texts are looked up, and their ids put in place by index. Any other text, and
+    one that names a special token, is given to the tokenizer whole.
     """
 
     def __init__(self, vocabulary: str):
@@ -51,12 +57,13 @@ class WordTokenizer:
         import public_tokenizers
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(vocabulary))
-        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.special = re.compile("|".join(map(re.escape, special)) or r"(?!)")
-        (self.line,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
-        self.line_bytes = np.array([self.line], "<u4").tobytes()
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.line, self.space = (np.array(self.tokenizer.encode(c, add_special_tokens=False).ids,
+                                          "<u4") for c in "\n ")
+        if len(self.line) != 1:
+            raise ValueError("a line break has to be one token")
         #: Words at the start of a line, and words after a space.
-        self.first: dict[str, bytes] = {"": b""}
+        self.first: dict[str, bytes] = {}
         self.later: dict[str, bytes] = {}
 
     def _learn(self, known: dict[str, bytes], words: list[str], before: str) -> None:
@@ -68,7 +75,7 @@ class WordTokenizer:
             add_special_tokens=False) if parts else []
         for some, found in zip(parts, coded):
             ids = np.array(found.ids, "<u4")
-            ends = np.append(np.flatnonzero(ids == self.line), len(ids))
+            ends = np.append(np.flatnonzero(ids == self.line[0]), len(ids))
             if len(ends) != len(some):
                 raise ValueError("the tokenizer does not cut at line breaks")
             data, start = ids.tobytes(), 0
@@ -76,50 +83,80 @@ class WordTokenizer:
                 known[word] = data[start:end]
                 start = end + 4
 
-    def _lines(self, text: str) -> list[list[str]] | None:
-        if any(run in text for run in _RUNS) or self.special.search(text) \
-                or not text.isascii() and _RARE_BLANK.search(text):
-            return None
-        return [line.split(" ") for line in text.split("\n")]
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Token ids of each text."""
-        cut = [self._lines(t) for t in texts]
+    def _ids(self, known: dict[str, bytes], words: list[str], before: str) -> list[bytes]:
+        found = list(map(known.get, words))
+        if None in found:
+            self._learn(known, [w for w, ids in zip(words, found) if ids is None], before)
+            found = list(map(known.__getitem__, words))
+        return found
+
+    def _whole(self, texts: pa.Array) -> np.ndarray:
+        """Which texts have to be encoded whole."""
+        data, offsets = text_bytes(texts)
+        blank = BLANKS[data]
+        bad = _OTHER[data]
+        bad[1:] |= blank[1:] & blank[:-1]
+        starts = offsets[:-1][offsets[:-1] < len(data)]
+        bad[starts] = _OTHER[data[starts]]
+        whole = np.zeros(len(texts), bool)
+        whole[np.searchsorted(offsets, np.flatnonzero(bad), side="right") - 1] = True
+        for i in np.unique(np.searchsorted(offsets, np.flatnonzero(_RARE_BYTES[data]),
+                                           side="right") - 1):
+            whole[i] = whole[i] or bool(_RARE_BLANK.search(texts[int(i)].as_py()))
+        for name in self.special:
+            whole |= pc.match_substring(texts, name).to_numpy(zero_copy_only=False)
+        return whole
+
+    def _by_words(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, and how many each has."""
+        words = pc.split_pattern(pc.replace_substring(texts, "\n", " \n "), " ")
+        ends = words.offsets.to_numpy().astype(np.int64)
+        coded = words.flatten().dictionary_encode()
+        code, names = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+        line = coded.dictionary.index("\n").as_py()
+        starts = np.zeros(len(code), bool)
+        starts[ends[:-1][ends[:-1] < len(code)]] = True
+        starts[1:] |= code[:-1] == line
+        # Two words for each name: after a space, and at the start of a line (where it occurs).
+        opening = np.unique(code[starts])
+        special = {"\n": self.line.tobytes(), "": b""}
+        plain = [n if n not in special else None for n in names]
+        later = self._ids(self.later, [n for n in plain if n is not None], " ")
+        later = iter(later)
+        table = [next(later) if n is not None else None for n in plain]
+        if line >= 0:
+            table[line] = special["\n"]
+        empty = coded.dictionary.index("").as_py()
+        if empty >= 0:                       # a space that ends a text
+            table[empty] = self.space.tobytes()
+        at_start = [names[i] for i in opening.tolist()]
+        first = iter(self._ids(self.first, [n for n in at_start if n not in special], ""))
+        table += [special[n] if n in special else next(first) for n in at_start]
+        place = np.zeros(len(names), np.int64)
+        place[opening] = len(names) + np.arange(len(opening))
+        code = np.where(starts, place[code], code)
+        sizes = np.fromiter(map(len, table), np.int64, len(table)) // 4
+        ids = np.frombuffer(b"".join(table), "<u4")
+        begin = np.cumsum(sizes) - sizes
+        many = sizes[code]
+        total = np.concatenate([[0], np.cumsum(many)])
+        index = np.repeat(begin[code] - total[:-1], many) + np.arange(total[-1])
+        return ids[index], np.diff(total[ends])
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all ``texts`` one after the other, and how many each has."""
         if len(self.first) + len(self.later) > CACHED_WORDS:
-            self.first, self.later = {"": b""}, {}
-        first, later, at_start, after = self.first, self.later, set(), []
-        coded = []                           # ids of each word by line; None where unknown
-        for lines in cut:
-            found = []
-            for words in lines or ():
-                ids = [first.get(words[0])]
-                ids += map(later.get, words[1:])
-                if None in ids:
-                    if ids[0] is None:
-                        at_start.add(words[0])
-                    after += [w for w, i in zip(words[1:], ids[1:]) if i is None]
-                found.append(ids)
-            coded.append(found)
-        after = set(after)
-        if "" in after:                      # a space that ends a text
-            after.remove("")
-            later[""] = np.array(self.tokenizer.encode(" ", add_special_tokens=False).ids,
-                                 "<u4").tobytes()
-        self._learn(first, list(at_start), "")
-        self._learn(later, list(after), " ")
-        whole = [t for t, lines in zip(texts, cut) if lines is None]
-        others = iter(self.tokenizer.encode_batch_fast(whole, add_special_tokens=False)
-                      if whole else [])
-        out = []
-        for lines, found in zip(cut, coded):
-            if lines is None:
-                out.append(np.array(next(others).ids, np.uint32))
-                continue
-            for words, ids in zip(lines, found):
-                if None in ids:
-                    ids[:] = [first[words[0]], *map(later.__getitem__, words[1:])]
-            out.append(np.frombuffer(self.line_bytes.join(map(b"".join, found)), "<u4"))
-        return out
+            self.first, self.later = {}, {}
+        whole = self._whole(texts)
+        ids, sizes = self._by_words(texts.filter(pa.array(~whole)))
+        if not whole.any():
+            return ids, sizes
+        other = iter([np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(
+            texts.filter(pa.array(whole)).to_pylist(), add_special_tokens=False)])
+        cut = iter(np.split(ids, np.cumsum(sizes)[:-1]) if len(sizes) else [])
+        every = [next(other) if w else next(cut) for w in whole]
+        return (np.concatenate([np.zeros(0, np.uint32), *every]),
+                np.array([len(e) for e in every], np.int64))
 
 
 @functools.cache
@@ -135,34 +172,40 @@ def write_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     Texts are shuffled once, into ranges of ids; a task holds one segment at a time.
     """
     docs = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
-    end = np.array([end_id], np.uint32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq, start = TaskContext.get().partitionId(), 0, 0
-        ids, found, size = [], [], 0
+        ids, tokens, sizes, held = [], [], [], 0
 
         def segment() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
                 [pa.array([part], pa.int32()), pa.array([seq], pa.int32()),
-                 pa.array([start], pa.int64()), pa.array([size], pa.int64()),
+                 pa.array([start], pa.int64()), pa.array([held], pa.int64()),
                  pa.array([ids], pa.list_(id_type)),
-                 pa.array([rans.encode_segment(found)], pa.binary())],
+                 pa.array([rans.encode_segment(np.concatenate(tokens), np.concatenate(sizes))],
+                          pa.binary())],
                 names=["part", "seq", "start", "n_tokens", "ids", "segment"])
 
         for batch in batches:
             id_type = batch.schema.field("id").type
-            for at in range(0, batch.num_rows, TEXTS):
-                some = batch.slice(at, TEXTS)
-                texts = some.column("text").to_pylist()
-                for id_, tokens in zip(some.column("id").to_pylist(),
-                                       _tokenizer(vocabulary).encode(texts)):
-                    ids.append(id_)
-                    found.append(np.concatenate([tokens, end]))
-                    size += len(tokens) + 1
-                    if size >= segment_tokens:
+            for piece in slices(batch, "text", TEXT_BYTES):
+                found, many = _tokenizer(vocabulary).encode(piece.column("text"))
+                found = np.insert(found, np.cumsum(many), end_id)
+                many, names, at = many + 1, piece.column("id").to_pylist(), 0
+                ends = np.cumsum(many)
+                while at < len(many):
+                    before = int(ends[at] - many[at])
+                    stop = int(np.searchsorted(ends, before + segment_tokens - held)) + 1
+                    stop = min(stop, len(many))
+                    ids += names[at:stop]
+                    tokens.append(found[before:ends[stop - 1]])
+                    sizes.append(many[at:stop])
+                    held += int(ends[stop - 1]) - before
+                    at = stop
+                    if held >= segment_tokens:
                         yield segment()
-                        seq, start = seq + 1, start + size
-                        ids, found, size = [], [], 0
+                        seq, start = seq + 1, start + held
+                        ids, tokens, sizes, held = [], [], [], 0
         if ids:
             yield segment()
 
