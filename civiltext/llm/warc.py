@@ -141,6 +141,10 @@ class _Replacing:
             self.store.delete_file(self.draft)
 
 
+def _exists(store: fs.FileSystem, path: str) -> bool:
+    return store.get_file_info(path).type == fs.FileType.File
+
+
 def _one_task_each(spark: SparkSession, names: list[str]) -> DataFrame:
     """A row per archive, each in a partition of its own."""
     rows = list(enumerate(names))
@@ -187,15 +191,21 @@ def normalise(spark: SparkSession, names: list[str], source: str, target: str,
               level: int = LEVEL, remove_source: bool = False) -> None:
     """Rewrite archives so that every record is a gzip member of its own.
 
-    Beside each archive goes ``<name>.index``: a line ``offset length`` per record.
+    Beside each archive goes ``<name>.index``: a line ``offset length`` per record. With
+    ``remove_source`` an archive goes as soon as its rewritten form is complete; a task that runs
+    again finds that form instead.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name in batch.column("archive").to_pylist():
                 (store, root), (out, goal) = _open(source), _open(target)
                 at = n = 0
-                with _Replacing(out, f"{goal}/{name}") as file, \
-                        _Replacing(out, f"{goal}/{name}.index") as index, \
+                if remove_source and not _exists(store, f"{root}/{name}") \
+                        and _exists(out, f"{goal}/{name}.index"):
+                    continue
+                # The index is complete last: where it stands, the archive does.
+                with _Replacing(out, f"{goal}/{name}.index") as index, \
+                        _Replacing(out, f"{goal}/{name}") as file, \
                         store.open_input_stream(f"{root}/{name}", compression=None) as mono:
                     for data in records(inflate(mono)):
                         machine = zlib.compressobj(level, zlib.DEFLATED, _GZIP)
@@ -203,6 +213,8 @@ def normalise(spark: SparkSession, names: list[str], source: str, target: str,
                         file.write(member)
                         index.write(f"{at} {len(member)}\n".encode())
                         at, n = at + len(member), n + 1
+                if remove_source:
+                    store.delete_file(f"{root}/{name}")
                 yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["records"])
 
     _one_task_each(spark, names).mapInArrow(run, "records long").agg(F.sum("records")).collect()

@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from conftest import ODD_ROWS
 from tokenizers import Tokenizer
@@ -18,9 +19,19 @@ TEXTS = ["", " ", "a", " a b", "a b ", "a  b", "a \nb", "a\n b", "\n", "\n\n", "
          "tail  ", "word " * 500, "▁ ▁a ▁▁", "\U0001f600 ok", "﻿a ​ b"]
 
 
+def encoded(coder, texts):
+    ids, sizes = coder.encode(pa.array(texts, pa.string()))
+    return np.split(ids, np.cumsum(sizes)[:-1])
+
+
+def packed(docs, **options):
+    tokens = np.concatenate([np.zeros(0, np.uint32), *docs])
+    return rans.encode_segment(tokens, [len(d) for d in docs], **options)
+
+
 def test_words_encode_as_the_whole_text():
     plain = Tokenizer.from_file(public_tokenizers.path(token_store.VOCABULARY))
-    got = token_store.WordTokenizer(token_store.VOCABULARY).encode(TEXTS)
+    got = encoded(token_store.WordTokenizer(token_store.VOCABULARY), TEXTS)
     for text, ids in zip(TEXTS, got):
         assert ids.tolist() == plain.encode(text, add_special_tokens=False).ids, repr(text)
 
@@ -31,7 +42,7 @@ def test_documents_encode_as_the_whole_text(tables, monkeypatch):
     plain = Tokenizer.from_file(public_tokenizers.path(token_store.VOCABULARY))
     coder = token_store.WordTokenizer(token_store.VOCABULARY)
     for at in range(0, len(texts), 20):
-        for text, ids in zip(texts[at:at + 20], coder.encode(texts[at:at + 20])):
+        for text, ids in zip(texts[at:at + 20], encoded(coder, texts[at:at + 20])):
             assert ids.tolist() == plain.encode(text, add_special_tokens=False).ids
 
 
@@ -39,7 +50,7 @@ def test_segments_round_trip():
     rng = np.random.default_rng(1)
     for sizes in ([], [0], [1], [0, 5, 0], [300_000], list(rng.integers(0, 3000, 200))):
         docs = [(rng.zipf(1.3, n) % 50_000).astype(np.uint32) for n in sizes]
-        coded = rans.encode_segment(docs, block_tokens=50_000)
+        coded = packed(docs, block_tokens=50_000)
         back = rans.Segment.open(coded).documents()
         assert [d.tolist() for d in back] == [d.tolist() for d in docs]
     assert len(coded) < 4 * sum(sizes)
@@ -57,7 +68,7 @@ def test_decoding_from_a_checkpoint():
 
 
 def test_damage_is_noticed():
-    coded = bytearray(rans.encode_segment([np.arange(1000, dtype=np.uint32)]))
+    coded = bytearray(packed([np.arange(1000, dtype=np.uint32)]))
     coded[-5] ^= 1
     with pytest.raises(ValueError):
         rans.Segment.open(bytes(coded)).documents()
@@ -230,3 +241,12 @@ def test_members_are_found_by_index(spark, tmp_path):
         whole = b"".join(warc.read_member(io.BytesIO(data), *map(int, line.split()))
                          for line in reversed(lines))
         assert len(whole) == len(b"".join(warc.inflate(io.BytesIO(data))))
+
+
+def test_normalising_again_finds_what_is_complete(spark, tmp_path):
+    archived(spark, PAGES, str(tmp_path))
+    names = sorted(p.name for p in (tmp_path / "members").glob("*.gz"))
+    before = [(tmp_path / "members" / n).read_bytes() for n in names]
+    (tmp_path / "mono").mkdir()
+    warc.normalise(spark, names, f"{tmp_path}/mono", f"{tmp_path}/members", remove_source=True)
+    assert [(tmp_path / "members" / n).read_bytes() for n in names] == before
