@@ -29,7 +29,7 @@ from civiltext.llm.words import BLANKS, slices, text_bytes
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 0
 SEGMENT_TOKENS = 1 << 20       # a segment is closed by the document that reaches this
-CACHED_WORDS = 2_000_000       # per Python worker; the cache starts anew beyond
+CACHED_WORDS = 1_600_000       # per Python worker, in two generations
 WORDS = 64                     # new words that are encoded together
 TEXT_BYTES = 8 << 20           # of texts whose words are looked up together
 
@@ -43,6 +43,27 @@ _SINGLE[[0x0A, 0x20]] = True
 _OTHER = BLANKS & ~_SINGLE
 
 
+class Recent:
+    """Ids of the words seen last: those of this generation and of the one before."""
+
+    def __init__(self, always: dict[str, bytes]):
+        self.always = always
+        self.new, self.old = dict(always), {}
+
+    def turn(self, size: int) -> None:
+        """Start a generation if this one holds ``size`` words."""
+        if len(self.new) >= size:
+            self.new, self.old = dict(self.always), self.new
+
+    def take_over(self, words: list[str]) -> list[str]:
+        """Bring ``words`` into this generation; returns those that are not known."""
+        if not self.old:
+            return words
+        found = list(map(self.old.get, words))
+        self.new.update((w, ids) for w, ids in zip(words, found) if ids is not None)
+        return [w for w, ids in zip(words, found) if ids is None]
+
+
 class WordTokenizer:
     """A byte-level BPE tokenizer that remembers the ids of words.
 
@@ -62,32 +83,42 @@ class WordTokenizer:
                                           "<u4") for c in "\n ")
         if len(self.line) != 1:
             raise ValueError("a line break has to be one token")
-        #: Words at the start of a line, and words after a space.
-        self.first: dict[str, bytes] = {}
-        self.later: dict[str, bytes] = {}
+        size = self.tokenizer.get_vocab_size()
+        #: Tokens that start with a space, as the first token of a word after a space does.
+        self.opens = np.array([(self.tokenizer.id_to_token(i) or "").startswith("\u0120")
+                               for i in range(size)])
+        #: Words at the start of a line, and words after a space; a space that ends a text and a
+        #: line break are words of their own.
+        line = self.line.tobytes()
+        self.first = Recent({"\n": line, "": b""})
+        self.later = Recent({"\n": line, "": self.space.tobytes()})
 
-    def _learn(self, known: dict[str, bytes], words: list[str], before: str) -> None:
-        """Encode new words, many at a time with line breaks between: no word holds one, so
-        their id tells words apart."""
+    def _learn(self, known: dict[str, bytes], words: list[str], spaced: bool) -> None:
+        """Encode new words, many at a time: spaces before them, or line breaks between them,
+        tell their ids apart, as no word holds either."""
         parts = [words[at:at + WORDS] for at in range(0, len(words), WORDS)]
-        coded = self.tokenizer.encode_batch_fast(
-            ["\n".join([before + w for w in some]) for some in parts],
-            add_special_tokens=False) if parts else []
+        texts = [" " + " ".join(some) if spaced else "\n".join(some) for some in parts]
+        coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False) if parts else []
         for some, found in zip(parts, coded):
             ids = np.array(found.ids, "<u4")
-            ends = np.append(np.flatnonzero(ids == self.line[0]), len(ids))
-            if len(ends) != len(some):
-                raise ValueError("the tokenizer does not cut at line breaks")
-            data, start = ids.tobytes(), 0
-            for word, end in zip(some, (4 * ends).tolist()):
-                known[word] = data[start:end]
-                start = end + 4
-
-    def _ids(self, known: dict[str, bytes], words: list[str], before: str) -> list[bytes]:
-        found = list(map(known.get, words))
+            if spaced:
+                begin = np.flatnonzero(self.opens[ids])
+                end = np.append(begin[1:], len(ids))
+            else:
+                end = np.append(np.flatnonzero(ids == self.line[0]), len(ids))
+                begin = np.append(0, end[:-1] + 1)
+            if len(begin) != len(some):
+                raise ValueError("the tokenizer does not cut at blanks")
+            data = ids.tobytes()
+            for word, a, b in zip(some, (4 * begin).tolist(), (4 * end).tolist()):
+                known[word] = data[a:b]
+
+    def _ids(self, known: Recent, words: list[str], spaced: bool) -> list[bytes]:
+        found = list(map(known.new.get, words))
         if None in found:
-            self._learn(known, [w for w, ids in zip(words, found) if ids is None], before)
-            found = list(map(known.__getitem__, words))
+            self._learn(known.new, known.take_over(
+                [w for w, ids in zip(words, found) if ids is None]), spaced)
+            found = list(map(known.new.__getitem__, words))
         return found
 
     def _whole(self, texts: pa.Array) -> np.ndarray:
@@ -119,19 +150,8 @@ class WordTokenizer:
         starts[1:] |= code[:-1] == line
         # Two words for each name: after a space, and at the start of a line (where it occurs).
         opening = np.unique(code[starts])
-        special = {"\n": self.line.tobytes(), "": b""}
-        plain = [n if n not in special else None for n in names]
-        later = self._ids(self.later, [n for n in plain if n is not None], " ")
-        later = iter(later)
-        table = [next(later) if n is not None else None for n in plain]
-        if line >= 0:
-            table[line] = special["\n"]
-        empty = coded.dictionary.index("").as_py()
-        if empty >= 0:                       # a space that ends a text
-            table[empty] = self.space.tobytes()
-        at_start = [names[i] for i in opening.tolist()]
-        first = iter(self._ids(self.first, [n for n in at_start if n not in special], ""))
-        table += [special[n] if n in special else next(first) for n in at_start]
+        table = self._ids(self.later, names, True) \
+            + self._ids(self.first, [names[i] for i in opening.tolist()], False)
         place = np.zeros(len(names), np.int64)
         place[opening] = len(names) + np.arange(len(opening))
         code = np.where(starts, place[code], code)
@@ -145,8 +165,8 @@ class WordTokenizer:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all ``texts`` one after the other, and how many each has."""
-        if len(self.first) + len(self.later) > CACHED_WORDS:
-            self.first, self.later = {}, {}
+        for known in (self.first, self.later):
+            known.turn(CACHED_WORDS // 2)
         whole = self._whole(texts)
         ids, sizes = self._by_words(texts.filter(pa.array(~whole)))
         if not whole.any():
