@@ -29,7 +29,7 @@ from civiltext.llm.words import BLANKS, slices, text_bytes
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 0
 SEGMENT_TOKENS = 1 << 20       # a segment is closed by the document that reaches this
-CACHED_WORDS = 1_600_000       # per Python worker, in two generations
+CACHED_WORDS = 1_300_000       # per Python worker, in two generations
 WORDS = 64                     # new words that are encoded together
 TEXT_BYTES = 8 << 20           # of texts whose words are looked up together
 
