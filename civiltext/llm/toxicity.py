@@ -3,12 +3,13 @@
 Labels belong to documents, so which stretches of a toxic document are the toxic ones is
 learned first: words, and beginnings of words, whose document frequency in toxic documents
 far exceeds that in ordinary ones (counted over all labelled training documents) mark a word
-as toxic. Two zstandard dictionaries are then trained, each of the words of its text that occur in
-most documents, the commonest last, where references are shortest: one of ordinary words, one
-of toxic words followed by the same ordinary words, so that ordinary text compresses alike.
+as toxic. Zstandard dictionaries, which are lists of words, are then made, the commonest words
+last, where references are shortest: one of the ordinary words that occur in most documents, and
+as many as needed of toxic words, each followed by the same ordinary words, so that ordinary text
+compresses alike. Every marked word is in one of them, however many there are.
 
 A document is compressed in windows of ``WINDOW`` words, each ``STEP`` words further, once with
-either dictionary. What the toxic dictionary saves, over the windows, makes a few features; a
+each dictionary. What the best toxic dictionary saves, over the windows, makes a few features; a
 logistic curve, fitted on labelled documents that no dictionary was trained on, turns them
 into a score. Scores depend on the text alone.
 
@@ -35,13 +36,12 @@ from civiltext.sources.shared import cut_lineage
 
 WINDOW, STEP = 6, 6            # words
 ORDINARY_BYTES = 64_000        # of the ordinary dictionary
-TOXIC_BYTES = 512              # of the toxic one: few words keep chance matches rare
+TOXIC_BYTES = 64_000           # of a toxic one; further words go to further dictionaries
 LEVEL = 12
 SHORTEST, LONGEST = 4, 8       # code points of word beginnings
 MIN_DOCUMENTS = 4              # toxic documents a term must occur in
 MIN_DEVIATIONS = 6.0           # above the expected number of toxic documents
 MIN_LOG_RATIO = 2.0            # of its shares in toxic and ordinary documents
-MAX_TERMS = 2_000
 CALIBRATION_ROWS = 20_000      # labelled documents the curve is fitted on, at most
 DECISION = 0.3
 FOLDS = 4
@@ -64,33 +64,38 @@ def _beginnings(word: Column) -> Column:
     return F.filter(F.concat(F.array(word), cut), lambda t: t.isNotNull())
 
 
-def word_counts(labelled: DataFrame) -> DataFrame:
-    """``word, toxic, n``: in how many toxic documents a word is, and in how many of all."""
-    return (labelled.select("toxic", F.explode(_words(F.col("text"))).alias("word"))
-            .groupBy("word").agg(F.sum("toxic").alias("toxic"), F.count("*").alias("n")))
+def term_counts(labelled: DataFrame) -> DataFrame:
+    """``term, toxic, n``: in how many toxic documents a word or a beginning of words is, and in
+    how many of all. A document counts once for a beginning, however many words of it have it."""
+    terms = F.array_distinct(F.flatten(F.transform(_words(F.col("text")), _beginnings)))
+    return (labelled.select("toxic", F.explode(terms).alias("term"))
+            .groupBy("term").agg(F.sum("toxic").alias("toxic"), F.count("*").alias("n")))
 
 
-def toxic_terms(counts: DataFrame) -> list[str]:
-    """Terms that mark toxic documents, strongest first, from ``word_counts``.
+def toxic_words(counts: DataFrame) -> DataFrame | None:
+    """``term, toxic`` of the words that mark toxic documents, from ``term_counts``.
 
-    What is counted are pairs of a document and a word in it, by words and by beginnings.
+    A word is marked by itself or by one of its beginnings. None without documents of both kinds.
     """
-    toxic, n = counts.agg(F.sum("toxic"), F.sum("n")).first()
+    words = counts.filter(~F.col("term").endswith("*"))
+    toxic, n = words.agg(F.sum("toxic"), F.sum("n")).first()
     if not toxic or toxic == n:
-        return []
-    terms = (counts.filter(F.length("word") >= SHORTEST)
-             .select("toxic", "n", F.explode(_beginnings(F.col("word"))).alias("term"))
-             .groupBy("term").agg(F.sum("toxic").alias("a"), F.sum("n").alias("n")))
+        return None
     share = toxic / n
     expected = F.col("n") * share
-    above = (F.col("a") - expected) / F.sqrt(expected * (1 - share))
-    ratio = F.log((F.col("a") + 0.5) / (toxic + 1)) \
-        - F.log((F.col("n") - F.col("a") + 0.5) / (n - toxic + 1))
-    found = (terms.filter(F.col("a") >= MIN_DOCUMENTS)
-             .select("term", F.round(1000 * above).cast("long").alias("tf"))
-             .filter((F.col("tf") > 1000 * MIN_DEVIATIONS) & (ratio > MIN_LOG_RATIO)))
-    strongest = vocabulary(cut_lineage(found), MAX_TERMS).collect()
-    return [r.term for r in sorted(strongest, key=lambda r: (-r.tf, r.term))]
+    above = (F.col("toxic") - expected) / F.sqrt(expected * (1 - share))
+    ratio = F.log((F.col("toxic") + 0.5) / (toxic + 1)) \
+        - F.log((F.col("n") - F.col("toxic") + 0.5) / (n - toxic + 1))
+    found = counts.filter((F.col("toxic") >= MIN_DOCUMENTS) & (above > MIN_DEVIATIONS)
+                          & (ratio > MIN_LOG_RATIO)).select(F.col("term").alias("found"))
+    return (words.filter("toxic > 0")
+            .select("term", "toxic", F.explode(_beginnings(F.col("term"))).alias("found"))
+            .join(found, "found", "left_semi").select("term", "toxic").distinct())
+
+
+def _packed(words: list[bytes]) -> bytes:
+    """A dictionary of ``words``, the first one last."""
+    return b"".join(reversed(words)) + b" " * bool(words)
 
 
 def _dictionary(counts: DataFrame, number: Column, size: int) -> bytes:
@@ -98,7 +103,8 @@ def _dictionary(counts: DataFrame, number: Column, size: int) -> bytes:
 
     A word has at least two bytes here, so at most ``size / 2`` words come to the driver.
     """
-    listed = counts.select(F.col("word").alias("term"), number.alias("tf")).filter("tf > 0")
+    listed = counts.filter(~F.col("term").endswith("*")) \
+                   .select("term", number.alias("tf")).filter("tf > 0")
     top = sorted(vocabulary(listed, size // 2).collect(), key=lambda r: (-r.tf, r.term))
     out, room = [], size
     for row in top:
@@ -107,23 +113,37 @@ def _dictionary(counts: DataFrame, number: Column, size: int) -> bytes:
             break
         out.append(word)
         room -= len(word)
-    return b"".join(reversed(out)) + b" " * bool(out)
+    return _packed(out)
+
+
+def _toxic_dictionaries(marked: DataFrame, size: int) -> tuple[bytes, ...]:
+    """All marked words, the commonest first, in dictionaries of some ``size`` bytes each."""
+    parts, room = [[]], size
+    for row in sorted(marked.collect(), key=lambda r: (-r.toxic, r.term)):
+        word = b" " + row.term.encode()
+        if len(word) > room and parts[-1]:
+            parts.append([])
+            room = size
+        parts[-1].append(word)
+        room -= len(word)
+    return tuple(map(_packed, parts))
 
 
 @dataclass
 class CompressionModel:
-    """Two dictionaries and the curve that turns savings into a score."""
+    """The dictionaries and the curve that turns savings into a score."""
 
     ordinary: bytes = b""
-    toxic: bytes = b""
+    toxic: tuple[bytes, ...] = (b"",)
     means: np.ndarray = field(default_factory=lambda: np.zeros(6))
     scales: np.ndarray = field(default_factory=lambda: np.ones(6))
     weights: np.ndarray = field(default_factory=lambda: np.zeros(7))
 
     def compressors(self) -> list[zstandard.ZstdCompressor]:
-        """One for either dictionary; lengths hold nothing but compressed text."""
+        """One for each dictionary, the ordinary one first; lengths hold nothing but
+        compressed text."""
         out = []
-        for content in (self.ordinary, self.toxic + self.ordinary):
+        for content in (self.ordinary, *(part + self.ordinary for part in self.toxic)):
             settings = zstandard.ZstdCompressionParameters.from_level(
                 LEVEL, source_size=64, dict_size=len(content),
                 format=zstandard.FORMAT_ZSTD1_MAGICLESS, write_content_size=False,
@@ -147,7 +167,7 @@ def _lengths(compressor: zstandard.ZstdCompressor, data: bytes,
 
 
 def savings(column: pa.Array, compressors, window: int = WINDOW, step: int = STEP) -> np.ndarray:
-    """Features of each text: how many bytes the toxic dictionary saves over its windows."""
+    """Features of each text: how many bytes the best toxic dictionary saves on its windows."""
     words = find_words(column)
     n = len(words.counts)
     many = np.where(words.counts > 0, np.maximum(0, -(-(words.counts - window) // step)) + 1, 0)
@@ -165,8 +185,8 @@ def savings(column: pa.Array, compressors, window: int = WINDOW, step: int = STE
         text[(text >= 9) & (text <= 13)] = 32
         padded = b" " + text.tobytes() + b" "
         windows = np.stack([start, size], axis=1)
-        plain, toxic = (_lengths(c, padded, windows) for c in compressors)
-        saved = np.maximum(plain - toxic, 0).astype(float)
+        plain, *toxic = (_lengths(c, padded, windows) for c in compressors)
+        saved = np.maximum(plain - np.min(toxic, axis=0), 0).astype(float)
 
     def per_text(values: np.ndarray) -> np.ndarray:
         return np.bincount(doc, values, minlength=n)[:n] if len(doc) else np.zeros(n)
@@ -242,18 +262,16 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     labels = cut_lineage(usable_labels(labels, id_col, label_col))
     docs = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
     same = F.col("id") == F.col("label_id")
-    counts = cut_lineage(word_counts(docs.filter(fold(F.col("id")) < 2)
+    counts = cut_lineage(term_counts(docs.filter(fold(F.col("id")) < 2)
                                      .join(labels.filter("fold < 2").hint("merge"), same)))
-    terms = toxic_terms(counts)
-    model = CompressionModel(ordinary=_dictionary(counts, F.col("n") - F.col("toxic"),
-                                                  ORDINARY_BYTES))
-    if terms:
-        marked = F.col("word").isin([t for t in terms if not t.endswith("*")])
-        for n in range(SHORTEST, LONGEST + 1):
-            cut = [t[:-1] for t in terms if t.endswith("*") and len(t) == n + 1]
-            if cut:
-                marked |= F.substring("word", 1, n).isin(cut) & (F.length("word") > n)
-        model.toxic = _dictionary(counts.filter(marked), F.col("toxic"), TOXIC_BYTES)
+    model, ordinary = CompressionModel(), counts
+    marked = toxic_words(counts)
+    if marked is not None:
+        marked = cut_lineage(marked)
+        model.toxic = _toxic_dictionaries(marked, TOXIC_BYTES)
+        # What stands in both dictionaries saves nothing.
+        ordinary = counts.join(marked.select("term"), "term", "left_anti")
+    model.ordinary = _dictionary(ordinary, F.col("n") - F.col("toxic"), ORDINARY_BYTES)
     chosen = labels.filter("fold = 3").withColumn("any", F.lit(1))
     if chosen.count() > calibration_rows:
         chosen = take_per_stratum(chosen, "label_id", "any", {1: calibration_rows})

@@ -174,3 +174,51 @@ def test_calibration_rows_are_bounded(spark, frame, monkeypatch):
     marks = spark.createDataFrame(labels, "doc_id long, toxic int")
     toxicity.train(frame(rows), marks, calibration_rows=30)
     assert seen == [30]
+
+
+def many_toxic_words(spark, frame, n=2400):
+    """Documents of ordinary words, a tenth of them with a few of 150 toxic words, some short."""
+    rng = random.Random(5)
+    new = lambda k: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=k))
+    ordinary, toxic = [new(6) for _ in range(300)], [new(7) for _ in range(147)]
+    toxic += ["qzx", "vkj", "wq"]
+    rows, labels, turn = [], [], 0
+    for i in range(n):
+        text = rng.choices(ordinary, k=50)
+        if i % 10 == 0:
+            for at in rng.sample(range(50), 10):
+                text[at] = toxic[turn % len(toxic)]
+                turn += 1
+        rows.append((i, " ".join(text)))
+        labels.append((i, int(i % 10 == 0)))
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int")
+    return toxic, ordinary, toxicity.train(frame(rows), marks)
+
+
+@pytest.mark.parametrize("size", [None, 400])
+def test_every_toxic_word_counts(spark, frame, monkeypatch, size):
+    if size:
+        monkeypatch.setattr(toxicity, "TOXIC_BYTES", size)
+    toxic, ordinary, model = many_toxic_words(spark, frame)
+    learned = b"".join(model.toxic).decode().split()
+    assert sum(w in learned for w in toxic) > 0.9 * len(toxic) and not set(ordinary) & set(learned)
+    assert {"qzx", "vkj", "wq"} <= set(learned)
+    assert len(model.toxic) == 1 if size is None else len(model.toxic) > 2
+    # Ten toxic words in each text, from the rarest on, which a full dictionary left out.
+    def mixed(words):
+        return " ".join(w for i, word in enumerate(words)
+                        for w in [*ordinary[4 * i:4 * i + 4], word])
+
+    texts = [(i, mixed(learned[i:i + 10])) for i in range(0, len(learned) - 10, 10)]
+    scores = toxicity.score(frame(texts), model).collect()
+    assert all(r.score >= toxicity.DECISION for r in scores)
+    clean = toxicity.score(frame([(1, " ".join(ordinary[:50]))]), model).first().score
+    assert clean < toxicity.DECISION
+
+
+def test_a_beginning_counts_once_per_document(spark):
+    rows = [(1, "gruntal gruntel gruntil gruntol gruntul")] + [(0, f"plain text {i}")
+                                                             for i in range(300)]
+    counts = toxicity.term_counts(spark.createDataFrame(rows, "toxic int, text string"))
+    assert [r.toxic for r in counts.filter("term = 'grunt*'").collect()] == [1]
+    assert toxicity.toxic_words(counts).collect() == []
