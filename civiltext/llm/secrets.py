@@ -6,9 +6,14 @@ overlapping per kind. The token-efficiency test adds spans of kind ``random``: a
 token, under a byte-pair vocabulary, is at most ``MAX_RATIO``. Text of any language is made of
 pieces the vocabulary knows; random strings fall apart into one or two characters per token.
 
+The test is made on a whole run of such characters, on its parts between ``= / _ -``, and on
+every stretch of ``MIN_LENGTH`` characters (to the end of a token), so readable words before or
+after a random string do not hide it. A part is taken whole if half of it or more is in such
+stretches; of a longer one only the stretches are.
+
 Not random are what is known to look so: digests (hexadecimal strings of the lengths of MD5,
-SHA-1, SHA-256 and SHA-512), UUIDs, numbers, and strings without both a letter and a digit.
-They are left out of the added kind only; patterns above keep finding them.
+SHA-1, SHA-256 and SHA-512) and UUIDs, as a run or as parts of one, and strings without a
+letter. They are left out of the added kind only; patterns above keep finding them.
 
 A missing text is empty. Rows are handled one by one, so repeated rows get equal results.
 Offsets are code points, ends are exclusive.
@@ -36,9 +41,11 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{32,}")       # shorter runs fail; a run is taken whole either way
 _NAMES = ("password", "passwd", "secret", "token", "apikey", "api_key")
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % MIN_LENGTH)
-_DIGEST = re.compile(r"(?i:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{64}|[0-9a-f]{128})\Z")
-_UUID = re.compile(r"(?i:[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12})\Z")
-_DIGIT, _LETTER = re.compile(r"[0-9]"), re.compile(r"[A-Za-z]")
+_KNOWN = re.compile(      # digests and UUIDs that other letters and digits do not go on
+    r"(?i)(?<![0-9a-z+])(?:[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}"
+    r"|[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{64}|[0-9a-f]{128})(?![0-9a-z+])")
+_PART = re.compile(r"[^=/_-]+")
+_LETTER = re.compile(r"[A-Za-z]")
 
 
 @functools.cache
@@ -64,19 +71,62 @@ def known_forms(text: str) -> list[tuple[int, int, str]]:
     return sorted(spans, key=lambda s: (s[0], KINDS.index(s[2])))
 
 
+def _random_parts(value: str, max_ratio: float, vocabulary: str) -> list[tuple[int, int]]:
+    """Places of random strings in a run without digests and UUIDs, in order."""
+    if len(value) < MIN_LENGTH or not _LETTER.search(value):
+        return []
+    encoding = _encoding(vocabulary)
+    ids = encoding.encode_ordinary(value)
+    if len(value) <= max_ratio * len(ids):
+        return [(0, len(value))]
+    at = [0]
+    for piece in encoding.decode_tokens_bytes(ids):
+        at.append(at[-1] + len(piece))
+    hidden, j = [], 0         # stretches that fail the test, not overlapping, in order
+    for i, start in enumerate(at):
+        while j < len(at) and at[j] - start < MIN_LENGTH:
+            j += 1
+        if j == len(at):
+            break
+        if at[j] - start <= max_ratio * (j - i) and _LETTER.search(value, start, at[j]):
+            if hidden and start <= hidden[-1][1]:
+                hidden[-1][1] = at[j]
+            else:
+                hidden.append([start, at[j]])
+    out, k = [], 0
+    for part in _PART.finditer(value):
+        begin, end = part.span()
+        while k < len(hidden) and hidden[k][1] <= begin:
+            k += 1
+        inside, n = [], k
+        while n < len(hidden) and hidden[n][0] < end:
+            inside.append((max(begin, hidden[n][0]), min(end, hidden[n][1])))
+            n += 1
+        whole = 2 * sum(b - a for a, b in inside) >= end - begin
+        if not whole and end - begin >= MIN_LENGTH and _LETTER.search(part[0]):
+            whole = end - begin <= max_ratio * len(encoding.encode_ordinary(part[0]))
+        # Less than half of a part is random: a stretch that only reaches into it is left out.
+        found = [(begin, end)] if whole else [s for s in inside if s[1] - s[0] >= MIN_LENGTH]
+        for a, b in found:
+            # Parts of one random string are one span, with what stands between them.
+            if out and any(x <= out[-1][1] and a <= y for x, y in hidden[max(0, k - 1):k + 1]):
+                out[-1] = (out[-1][0], b)
+            else:
+                out.append((a, b))
+    return out
+
+
 def random_strings(text: str, max_ratio: float = MAX_RATIO,
                    vocabulary: str = VOCABULARY) -> list[tuple[int, int, str]]:
     """``start, end, kind`` of strings with few characters per token."""
     spans = []
     for m in _CANDIDATE.finditer(text):
-        value = m[0]
-        if not _DIGIT.search(value) or not _LETTER.search(value):
-            continue
-        if _DIGEST.match(value) or _UUID.match(value):
-            continue
-        tokens = len(_encoding(vocabulary).encode_ordinary(value))
-        if len(value) <= max_ratio * tokens:
-            spans.append((*m.span(), "random"))
+        at = m.start()
+        for known in [*_KNOWN.finditer(m[0]), None]:
+            end = m.start() + known.start() if known else m.end()
+            spans += [(at + a, at + b, "random")
+                      for a, b in _random_parts(text[at:end], max_ratio, vocabulary)]
+            at = m.start() + known.end() if known else end
     return spans
 
 

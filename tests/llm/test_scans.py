@@ -2,7 +2,9 @@
 
 import hashlib
 import math
+import random
 import re
+import string
 from collections import defaultdict
 
 from conftest import ODD_ROWS
@@ -167,3 +169,33 @@ def test_personal_data_of_odd_rows(odd, frame):
     assert sanitise.find_personal_data(frame([])).collect() == []
     assert secrets.find_secrets(odd).filter(F.size("spans") > 0).count() == 0
     assert secrets.find_secrets(frame([])).collect() == []
+
+
+def test_random_strings_beside_readable_words():
+    rng = random.Random(9)
+    alphabet = string.ascii_letters + string.digits
+    for prefix, suffix in (("Authorization-Header-Credential=", ""), ("", "-is/the/value"),
+                           ("https/path/to/documents/archive/", "/index-of-pages")):
+        for n in (20, 24, 40):
+            value = "".join(rng.choices(alphabet, k=n))
+            text = f"see {prefix}{value}{suffix} there"
+            start = 4 + len(prefix)
+            # A long secret makes its whole run random, a short one the next word at most.
+            (begin, end, _), = secrets.random_strings(text)
+            assert begin <= start and end >= start + n, text
+            assert n > 20 or not prefix or begin > 4, text
+    letters = ["".join(rng.choices(string.ascii_lowercase, k=32)) for _ in range(100)]
+    assert sum(bool(secrets.random_strings(x)) for x in letters) > 90
+    embedded = f"readablewordsbefore{''.join(rng.choices(alphabet, k=40))}"
+    assert any(b == len(embedded) and a <= 22 for a, b, _ in secrets.random_strings(embedded))
+
+
+def test_digests_and_uuids_as_parts_are_not_random():
+    digest = hashlib.sha256(b"x").hexdigest()
+    uuid = "550e8400-e29b-41d4-a716-446655440000"
+    for text in (f"sha256={digest}", f"files/{digest.upper()}/part", f"id={uuid}/{uuid}_{digest}",
+                 "an-ordinary-long-hyphenated-word-here", "1234567890-1234567890-1234567890",
+                 "Donaudampfschifffahrtsgesellschaft"):
+        assert secrets.random_strings(text) == [], text
+    value = "Tq9ZxW4pLm0vBn3KsRy7Gd2Hf8"
+    assert secrets.random_strings(f"{digest}={value}") == [(64, 91, "random")]
