@@ -1,10 +1,11 @@
 """Substring deduplication by sliding runs of sentences.
 
-A sentence ends with a word that ends in ``.``, ``!`` or ``?`` (closing quotes and brackets may
-follow), at a line break or at the end of the text. Runs of consecutive sentences slide over
+A sentence ends with a word that ends in ``.``, ``!``, ``?`` or another script's mark (a closing
+quote or bracket may follow), at a line break or at the end of the text. Runs of consecutive sentences slide over
 every text: from each sentence the shortest run of at least ``min_sentences`` sentences and
 ``min_words`` words that starts there, and the shortest that ends there, so that a repeated
-passage is covered to both its ends. Runs are hashed over their lower-cased words and joined
+passage is covered to both its ends. A sentence of ``LONG_SENTENCE`` words is a run by itself,
+and so is a text that is one sentence of ``min_words`` words. Runs are hashed over their lower-cased words and joined
 over the whole corpus. The first occurrence of a run is the one with the smallest id (missing
 ids first), then by text hash and position; sentences covered by any other occurrence go.
 
@@ -26,24 +27,50 @@ from civiltext.sources.shared import cut_lineage
 
 MIN_SENTENCES = 2
 MIN_WORDS = 12
+LONG_SENTENCE = 50             # words
 _ENDS = np.zeros(256, dtype=bool)
 _ENDS[list(b".!?")] = True
 _CLOSES = np.zeros(256, dtype=bool)
 _CLOSES[list(b"\"')]}")] = True
+# Sentence marks and closing quotes and brackets outside ASCII.
+_MARKS = [np.frombuffer(c.encode(), np.uint8) for c in "。．！？｡…।॥۔؟։።។။།"]
+_CLOSERS = [np.frombuffer(c.encode(), np.uint8) for c in "”’»」』）】"]
 _BREAKS = np.zeros(256, dtype=bool)
 _BREAKS[[0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 
+def _ends_in(words: Words, at: np.ndarray, end: np.ndarray, sign: np.ndarray) -> np.ndarray:
+    """Whether the first bytes, up to ``end``, of the words ``at`` end in ``sign``."""
+    hit = end - words.starts[at] >= len(sign)
+    for k, byte in enumerate(sign):
+        hit &= words.data[np.maximum(end - len(sign) + k, 0)] == byte
+    return hit
+
+
+def _marked(words: Words, at: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Whether the first bytes, up to ``end``, of the words ``at`` end in a sentence mark."""
+    last = words.data[np.maximum(end - 1, 0)]
+    hit = _ENDS[last] & (end > words.starts[at])
+    other = np.flatnonzero(last >= 0x80)
+    for mark in _MARKS if len(other) else ():
+        hit[other] |= _ends_in(words, at[other], end[other], mark)
+    return hit
+
+
 def sentences(words: Words) -> tuple[np.ndarray, np.ndarray]:
     """First words of all sentences (with the number of words at the end), and the number of
     the first sentence of each text (with the number of sentences at the end)."""
     total = len(words.starts)
     if total == 0:
         return np.zeros(1, np.int64), np.zeros(len(words.first), np.int64)
-    last = words.ends - 1
-    closes = _ENDS[words.data[last]]
-    quoted = _CLOSES[words.data[last]] & (words.ends - words.starts > 1)
-    closes |= quoted & _ENDS[words.data[np.maximum(last - 1, 0)]]
+    every, last = np.arange(total), words.data[words.ends - 1]
+    closes = _marked(words, every, words.ends)
+    at = np.flatnonzero(_CLOSES[last])
+    closes[at] |= _marked(words, at, words.ends[at] - 1)
+    other = np.flatnonzero(last >= 0x80)
+    for sign in _CLOSERS if len(other) else ():
+        at = other[_ends_in(words, other, words.ends[other], sign)]
+        closes[at] |= _marked(words, at, words.ends[at] - len(sign))
     lines = np.concatenate([[0], np.cumsum(_BREAKS[words.data])])
     closes[:-1] |= lines[words.starts[1:]] > lines[words.ends[:-1]]
     stops = words.first[1:] - 1
@@ -72,6 +99,11 @@ def runs(words: Words, min_sentences: int,
     new = np.ones(len(begin), bool)
     new[1:] = (begin[1:] != begin[:-1]) | (end[1:] != end[:-1])
     begin, end = begin[new], end[new]
+    # Where runs have several sentences, long ones and whole texts are runs by themselves.
+    long = np.diff(begins)
+    alone = (long >= LONG_SENTENCE) | ((np.diff(first)[doc] == 1) & (long >= min_words))
+    alone = np.flatnonzero(alone) if min_sentences > 1 else np.zeros(0, np.int64)
+    begin, end = np.concatenate([begin, alone]), np.concatenate([end, alone + 1])
     up = powers(len(words.hashes))
     sums = np.zeros(len(words.hashes) + 1, np.uint64)
     np.cumsum(words.hashes * up[:len(words.hashes)], out=sums[1:])

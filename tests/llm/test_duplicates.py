@@ -106,3 +106,24 @@ def test_spans_of_odd_rows(odd, frame):
     texts = {(r.id, r.text) for r in got.filter(F.col("n_removed") == 0).collect()}
     assert (1, "") in texts and (4, "other words under this id") in texts
     assert sentence_spans.remove_repeated_spans(frame([])).collect() == []
+
+
+def test_long_sentences_and_texts_of_one_sentence_are_runs(frame):
+    long = " ".join(f"word{i}" for i in range(59)) + " end."
+    single = "a text without any mark that is one sentence of more than twelve words"
+    rows = [(1, f"First. {long} Then."), (2, f"Other start. {long} Other end."), (3, long),
+            (4, single), (5, single), (6, "Short one."), (7, "Short one.")]
+    got = {r.id: r for r in sentence_spans.remove_repeated_spans(frame(rows)).collect()}
+    assert got[1].text == rows[0][1] and got[4].text == single
+    assert got[2].text == "Other start. Other end." and got[2].words_removed == 60
+    assert got[3].text == got[5].text == "" and got[5].n_removed == 1
+    assert got[6].text == got[7].text == "Short one."
+
+
+def test_sentence_marks_of_other_scripts(frame):
+    for mark in ("।", "۔", "؟", "。", "！", "…", "።", ".”", "?»"):
+        passage = " ".join(f"w{i} x y z u v{mark}" for i in range(4))
+        rows = [(1, f"a b{mark} {passage} c d{mark}"), (2, f"e f{mark} {passage} g h{mark}")]
+        got = {r.id: r for r in sentence_spans.remove_repeated_spans(frame(rows)).collect()}
+        assert got[1].n_removed == 0 and got[2].n_removed == 4, mark
+        assert got[2].text == f"e f{mark} g h{mark}"
