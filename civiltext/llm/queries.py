@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from civiltext.llm import (decontamination, jaccard_join, pieces, piecewise, sanitise, secrets,
-                           sentence_spans, token_store, toxicity, warc)
+from civiltext.llm import (byte_bpe, decontamination, jaccard_join, pieces, piecewise, sanitise,
+                           secrets, sentence_spans, token_store, toxicity, warc)
 from civiltext.sources.corpus import read_texts
 from civiltext.sources.shared import scratch_path
 
@@ -98,11 +98,16 @@ def op10_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
                          .withColumnRenamed("id", "doc_id")
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level token ids of every document and the bytes they decode to, as digests."""
+    return byte_bpe.round_trip(_read(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query for query in (
         op1_secret_scan, op2_token_segments, op3_string_tiling, op4_compression_toxicity,
         op5_piecewise_hashing, op6_ngram_jaccard_join, op7_disclosure_sanitisation,
-        op8_piece_viterbi, op9_warc_normaliser, op10_sentence_spans)}
+        op8_piece_viterbi, op9_warc_normaliser, op10_sentence_spans, op11_byte_bpe)}
 
 _OP6 = r"""
 WITH RECURSIVE words AS (
