@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from civiltext.llm import (byte_bpe, decontamination, jaccard_join, pieces, piecewise, sanitise,
-                           secrets, sentence_spans, token_store, toxicity, warc)
+                           secrets, sentence_spans, spelling, token_store, toxicity, warc)
 from civiltext.sources.corpus import read_texts
 from civiltext.sources.shared import scratch_path
 
@@ -103,11 +103,17 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(_read(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents, how many are one edit away, and the form each is a variant of."""
+    return spelling.group_variants(_read(spark, sf_dir, "documents"), damage=199)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query for query in (
         op1_secret_scan, op2_token_segments, op3_string_tiling, op4_compression_toxicity,
         op5_piecewise_hashing, op6_ngram_jaccard_join, op7_disclosure_sanitisation,
-        op8_piece_viterbi, op9_warc_normaliser, op10_sentence_spans, op11_byte_bpe)}
+        op8_piece_viterbi, op9_warc_normaliser, op10_sentence_spans, op11_byte_bpe,
+        op12_spelling_variants)}
 
 _OP6 = r"""
 WITH RECURSIVE words AS (
@@ -202,6 +208,47 @@ SELECT d.doc_id, CASE WHEN coalesce(n_removed, 0) = 0 THEN coalesce(d.text, '')
 FROM documents d LEFT JOIN rest r ON d.doc_id = r.doc_id
 """
 
+_OP12 = r"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, run, count(*) AS n FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS run FROM documents)
+  WHERE length(run) >= 6 GROUP BY ALL),
+steps AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda c, k:
+    CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS t),
+hashed AS (
+  SELECT run, n, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+      range(strlen(s)), lambda i: ('0x' || substr(hex(encode(s)), 2 * i + 1, 2))::BIGINT)),
+    lambda c, b: xor(c // 256, t[(xor(c, b) & 255) + 1])), 4294967295) AS h
+  FROM (SELECT *, coalesce(doc_id::VARCHAR, '') || ':' || run AS s FROM runs), steps),
+words AS (
+  SELECT word, sum(n)::BIGINT AS n FROM (SELECT n, CASE WHEN h % 199 = 0
+      THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word
+    FROM hashed) WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+holes AS (
+  SELECT DISTINCT word, n, substr(word, 1, i) AS a, substr(word, i + 2) AS b
+  FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)),
+near AS (
+  SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM holes a JOIN holes b
+    ON a.a = b.a AND a.b = b.b AND a.word <> b.word
+  UNION SELECT h.word, h.n, w.word, w.n FROM holes h JOIN words w ON h.a || h.b = w.word
+  UNION SELECT w.word, w.n, h.word, h.n FROM holes h JOIN words w ON h.a || h.b = w.word),
+best AS (
+  SELECT word, count(*) AS n_near, arg_min(other, (-other_n, other)) AS form,
+    max(other_n) AS form_n, max(other_n) >= 5 * any_value(n) AS enough FROM near GROUP BY word),
+formed AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN enough THEN form END AS form,
+    CASE WHEN enough THEN form_n END AS form_n FROM words w LEFT JOIN best USING (word)),
+chains(word, root) AS (
+  SELECT word, word FROM formed
+  UNION ALL SELECT c.word, f.form FROM chains c JOIN formed f ON c.root = f.word
+  WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, c.root, f.n, f.n_near, f.form_n
+FROM formed f JOIN chains c ON f.word = c.word JOIN formed e ON c.root = e.word
+WHERE e.form IS NULL
+"""
+
 # The forms of personal data as the query's contract writes them.
 _FORMS = [("email", 0, r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "true"),
           ("ip", 1, r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+",
@@ -268,4 +315,5 @@ SQL: dict[str, str] = {
                                                   sanitise.WIDTH),
     "op9_warc_normaliser": _OP9,
     "op10_sentence_spans": _OP10,
+    "op12_spelling_variants": _OP12,
 }
