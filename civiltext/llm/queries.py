@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from civiltext.llm import (byte_bpe, decontamination, jaccard_join, pieces, piecewise, sanitise,
-                           secrets, sentence_spans, spelling, token_store, toxicity, warc)
+from civiltext.llm import (byte_bpe, decontamination, jaccard_join, lexical_search, pieces,
+                           piecewise, sanitise, secrets, sentence_spans, spelling, token_store,
+                           toxicity, warc)
 from civiltext.sources.corpus import read_texts
 from civiltext.sources.shared import scratch_path
 
@@ -108,12 +109,19 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.group_variants(_read(spark, sf_dir, "documents"), damage=199)
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten documents that score highest for each benchmark item."""
+    return lexical_search.search(_read(spark, sf_dir, "documents"),
+                                 _read(spark, sf_dir, "benchmark")) \
+                         .withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query for query in (
         op1_secret_scan, op2_token_segments, op3_string_tiling, op4_compression_toxicity,
         op5_piecewise_hashing, op6_ngram_jaccard_join, op7_disclosure_sanitisation,
         op8_piece_viterbi, op9_warc_normaliser, op10_sentence_spans, op11_byte_bpe,
-        op12_spelling_variants)}
+        op12_spelling_variants, op13_lexical_search)}
 
 _OP6 = r"""
 WITH RECURSIVE words AS (
@@ -249,6 +257,27 @@ FROM formed f JOIN chains c ON f.word = c.word JOIN formed e ON c.root = e.word
 WHERE e.form IS NULL
 """
 
+_TERMS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+_OP13 = f"""
+WITH docs AS (SELECT doc_id, {_TERMS} AS t FROM documents),
+total AS (SELECT count(*) AS n, sum(len(t))::BIGINT AS l FROM docs WHERE len(t) > 0),
+asked AS (SELECT item_id, term, count(*) AS q FROM (
+  SELECT item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY ALL),
+tf AS (SELECT doc_id, term, any_value(n) AS n, count(*) AS tf FROM (
+    SELECT doc_id, unnest(t) AS term, len(t) AS n FROM docs)
+  WHERE term IN (SELECT term FROM asked) GROUP BY doc_id, term),
+weights AS (SELECT term, floor(1000 * ln((2 * any_value(total.n) + 2) / (2 * count(*) + 1)))::BIGINT
+  AS w FROM tf, total GROUP BY term),
+scores AS (SELECT item_id, doc_id, sum(q * w * ((1000000000 * tf)
+    // (1000 * tf + 8 * (25 + (75 * tf.n * total.n) // total.l))))::BIGINT AS score
+  FROM tf JOIN weights USING (term) JOIN asked USING (term), total GROUP BY ALL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT
+  AS rank FROM scores WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
 # The forms of personal data as the query's contract writes them.
 _FORMS = [("email", 0, r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "true"),
           ("ip", 1, r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+",
@@ -316,4 +345,5 @@ SQL: dict[str, str] = {
     "op9_warc_normaliser": _OP9,
     "op10_sentence_spans": _OP10,
     "op12_spelling_variants": _OP12,
+    "op13_lexical_search": _OP13,
 }
