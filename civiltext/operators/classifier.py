@@ -1,142 +1,155 @@
-"""Multi-label toxicity classifiers: one model per label on shared TF-IDF features."""
+"""Multi-label toxicity classifiers: linear models of all labels on shared TF-IDF features.
+
+Both kinds are a weight per label and term and an intercept per label, so predicting is one
+sparse product in the step that makes a text's vector. Training reads the texts' tokens, which are
+written once: naive Bayes sums weights by label and term in one pass; logistic regression takes
+one pass per step for all labels together.
+"""
 
 from __future__ import annotations
 
 import json
 import math
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.ml.classification import (LogisticRegression, LogisticRegressionModel, NaiveBayes,
-                                       NaiveBayesModel)
-from pyspark.ml.functions import vector_to_array
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from civiltext.functions import numbers
 from civiltext.functions.barrier import computed_once, rows_of
+from civiltext.operators import regression
 from civiltext.operators.exploration import binary_metrics, discover_labels
-from civiltext.operators.features import TfidfModel
+from civiltext.operators.features import TfidfModel, token_text
 from civiltext.operators.lemmas import Cleaning
 from civiltext.operators.sampling import in_test_part
+from civiltext.operators.sums import summed
 from civiltext.sources.shared import stored
 
-MODEL_TYPES = {"logistic_regression": LogisticRegressionModel, "naive_bayes": NaiveBayesModel}
+MODEL_TYPES = ["logistic_regression", "naive_bayes"]
 THRESHOLD = 0.3      # predict: a label is detected from this probability on
 DECISION = 0.5       # evaluation: the models' own cut
 NB_SMOOTHING = 0.1
-MAX_ITER = 200
 
 
 def _check_type(model_type: str) -> None:
     if model_type not in MODEL_TYPES:
-        raise ValueError(f"no such kind of model: {model_type!r}; there are {list(MODEL_TYPES)}")
-
-
-def fit_logistic_regression(features: DataFrame, label: str, rows: int, positives: int):
-    """L2-regularized logistic regression with balanced class weights.
-
-    The penalty is given per weighted row here, so inverse strength 1 becomes ``1 / rows``;
-    balanced weights add up to the number of rows.
-    """
-    weighted = features.select("features", F.col(label).cast("double").alias("label"),
-                               F.when(F.col(label) == 1, rows / (2.0 * positives))
-                               .otherwise(rows / (2.0 * (rows - positives))).alias("weight"))
-    return LogisticRegression(maxIter=MAX_ITER, regParam=1.0 / rows, elasticNetParam=0.0,
-                              standardization=False, weightCol="weight",
-                              family="binomial").fit(weighted)
-
+        raise ValueError(f"no such kind of model: {model_type!r}; there are {MODEL_TYPES}")
 
-def fit_naive_bayes(features: DataFrame, label: str):
-    """Multinomial naive Bayes."""
-    return NaiveBayes(modelType="multinomial", smoothing=NB_SMOOTHING).fit(
-        features.select("features", F.col(label).cast("double").alias("label")))
 
+def fit_naive_bayes(training: DataFrame, labels: list[str], tfidf: TfidfModel,
+                    totals: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Multinomial naive Bayes of all labels: log probabilities ``[label, class, term]`` and the
+    log odds of the classes. Weights are summed by label and term in one pass."""
+    size = len(tfidf.terms)
+    sent = tfidf.sent(training.sparkSession)
 
-def _prior_shift(rows: int, positives: int) -> float:
-    """What turns the smoothed log-odds of the class priors into plain ones."""
-    def log_odds(extra: float) -> float:
-        return math.log((positives + extra) / (rows - positives + extra))
+    def sums(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
+        found = np.zeros((len(labels) + 1, size))
+        for batch in batches:
+            row, idx, weight = sent.value.entries(batch.column("tokens"))
+            found[0] += np.bincount(idx, weights=weight, minlength=size)
+            for i, label in enumerate(labels, 1):
+                own = batch.column(label).to_numpy()[row] == 1
+                found[i] += np.bincount(idx[own], weights=weight[own], minlength=size)
+        return found
 
-    return log_odds(0.0) - log_odds(NB_SMOOTHING)
+    both = summed(training.select("tokens", *labels), sums, (len(labels) + 1, size))
+    by_class = np.stack([np.maximum(both[0] - both[1:], 0.0), both[1:]], axis=1) + NB_SMOOTHING
+    odds = [math.log(totals[c] / (totals["_rows"] - totals[c])) for c in labels]
+    return np.log(by_class / by_class.sum(axis=2, keepdims=True)), np.array(odds)
 
 
 @dataclass
 class ToxicityModel:
-    """A trained classifier. ``skipped`` lists labels that had only one class."""
+    """A trained classifier. ``skipped`` lists labels that had only one class.
+
+    ``tables[label, class, term]`` are log probabilities for naive Bayes; for a regression, zero
+    and the coefficients. ``training`` tells what each label was trained on.
+    """
 
     model_type: str
     tfidf: TfidfModel
-    models: dict
-    shifts: dict[str, float] = field(default_factory=dict)
+    labels: list[str]
+    tables: np.ndarray
+    intercepts: np.ndarray
     skipped: list[str] = field(default_factory=list)
     cleaning: Cleaning = field(default_factory=Cleaning)
+    training: list[dict] = field(default_factory=list)
     is_trained = True
 
-    @property
-    def labels(self) -> list[str]:
-        return list(self.models)
-
-    def probabilities(self, df: DataFrame, features: str = "features",
-                      prefix: str = "_p_") -> DataFrame:
-        """Append the probability of every label to a table with feature vectors."""
-        for label, model in self.models.items():
-            out = prefix + label
-            model = model.copy().setFeaturesCol(features).setPredictionCol("")
-            if self.model_type == "naive_bayes":
-                model = model.setProbabilityCol("").setRawPredictionCol("_raw")
-                raw = vector_to_array("_raw")
-                odds = raw[1] - raw[0] + F.lit(self.shifts[label])
-                df = model.transform(df).withColumn(out, 1 / (1 + F.exp(-odds))).drop("_raw")
-            else:
-                model = model.setRawPredictionCol("").setProbabilityCol("_prob")
-                df = model.transform(df).withColumn(out, vector_to_array("_prob")[1]).drop("_prob")
-        return df
+    def coefficients(self, label: str) -> np.ndarray:
+        """The weight of each term for a label."""
+        clean, toxic = self.tables[self.labels.index(label)]
+        return toxic - clean
+
+    def probabilities(self, df: DataFrame, tokens: Column, prefix: str = "_p_") -> DataFrame:
+        """Append the probability of every label, by one sparse product per batch of texts."""
+        weights = self.tables[:, 1] - self.tables[:, 0]
+        sums = self.tfidf.weighted_sums(tokens, df.sparkSession, weights)
+        df = df.withColumn("_sums", sums)
+        return df.withColumns({
+            prefix + label: 1 / (1 + F.exp(-(F.get("_sums", F.lit(i)) + float(self.intercepts[i]))))
+            for i, label in enumerate(self.labels)}).drop("_sums")
 
     def predict(self, df: DataFrame, text_col: str = "text",
                 threshold: float = THRESHOLD) -> DataFrame:
         """Append ``is_toxic, confidence, labels, detected_types, clean_text``; no shuffle."""
-        cleaned = self.cleaning.apply(df, text_col)
-        scored = self.probabilities(self.tfidf.transform(cleaned, out="_features"), "_features")
-        scored = computed_once(scored, {name: F.col(name) for name in
-                                        ["clean_text", *[f"_p_{c}" for c in self.models]]},
-                               "_features")
-        raw = {label: F.col(f"_p_{label}") for label in self.models}
+        cleaned = computed_once(self.cleaning.apply(df, text_col),
+                                {"clean_text": F.col("clean_text")})
+        scored = self.probabilities(cleaned, token_text(F.col("clean_text")))
+        scored = computed_once(scored, {f"_p_{c}": F.col(f"_p_{c}") for c in self.labels})
+        raw = {label: F.col(f"_p_{label}") for label in self.labels}
         scored = scored.withColumn("labels", F.create_map(*[
             x for label, p in raw.items() for x in (F.lit(label), numbers.round_exact(p, 4))]))
         scored = scored.withColumn("detected_types", F.array_compact(F.array(*[
             F.when(p >= threshold, F.lit(label)) for label, p in raw.items()])))
         return (scored.withColumn("is_toxic", F.size("detected_types") > 0)
                 .withColumn("confidence", F.array_max(F.map_values("labels")))
-                .drop(*[f"_p_{label}" for label in self.models]))
+                .drop(*[f"_p_{label}" for label in self.labels]))
 
-    def outcomes(self, features: DataFrame, id_col: str) -> DataFrame:
+    def outcomes(self, df: DataFrame, id_col: str, tokens: Column) -> DataFrame:
         """``id, label, actual, predicted`` rows at the models' own cut."""
-        scored = self.probabilities(features)
+        scored = self.probabilities(df, tokens)
         rows = F.array(*[F.struct(F.lit(label).alias("label"),
                                   F.col(label).cast("int").alias("actual"),
                                   (F.col(f"_p_{label}") > DECISION).cast("int").alias("predicted"))
-                         for label in self.models])
+                         for label in self.labels])
         return rows_of(scored, [id_col], rows, "label")
 
     def feature_importance(self, spark: SparkSession, label: str = "toxic",
                            top_n: int = 20) -> DataFrame:
         """``word, importance``: the terms with the highest coefficients."""
-        if label not in self.models:
+        if label not in self.labels:
             raise ValueError(f"no model for {label!r}; trained were {self.labels}")
         if self.model_type != "logistic_regression":
             raise ValueError(f"a {self.model_type} model has no coefficients to rank terms by")
-        rows = zip(self.tfidf.terms, self.models[label].coefficients.toArray().tolist())
-        return (spark.createDataFrame(rows, "word string, importance double")
-                .orderBy(F.desc("importance"), "word").limit(top_n))
+        every = pa.table([pa.array(self.tfidf.terms, pa.string()),
+                          pa.array(self.coefficients(label))], names=["word", "importance"])
+        return spark.createDataFrame(every).orderBy(F.desc("importance"), "word").limit(top_n)
+
+    def training_table(self, spark: SparkSession) -> DataFrame:
+        """``label, rows, positives, vocabulary, gradient`` of the labels trained."""
+        rows = [(c["label"], c["rows"], c["positives"], len(self.tfidf.terms), c["gradient"])
+                for c in self.training]
+        return spark.createDataFrame(
+            rows, "label string, rows long, positives long, vocabulary long, gradient double")
 
     def save(self, spark: SparkSession, path: str) -> None:
-        """Write models, vocabulary and settings below ``path``, replacing what is there."""
-        for label, model in self.models.items():
-            model.write().overwrite().save(f"{path}/models/{label}")
+        """Write weights, vocabulary and settings below ``path``, replacing what is there."""
+        n, _, size = self.tables.shape
+        weights = pa.table(
+            [pa.array(np.repeat(self.labels, size)), pa.array(np.tile(np.arange(size), n), pa.int32()),
+             pa.array(self.tables[:, 0].ravel()), pa.array(self.tables[:, 1].ravel())],
+            names=["label", "idx", "clean", "toxic"])
+        spark.createDataFrame(weights).write.mode("overwrite").parquet(f"{path}/weights")
         self.tfidf.table(spark).write.mode("overwrite").parquet(f"{path}/vocabulary")
-        settings = {"model_type": self.model_type, "labels": self.labels, "shifts": self.shifts,
-                    "skipped": self.skipped, "ngrams": list(self.tfidf.ngrams),
+        settings = {"model_type": self.model_type, "labels": self.labels,
+                    "intercepts": self.intercepts.tolist(), "skipped": self.skipped,
+                    "training": self.training, "ngrams": list(self.tfidf.ngrams),
                     "remove_stops": self.cleaning.remove_stops,
                     "lemmas": self.cleaning.lemmas is not None}
         self.cleaning.save(f"{path}/lemmas")
@@ -147,28 +160,32 @@ class ToxicityModel:
     def load(cls, spark: SparkSession, path: str) -> "ToxicityModel":
         settings = json.loads(spark.read.parquet(f"{path}/settings").first().settings)
         # Bounded by the vocabulary size.
-        vocabulary = spark.read.parquet(f"{path}/vocabulary").orderBy("idx").collect()
-        tfidf = TfidfModel([r.term for r in vocabulary], [r.idf for r in vocabulary],
+        vocabulary = spark.read.parquet(f"{path}/vocabulary").toArrow().sort_by("idx")
+        tfidf = TfidfModel(vocabulary["term"].to_pylist(), vocabulary["idf"].to_pylist(),
                            tuple(settings["ngrams"]))
-        loader = MODEL_TYPES[settings["model_type"]]
-        models = {label: loader.load(f"{path}/models/{label}") for label in settings["labels"]}
+        weights = spark.read.parquet(f"{path}/weights").toArrow()
+        tables = np.zeros((len(settings["labels"]), 2, len(tfidf.terms)))
+        for i, label in enumerate(settings["labels"]):
+            own = weights.filter(pc.equal(weights["label"], label)).sort_by("idx")
+            tables[i] = own["clean"].to_numpy(), own["toxic"].to_numpy()
         cleaning = Cleaning.load(spark, f"{path}/lemmas", settings["remove_stops"],
                                  settings["lemmas"])
-        return cls(settings["model_type"], tfidf, models, settings["shifts"],
-                   settings["skipped"], cleaning)
+        return cls(settings["model_type"], tfidf, settings["labels"], tables,
+                   np.array(settings["intercepts"]), settings["skipped"], cleaning,
+                   settings["training"])
 
 
 def train(df: DataFrame, id_col: str = "id", text_col: str = "comment_text",
           model_type: str = "logistic_regression", test_size: float = 0.2, seed: int = 42,
-          labels: list[str] | None = None, parallelism: int = 4, remove_stops: bool = False,
+          labels: list[str] | None = None, remove_stops: bool = False,
           lemmas: DataFrame | None = None, **vectorizer) -> tuple[ToxicityModel, DataFrame]:
     """Train one model per label column; returns the model and its metrics per label.
 
-    Cleaned texts and features are computed once and written to the shared folder, since every
-    iteration of every label reads them; they are deleted at the end. ``remove_stops`` and
-    ``lemmas`` (``form, lemma``) belong to the cleaning and are kept with the model. Rows
-    without an id take part like others. Labels with a single class in the training part
-    cannot be learned; they are skipped and listed in ``skipped``.
+    The tokens of the texts are computed once and written to the shared folder, since every step
+    reads them; they are deleted at the end. ``remove_stops`` and ``lemmas`` (``form, lemma``)
+    belong to the cleaning and are kept with the model. Rows without an id take part like others.
+    Labels with a single class in the training part cannot be learned; they are skipped and
+    listed in ``skipped``.
     """
     _check_type(model_type)
     labels = labels or discover_labels(df)
@@ -176,35 +193,38 @@ def train(df: DataFrame, id_col: str = "id", text_col: str = "comment_text",
     cleaning = Cleaning(remove_stops, lemmas)
     corpus = cleaning.apply(df.select(
         id_col, text_col, *[F.coalesce(F.col(c), F.lit(0)).cast("int").alias(c) for c in labels],
-        in_test_part(id_col, test_size, seed, (text_col,)).alias("_test")), text_col).drop(text_col)
+        in_test_part(id_col, test_size, seed, (text_col,)).alias("_test")), text_col)
+    corpus = corpus.withColumn("tokens", token_text(F.col("clean_text"))) \
+                   .select(id_col, *labels, "_test", "tokens")
     with stored(corpus, "corpus") as corpus:
-        in_training = corpus.filter("NOT _test")
-        totals = in_training.agg(F.count("*").alias("_rows"),
-                                 *[F.sum(c).alias(c) for c in labels]).first()
+        training = corpus.filter("NOT _test")
+        totals = training.agg(F.count("*").alias("_rows"),
+                              *[F.sum(c).alias(c) for c in labels]).first().asDict()
         rows = totals["_rows"]
         learnable = [c for c in labels if 0 < (totals[c] or 0) < rows]
         if not learnable:
             raise ValueError(f"no label has two classes: {labels}")
-        tfidf = TfidfModel.fit(in_training, texts=rows, **vectorizer)
-        with stored(tfidf.transform(corpus).drop("clean_text"), "features") as features:
-            features.persist(StorageLevel.MEMORY_AND_DISK)
-            try:
-                training = features.filter("NOT _test")
-
-                def fit(label: str):
-                    if model_type == "naive_bayes":
-                        return fit_naive_bayes(training, label)
-                    return fit_logistic_regression(training, label, rows, totals[label])
-
-                with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-                    fitted = list(pool.map(inheritable_thread_target(spark)(fit), learnable))
-                model = ToxicityModel(model_type, tfidf, dict(zip(learnable, fitted)),
-                                      {c: _prior_shift(rows, totals[c]) for c in learnable},
-                                      [c for c in labels if c not in learnable], cleaning)
-                measured = binary_metrics(model.outcomes(features.filter("_test"), id_col))
-                metrics = measured.collect()  # a row per label
-            finally:
-                features.unpersist()
+        tfidf = TfidfModel.fit_tokens(training, "tokens", texts=rows, **vectorizer)
+        gradients = [None] * len(learnable)
+        if model_type == "naive_bayes":
+            tables, intercepts = fit_naive_bayes(training, learnable, tfidf, totals)
+        else:
+            with regression.blocks(training, learnable, tfidf) as blocks:
+                blocks.persist(StorageLevel.MEMORY_AND_DISK)
+                try:
+                    found, gradients = regression.minimize(blocks, len(tfidf.terms), rows,
+                                                           [totals[c] for c in learnable])
+                finally:
+                    blocks.unpersist()
+            tables = np.stack([np.zeros_like(found[:, :-1]), found[:, :-1]], axis=1)
+            intercepts = found[:, -1]
+        model = ToxicityModel(
+            model_type, tfidf, learnable, tables, intercepts,
+            [c for c in labels if c not in learnable], cleaning,
+            [{"label": c, "rows": rows, "positives": totals[c], "gradient": g}
+             for c, g in zip(learnable, gradients)])
+        measured = binary_metrics(model.outcomes(corpus.filter("_test"), id_col, F.col("tokens")))
+        metrics = measured.collect()  # a row per label
     return model, spark.createDataFrame(metrics, measured.schema)
 
 
@@ -219,30 +239,18 @@ def gradient_sizes(model: ToxicityModel, df: DataFrame, id_col: str = "id",
     labels = model.labels
     kept = df.select(id_col, text_col, *[F.coalesce(F.col(c), F.lit(0)).cast("int").alias(c)
                                          for c in labels])
-    training = kept.filter(~in_test_part(id_col, test_size, seed, (text_col,)))
-    vectors = model.tfidf.transform(model.cleaning.apply(training, text_col))
-    vectors = computed_once(model.probabilities(vectors), {
-        "v": F.unwrap_udt("features"), **{f"_p_{c}": F.col(f"_p_{c}") for c in labels}}, "features")
-    totals = training.agg(F.count("*").alias("rows"), *[F.sum(c).alias(c) for c in labels]).first()
-    n = totals["rows"]
-    errors = F.array(*[F.struct(
-        F.lit(c).alias("label"),
-        ((F.col(f"_p_{c}") - F.col(c)) * F.when(F.col(c) == 1, n / (2.0 * totals[c]))
-         .otherwise(n / (2.0 * (n - totals[c])))).alias("error")) for c in labels])
-    entries = F.arrays_zip(F.col("v.indices").alias("idx"), F.col("v.values").alias("weight"))
-    parts = (vectors.select("v", F.inline(errors)).select("label", "error", F.inline(entries))
-             .groupBy("label", "idx").agg(F.sum(F.col("error") * F.col("weight")).alias("loss")))
-    spark = df.sparkSession
-    # As many rows as coefficients, which the driver holds anyway.
-    norms = spark.createDataFrame(
-        [(c, i, float(w)) for c in labels
-         for i, w in enumerate(model.models[c].coefficients.toArray())],
-        "label string, idx int, coefficient double")
-    sizes = spark.createDataFrame([(c, n, int(totals[c]), len(model.tfidf.terms)) for c in labels],
-                                  "label string, rows long, positives long, vocabulary long")
-    steepest = (norms.join(parts, ["label", "idx"], "left").groupBy("label").agg(
-        F.max(F.abs(F.col("coefficient") + F.coalesce("loss", F.lit(0.0)))).alias("gradient")))
-    return sizes.join(steepest, "label")
+    rows = kept.filter(~in_test_part(id_col, test_size, seed, (text_col,)))
+    tokens = model.cleaning.apply(rows, text_col).withColumn(
+        "tokens", token_text(F.col("clean_text"))).select(*labels, "tokens")
+    totals = rows.agg(F.count("*").alias("rows"), *[F.sum(c).alias(c) for c in labels]).first()
+    points = np.column_stack([model.tables[:, 1], model.intercepts])
+    with regression.blocks(tokens, labels, model.tfidf) as blocks:
+        _, gradients = regression.value_and_gradient(
+            blocks, dict(enumerate(points)), totals["rows"], [totals[c] for c in labels])
+    return df.sparkSession.createDataFrame(
+        [(c, totals["rows"], totals[c], len(model.tfidf.terms), float(abs(g).max()))
+         for c, g in zip(labels, gradients)],
+        "label string, rows long, positives long, vocabulary long, gradient double")
 
 
 def prediction_table(predictions: DataFrame, text_col: str = "text", *keep: str) -> DataFrame:

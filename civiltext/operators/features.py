@@ -1,25 +1,29 @@
 """TF-IDF features of cleaned text.
 
 Weights are ``1 + ln(tf)`` times ``ln((1 + n) / (1 + df)) + 1``, then scaled to length 1.
-Only fitting shuffles: one partially aggregated count per term. Turning a text into its
-vector happens in the text's own row.
+Only fitting shuffles: one partially aggregated count per term that is not rare. Turning a text
+into its vector happens in the text's own row, a batch of texts at a time.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.feature import CountVectorizer, CountVectorizerModel, NGram
+from pyspark import Broadcast
+from pyspark.ml.feature import NGram
 from pyspark.ml.linalg import VectorUDT
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from civiltext.functions.barrier import computed_once, elements_of, rows_of
+from civiltext.functions.barrier import rows_of
 from civiltext.functions.patterns import WORD
 from civiltext.functions.text import null_to_empty, strip_accents
+from civiltext.operators import sketch
 from civiltext.operators.broadcasts import is_small
+from civiltext.operators.termcodes import codes_of, grams, pieces
 from civiltext.sources.shared import stored
 
 MAX_FEATURES = 50_000
@@ -47,18 +51,37 @@ def with_terms(df: DataFrame, clean_col: str, out: str = "terms",
     return df.withColumn(out, F.concat(*parts)).drop("_tokens", *parts)
 
 
-def term_counts(df: DataFrame, terms_col: str = "terms") -> DataFrame:
+def token_text(clean: Column) -> Column:
+    """The tokens of a text with one blank between them."""
+    return F.array_join(term_tokens(clean), " ")
+
+
+def term_counts(df: DataFrame, tokens_col: str, ngrams: tuple[int, int] = NGRAMS,
+                may_pass: Callable[[np.ndarray], np.ndarray] | None = None) -> DataFrame:
     """``term, tf`` (occurrences) and ``df`` (texts it occurs in), by one shuffle.
 
-    The terms of a text are sorted in its own row, so the first of equal terms can be told
-    from the rest; that makes both counts plain sums and lets tasks add up before the
-    shuffle.
+    Tasks add up what they read batch by batch. ``may_pass`` tells, for codes of terms, which
+    ones to count at all.
     """
-    sorted_terms = df.select(F.sort_array(terms_col).alias("_sorted"))
-    rows = elements_of(sorted_terms, ["_sorted"], F.col("_sorted"), "_i", "term")
-    repeated = (F.col("_i") > 0) & (F.get("_sorted", F.col("_i") - 1) == F.col("term"))
-    return (rows.select("term", F.when(repeated, 0).otherwise(1).alias("first"))
-            .groupBy("term").agg(F.count("*").alias("tf"), F.sum("first").alias("df")))
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in pieces(batch.column(0)):
+                found = grams(piece, ngrams)
+                kept = np.arange(len(found.code)) if may_pass is None else \
+                    np.flatnonzero(may_pass(found.code))
+                code, first, place, tf = np.unique(found.code[kept], return_index=True,
+                                                   return_inverse=True, return_counts=True)
+                # Each text once per term.
+                once = np.unique(found.row[kept] * len(code) + place) % max(len(code), 1)
+                df = np.bincount(once, minlength=len(code))
+                for at in range(0, len(code), 100_000):
+                    part = slice(at, at + 100_000)
+                    yield pa.RecordBatch.from_arrays(
+                        [found.strings(kept[first[part]]).cast(pa.string()), pa.array(tf[part]),
+                         pa.array(df[part])], names=["term", "tf", "df"])
+
+    counted = df.select(tokens_col).mapInArrow(count, "term string, tf long, df long")
+    return counted.groupBy("term").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
 
 
 def prune(counts: DataFrame, texts: int, min_df: int = MIN_DF,
@@ -67,32 +90,120 @@ def prune(counts: DataFrame, texts: int, min_df: int = MIN_DF,
     return counts.filter((F.col("df") >= min_df) & (F.col("df") <= max_df * texts))
 
 
-PREFIX = 4  # characters by which equally frequent terms are counted
+def frequent_counts(df: DataFrame, tokens_col: str, ngrams: tuple[int, int] = NGRAMS,
+                    min_df: int = MIN_DF, cells: int = sketch.CELLS) -> DataFrame:
+    """``term_counts`` of the terms in ``min_df`` texts or more; reads the texts twice.
+
+    Most n-grams occur in one or two texts. A counting filter finds nearly all of them by a first
+    pass over the texts; they never leave the task that read them, and only the rest is shuffled
+    and counted exactly.
+    """
+    if min_df <= 1:
+        return term_counts(df, tokens_col, ngrams)
+
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for batch in batches:
+            for piece in pieces(batch.column(0)):
+                found = grams(piece, ngrams)
+                yield found.row, found.code
+
+    counted = df.select(tokens_col).mapInArrow(
+        lambda batches: sketch.count_rows(coded(batches), min_df, cells), sketch.COUNTED)
+    bits = df.sparkSession.sparkContext.broadcast(sketch.reached(counted, min_df, cells))
+    counts = term_counts(df, tokens_col, ngrams,
+                         lambda codes: sketch.may_reach(bits.value, codes))
+    return counts.filter(F.col("df") >= min_df)
+
+
+RADIX_BITS = 8      # of a frequency that one histogram tells apart
+RANKED = 100_000    # equally frequent terms that are ranked without another histogram
+
+
+def _last_group(counts: DataFrame, group: Column, room: int, descending: bool) -> tuple:
+    """The group in which the ``room``-th row stands, how many rows come before it and how many
+    it has; groups are as many as the digits of a frequency or the characters there are."""
+    sizes = sorted(((r.g, r.n) for r in counts.groupBy(group.alias("g"))
+                    .agg(F.count("*").alias("n")).collect()), reverse=descending)
+    before = 0
+    for key, n in sizes:
+        if before + n >= room:
+            return key, before, n
+        before += n
+    raise ValueError("there are fewer rows than that")
 
 
 def vocabulary(counts: DataFrame, max_features: int = MAX_FEATURES) -> DataFrame:
     """The most frequent terms; ties go to the alphabetically first.
 
-    No task ranks all terms: a histogram tells at which frequency the vocabulary is full, and
-    one over the first characters of the terms with that frequency, up to which of them. All
-    terms before are taken by a plain filter; only those at that place are ranked.
+    No task sees all terms. Histograms of bounded size, over the digits of the frequencies and
+    then over the characters of the terms that tie, tell where the vocabulary is full; all terms
+    before are taken by a plain filter, and only those at that place are ranked.
     """
-    by_tf = counts.groupBy("tf").agg(F.count("*").alias("n"))
-    over = Window.orderBy(F.desc("tf"))
-    cut = (by_tf.withColumn("before", F.sum("n").over(over) - F.col("n"))
-           .filter((F.col("before") < max_features)
-                   & (F.col("before") + F.col("n") >= max_features)).first())
-    if cut is None:
-        return counts if max_features else counts.limit(0)
-    ties, room = counts.filter(F.col("tf") == cut.tf), max_features - cut.before
-    prefix = F.substring("term", 1, PREFIX)
-    by_prefix = ties.groupBy(prefix.alias("prefix")).agg(F.count("*").alias("n"))
-    last = (by_prefix.withColumn("before", F.sum("n").over(Window.orderBy("prefix")) - F.col("n"))
-            .filter((F.col("before") < room) & (F.col("before") + F.col("n") >= room)).first())
-    # Fewer than ``room`` terms share the prefix at the cut or come before it.
-    ranked = ties.filter(prefix == last.prefix).orderBy("term").limit(room - last.before)
-    return counts.filter((F.col("tf") > cut.tf) | ((F.col("tf") == cut.tf)
-                                                   & (prefix < last.prefix))).unionByName(ranked)
+    n, highest = counts.agg(F.count("*"), F.max("tf")).first()
+    if n <= max_features:
+        return counts
+    if not max_features:
+        return counts.limit(0)
+    room, low = max_features, 0
+    shift = max(0, -(-highest.bit_length() // RADIX_BITS) - 1) * RADIX_BITS
+    while shift >= 0:
+        # The frequency looked for starts with the digits found so far.
+        own = counts.filter(F.shiftright("tf", shift + RADIX_BITS) == low)
+        low, before, size = _last_group(own, F.shiftright("tf", shift), room, descending=True)
+        room, shift = room - before, shift - RADIX_BITS
+    ties, kept, at = counts.filter(F.col("tf") == low), counts.filter(F.col("tf") > low), 0
+    while size > max(RANKED, room):
+        at += 1
+        char = F.substring("term", at, 1)
+        last, before, size = _last_group(ties, char, room, descending=False)
+        kept, room = kept.unionByName(ties.filter(char < last)), room - before
+        ties = ties.filter(char == last)
+    return kept.unionByName(ties.orderBy("term").limit(room))
+
+
+class Vectorizer:
+    """What a task needs to turn texts into vectors: codes of the terms and their weights."""
+
+    def __init__(self, terms: list[str], idf: list[float], ngrams: tuple[int, int]):
+        codes = codes_of(terms)
+        self.place = np.argsort(codes)
+        self.codes, self.idf, self.ngrams = codes[self.place], np.asarray(idf), ngrams
+        if (self.codes[1:] == self.codes[:-1]).any():
+            raise ValueError("two terms share a code")
+
+    def entries(self, tokens: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Text, term and weight of all entries, in the order of texts and terms."""
+        size, parts, before = len(self.codes), [], 0
+        for piece in pieces(tokens):
+            found = grams(piece, self.ngrams)
+            at = np.minimum(np.searchsorted(self.codes, found.code), size - 1)
+            known = np.flatnonzero(self.codes[at] == found.code)
+            pair, tf = np.unique(found.row[known] * size + self.place[at[known]],
+                                 return_counts=True)
+            row, idx = pair // size, pair % size
+            weight = (1.0 + np.log(tf)) * self.idf[idx]
+            norm = np.sqrt(np.bincount(row, weights=weight * weight, minlength=len(piece)))
+            parts.append((row + before, idx, weight / norm[row]))
+            before += len(piece)
+        return tuple(np.concatenate(c) for c in zip(*parts)) if parts else \
+            (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+
+    def vectors(self, tokens: pa.Array) -> pa.Array:
+        """Sparse vectors as Spark keeps them."""
+        row, idx, weight = self.entries(tokens)
+        n = len(tokens)
+        starts = pa.array(np.searchsorted(row, np.arange(n + 1)), pa.int32())
+        return pa.StructArray.from_arrays(
+            [pa.array(np.zeros(n, np.int8)), pa.array(np.full(n, len(self.codes), np.int32)),
+             pa.ListArray.from_arrays(starts, pa.array(idx, pa.int32())),
+             pa.ListArray.from_arrays(starts, pa.array(weight))],
+            names=["type", "size", "indices", "values"])
+
+    def sums(self, tokens: pa.Array, weights: np.ndarray) -> np.ndarray:
+        """For each text and each row of ``weights`` (a weight per term) the weighted sum."""
+        row, idx, weight = self.entries(tokens)
+        return np.stack([np.bincount(row, weights=weight * own[idx], minlength=len(tokens))
+                         for own in weights], axis=1)
 
 
 @dataclass
@@ -102,29 +213,30 @@ class TfidfModel:
     terms: list[str]
     idf: list[float]
     ngrams: tuple[int, int] = NGRAMS
-    _counter: tuple | None = field(default=None, repr=False, compare=False)
-
-    def counter(self, spark: SparkSession) -> tuple[CountVectorizerModel, np.ndarray]:
-        """A count vectorizer over the terms, and the place of each of its terms in ``terms``.
-
-        Fitting it to one row that holds the terms hands them over in one piece; passing
-        them in one by one takes seconds. The fit picks its own order, hence the places.
-        """
-        if self._counter is None:
-            row = spark.createDataFrame([(self.terms,)], "_terms array<string>")
-            model = CountVectorizer(inputCol="_terms", outputCol="_counts", minDF=1,
-                                    vocabSize=len(self.terms)).fit(row)
-            place = {term: i for i, term in enumerate(self.terms)}
-            self._counter = model, np.array([place[t] for t in model.vocabulary], dtype=np.int32)
-        return self._counter
+    _sent: Broadcast | None = field(default=None, repr=False, compare=False)
+
+    def sent(self, spark: SparkSession) -> Broadcast:
+        """The vectorizer, sent to the executors once; it has a few numbers per term."""
+        if self._sent is None:
+            self._sent = spark.sparkContext.broadcast(
+                Vectorizer(self.terms, self.idf, self.ngrams))
+        return self._sent
 
     @classmethod
-    def fit(cls, df: DataFrame, clean_col: str = "clean_text", max_features: int = MAX_FEATURES,
-            ngrams: tuple[int, int] = NGRAMS, min_df: int = MIN_DF,
-            max_df: float = MAX_DF, texts: int | None = None) -> "TfidfModel":
+    def fit(cls, df: DataFrame, clean_col: str = "clean_text", **options) -> "TfidfModel":
+        """A model of cleaned texts; their tokens are written once and deleted at the end."""
+        tokens = df.select(token_text(F.col(clean_col)).alias("tokens"))
+        with stored(tokens, "tokens") as tokens:
+            return cls.fit_tokens(tokens, "tokens", **options)
+
+    @classmethod
+    def fit_tokens(cls, df: DataFrame, tokens_col: str, max_features: int = MAX_FEATURES,
+                   ngrams: tuple[int, int] = NGRAMS, min_df: int = MIN_DF,
+                   max_df: float = MAX_DF, texts: int | None = None) -> "TfidfModel":
+        """A model of texts given as ``token_text``, which are read three times."""
         n = df.count() if texts is None else texts
-        counts = term_counts(with_terms(df.select(clean_col), clean_col, ngrams=ngrams))
-        # Written once: the vocabulary reads the counts three times.
+        counts = frequent_counts(df, tokens_col, ngrams, min_df)
+        # Written once: the vocabulary reads the counts several times.
         with stored(prune(counts, n, min_df, max_df), "terms") as pruned:
             # Bounded: max_features rows, which the driver needs as a model.
             kept = sorted((r.term, r.df) for r in vocabulary(pruned, max_features).collect())
@@ -136,48 +248,47 @@ class TfidfModel:
     def transform(self, df: DataFrame, clean_col: str = "clean_text",
                   out: str = "features") -> DataFrame:
         """Append the feature vector; no shuffle."""
-        counter, places = self.counter(df.sparkSession)
-        counted = counter.transform(with_terms(df, clean_col, "_terms", self.ngrams))
-        counted = computed_once(counted, {"_counts": F.unwrap_udt("_counts")}, "_terms")
-        weigh = _weigher(np.asarray(self.idf), places)
-        return counted.withColumn(out, weigh("_counts")).drop("_counts")
+        return df.withColumn(out, self.vector(token_text(F.col(clean_col)), df.sparkSession))
+
+    def vector(self, tokens: Column, spark: SparkSession) -> Column:
+        """The feature vector of a text given as ``token_text``."""
+        sent = self.sent(spark)
+
+        def vectors(tokens: pa.Array) -> pa.Array:
+            return sent.value.vectors(tokens)
+
+        vectors.__annotations__ = {"tokens": pa.Array, "return": pa.Array}
+        return F.arrow_udf(vectors, returnType=VectorUDT())(tokens)
+
+    def weighted_sums(self, tokens: Column, spark: SparkSession, weights: np.ndarray) -> Column:
+        """An array: for each row of a matrix of term weights, the product with the vector."""
+        sent, weights = self.sent(spark), spark.sparkContext.broadcast(weights)
+
+        def sums(tokens: pa.Array) -> pa.Array:
+            found = sent.value.sums(tokens, weights.value)
+            starts = np.arange(len(tokens) + 1) * found.shape[1]
+            return pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(found.ravel()))
+
+        sums.__annotations__ = {"tokens": pa.Array, "return": pa.Array}
+        return F.arrow_udf(sums, returnType="array<double>")(tokens)
 
     def table(self, spark: SparkSession) -> DataFrame:
         """``idx, term, idf``."""
-        return spark.createDataFrame(list(zip(range(len(self.terms)), self.terms, self.idf)),
-                                     "idx int, term string, idf double")
+        return spark.createDataFrame(pa.table(
+            [pa.array(range(len(self.terms)), pa.int32()), pa.array(self.terms, pa.string()),
+             pa.array(self.idf, pa.float64())], names=["idx", "term", "idf"]))
 
     def weights(self, df: DataFrame, id_col: str, clean_col: str = "clean_text") -> DataFrame:
         """``id, term, weight`` rows; the vocabulary is broadcast if its size allows."""
-        vectors = self.transform(df.select(id_col, clean_col), clean_col)
+        return self.token_weights(
+            df.select(id_col, token_text(F.col(clean_col)).alias("tokens")), id_col, "tokens")
+
+    def token_weights(self, df: DataFrame, id_col: str, tokens_col: str) -> DataFrame:
+        """``weights`` of texts given as ``token_text``."""
+        vectors = df.select(id_col, self.vector(F.col(tokens_col), df.sparkSession).alias("v"))
         entries = rows_of(
-            vectors.select(id_col, F.unwrap_udt("features").alias("v")), [id_col],
+            vectors.select(id_col, F.unwrap_udt("v").alias("v")), [id_col],
             F.arrays_zip(F.col("v.indices").alias("idx"), F.col("v.values").alias("weight")), "idx")
         names = self.table(df.sparkSession).select("idx", "term")
         names = F.broadcast(names) if is_small(names, ["term"]) else names
         return entries.join(names, "idx").select(id_col, "term", "weight")
-
-
-def _weigher(idf: np.ndarray, places: np.ndarray):
-    """Turns count vectors into weighted vectors, one Arrow batch at a time."""
-
-    def weigh(counts: pa.Array) -> pa.Array:
-        indices, values = counts.field("indices"), counts.field("values")
-        offsets = np.asarray(indices.offsets)
-        sizes = np.diff(offsets)
-        row = np.repeat(np.arange(len(sizes)), sizes)
-        idx = places[np.asarray(indices.flatten())]
-        order = np.lexsort((idx, row))
-        idx = idx[order]
-        weight = (1.0 + np.log(np.asarray(values.flatten())[order])) * idf[idx]
-        norm = np.sqrt(np.bincount(row, weights=weight * weight, minlength=len(sizes)))
-        scaled = pa.array(weight / norm[row])
-        starts = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
-        return pa.StructArray.from_arrays(
-            [counts.field("type"), counts.field("size"),
-             pa.ListArray.from_arrays(starts, pa.array(idx, pa.int32())),
-             pa.ListArray.from_arrays(starts, scaled)],
-            names=["type", "size", "indices", "values"])
-
-    weigh.__annotations__ = {"counts": pa.Array, "return": pa.Array}
-    return F.arrow_udf(weigh, returnType=VectorUDT())

@@ -684,13 +684,16 @@ def ngrams_1_2(spark, sf):
     return elements_of(terms, ["doc_id"], F.col("terms"), "position", "term")
 
 
-def document_counts(spark, sf) -> DataFrame:
-    return ft.term_counts(ft.with_terms(clean_documents(spark, sf), "clean_text"))
+def document_tokens(spark, sf) -> DataFrame:
+    """Ids and tokens of all documents, computed once."""
+    return cut_lineage(clean_documents(spark, sf).select(
+        "doc_id", ft.token_text(F.col("clean_text")).alias("tokens")))
 
 
 @query
 def df_pruning(spark, sf):
-    return ft.prune(document_counts(spark, sf), documents(spark, sf).count())
+    docs = document_tokens(spark, sf)
+    return ft.prune(ft.frequent_counts(docs, "tokens"), docs.count())
 
 
 @query
@@ -700,16 +703,16 @@ def vocab_top_k(spark, sf):
 
 @query
 def tfidf(spark, sf):
-    docs = clean_documents(spark, sf)
-    weights = ft.TfidfModel.fit(docs).weights(docs, "doc_id")
+    docs = document_tokens(spark, sf)
+    weights = ft.TfidfModel.fit_tokens(docs, "tokens").token_weights(docs, "doc_id", "tokens")
     return weights.select("doc_id", "term", F.round("weight", 6).alias("weight"))
 
 
 @query
 def doc_vectors(spark, sf):
-    docs = clean_documents(spark, sf)
-    vectors = ft.TfidfModel.fit(docs).transform(docs)
-    v = vectors.select("doc_id", F.unwrap_udt("features").alias("v"))
+    docs = document_tokens(spark, sf)
+    model = ft.TfidfModel.fit_tokens(docs, "tokens")
+    v = docs.select("doc_id", F.unwrap_udt(model.vector(F.col("tokens"), spark)).alias("v"))
     return v.select("doc_id", F.size("v.indices").alias("entries"),
                     F.round(F.aggregate("v.values", F.lit(0.0), lambda s, x: s + x * x), 6)
                     .alias("squared_length"))
@@ -731,23 +734,40 @@ def probability_columns(predictions: DataFrame, *keys) -> DataFrame:
 TOLERANCE = 0.02  # largest gradient entry at which a regression counts as solved
 
 
-def solved(spark, sf, **options) -> DataFrame:
+def solved(model: clf.ToxicityModel, spark: SparkSession) -> DataFrame:
     """What every label's regression was trained on, and whether it is at its minimum."""
-    model, _ = clf.train(labeled(spark, sf), **options)
-    return clf.gradient_sizes(model, labeled(spark, sf)).select(
-        "label", "rows", "positives", "vocabulary",
-        (F.col("gradient") < TOLERANCE).cast("int").alias("solved"))
+    return model.training_table(spark).withColumn(
+        "solved", (F.col("gradient") < TOLERANCE).cast("int")).drop("gradient")
+
+
+def measured(spark, sf, **options) -> DataFrame:
+    """The metrics of every label on the texts held out, beside what it was trained on."""
+    model, metrics = clf.train(labeled(spark, sf), **options)
+    return metrics.join(solved(model, spark), "label")
 
 
 @query
 def train_lr(spark, sf):
-    return solved(spark, sf)
+    return measured(spark, sf)
 
 
 @query
 def train(spark, sf):
     """Logistic regression on texts without stopwords, with lemmas."""
-    return solved(spark, sf, remove_stops=True, lemmas=short_lemmas(spark, sf))
+    return measured(spark, sf, remove_stops=True, lemmas=short_lemmas(spark, sf))
+
+
+@query
+def train_lr_minimum(spark, sf):
+    """Whether every regression is at the minimum of its objective over all training rows."""
+    return solved(clf.train(labeled(spark, sf))[0], spark)
+
+
+@query
+def train_minimum(spark, sf):
+    """The same for texts without stopwords, with lemmas."""
+    return solved(clf.train(labeled(spark, sf), remove_stops=True,
+                            lemmas=short_lemmas(spark, sf))[0], spark)
 
 
 @query
@@ -794,12 +814,9 @@ def analyze_model(spark, sf):
 
 @query
 def top_features(spark, sf):
-    """Whether the listed terms are those with the largest coefficients, in order."""
+    """The terms with the largest coefficients for ``toxic``."""
     model, _ = clf.train(labeled(spark, sf), labels=["toxic"])
-    top = [tuple(r) for r in model.feature_importance(spark, "toxic", 20).collect()]
-    every = sorted(zip(model.tfidf.terms, model.models["toxic"].coefficients.toArray().tolist()),
-                   key=lambda p: (-p[1], p[0]))
-    return spark.createDataFrame([(len(top), int(top == every[:20]))], "features int, highest int")
+    return model.feature_importance(spark, "toxic", 20)
 
 
 @query
@@ -807,25 +824,24 @@ def model_save(spark, sf):
     """The saved vocabulary with its weights, and the saved naive Bayes table for ``toxic``."""
     path = scratch_path(spark, "model")
     naive_bayes(spark, sf).save(spark, path)
-    vocabulary = spark.read.parquet(f"{path}/vocabulary")
-    theta = clf.NaiveBayesModel.load(f"{path}/models/toxic").theta.toArray()
-    # As many rows as terms, which the model holds.
-    logs = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(theta.T)],
-                                 "idx int, clean double, toxic double")
-    return vocabulary.join(logs, "idx").select(
+    logs = spark.read.parquet(f"{path}/weights").filter("label = 'toxic'")
+    return spark.read.parquet(f"{path}/vocabulary").join(logs, "idx").select(
         "idx", "term", F.round("idf", 9).alias("idf"), F.round("clean", 6).alias("clean"),
         F.round("toxic", 6).alias("toxic"))
 
 
 @query
 def model_load(spark, sf):
-    """Texts for which the restored model gives the same probabilities as the saved one."""
-    path = scratch_path(spark, "model")
-    model = naive_bayes(spark, sf)
-    model.save(spark, path)
-    again = clf.ToxicityModel.load(spark, path)
+    """For both kinds of model, texts for which the restored one gives the same probabilities."""
     docs = documents(spark, sf)
-    first = model.predict(docs).select("doc_id", F.map_values("labels").alias("a"))
-    second = again.predict(docs).select("doc_id", F.map_values("labels").alias("b"))
-    return first.join(second, "doc_id").agg(F.count("*").alias("texts"),
-                                            F.count_if(F.col("a") == F.col("b")).alias("equal"))
+    parts = []
+    for kind in clf.MODEL_TYPES:
+        path = scratch_path(spark, "model")
+        model, _ = clf.train(labeled(spark, sf), model_type=kind)
+        model.save(spark, path)
+        again = clf.ToxicityModel.load(spark, path)
+        both = again.predict(model.predict(docs).select("text", F.map_values("labels").alias("a")))
+        same = F.col("a") == F.map_values("labels")
+        parts.append(both.agg(F.lit(kind).alias("model"), F.count("*").alias("texts"),
+                              F.count_if(same).alias("equal")))
+    return sm.concat_rows(*parts)

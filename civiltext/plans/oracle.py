@@ -7,6 +7,7 @@ where the Spark side uses gates, arrays and one-pass patterns.
 from __future__ import annotations
 
 from civiltext import tables
+from civiltext.operators.classifier import MODEL_TYPES
 from civiltext.operators.lemmas import NOUN_ENDINGS
 from civiltext.plans.catalog import SENTENCE_SWAPS, SWAPS
 
@@ -712,8 +713,8 @@ def sql_by_query() -> dict[str, str]:
         "df_pruning": f"WITH {TERMS} SELECT * FROM pruned",
         "vocab_top_k": f"WITH {TERMS} SELECT * FROM pruned ORDER BY tf DESC, term LIMIT 50000",
         "tfidf": f"WITH {TERMS} SELECT doc_id, term, round(weight, 6) AS weight FROM weights",
-        "train_lr": regression_rows(),
-        "train": regression_rows(LEMMA_FIT),
+        "train_lr_minimum": regression_rows(),
+        "train_minimum": regression_rows(LEMMA_FIT),
         "train_nb": naive_bayes(),
         "train_nb_lemmas": naive_bayes(LEMMA_FIT),
         "predict": predictions(DOCUMENTS, "doc_id"),
@@ -722,9 +723,9 @@ def sql_by_query() -> dict[str, str]:
         "predict_batch": predictions(TALK, "conv_id, turn"),
         "prediction_table": PREDICTION_TABLE,
         "analyze_model": ANALYZE_MODEL,
-        "top_features": "SELECT 20 AS features, 1 AS highest",
         "model_save": SAVED_MODEL,
-        "model_load": "SELECT count(*) AS texts, count(*) AS equal FROM documents",
+        "model_load": "SELECT model, count(*) AS texts, count(*) AS equal FROM documents, "
+                      f"{rows([[k] for k in MODEL_TYPES])} AS kinds(model) GROUP BY model",
         "doc_vectors": f"WITH {TERMS} SELECT c.doc_id, count(term) AS entries, "
                        "round(coalesce(sum(weight * weight), 0), 6) AS squared_length FROM c LEFT "
                        "JOIN weights USING (doc_id) GROUP BY c.doc_id",

@@ -60,21 +60,67 @@ def test_gradient_is_zero_at_the_solution(small_set, trained):
     clean = train.select("toxic", txt.preprocess(F.col("comment_text")).alias("clean_text"))
     rows = model.tfidf.transform(clean).select("toxic", "features").collect()
     n, pos = len(rows), sum(r.toxic for r in rows)
-    lr = model.models["toxic"]
-    gradient = lr.coefficients.toArray().copy()
+    weights, intercept = model.coefficients("toxic"), model.intercepts[model.labels.index("toxic")]
+    gradient = weights.copy()
     for r in rows:
-        p = 1 / (1 + math.exp(-(r.features.dot(lr.coefficients) + lr.intercept)))
+        p = 1 / (1 + math.exp(-(r.features.dot(weights) + intercept)))
         weight = n / (2 * (pos if r.toxic else n - pos))
         for i, v in zip(r.features.indices, r.features.values):
             gradient[i] += weight * (p - r.toxic) * v
     assert abs(gradient).max() < 1e-2
 
 
+def test_regression_agrees_with_spark(spark, small_set, trained):
+    """Spark's own regression of one label, run until it stops, finds the same weights."""
+    from pyspark.ml.classification import LogisticRegression
+    model, _ = trained
+    train, _ = sm.train_test_split(small_set, "id")
+    rows = model.tfidf.transform(train.withColumn("clean_text", txt.preprocess(F.col("comment_text"))))
+    totals = {c["label"]: c for c in model.training}
+    for label in ("toxic", "insult"):
+        n, pos = totals[label]["rows"], totals[label]["positives"]
+        weighted = rows.select("features", F.col(label).cast("double").alias("label"), F.when(
+            F.col(label) == 1, n / (2 * pos)).otherwise(n / (2 * (n - pos))).alias("w"))
+        other = LogisticRegression(maxIter=500, tol=1e-10, regParam=1 / n, standardization=False,
+                                   weightCol="w").fit(weighted)
+        assert abs(other.coefficients.toArray() - model.coefficients(label)).max() < 0.01
+        assert other.intercept == pytest.approx(
+            model.intercepts[model.labels.index(label)], abs=0.01)
+
+
+def test_labels_trained_together_as_alone(small_set, trained):
+    alone, metrics = clf.train(small_set, labels=["insult"])
+    both = trained[0]
+    assert abs(alone.coefficients("insult") - both.coefficients("insult")).max() < 0.01
+    assert metrics.collect() == trained[1].filter("label = 'insult'").collect()
+    assert all(c["gradient"] <= 0.01 for c in both.training)
+
+
+def test_metrics_are_those_of_the_predictions(spark, small_set, trained):
+    model, metrics = trained
+    _, test = sm.train_test_split(small_set, "id")
+    predicted = model.predict(test, "comment_text", threshold=0.5).collect()
+    for row in metrics.collect():
+        pairs = [(r[row.label], row.label in r.detected_types) for r in predicted]
+        assert row.accuracy == sum(a == b for a, b in pairs) / len(pairs)
+        called = sum(b for _, b in pairs)
+        assert row.precision == (sum(a and b for a, b in pairs) / called if called else 0)
+
+
+def test_importances_are_the_largest_coefficients(spark, trained):
+    model, _ = trained
+    got = [tuple(r) for r in model.feature_importance(spark, "insult", 7).collect()]
+    every = sorted(zip(model.tfidf.terms, model.coefficients("insult").tolist()),
+                   key=lambda p: (-p[1], p[0]))
+    assert got == every[:7]
+
+
 def test_save_and_load(spark, trained):
     model, _ = trained
     path = scratch_path(spark, "model")
     model.save(spark, path)
     again = clf.ToxicityModel.load(spark, path)
+    assert again.training == model.training and (again.tables == model.tables).all()
     df = spark.createDataFrame([(s[0],) for s in SENTENCES], "text string")
     assert model.predict(df).collect() == again.predict(df).collect()
     top = again.feature_importance(spark, "insult", 5).collect()
@@ -256,12 +302,16 @@ def test_cleaning_belongs_to_the_model(spark, small_set):
     assert sizes.gradient < 0.02 and sizes.vocabulary == len(model.tfidf.terms)
 
 
-def test_vocabulary_is_not_ranked_by_one_task(spark):
+def test_vocabulary_is_not_ranked_by_one_task(spark, monkeypatch):
     rows = [(f"t{i:04d}", 2 + (i % 7 == 0) * 5 + (i % 50 == 0) * i) for i in range(3000)]
     counts = spark.createDataFrame(rows, "term string, tf long").repartition(5)
     for k in (0, 1, 10, 59, 60, 61, 500, 2999, 3000, 4000):
         got = {r.term for r in ft.vocabulary(counts, k).collect()}
         assert got == {t for t, _ in sorted(rows, key=lambda r: (-r[1], r[0]))[:k]}, k
+    monkeypatch.setattr(ft, "RANKED", 3)
+    for k in (10, 59, 61, 500, 2999):
+        got = {r.term for r in ft.vocabulary(counts, k).collect()}
+        assert got == {t for t, _ in sorted(rows, key=lambda r: (-r[1], r[0]))[:k]}, k
 
 
 def test_statistics(spark, small_set):
