@@ -4,11 +4,13 @@
 there is no shuffle. Each row first passes a cheap exact gate (byte scans for phrases, one
 prefix-sharing pattern for words); only rows with a hit are split into tokens.
 
-``detect_by_join`` is the table form for lexicons too large for expressions.
+``detect_table`` takes lexicons too large for expressions, as tables.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from civiltext import tables
@@ -16,6 +18,8 @@ from civiltext.functions import numbers, patterns, sqltext as sql, text as txt
 from civiltext.functions.barrier import computed_once, rows_of
 from civiltext.operators.broadcasts import is_small, lookup_join
 from civiltext.operators.lexicon import Lexicon
+from civiltext.operators.lookup import LexiconIndex, Marker, escape_html, fold
+from civiltext.sources.shared import cut_lineage
 
 HIT = ("struct<word:string,category:string,position:int,is_phrase:boolean,"
        "has_intensifier:boolean,is_negated:boolean>")
@@ -204,54 +208,62 @@ def _token_hits(df: DataFrame, keep: list[str], lexicon: DataFrame, text_col: st
         F.expr(f"exists({before}, x -> {sql.is_one_of('x', tables.NEGATORS)})").alias("is_negated"))
 
 
-PIECE = 3           # characters by which phrases are looked up
-MAX_PIECES = 5_000  # known pieces that are kept in the row
+AUTOMATON_BYTES = 4 << 20   # of phrases in one automaton; its nodes take some fifty times that
 
 
 def phrase_hits_by_join(df: DataFrame, id_col: str, lexicon: DataFrame,
                         text_col: str = "text") -> DataFrame:
     """Phrase hits as rows, for a lexicon given as a table of any size.
 
-    A text can only contain a phrase if it contains the phrase's first characters: three, or
-    as many as the phrase has. The distinct pieces of a text are matched to those by equi-join;
-    only the candidates found that way are compared in full. If there are few different
-    pieces, others are left out in the row already.
+    One automaton finds all phrases in a text at once. Phrases beyond ``AUTOMATON_BYTES`` are
+    spread over several automata, each of which reads the texts. Only hits leave a text's row.
     """
     return _phrase_hits(df, [id_col], lexicon, text_col)
 
 
 def _phrase_hits(df: DataFrame, keep: list[str], lexicon: DataFrame, text_col: str) -> DataFrame:
-    phrases = (lexicon.filter("is_phrase")
-               .select("term", "category", F.substring("term", 1, PIECE).alias("piece")))
-    starts = phrases.select("piece").distinct().limit(MAX_PIECES + 1).collect()
-    few = len(starts) <= MAX_PIECES
-    sizes = sorted({len(r.piece) for r in starts}) if few else list(range(1, PIECE + 1))
-    texts = df.select(*keep, F.lower(txt.null_to_empty(F.col(text_col))).alias("_low"))
-    texts = computed_once(texts, {"_low": F.col("_low")})
-    chars = F.col("_chars")
-    split = texts.filter("_low <> ''").withColumn("_chars", F.split("_low", ""))
-
-    def of_size(n: int) -> Column:
-        cut = F.transform(F.sequence(F.lit(0), F.size(chars) - n), lambda i: F.concat(
-            *[F.get(chars, i + j) for j in range(n)]))
-        return F.when(F.size(chars) >= n, cut).otherwise(F.array().cast("array<string>"))
-
-    pieces = F.array_distinct(F.concat(*[of_size(n) for n in sizes])) if sizes \
-        else F.array().cast("array<string>")
-    if few:
-        listed = ", ".join(sql.quote(r.piece) for r in starts)
-        pieces = F.array_intersect(pieces, F.expr(f"cast(array({listed}) AS array<string>)"))
-    found = split.select(*keep, "_low", F.explode_outer(pieces).alias("piece")) \
-                 .filter(F.col("piece").isNotNull())
-    if is_small(phrases, ["term", "category"]):
-        candidates = found.join(F.broadcast(phrases), "piece")
-    else:
-        candidates = lookup_join(found, phrases, "piece", spread=F.struct(*keep))
+    phrases = cut_lineage(lexicon.filter(F.col("is_phrase") & (F.col("term") != ""))
+                          .select("term", "category"))
+    octets = phrases.agg(F.coalesce(F.sum(F.octet_length("term")), F.lit(0))).first()[0]
+    blocks = max(1, -(-octets // AUTOMATON_BYTES))
+    number = F.pmod(F.xxhash64("term"), F.lit(blocks))
+    low = F.lower(txt.null_to_empty(F.col(text_col)))
+    found = None
+    for i in range(blocks):
+        rows = phrases.filter(number == i).toArrow()
+        index = LexiconIndex(rows["term"].to_pylist(), rows["category"].to_pylist(),
+                             [True] * len(rows))
+        hits = df.select(*keep, F.explode_outer(_phrase_finder(df, index)(low)).alias("_h")) \
+                 .filter("_h IS NOT NULL")
+        found = hits if found is None else found.unionByName(hits)
     no = F.lit(False)
-    return (candidates.filter(F.contains("_low", F.col("term")))
-            .select(*keep, F.col("term").alias("word"), "category",
-                    F.lit(-1).alias("position"), F.lit(True).alias("is_phrase"),
-                    no.alias("has_intensifier"), no.alias("is_negated")))
+    return found.select(*keep, "_h.word", "_h.category", F.lit(-1).alias("position"),
+                        F.lit(True).alias("is_phrase"), no.alias("has_intensifier"),
+                        no.alias("is_negated"))
+
+
+def _lists(found: list[list], arrays: list[pa.Array], names: list[str]) -> pa.ListArray:
+    """Structs in lists, one list per text."""
+    ends = np.cumsum([0, *map(len, found)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()),
+                                    pa.StructArray.from_arrays(arrays, names))
+
+
+def _named(index: LexiconIndex, numbers: list[int]) -> list[pa.Array]:
+    return [pa.array([index.terms[i] for i in numbers], pa.string()),
+            pa.array([index.categories[i] for i in numbers], pa.string())]
+
+
+def _phrase_finder(df: DataFrame, index: LexiconIndex):
+    sent = df.sparkSession.sparkContext.broadcast(index)
+
+    def find(low: pa.Array) -> pa.Array:
+        found = [sent.value.phrases_in(t) for t in low.to_pylist()]
+        return _lists(found, _named(sent.value, [i for f in found for i in f]),
+                      ["word", "category"])
+
+    find.__annotations__ = {"low": pa.Array, "return": pa.Array}
+    return F.arrow_udf(find, returnType="array<struct<word:string,category:string>>")
 
 
 def detect_by_join(df: DataFrame, id_col: str, lexicon: DataFrame,
@@ -261,16 +273,87 @@ def detect_by_join(df: DataFrame, id_col: str, lexicon: DataFrame,
         phrase_hits_by_join(df, id_col, lexicon, text_col))
 
 
+MAX_INDEX_ROWS = 500_000
+MAX_INDEX_BYTES = 16 << 20
+
+
 def detect_table(df: DataFrame, lexicon: DataFrame, text_col: str = "text") -> DataFrame:
     """``detect`` for a lexicon given as a table (``term, category, is_phrase, ord``) of any size.
 
-    Appends ``toxic_words``, ``toxic_count``, ``categories_found`` and ``intensity_score``;
-    ``lexicon_verdict`` works on the result. Hits come back to their texts by the text itself
-    (its digest), so ids may be missing or repeated and copies of a text are looked up once.
+    Appends the same columns. A lexicon that was counted and found within ``MAX_INDEX_ROWS`` and
+    ``MAX_INDEX_BYTES`` is sent to the tasks, and everything about a text is found in its own row.
+    A larger one is joined with the words of the distinct texts; hits come back to their texts by
+    the text's digest, so ids may be missing or repeated and copies are looked up once.
     """
+    lexicon = cut_lineage(lexicon.select("term", "category", "is_phrase", "ord"))
+    size = lexicon.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("term")), F.lit(0))).first()
+    if size[0] <= MAX_INDEX_ROWS and size[1] <= MAX_INDEX_BYTES:
+        return _detect_in_row(df, lexicon, text_col)
+    return _detect_by_digest(df, lexicon, text_col)
+
+
+def _finish(staged: DataFrame, tokens: Column) -> DataFrame:
+    """What follows from ``toxic_words``, ``_low``, ``_flat``; ``tokens``: how many there are."""
+    hits, hit = F.col("toxic_words"), F.size("toxic_words") > 0
+    staged = staged.withColumn("_raw", F.when(hit, raw_intensity("toxic_words", tokens)))
+    positions = F.transform(hits, lambda h: h.position)
+    return staged.withColumns({
+        "toxic_count": F.size(hits),
+        "categories_found": categories_of(hits),
+        "intensity_score": F.coalesce(numbers.round_exact(F.col("_raw"), 3), F.lit(0.0)),
+        "non_toxic_words": F.when(F.col("_flat") == "", F.array().cast("array<string>")).otherwise(
+            F.filter(F.split("_flat", " "), lambda w, i: ~F.array_contains(positions, i))),
+    }).drop("_raw")
+
+
+def _detect_in_row(df: DataFrame, lexicon: DataFrame, text_col: str) -> DataFrame:
+    rows = lexicon.orderBy("ord").select("term", "category", "is_phrase").toArrow()
+    sent = df.sparkSession.sparkContext.broadcast(
+        LexiconIndex(*(rows[c].to_pylist() for c in ("term", "category", "is_phrase"))))
+
+    def look_up(text: pa.Array, low: pa.Array, words: pa.Array) -> pa.Array:
+        index = sent.value
+        phrases = [index.phrases_in(t) for t in low.to_pylist()]
+        tokens = [index.words_in(t) for t in words.to_pylist()]
+        marked = [index.marker.mark(t, index.folded) if p or w else escape_html(t)
+                  for t, p, w in zip(text.to_pylist(), phrases, tokens)]
+        numbers = [i for found in tokens for _, i in found]
+        places = pa.array([at for found in tokens for at, _ in found], pa.int32())
+        return pa.StructArray.from_arrays(
+            [_lists(phrases, _named(index, [i for f in phrases for i in f]), ["word", "category"]),
+             _lists(tokens, [*_named(index, numbers), places], ["word", "category", "position"]),
+             pa.array(marked, pa.string())], ["phrases", "tokens", "marked"])
+
+    look_up.__annotations__ = {"text": pa.Array, "low": pa.Array, "words": pa.Array,
+                               "return": pa.Array}
+    kind = "array<struct<word:string,category:string{}>>"
+    finder = F.arrow_udf(look_up, returnType=f"struct<phrases:{kind.format('')},"
+                         f"tokens:{kind.format(',position:int')},marked:string>")
+    staged = df.withColumn("_text", txt.null_to_empty(F.col(text_col)))
+    staged = staged.withColumn("_low", F.lower("_text"))
+    staged = staged.withColumn("_flat", txt.collapse_space(F.col("_low")))
+    staged = computed_once(staged, {"_low": F.col("_low"), "_flat": F.col("_flat"),
+                                    "_norm": F.regexp_replace("_flat", f"[^{patterns.WORD} ]+", "")})
+    staged = staged.withColumn("_found", finder("_text", "_low", "_norm"))
+    phrases = F.expr("transform(_found.phrases, p -> named_struct('word', p.word, 'category', "
+                     "p.category, 'position', -1, 'is_phrase', true, 'has_intensifier', false, "
+                     "'is_negated', false))")
+    tokens = F.expr(
+        "transform(transform(_found.tokens, t -> struct(t, t.position AS i)), p -> "
+        "named_struct('word', p.t.word, 'category', p.t.category, 'position', p.i, 'is_phrase', "
+        f"false, 'has_intensifier', {_intensified('_words').replace('i - 1', 'p.i - 1')}, "
+        f"'is_negated', {_negated('_words').replace('i - 2', 'p.i - 2').replace('least(i,', 'least(p.i,')}))")
+    staged = staged.withColumn("_words", F.split("_norm", " "))
+    staged = computed_once(staged, {
+        "toxic_words": F.concat(phrases, tokens).cast(HITS), "_n": F.size("_words"),
+        "highlighted_text": F.col("_found.marked")}, "_words", "_norm", "_found")
+    return _finish(staged, F.col("_n")).drop("_text", "_low", "_flat", "_n")
+
+
+def _detect_by_digest(df: DataFrame, lexicon: DataFrame, text_col: str) -> DataFrame:
     key = "_text_key"
     texts = df.withColumn(key, F.md5(txt.null_to_empty(F.col(text_col)).cast("binary")))
-    once = texts.select(key, text_col).dropDuplicates([key])
+    once = cut_lineage(texts.select(key, text_col).dropDuplicates([key]))
     rank = lexicon.select(F.col("term").alias("word"), F.col("ord").alias("_ord"))
     phrases = lookup_join(_phrase_hits(once, [key], lexicon, text_col), rank, "word",
                           spread=F.col(key))
@@ -282,14 +365,48 @@ def detect_table(df: DataFrame, lexicon: DataFrame, text_col: str = "text") -> D
                               "is_negated").alias("hit"))
     per_text = hits.groupBy(key).agg(F.array_sort(F.collect_list(order)).alias("_hits")) \
                    .select(key, F.transform("_hits", lambda h: h.hit).alias("_hits"))
-    own = ["_n", "_raw", "_hits", key]
-    found = texts.join(per_text, key, "left").withColumns({
-        "toxic_words": F.coalesce(F.col("_hits").cast(HITS), F.expr(f"cast(array() AS {HITS})")),
-        "_n": F.when(F.col("_hits").isNotNull(), txt.word_count(F.col(text_col)))})
-    found = found.withColumn("_raw", F.when(F.col("_hits").isNotNull(),
-                                            raw_intensity("toxic_words", F.col("_n"))))
-    return found.withColumns({
-        "toxic_count": F.size("toxic_words"),
-        "categories_found": categories_of(F.col("toxic_words")),
-        "intensity_score": F.coalesce(numbers.round_exact(F.col("_raw"), 3), F.lit(0.0)),
-    }).drop(*own)
+    found = texts.join(per_text, key, "left").join(
+        _marks(once, key, lexicon, text_col), key, "left").withColumns({
+            "toxic_words": F.coalesce(F.col("_hits").cast(HITS), F.expr(f"cast(array() AS {HITS})")),
+            "_low": F.lower(txt.null_to_empty(F.col(text_col)))})
+    found = found.withColumn("_flat", txt.collapse_space(F.col("_low")))
+
+    def mark(text: pa.Array, terms: pa.Array) -> pa.Array:
+        # Whichever candidates are terms, they are terms for the punctuation they come with.
+        return pa.array([Marker.of(known).mark(t, set(known)) if known else escape_html(t)
+                         for t, known in zip(text.to_pylist(), terms.to_pylist())], pa.string())
+
+    mark.__annotations__ = {"text": pa.Array, "terms": pa.Array, "return": pa.Array}
+    marked = F.arrow_udf(mark, returnType="string")(
+        txt.null_to_empty(F.col(text_col)),
+        F.when(F.col("_hits").isNotNull(), F.col("_terms")))
+    found = found.withColumn("highlighted_text", marked)
+    return _finish(found, F.size(F.split("_flat", " "))).drop("_hits", "_terms", "_low", "_flat", key)
+
+
+def _marks(once: DataFrame, key: str, lexicon: DataFrame, text_col: str) -> DataFrame:
+    """``key, _terms``: what is to be marked in each text, with letter case taken away.
+
+    Only words travel to the lexicon, not the texts they stand in.
+    """
+    def folded(terms: pa.Array) -> pa.Array:
+        return pa.array([fold(t) for t in terms.to_pylist()], pa.string())
+
+    folded.__annotations__ = {"terms": pa.Array, "return": pa.Array}
+    words = lexicon.filter(~F.col("is_phrase") & (F.col("term") != "")) \
+        .select(F.arrow_udf(folded, returnType="string")(F.col("term")).alias("term")).distinct()
+    edges = f"^[^{patterns.WORD}]|[^{patterns.WORD}]\\z"
+    longest = words.filter(F.col("term").rlike(edges)).agg(
+        F.coalesce(F.max(F.length("term")), F.lit(0))).first()[0]
+    marker = Marker(longest)
+
+    def candidates(texts: pa.Array) -> pa.Array:
+        return pa.array([marker.all_candidates(t) for t in texts.to_pylist()],
+                        pa.list_(pa.string()))
+
+    candidates.__annotations__ = {"texts": pa.Array, "return": pa.Array}
+    made = F.arrow_udf(candidates, returnType="array<string>")(
+        txt.null_to_empty(F.col(text_col)))
+    rows = once.select(key, F.explode_outer(made).alias("term")).filter("term IS NOT NULL")
+    return lookup_join(rows, words, "term", spread=F.col(key)).groupBy(key) \
+        .agg(F.collect_set("term").alias("_terms"))

@@ -437,7 +437,8 @@ def detect_large_lexicon(spark, sf):
     out = an.lexicon_verdict(det.detect_table(remarks(spark, sf), lex))
     return out.select("doc_id", F.col("is_toxic").cast("int").alias("is_toxic"), "confidence",
                       joined("toxicity_types").alias("types"), "toxic_count", "intensity_score",
-                      joined(F.transform("toxic_words", lambda h: h.word)).alias("hit_words"))
+                      joined(F.transform("toxic_words", lambda h: h.word)).alias("hit_words"),
+                      "highlighted_text", joined("non_toxic_words").alias("other_words"))
 
 
 @query

@@ -172,17 +172,19 @@ def escaped(expr: str) -> str:
     return nest(expr, [("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")])
 
 
-def highlighted(expr: str) -> str:
-    parts = f"^([^{W}]*)([{W}]+)([^{W}]*)$"
+def core(piece: str, n: int) -> str:
+    """The punctuation before a token's word (1), the word (2) and the punctuation after it (3)."""
+    return f"regexp_extract({piece}, {lit(f'^([^{W}]*)([{W}]+)([^{W}]*)$')}, {n})"
+
 
-    def group(n: int) -> str:
-        return f"regexp_extract(p, {lit(parts)}, {n})"
+MARKED = (f"{escaped(core('p', 1))} || {lit(tables.MARK_OPEN)} || {core('p', 2)} || "
+          f"{lit(tables.MARK_CLOSE)} || {escaped(core('p', 3))}")
 
+
+def highlighted(expr: str) -> str:
     words = [t for t in CATEGORY if " " not in t]
-    marked = (f"{escaped(group(1))} || {lit(tables.MARK_OPEN)} || {group(2)} || "
-              f"{lit(tables.MARK_CLOSE)} || {escaped(group(3))}")
     return (f"array_to_string(list_transform(regexp_extract_all({expr}, '[{S}]+|[^{S}]+'), "
-            f"lambda p: CASE WHEN lower({group(2)}) IN {in_list(words)} THEN {marked} "
+            f"lambda p: CASE WHEN lower({core('p', 2)}) IN {in_list(words)} THEN {MARKED} "
             f"ELSE {escaped('p')} END), '')")
 
 
@@ -489,8 +491,17 @@ hits AS (SELECT * FROM thits UNION ALL SELECT * FROM phits),
 per_text AS (SELECT doc_id, count(*) AS c, count(*) FILTER (has_intensifier) AS ni,
   count(*) FILTER (category = 'threat') AS nt, count(*) FILTER (is_negated) AS nn,
   string_agg(DISTINCT category, ' ' ORDER BY category) AS types,
-  string_agg(word, ' ' ORDER BY rank, word) AS hit_words FROM hits GROUP BY doc_id)
-SELECT s.doc_id, CAST(coalesce(c, 0) > 0 AS INT) AS is_toxic, coalesce(types, '') AS types,
+  string_agg(word, ' ' ORDER BY rank, word) AS hit_words FROM hits GROUP BY doc_id),
+pieces AS (SELECT doc_id, unnest(parts) AS p, unnest(range(len(parts))) AS k FROM
+  (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[{S}]+|[^{S}]+') AS parts FROM src)),
+marked AS (SELECT doc_id, string_agg(CASE WHEN term IS NOT NULL THEN {MARKED} ELSE {escaped('p')} END,
+    '' ORDER BY k) AS highlighted_text
+  FROM pieces LEFT JOIN (SELECT term FROM lex WHERE NOT contains(term, ' '))
+    ON lower({core('p', 2)}) = term GROUP BY doc_id),
+others AS (SELECT doc_id, string_agg(tok, ' ' ORDER BY pos) AS other_words FROM toks
+  WHERE (doc_id, pos) NOT IN (SELECT doc_id, rank - 1000000 FROM thits) GROUP BY doc_id)
+SELECT s.doc_id, coalesce(m.highlighted_text, '') AS highlighted_text,
+  coalesce(o.other_words, '') AS other_words, CAST(coalesce(c, 0) > 0 AS INT) AS is_toxic, coalesce(types, '') AS types,
   coalesce(c, 0) AS toxic_count, coalesce(hit_words, '') AS hit_words,
   CASE WHEN c IS NULL THEN 0.0::DOUBLE ELSE {rounded('least(1.0, greatest(0.0, raw))', 3)} END
     AS intensity_score, least(1.0, 2 * CASE WHEN c IS NULL THEN 0.0::DOUBLE ELSE
@@ -498,7 +509,7 @@ SELECT s.doc_id, CAST(coalesce(c, 0) > 0 AS INT) AS is_toxic, coalesce(types, ''
 FROM (SELECT src.doc_id, h.*, c / len(arr)::DOUBLE + {steps(tables.INTENSIFIER_BOOST, 'ni')} +
   {steps(tables.THREAT_BOOST, 'nt')} - {steps(tables.NEGATION_DISCOUNT, 'nn')} AS raw
   FROM src JOIN arr USING (doc_id) LEFT JOIN (SELECT doc_id AS key, * EXCLUDE (doc_id) FROM per_text)
-  h ON src.doc_id = h.key) s"""
+  h ON src.doc_id = h.key) s LEFT JOIN marked m USING (doc_id) LEFT JOIN others o USING (doc_id)"""
 MISSING_IDS = f"(SELECT * REPLACE (CASE WHEN id::BIGINT % 3 <> 0 THEN id END AS id) FROM ({LABELED}))"
 
 

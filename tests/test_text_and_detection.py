@@ -106,21 +106,75 @@ def test_short_phrases_and_texts(spark):
     assert sorted(map(tuple, array_form.collect())) == sorted(map(tuple, join_form.collect()))
 
 
-def test_table_form_equals_array_form(spark, texts, monkeypatch):
+@pytest.fixture
+def by_digest(monkeypatch):
+    """Makes every lexicon too large for the tasks, and every table for a broadcast."""
     from civiltext.operators import broadcasts
-    columns = ["id", "toxic_words", "toxic_count", "categories_found", "intensity_score"]
+    monkeypatch.setattr(broadcasts, "MAX_BROADCAST_BYTES", 1)
+    monkeypatch.setattr(det, "MAX_INDEX_ROWS", 0)
+    monkeypatch.setattr(det, "AUTOMATON_BYTES", 60)
+
+
+TABLE_COLUMNS = ["id", "toxic_words", "toxic_count", "categories_found", "intensity_score",
+                 "highlighted_text", "non_toxic_words"]
+
+
+def table_forms(spark, texts):
     rows = texts.union(texts.limit(3)).union(spark.createDataFrame(
-        [(None, "a stupid row"), (None, None), (1, "")], "id int, text string"))
+        [(None, "a stupid row"), (None, None), (1, ""), (2, " \t "), (3, "<b> (IDIOT), &idiot; x")],
+        "id int, text string"))
     lexicon = Lexicon.default()
-    expected = sorted(map(str, det.detect(rows).select(*columns).collect()))
-    got = det.detect_table(rows, lexicon.table(spark)).select(*columns)
-    assert sorted(map(str, got.collect())) == expected
-    monkeypatch.setattr(broadcasts, "MAX_BROADCAST_BYTES", 1)
-    monkeypatch.setattr(det, "MAX_PIECES", 1)
-    got = det.detect_table(rows, lexicon.table(spark)).select(*columns)
+    expected = sorted(map(str, det.detect(rows).select(*TABLE_COLUMNS).collect()))
+    got = det.detect_table(rows, lexicon.table(spark)).select(*TABLE_COLUMNS)
     assert sorted(map(str, got.collect())) == expected
 
 
+def test_table_form_equals_array_form(spark, texts):
+    table_forms(spark, texts)
+
+
+def test_joined_table_form_equals_array_form(spark, texts, by_digest):
+    table_forms(spark, texts)
+
+
+def marks(spark, lexicon, rows):
+    df = spark.createDataFrame(list(enumerate(rows)), "id int, text string")
+    return (sorted((r.id, r.highlighted_text) for r in det.detect(df, lexicon=lexicon).collect()),
+            sorted((r.id, r.highlighted_text) for r in det.detect_table(
+                df, lexicon.table(spark)).collect()))
+
+
+ODD_TERMS = Lexicon([("hit!", "x"), ("hit", "x"), ("$bad", "y"), ("f-off", "x"), ("straße", "z"),
+                     ("kelvin", "z"), ("\u03c3\u03b1\u03c2", "z"), ("...", "y"), ("a b", "p")])
+ODD_TOKENS = ["(hit!!) hit! hit", "$$$bad $BAD: bad", "F-OFF, foff f-off hit", "STRASSE Straße hit",
+              "\u212aelvin kelv\u0131n hit", "\u03a3\u0391\u03a3 hit", "hit ..... x...y ...",
+              "nothing", "hit" + "!" * 3000]
+
+
+def test_odd_terms_are_marked_alike(spark):
+    expected, got = marks(spark, ODD_TERMS, ODD_TOKENS)
+    assert got == expected
+
+
+def test_odd_terms_are_marked_alike_by_join(spark, by_digest):
+    expected, got = marks(spark, ODD_TERMS, ODD_TOKENS)
+    assert got == expected
+
+
+def test_lexicon_of_many_terms(spark):
+    """More terms than expressions can hold give the same marks as a plain lookup."""
+    more = [(f"word{i}", "custom") for i in range(6000)] + [(f"two {i}", "custom") for i in range(300)]
+    lexicon = Lexicon.default().listing + more
+    rows = spark.createDataFrame([(1, "Word17, two 299 idiot <word5999> word6000")],
+                                 "id int, text string")
+    got = det.detect_table(rows, Lexicon(lexicon).table(spark)).first()
+    assert [h.word for h in got.toxic_words] == [
+        "two 2", "two 29", "two 299", "word17", "idiot", "word5999"]
+    assert got.highlighted_text.count("<mark") == 3 and "word6000" in got.non_toxic_words
+    with pytest.raises(ValueError):
+        det.detect(rows, lexicon=Lexicon(lexicon))
+
+
 def test_rounding_follows_exact_value(spark):
     values = [0.0625, 0.1455, 0.0005, 0.0015, 0.0025, 0.3335, 1.0, 0.0, 2 / 3, 0.9995,
               0.1005, 0.2675, 0.12345, 0.99995] + [i / 997 for i in range(997)] \
