@@ -296,14 +296,14 @@ def _finish(staged: DataFrame, tokens: Column) -> DataFrame:
     """What follows from ``toxic_words``, ``_low``, ``_flat``; ``tokens``: how many there are."""
     hits, hit = F.col("toxic_words"), F.size("toxic_words") > 0
     staged = staged.withColumn("_raw", F.when(hit, raw_intensity("toxic_words", tokens)))
-    positions = F.transform(hits, lambda h: h.position)
+    staged = computed_once(staged, {"_at": F.transform(hits, lambda h: h.position)})
     return staged.withColumns({
         "toxic_count": F.size(hits),
         "categories_found": categories_of(hits),
         "intensity_score": F.coalesce(numbers.round_exact(F.col("_raw"), 3), F.lit(0.0)),
         "non_toxic_words": F.when(F.col("_flat") == "", F.array().cast("array<string>")).otherwise(
-            F.filter(F.split("_flat", " "), lambda w, i: ~F.array_contains(positions, i))),
-    }).drop("_raw")
+            F.filter(F.split("_flat", " "), lambda w, i: ~F.array_contains("_at", i))),
+    }).drop("_raw", "_at")
 
 
 def _detect_in_row(df: DataFrame, lexicon: DataFrame, text_col: str) -> DataFrame:
