@@ -7,7 +7,7 @@ the pieces with the highest sum of scores (ties: the longer last piece, at every
 Spaces are written as U+2581 and one is put before a text that is not empty, as SentencePiece
 does. Characters that are no piece, and U+2581 itself, become byte pieces, so that decoding
 gives back exactly the text. As no piece reaches from one word into the next, the best path of
-a text is that of its words one after the other, and a word's path is computed once per worker.
+a text is that of its words one after the other; the paths of short words are kept per worker.
 
 Missing and empty texts have no pieces. Rows are handled one by one.
 """
@@ -24,7 +24,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 VOCABULARY = "piece_bpe_32k.model"
-CACHED_WORDS = 400_000
+CACHE_BYTES = 110 << 20         # of words kept per Python worker
+CACHED_LENGTH = 64              # code points; longer words are not kept
+_ENTRY_BYTES = 220              # of a word and its pieces, besides some eight for each code point
 SPACE = "▁"
 _LITERAL = "\ud800"            # stands for U+2581 in a text; no text holds a lone surrogate
 
@@ -57,6 +59,7 @@ class PieceCodec:
         table |= {i: bytes([b]) for b, i in self.bytes.items()}
         self.table = [table.get(i, b"") for i in range(size)]
         self.known: dict[str, bytes] = {}
+        self.held = 0
 
     def best_path(self, text: str) -> list[int]:
         """Pieces of a text all of whose characters are pieces."""
@@ -80,12 +83,16 @@ class PieceCodec:
         return [self.bytes[b] for b in part.replace(_LITERAL, SPACE).encode()]
 
     def _word(self, word: str) -> bytes:
-        if len(self.known) > CACHED_WORDS:
-            self.known = {}
         out = []
         for part in self.stretches.findall(word):
             out += self.best_path(part) if part[0] in self.pieces else self._spell(part)
-        coded = self.known[word] = np.array(out, "<i4").tobytes()
+        coded = np.array(out, "<i4").tobytes()
+        if len(word) <= CACHED_LENGTH:
+            if self.held > CACHE_BYTES:
+                self.known.clear()
+                self.held = 0
+            self.known[word] = coded
+            self.held += _ENTRY_BYTES + 8 * len(word)
         return coded
 
     def encode(self, text: str) -> np.ndarray:

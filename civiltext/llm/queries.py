@@ -173,7 +173,10 @@ SELECT p.page_id, p.n::BIGINT AS payload_bytes, b.digest AS payload_digest,
 FROM payloads p JOIN firsts f ON p.hex = f.hex JOIN base32 b ON p.hex = b.hex
 """
 
-_OP10 = r"""
+# Inside a character class.
+_MARKS, _CLOSERS = ".!?。．！？｡…।॥۔؟።།", "\"'')\\]}”’»」』）】"
+
+_OP10 = rf"""
 WITH tokens AS (
   SELECT doc_id, unnest(t) AS token, unnest(range(len(t))) AS pos, len(t) AS n FROM (
     SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+[\x20\x09-\x0D]*') AS t
@@ -181,7 +184,7 @@ WITH tokens AS (
 words AS (
   SELECT doc_id, pos, token, translate(regexp_extract(token, '^[^\x20\x09-\x0D]+'),
       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS word,
-    pos = n - 1 OR regexp_matches(token, '[.!?]["'')\]}]?[\x20\x09-\x0D]*$')
+    pos = n - 1 OR regexp_matches(token, '[{_MARKS}][{_CLOSERS}]?[\x20\x09-\x0D]*$')
       OR regexp_matches(token, '[\x0A-\x0D]') AS closes FROM tokens),
 numbered AS (
   SELECT *, coalesce(sum(closes::INT) OVER (PARTITION BY doc_id ORDER BY pos
@@ -197,7 +200,10 @@ enough AS (
 shortest AS (
   SELECT doc_id, i, min(j) AS j, any_value(first) AS first, min(stop) AS stop FROM enough
   GROUP BY doc_id, i
-  UNION SELECT doc_id, max(i), j, max(first), any_value(stop) FROM enough GROUP BY doc_id, j),
+  UNION SELECT doc_id, max(i), j, max(first), any_value(stop) FROM enough GROUP BY doc_id, j
+  UNION SELECT doc_id, sid, sid, first, stop FROM sentences
+    WHERE n >= 50 OR (n >= 12 AND first = 0 AND stop = (SELECT len(w) FROM texts t
+      WHERE t.doc_id = sentences.doc_id))),
 runs AS (
   SELECT doc_id, i, j, array_to_string(w[first + 1:stop], ' ') AS run
   FROM shortest JOIN texts USING (doc_id)),

@@ -10,7 +10,8 @@ over the whole corpus. The first occurrence of a run is the one with the smalles
 ids first), then by text hash and position; sentences covered by any other occurrence go.
 
 Texts too short for a run are left alone. Rows equal in id and text count as one document and
-get the same result; a missing text is an empty one. Other columns are not read.
+get the same result; a missing text is an empty one. Rows of one id are told apart by 64 bits of
+a hash of their texts, rows without an id by 128. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from civiltext.llm import bloom
 from civiltext.llm.words import BASE, INVERSE, Words, find_words, mix, powers, slices
@@ -113,8 +114,15 @@ def runs(words: Words, min_sentences: int,
     return doc[begin], begin - first[doc[begin]], end - begin, value
 
 
+def _keys() -> dict[str, Column]:
+    """What tells rows apart beside their ids."""
+    more = F.xxhash64("text", F.lit("more"))
+    return {"key": F.xxhash64("text"),
+            "more": F.when(F.col("id").isNull(), more).otherwise(F.lit(0))}
+
+
 def _runs_of(docs: DataFrame, min_sentences: int, min_words: int, keep=None) -> DataFrame:
-    """``run, id, place, sentences``; ``keep`` is a filter on runs."""
+    """``run, id, key, more, at, sentences``; ``keep`` is a filter on runs."""
     id_type = docs.schema["id"].dataType.simpleString()
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,13 +133,15 @@ def _runs_of(docs: DataFrame, min_sentences: int, min_words: int, keep=None) ->
                 if keep is not None:
                     hit = keep.value.holds(value)
                     doc, at, many, value = doc[hit], at[hit], many[hit], value[hit]
-                key = piece.column("key").to_numpy(zero_copy_only=False)
+                rows = pa.array(doc)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(value.view(np.int64)), piece.column("id").take(pa.array(doc)),
-                     pa.array((key[doc] << 32) | at), pa.array(many.astype(np.int32))],
-                    names=["run", "id", "place", "sentences"])
+                    [pa.array(value.view(np.int64)),
+                     *(piece.column(c).take(rows) for c in ("id", "key", "more")),
+                     pa.array(at.astype(np.int32)), pa.array(many.astype(np.int32))],
+                    names=["run", "id", "key", "more", "at", "sentences"])
 
-    return docs.mapInArrow(emit, f"run long, id {id_type}, place long, sentences int")
+    return docs.mapInArrow(
+        emit, f"run long, id {id_type}, key long, more long, at int, sentences int")
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,21 +186,22 @@ def remove_repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str
     if min_sentences < 1 or min_words < 1:
         raise ValueError("min_sentences and min_words must be positive")
     docs = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text")) \
-               .withColumn("key", F.xxhash64("text").bitwiseAND(0x7FFFFFFF))
-    place = F.struct("id", "place")
-    first = (_runs_of(docs, min_sentences, min_words).select("run", place.alias("at"))
-             .groupBy("run").agg(F.min("at").alias("first"), F.max("at").alias("last"))
+               .withColumns(_keys())
+    row = ["id", "key", "more"]
+    place = F.struct(*row, "at")
+    first = (_runs_of(docs, min_sentences, min_words).select("run", place.alias("place"))
+             .groupBy("run").agg(F.min("place").alias("first"), F.max("place").alias("last"))
              .filter(~F.col("first").eqNullSafe(F.col("last"))).select("run", "first"))
     first = cut_lineage(first)
     filter_ = docs.sparkSession.sparkContext.broadcast(bloom.build(first, "run"))
     again = (_runs_of(docs, min_sentences, min_words, filter_).join(first, "run")
              .filter(~place.eqNullSafe(F.col("first"))))
-    spans = again.groupBy("id", F.shiftright("place", 32).alias("key")).agg(
-        F.collect_set(F.struct(F.col("place").bitwiseAND(0xFFFFFFFF).cast("int").alias("start"),
-                               "sentences")).alias("spans"))
-    spans = spans.select(F.col("id").alias("span_id"), F.col("key").alias("span_key"), "spans")
-    joined = docs.join(spans, F.col("id").eqNullSafe(F.col("span_id"))
-                       & (F.col("key") == F.col("span_key")), "left")
+    spans = again.groupBy(*row).agg(
+        F.collect_set(F.struct(F.col("at").alias("start"), "sentences")).alias("spans"))
+    spans = spans.select(*[F.col(c).alias(f"span_{c}") for c in row], "spans")
+    joined = docs.join(spans, (F.col("key") == F.col("span_key"))
+                       & (F.col("more") == F.col("span_more"))
+                       & F.col("id").eqNullSafe(F.col("span_id")), "left")
     id_type = docs.schema["id"].dataType.simpleString()
     return joined.select("id", "text", "spans").mapInArrow(
         _cut, f"id {id_type}, text string, n_removed long, words_removed long")

@@ -29,7 +29,9 @@ from civiltext.llm.words import BLANKS, slices, text_bytes
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 0
 SEGMENT_TOKENS = 1 << 20       # a segment is closed by the document that reaches this
-CACHED_WORDS = 1_300_000       # per Python worker, in two generations
+CACHE_BYTES = 380 << 20        # of words kept per Python worker, in two generations
+CACHED_LENGTH = 64             # code points; longer words are kept for one call only
+_ENTRY_BYTES = 230             # of a word and its ids, besides some eight for each code point
 WORDS = 64                     # new words that are encoded together
 TEXT_BYTES = 8 << 20           # of texts whose words are looked up together
 
@@ -49,11 +51,21 @@ class Recent:
     def __init__(self, always: dict[str, bytes]):
         self.always = always
         self.new, self.old = dict(always), {}
+        self.held, self.long = 0, []
+
+    def count(self, words: list[str]) -> None:
+        """Note what ``words``, new in this generation, take."""
+        self.held += _ENTRY_BYTES * len(words) + 8 * sum(map(len, words))
+        self.long += [w for w in words if len(w) > CACHED_LENGTH]
 
     def turn(self, size: int) -> None:
-        """Start a generation if this one holds ``size`` words."""
-        if len(self.new) >= size:
-            self.new, self.old = dict(self.always), self.new
+        """Let long words go, and start a generation if this one holds ``size`` bytes."""
+        for word in self.long:
+            if word not in self.always and self.new.pop(word, None) is not None:
+                self.held -= _ENTRY_BYTES + 8 * len(word)
+        self.long = []
+        if self.held >= size:
+            self.new, self.old, self.held = dict(self.always), self.new, 0
 
     def take_over(self, words: list[str]) -> list[str]:
         """Bring ``words`` into this generation; returns those that are not known."""
@@ -116,8 +128,9 @@ class WordTokenizer:
     def _ids(self, known: Recent, words: list[str], spaced: bool) -> list[bytes]:
         found = list(map(known.new.get, words))
         if None in found:
-            self._learn(known.new, known.take_over(
-                [w for w, ids in zip(words, found) if ids is None]), spaced)
+            new = [w for w, ids in zip(words, found) if ids is None]
+            known.count(new)
+            self._learn(known.new, known.take_over(new), spaced)
             found = list(map(known.new.__getitem__, words))
         return found
 
@@ -166,7 +179,7 @@ class WordTokenizer:
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all ``texts`` one after the other, and how many each has."""
         for known in (self.first, self.later):
-            known.turn(CACHED_WORDS // 2)
+            known.turn(CACHE_BYTES // 2)
         whole = self._whole(texts)
         ids, sizes = self._by_words(texts.filter(pa.array(~whole)))
         if not whole.any():

@@ -49,14 +49,16 @@ def jaccard_components(rows, n, threshold):
             for i in range(len(rows))]
 
 
+MARKS, CLOSERS = ".!?。．！？｡…।॥۔؟።།", "\"')]}”’»」』）】"
+
+
 def sentences(text):
     """(words, start, end) of each sentence; its text reaches to the next one's first word."""
     words = [(m[0], m.start(), m.end()) for m in WORD.finditer(text)]
     out, now = [], []
     for i, (word, start, end) in enumerate(words):
         now.append(lower(word))
-        closed = word[-1] in ".!?" or len(word) > 1 and word[-1] in "\"')]}" \
-            and word[-2] in ".!?"
+        closed = word[-1] in MARKS or len(word) > 1 and word[-1] in CLOSERS and word[-2] in MARKS
         gap = text[end:words[i + 1][1]] if i + 1 < len(words) else "\n"
         if closed or any(c in "\n\v\f\r" for c in gap):
             out.append(now)
@@ -77,6 +79,9 @@ def sentence_runs(text, min_sentences, min_words):
             if sum(map(len, cut[i:j])) >= min_words:
                 found[i, j - i] = tuple(w for s in cut[i:j] for w in s)
                 break
+    for i, words in enumerate(cut if min_sentences > 1 else []):
+        if len(words) >= 50 or len(cut) == 1 and len(words) >= min_words:
+            found[i, 1] = tuple(words)
     return found
 
 

@@ -37,7 +37,7 @@ def test_words_encode_as_the_whole_text():
 
 
 def test_documents_encode_as_the_whole_text(tables, monkeypatch):
-    monkeypatch.setattr(token_store, "CACHED_WORDS", 500)
+    monkeypatch.setattr(token_store, "CACHE_BYTES", 150_000)
     texts = [r.text for r in tables("documents").collect()]
     plain = Tokenizer.from_file(public_tokenizers.path(token_store.VOCABULARY))
     coder = token_store.WordTokenizer(token_store.VOCABULARY)
@@ -250,3 +250,23 @@ def test_normalising_again_finds_what_is_complete(spark, tmp_path):
     (tmp_path / "mono").mkdir()
     warc.normalise(spark, names, f"{tmp_path}/mono", f"{tmp_path}/members", remove_source=True)
     assert [(tmp_path / "members" / n).read_bytes() for n in names] == before
+
+
+HAN = ["".join(chr(0x4E00 + (i * 7 + j * j) % 20_000) for j in range(3000)) for i in range(40)]
+
+
+def test_caches_are_bounded_by_bytes(monkeypatch):
+    """Texts without blanks are one word each; none of them is kept."""
+    monkeypatch.setattr(pieces, "CACHE_BYTES", 20_000)
+    codec = pieces.PieceCodec(pieces.VOCABULARY)
+    for text in [*HAN, " ".join(f"word{i}" for i in range(2000))]:
+        assert codec.decode(codec.encode(text)) == text
+    assert codec.held < 21_000 and max(map(len, codec.known)) <= pieces.CACHED_LENGTH
+    assert sum(220 + 8 * len(w) for w in codec.known) == codec.held
+    plain = Tokenizer.from_file(public_tokenizers.path(token_store.VOCABULARY))
+    coder = token_store.WordTokenizer(token_store.VOCABULARY)
+    for texts in (HAN[:20], [" ".join(HAN[20:])], HAN[:5], ["short"]):
+        for text, ids in zip(texts, encoded(coder, texts)):
+            assert ids.tolist() == plain.encode(text, add_special_tokens=False).ids
+    for known in (coder.first, coder.later):
+        assert max(map(len, known.new)) <= token_store.CACHED_LENGTH and known.held < 10_000

@@ -9,7 +9,7 @@ import pytest
 from conftest import ODD_ROWS
 from pyspark.sql import functions as F
 
-from civiltext.llm import components, jaccard_join, sentence_spans
+from civiltext.llm import components, jaccard_join, queries, sentence_spans
 from civiltext.llm.jaccard_join import PrefixTree, similar
 
 
@@ -120,6 +120,53 @@ def test_long_sentences_and_texts_of_one_sentence_are_runs(frame):
     assert got[6].text == got[7].text == "Short one."
 
 
+def span_rows():
+    """Texts in which every rule acts: short runs, long sentences, one-sentence texts, marks."""
+    rng = random.Random(5)
+    ends = [*".!?", "।", "。", "…", ".”", "?»", "\n", ""]
+    known = [" ".join(f"w{rng.randrange(30)}" for _ in range(n)) + rng.choice(ends)
+             for n in [3, 5, 8, 12, 20, 49, 50, 51, 80] * 3]
+    rows = [(i, " ".join(rng.choices(known, k=rng.choice([1, 1, 2, 3, 5])))) for i in range(120)]
+    return rows + [(200, ""), (201, None), (202, "."), (203, known[8]), (204, known[8])]
+
+
+def test_spans_match_plain_version_where_all_rules_act(frame):
+    rows = span_rows()
+    got = sentence_spans.remove_repeated_spans(frame(rows))
+    expected = brute.removed_sentences(rows, sentence_spans.MIN_SENTENCES, sentence_spans.MIN_WORDS)
+    assert {r.id: r.n_removed for r in got.collect()} == expected
+    assert sum(n > 0 for n in expected.values()) > 50
+
+
+def test_sql_where_all_rules_act(frame, tmp_path):
+    import duckdb
+    rows = span_rows()
+    frame(rows, extra=False).write.parquet(f"{tmp_path}/documents")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents/*.parquet'")
+    cursor = con.execute(queries.SQL["op10_sentence_spans"])
+    names = [c[0] for c in cursor.description]
+    want = {r["doc_id"]: r for r in (dict(zip(names, row)) for row in cursor.fetchall())}
+    got = sentence_spans.remove_repeated_spans(frame(rows)).collect()
+    assert len(got) == len(want)
+    for r in got:
+        assert {"doc_id": r.id, "text": r.text, "n_removed": r.n_removed,
+                "words_removed": r.words_removed} == want[r.id]
+
+
+def test_rows_without_ids_whose_hashes_meet(frame, monkeypatch):
+    """Rows with equal 64-bit keys are still told apart; each loses its own sentences only."""
+    keys = sentence_spans._keys()
+    monkeypatch.setattr(sentence_spans, "_keys", lambda: {**keys, "key": F.lit(7).cast("long")})
+    passage = " ".join(f"Sentence number {i} of a passage that stands twice." for i in range(4))
+    rows = [(None, passage), (None, f"Alone here. {passage}"), (None, "One. Two. Three. Four."),
+            (None, " ".join(f"Other words number {i} that nobody repeats." for i in range(9)))]
+    got = sorted((r.n_removed, r.text) for r in
+                 sentence_spans.remove_repeated_spans(frame(rows)).collect())
+    assert [n for n, _ in got] == [0, 0, 0, 4]
+    assert {t for n, t in got if n == 0} >= {rows[2][1], rows[3][1]}
+
+
 def test_sentence_marks_of_other_scripts(frame):
     for mark in ("।", "۔", "؟", "。", "！", "…", "።", ".”", "?»"):
         passage = " ".join(f"w{i} x y z u v{mark}" for i in range(4))
