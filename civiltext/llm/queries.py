@@ -301,7 +301,7 @@ FROM (SELECT {keep}, m, p, unnest(range(1, len(m) + 1)) AS k FROM (SELECT {keep}
   FROM {source}))"""
 
 
-def _personal_data(support: int, disclosure: float, width: int) -> str:
+def _personal_data(support: int, disclosure: float) -> str:
     forms = " UNION ALL ".join(f"""SELECT doc_id, text, start, {number} AS number,
   start + length(v) AS stop, '{kind}' AS kind, CASE WHEN {number} >= 2 THEN digits ELSE lower(v) END
   AS value FROM (SELECT *, regexp_replace(v, '[^0-9]', '', 'g') AS digits,
@@ -313,28 +313,22 @@ def _personal_data(support: int, disclosure: float, width: int) -> str:
     word = r"\p{L}{3,}"
     return f"""WITH docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 forms AS ({forms}),
-mentions AS (SELECT *, kind || ':' || value AS entity, greatest(start - {width}, 0) AS begin,
-  substr(text, greatest(start - {width}, 0) + 1, least(start, {width})) AS before,
-  substr(text, stop + 1, {width}) AS after FROM forms),
-terms AS (
-  SELECT doc_id, entity, before, after, lower(v) AS term, begin + start AS start,
-    begin + start + length(v) AS stop FROM ({_found('mentions', 'before',
-        'doc_id, entity, before, after, begin', word)}) WHERE NOT (begin > 0 AND start = 0)
-  UNION ALL SELECT doc_id, entity, before, after, lower(v), stop + start, stop + start + length(v)
-  FROM ({_found('mentions', 'after', 'doc_id, entity, before, after, stop', word)})
-  WHERE NOT (length(after) = {width} AND start + length(v) = length(after))),
-together AS (SELECT entity, term, count(DISTINCT (before, after)) AS pairs FROM terms
-  GROUP BY ALL HAVING count(DISTINCT (before, after)) >= {support}),
-named AS (SELECT entity, count(DISTINCT (doc_id, text)) AS n FROM mentions GROUP BY entity),
-known AS (SELECT term, count(*) AS n FROM (SELECT unnest(list_distinct(regexp_extract_all(lower(text),
-  '{word}'))) AS term FROM docs) GROUP BY term),
+mentions AS (SELECT DISTINCT text, kind || ':' || value AS entity FROM forms),
+words AS (SELECT DISTINCT text, unnest(regexp_extract_all(lower(text), '{word}')) AS term FROM docs),
+named AS (SELECT entity, count(*) AS n FROM mentions GROUP BY entity),
+known AS (SELECT term, count(*) AS n FROM words GROUP BY term),
+together AS (SELECT entity, term, count(*) AS pairs FROM mentions JOIN words USING (text)
+  GROUP BY ALL HAVING count(*) >= {support}),
 reveals AS (SELECT entity, term FROM (SELECT entity, term, pairs, known.n AS with_term,
-    named.n / (SELECT count(*) FROM docs)::DOUBLE AS share
+    named.n / (SELECT count(DISTINCT text) FROM docs)::DOUBLE AS share
     FROM together JOIN named USING (entity) JOIN known USING (term))
-  WHERE share < 1 AND log2(least(1.0, pairs / with_term::DOUBLE) / share) / -log2(share)
-    >= {disclosure}),
+  WHERE share < 1 AND log2(pairs / with_term::DOUBLE / share) / -log2(share) >= {disclosure}),
+places AS ({_found('(SELECT DISTINCT text FROM mentions)', 'text', 'text', word)}),
+terms AS (SELECT DISTINCT p.text, start, start + length(v) AS stop FROM places p
+  JOIN mentions m ON p.text = m.text JOIN reveals r ON r.entity = m.entity AND r.term = lower(v)),
 spans AS (SELECT doc_id, start, number, stop, kind FROM forms UNION
-  SELECT doc_id, start, 4, stop, 'term' FROM terms JOIN reveals USING (entity, term)),
+  SELECT doc_id, start, 4, stop, 'term' FROM docs JOIN terms t USING (text) WHERE NOT EXISTS (
+    SELECT 1 FROM forms f WHERE f.text = t.text AND f.start < t.stop AND t.start < f.stop)),
 joined AS (SELECT doc_id, string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, number,
     stop) AS spans, string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, number, stop)
     FILTER (number < 4) AS base, {', '.join(f"count(*) FILTER (kind = '{k}') AS n_{k}"
@@ -346,8 +340,7 @@ FROM docs d LEFT JOIN joined j ON d.doc_id = j.doc_id"""
 
 SQL: dict[str, str] = {
     "op6_ngram_jaccard_join": _OP6,
-    "op7_disclosure_sanitisation": _personal_data(sanitise.SUPPORT, sanitise.DISCLOSURE,
-                                                  sanitise.WIDTH),
+    "op7_disclosure_sanitisation": _personal_data(sanitise.SUPPORT, sanitise.DISCLOSURE),
     "op9_warc_normaliser": _OP9,
     "op10_sentence_spans": _OP10,
     "op12_spelling_variants": _OP12,

@@ -2,16 +2,15 @@
 
 Known forms (e-mail and IP addresses, payment cards, phone numbers) are found by pattern,
 leftmost and not overlapping per kind. They are the protected entities. Information-theoretic
-sanitisation then finds terms beside them that reveal them: from co-occurrence over the whole
-corpus, a term ``t`` gives ``log2(P(e|t) / P(e))`` of the ``-log2 P(e)`` bits that identify
-entity ``e``. Terms that give ``disclosure`` or more of these bits, and stand beside the entity
-in at least ``support`` different contexts (copies of a text count once), become spans of kind
-``term`` wherever they stand beside that entity. Sanitising replaces known forms by their kind
-and removes such terms.
+sanitisation then finds terms that reveal them: from co-occurrence over the whole corpus, a term
+``t`` gives ``log2(P(e|t) / P(e))`` of the ``-log2 P(e)`` bits that identify entity ``e``. Terms
+that give ``disclosure`` or more of these bits, and stand in at least ``support`` texts with the
+entity, become spans of kind ``term`` wherever they stand in a text with that entity, however far
+from it. Sanitising replaces known forms by their kind and removes such terms.
 
-``P(e)`` is the share of documents with ``e``; ``P(e|t)`` compares the contexts of ``e`` with
-``t`` to all documents with ``t``. Terms are lower-cased runs of three letters or more within
-``WIDTH`` code points of an entity; a run that the width cuts is no term.
+All counts are of different texts (by a hash of the text), so copies of a text count once: ``P(e)``
+is the share of texts with ``e``, ``P(e|t)`` that of the texts with ``t`` that have ``e``. Terms are
+lower-cased runs of three letters or more; a mention inside a known form is no span of its own.
 
 A missing text is empty. Rows equal in id and text get equal results. Offsets are code points,
 ends are exclusive. Other columns are not read.
@@ -26,7 +25,6 @@ from civiltext.sources.shared import cut_lineage
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
-WIDTH = 48
 SUPPORT = 2
 DISCLOSURE = 0.9
 
@@ -100,14 +98,15 @@ def _entity(span: Column) -> Column:
     return F.concat(span["kind"], F.lit(":"), value)
 
 
-def _words(window: Column, offset: Column, cut_start: Column, cut_end: Column) -> Column:
-    """Terms of a window with their places; those a cut end may have shortened are left out."""
-    found = _matches(window, _WORD, TERM, len(KINDS), lambda v: F.lit(True))
-    whole = F.filter(found, lambda w: ~(cut_start & (w["start"] == 0))
-                     & ~(cut_end & (w["end_"] == F.length(window))))
-    return F.transform(whole, lambda w: F.struct(
-        (w["start"] + offset).alias("start"), (w["end_"] + offset).alias("end_"),
-        F.lower(w["value"]).alias("term")))
+def _distinct_words(text: Column) -> Column:
+    return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(_WORD), F.lit(0)))
+
+
+def _mentions(text: Column, terms: Column, forms: Column) -> Column:
+    """Spans of the words in ``terms`` outside the known forms."""
+    found = _matches(text, _WORD, TERM, len(KINDS), lambda v: F.array_contains(terms, F.lower(v)))
+    return F.filter(found, lambda s: ~F.exists(forms, lambda f: (f["start"] < s["end_"])
+                                               & (s["start"] < f["end_"])))
 
 
 def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -117,47 +116,46 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     ``spans`` has ``start, number, end_, kind``, ordered by start and kind; ``key`` is a hash of
     the text, which with the id tells rows apart.
     """
-    docs = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
+    docs = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text")) \
+               .withColumn("key", F.xxhash64("text"))
     around = computed_once(docs, {"forms": known_forms(F.col("text"))})
-    text = F.col("text")
-    around = around.select("id", F.xxhash64("text").alias("key"), F.transform("forms", lambda s:
-        F.struct(s["start"], s["number"], s["end_"], s["kind"], _entity(s).alias("entity"),
-                 F.substring(text, F.greatest(s["start"] - WIDTH, F.lit(0)) + 1,
-                             F.least(s["start"], F.lit(WIDTH))).alias("before"),
-                 F.substring(text, s["end_"] + 1, F.lit(WIDTH)).alias("after"))).alias("forms"))
-    around = cut_lineage(around)
-    mentions = around.select("id", "key", F.explode("forms").alias("s")).select(
-        "id", "key", "s.*", F.xxhash64("s.before", "s.after").alias("context"))
-    begin = F.greatest(F.col("start") - WIDTH, F.lit(0))
-    terms = mentions.select("id", "key", "entity", "context", F.explode(F.concat(
-        _words(F.col("before"), begin, begin > 0, F.lit(False)),
-        _words(F.col("after"), F.col("end_"), F.lit(False),
-               F.length("after") == WIDTH))).alias("t")).select(
-        "id", "key", "entity", "context", "t.*")
-    together = (terms.select("entity", "term", "context").distinct()
+    # Texts without entities are not needed again.
+    around = cut_lineage(around.select(
+        "id", "key", F.when(F.size("forms") > 0, F.col("text")).alias("text"),
+        F.transform("forms", lambda s: F.struct(
+            s["start"], s["number"], s["end_"], s["kind"], _entity(s).alias("entity")))
+        .alias("forms")))
+    entities = F.array_distinct(F.transform("forms", lambda s: s["entity"]))
+    own = around.filter("text IS NOT NULL").select("id", "key", "text", entities.alias("entities"))
+    once = own.dropDuplicates(["key"])
+    # An entity of fewer texts than ``support`` has no term in that many.
+    named = (once.select(F.explode("entities").alias("entity")).groupBy("entity")
+             .agg(F.count("*").alias("with_entity")).filter(F.col("with_entity") >= support))
+    together = (once.select(F.explode("entities").alias("entity"), "text")
+                .join(named.select("entity"), "entity")
+                .select("entity", F.explode(_distinct_words(F.col("text"))).alias("term"))
                 .groupBy("entity", "term").agg(F.count("*").alias("both"))
                 .filter(F.col("both") >= support))
-    named = mentions.select("entity", "id", "key").distinct().groupBy("entity").agg(
-        F.count("*").alias("with_entity"))
-    words = F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(_WORD), F.lit(0)))
-    known = docs.select(F.explode(words).alias("term")).groupBy("term").agg(
-        F.count("*").alias("with_term"))
-    total = around.count()
+    known = (docs.select("key", "text").dropDuplicates(["key"])
+             .select(F.explode(_distinct_words(F.col("text"))).alias("term"))
+             .groupBy("term").agg(F.count("*").alias("with_term")))
+    total = around.agg(F.count_distinct("key")).first()[0]
     share = F.col("with_entity") / total
-    revealed = F.log2(F.least(F.lit(1.0), F.col("both") / F.col("with_term")) / share) \
-        / -F.log2(share)
+    revealed = F.log2(F.col("both") / F.col("with_term") / share) / -F.log2(share)
     reveals = (together.join(named, "entity").join(known, "term")
                .filter((share < 1) & (revealed >= disclosure)).select("entity", "term"))
-    added = (terms.join(reveals, ["entity", "term"]).groupBy("id", "key").agg(
-        F.collect_set(F.struct("start", F.lit(len(KINDS)).alias("number"), "end_",
-                               F.lit(TERM).alias("kind"))).alias("added"))
-             .select(F.col("id").alias("added_id"), F.col("key").alias("added_key"), "added"))
+    added = (own.select("id", "key", F.explode("entities").alias("entity"))
+             .join(reveals, "entity").groupBy("id", "key")
+             .agg(F.collect_set("term").alias("terms"))
+             .select(F.col("id").alias("added_id"), F.col("key").alias("added_key"), "terms"))
     base = F.transform("forms", lambda s: F.struct(s["start"], s["number"], s["end_"], s["kind"]))
+    more = F.transform(_mentions(F.col("text"), F.col("terms"), F.col("forms")), lambda s:
+                       F.struct(s["start"], s["number"], s["end_"], s["kind"]))
     kind = "array<struct<start:int,number:int,end_:int,kind:string>>"
-    return around.join(added, F.col("id").eqNullSafe(F.col("added_id"))
-                       & (F.col("key") == F.col("added_key")), "left").select(
-        "id", "key", F.array_sort(F.concat(base.cast(kind), F.coalesce(
-            F.col("added").cast(kind), F.array().cast(kind)))).alias("spans"))
+    return around.join(added, (F.col("key") == F.col("added_key"))
+                       & F.col("id").eqNullSafe(F.col("added_id")), "left").select(
+        "id", "key", F.when(F.col("terms").isNull(), base.cast(kind)).otherwise(
+            F.array_sort(F.concat(base.cast(kind), more.cast(kind)))).alias("spans"))
 
 
 def sanitised(text: Column, spans: Column) -> Column:

@@ -114,38 +114,65 @@ def test_masked_rows(odd):
 
 
 def disclosed(rows):
-    """Spans of terms, computed plainly."""
+    """Spans of terms, computed plainly; counts are of different texts."""
     word = re.compile(r"[^\W\d_]{3,}")
-    with_term, near, entities = defaultdict(set), [], defaultdict(set)
-    for i, (_, text) in enumerate(rows):
-        for w in word.findall((text or "").lower()):
-            with_term[w].add(i)
-        for start, end, kind in base_spans(text, PERSONAL_FORMS):
-            value = text[start:end]
-            entity = (kind, digits(value) if kind in ("card", "phone") else value.lower())
-            entities[entity].add(rows[i])
-            begin = max(0, start - sanitise.WIDTH)
-            before, after = text[begin:start], text[end:end + sanitise.WIDTH]
-            for m in word.finditer(before):
-                if not (begin > 0 and m.start() == 0):
-                    near.append((i, entity, (before, after), m[0].lower(), begin + m.start(),
-                                 begin + m.end()))
-            for m in word.finditer(after):
-                if not (len(after) == sanitise.WIDTH and m.end() == len(after)):
-                    near.append((i, entity, (before, after), m[0].lower(), end + m.start(),
-                                 end + m.end()))
-    contexts = defaultdict(set)
-    for i, entity, context, term, *_ in near:
-        contexts[entity, term].add(context)
+    texts = {text or "" for _, text in rows}
+    forms = {t: base_spans(t, PERSONAL_FORMS) for t in texts}
+    with_term, with_entity = defaultdict(set), defaultdict(set)
+    for t in texts:
+        for w in word.findall(t.lower()):
+            with_term[w].add(t)
+        for start, end, kind in forms[t]:
+            value = t[start:end]
+            with_entity[kind, digits(value) if kind in ("card", "phone") else value.lower()].add(t)
     out = defaultdict(set)
-    for i, entity, _, term, start, end in near:
-        both = len(contexts[entity, term])
-        share = len(entities[entity]) / len(rows)
-        if both >= sanitise.SUPPORT and share < 1:
-            bits = math.log2(min(1, both / len(with_term[term])) / share) / -math.log2(share)
+    for own in with_entity.values():
+        share = len(own) / len(texts)
+        for term, others in with_term.items():
+            both = len(own & others)
+            if both < sanitise.SUPPORT or share == 1:
+                continue
+            bits = math.log2(both / len(others) / share) / -math.log2(share)
             if bits >= sanitise.DISCLOSURE:
-                out[i].add((start, end))
-    return out
+                for t in own & others:
+                    out[t].update(m.span() for m in word.finditer(t) if m[0].lower() == term
+                                  and not any(a < m.end() and m.start() < b
+                                              for a, b, _ in forms[t]))
+    return [out[text or ""] for _, text in rows]
+
+
+def check_terms(frame, rows):
+    got = sanitise.find_personal_data(frame(rows, extra=False)).collect()
+    want = disclosed(rows)
+    assert sorted((str(r.id), sorted((s.start, s.end_) for s in r.spans if s.kind == "term"))
+                  for r in got) == sorted((str(i), sorted(w)) for (i, _), w in zip(rows, want))
+    return want
+
+
+FILLER = [(i, f"filler words said about {chr(97 + i % 26) * 4}") for i in range(5, 40)]
+
+
+def test_copies_do_not_hide_a_term(frame):
+    rows = [(1, "Zebedee beside zeb@x.com"), (2, "again Zebedee, zeb@x.com")]
+    once = check_terms(frame, rows + FILLER)
+    assert once[0] == {(0, 7)} and once[1] == {(6, 13)}
+    many = check_terms(frame, rows * 40 + FILLER)
+    assert many[:2] == once[:2] and many[78:80] == once[:2]
+
+
+def test_terms_far_away_and_every_mention(frame):
+    far = "x" * 60
+    rows = [(1, f"Zebedee {far} 1.2.3.4 {far * 9} Zebedee said, ZEBEDEE"),
+            (2, f"1.2.3.4 {far} and zebedee"), (3, "Zeb at zeb@y.org, 5.6.7.8")]
+    want = check_terms(frame, rows + FILLER)
+    assert len(want[0]) >= 3 and (len(far) + 13, len(far) + 20) in want[1] and not want[2]
+    clean = {r.id: r.text for r in sanitise.sanitise(frame(rows + FILLER)).collect()}
+    assert "zebedee" not in clean[1].lower()
+
+
+def test_terms_of_documents(frame, tables):
+    rows = [(r.doc_id, r.text) for r in tables("documents").collect()]
+    check_terms(frame, rows + rows[:50])
 
 
 def test_terms_that_reveal_an_entity(frame):
@@ -155,8 +182,8 @@ def test_terms_that_reveal_an_entity(frame):
            [(i, "filler words said about this") for i in range(5, 40)]
     got = {r.id: r.spans for r in sanitise.find_personal_data(frame(rows)).collect()}
     expected = disclosed(rows)
-    for i, (id_, _) in enumerate(rows):
-        assert {(s.start, s.end_) for s in got[id_] if s.kind == "term"} == expected[i]
+    for (id_, _), spans in zip(rows, expected):
+        assert {(s.start, s.end_) for s in got[id_] if s.kind == "term"} == spans
     assert {(11, 21)} == expected[0]
     clean = {r.id: r.text for r in sanitise.sanitise(frame(rows)).collect()}
     assert clean[1] == "Please ask  at [email] about this"
