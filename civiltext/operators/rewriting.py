@@ -9,13 +9,14 @@ regular expressions only run on rows that need them and nothing is computed twic
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from civiltext import tables
 from civiltext.functions import numbers, patterns, sqltext as sql, text as txt
 from civiltext.functions.barrier import computed_once
+from civiltext.operators.replacing import with_replacements
 
 CHANGES = "array<struct<old:string,new:string>>"
 REST = 1 << 30  # "up to the end" for substring
@@ -30,10 +31,13 @@ class Wording:
     rules: list[tuple[str, str]] = field(default_factory=lambda: list(tables.PHRASE_RULES))
     sentences: dict[str, str] = field(default_factory=lambda: dict(tables.SENTENCE_REWRITES))
     shout_only: bool = False
+    #: Replacements as a table (``term, neutral, ord``) of any size, in place of ``replacements``.
+    table: DataFrame | None = None
 
     def add_replacement(self, toxic: str, neutral: str) -> "Wording":
-        more = {**self.replacements, toxic.lower(): neutral.lower()}
-        return Wording(more, self.rules, self.sentences, self.shout_only)
+        if self.table is not None:
+            raise ValueError("add rows to the table of replacements instead")
+        return replace(self, replacements={**self.replacements, toxic.lower(): neutral.lower()})
 
     def application_order(self) -> list[tuple[str, str]]:
         """Longest term first; equally long terms in listing order."""
@@ -142,6 +146,13 @@ class Stages:
 
 
 def _word_stages(stages: Stages, wording: Wording) -> None:
+    if wording.table is not None:
+        name = f"{stages.first}_table"
+        stages.df = with_replacements(stages.df, stages.source, wording.table, name)
+        stages.columns.append(name)
+        stages.step(f"{name}_text", F.col(name)["text"])
+        stages.logs.append(F.col(name)["log"])
+        return
     for n, group in enumerate(independent_groups(wording.application_order())):
         name = f"{stages.first}_w{n}"
         if len(group) == 1:
@@ -168,7 +179,8 @@ def replace_words(df: DataFrame, col: str, out: str, log: str,
                   wording: Wording | None = None) -> DataFrame:
     """Apply all word replacements to ``col``; whole words, any letter case.
 
-    Appends the new text and the log of terms that changed something. Null stays null.
+    Appends the new text and the log of terms that changed something. Null stays null. A wording
+    with a ``table`` takes replacements of any number.
     """
     stages = Stages(df, col, col)
     _word_stages(stages, wording or Wording())

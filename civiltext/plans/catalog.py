@@ -117,6 +117,13 @@ def lines_to_rows(spark, sf):
 
 @query
 def demo_corpus(spark, sf):
+    """As many demonstration comments as there are documents, twice over."""
+    return cp.demo_corpus(spark, 2 * documents(spark, sf).count())
+
+
+@query
+def demo_rows(spark, sf):
+    """The demonstration comments whose numbers are those of the documents."""
     numbers = documents(spark, sf).select(F.col("doc_id").alias("i"))
     return sm.concat_rows(cp.demo_rows(numbers, toxic=True), cp.demo_rows(numbers, toxic=False)) \
         .select("i", "comment_text", "toxic")
@@ -462,6 +469,18 @@ def word_replacement(spark, sf):
     return out.select("doc_id", "out", changes_text().alias("changes"))
 
 
+@query
+def word_replacement_table(spark, sf):
+    """Replacements from a table of tens of thousands: long words lose their last letter, again
+    and again while what is left is a term."""
+    words = det.split_texts(documents(spark, sf), [], "text").select(
+        F.explode("_words").alias("term")).filter(F.length("term") >= 10).distinct()
+    listed = words.select("term", F.expr("left(term, length(term) - 1)").alias("neutral"),
+                          F.col("term").alias("ord"))
+    out = rw.replace_words(remarks(spark, sf), "text", "out", "changes_made", rw.Wording(table=listed))
+    return out.select("doc_id", "out", changes_text().alias("changes"))
+
+
 @query
 def phrase_rules(spark, sf):
     out = rw.phrase_rules(remarks(spark, sf), "text", "out", "changes_made")

@@ -476,6 +476,25 @@ SELECT {keys}, string_agg(coalesce(lemma, form), ' ' ORDER BY pos) AS out
 FROM toks LEFT JOIN best USING (form) GROUP BY ALL"""
 
 
+LONG_WORDS = f"""(SELECT DISTINCT word AS term, left(word, length(word) - 1) AS neutral FROM
+  (SELECT {sub('tok', f'[^{W}]', '')} AS word FROM (SELECT unnest(regexp_split_to_array(
+    lower(coalesce(text, '')), '[{S}]+')) AS tok FROM documents)) WHERE length(word) >= 10)"""
+
+TABLE_REPLACED = f"""WITH RECURSIVE terms AS (SELECT * FROM {LONG_WORDS}),
+chains(start, term, neutral) AS (SELECT term, term, neutral FROM terms
+  UNION ALL SELECT c.start, t.term, t.neutral FROM chains c JOIN terms t ON c.neutral = t.term),
+ends AS (SELECT start, arg_min(neutral, length(neutral)) AS last FROM chains GROUP BY start),
+parts AS (SELECT doc_id, unnest(p) AS piece, unnest(range(len(p))) AS k FROM
+  (SELECT doc_id, regexp_extract_all(text, {lit(PIECES)}) AS p FROM ({REMARKS}))),
+texts AS (SELECT doc_id, string_agg(coalesce(last, piece), '' ORDER BY k) AS out
+  FROM parts LEFT JOIN ends ON lower(piece) = start GROUP BY doc_id),
+logs AS (SELECT doc_id, string_agg(term || '=>' || neutral, '|' ORDER BY length(term) DESC, term)
+    AS changes FROM (SELECT DISTINCT doc_id, term, neutral FROM parts JOIN chains
+    ON lower(piece) = start) GROUP BY doc_id)
+SELECT s.doc_id, coalesce(t.out, s.text) AS out, coalesce(changes, '') AS changes
+FROM ({REMARKS}) s LEFT JOIN texts t USING (doc_id) LEFT JOIN logs USING (doc_id)"""
+
+
 LARGE_LEXICON = f"""WITH extra AS (SELECT DISTINCT word AS term FROM
   (SELECT {sub('tok', f'[^{W}]', '')} AS word FROM (SELECT unnest(regexp_split_to_array(
     lower(coalesce(text, '')), '[{S}]+')) AS tok FROM documents)) WHERE length(word) >= 10
@@ -535,6 +554,19 @@ def any_in(expr: str, words) -> str:
     return "CAST(" + " OR ".join(f"contains({expr}, {lit(w)})" for w in words) + " AS INT)"
 
 
+def demo_corpus(n: str) -> str:
+    """``demo_corpus``: half of the ``n`` comments toxic, half clean."""
+    none = ", ".join(f"0 AS {c}" for c in tables.LABELS[1:])
+    flags = {"severe_toxic": "CAST(i % 10 = 0 AS INT)", "obscene": "CAST(i % 3 = 0 AS INT)",
+             "threat": any_in("t", tables.DEMO_THREATS), "insult": any_in("t", tables.DEMO_INSULTS),
+             "identity_hate": "CAST(i % 8 = 0 AS INT)"}
+    listed = ", ".join(f"{flags[c]} AS {c}" for c in tables.LABELS[1:])
+    numbers = f"(SELECT unnest(range(({n}) // 2)) AS i)"
+    return (f"SELECT 't' || i AS id, t AS comment_text, 1 AS toxic, {listed} FROM (SELECT i, "
+            f"{demo(tables.DEMO_TOXIC)} AS t FROM {numbers}) UNION ALL SELECT 'c' || i, "
+            f"{demo(tables.DEMO_CLEAN)}, 0, {none} FROM {numbers}")
+
+
 def strategy_row(name: str, rules: bool) -> str:
     return (f"SELECT {lit(name)} AS strategy, count(*) AS texts, "
             "sum(length(neutral_text))::BIGINT AS chars, sum(changes)::BIGINT AS changes "
@@ -558,9 +590,10 @@ def sql_by_query() -> dict[str, str]:
     return {
         "scan_labeled_csv": LABELED,
         "lines_to_rows": lines,
-        "demo_corpus": f"SELECT doc_id AS i, {demo(tables.DEMO_TOXIC)} AS comment_text, 1 AS toxic "
+        "demo_rows": f"SELECT doc_id AS i, {demo(tables.DEMO_TOXIC)} AS comment_text, 1 AS toxic "
                        f"FROM (SELECT *, doc_id AS i FROM documents) UNION ALL SELECT doc_id, "
                        f"{demo(tables.DEMO_CLEAN)}, 0 FROM (SELECT *, doc_id AS i FROM documents)",
+        "demo_corpus": demo_corpus("SELECT 2 * count(*) FROM documents"),
         "demo_labels": f"SELECT i, 1 AS toxic, CAST(i % 10 = 0 AS INT) AS severe_toxic, "
                        f"CAST(i % 3 = 0 AS INT) AS obscene, {any_in('t', tables.DEMO_THREATS)} AS "
                        f"threat, {any_in('t', tables.DEMO_INSULTS)} AS insult, CAST(i % 8 = 0 AS INT) "
@@ -652,6 +685,7 @@ def sql_by_query() -> dict[str, str]:
         "detect": f"{plain} SELECT doc_id, toxic_count, types AS categories, intensity_score, "
                   "hit_words, n - nw AS other_words FROM scored",
         "sentence_rewrite": f"SELECT conv_id, turn, {SENTENCE} AS sentence FROM ({TALK})",
+        "word_replacement_table": TABLE_REPLACED,
         "word_replacement": f"SELECT doc_id, cur AS out, substr(log, 2) AS changes FROM "
                             f"({chain(REMARKS, word_steps())})",
         "phrase_rules": f"SELECT doc_id, cur AS out, substr(log, 2) AS changes FROM "
