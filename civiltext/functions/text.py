@@ -127,19 +127,37 @@ def word_count(text: Column) -> Column:
 def strip_accents(text: Column) -> Column:
     """Fold accented and composed characters to their base letters.
 
-    Covers every character that decomposes into base letters plus accents, ligatures among
-    them, and loose combining accents; only Hangul syllables stay whole. Text of ASCII alone,
-    such as went through ``keep_letters``, is passed on as it is.
+    Covers every character that decomposes into base letters plus accents, ligatures and Hangul
+    syllables among them, and loose combining accents. Text of ASCII alone, such as went through
+    ``keep_letters``, is passed on as it is.
     """
     accented, plain, marks, several = _accent_table()
     folded = F.translate(text, accented + marks, plain)
     table = F.expr(sqltext.map_of(several))
-    spelled = F.array_join(F.transform(
-        F.split(folded, ""), lambda c: F.coalesce(F.element_at(table, c), c)), "")
-    spelled = F.when(folded.rlike("[" + "".join(several) + "]"), spelled).otherwise(folded)
+    spelled = F.array_join(F.transform(F.split(folded, ""), lambda c: F.coalesce(
+        F.element_at(table, c), F.when(c.between(*_HANGUL), _jamo(c)), c)), "")
+    several = "".join(several) + "-".join(_HANGUL)
+    spelled = F.when(folded.rlike(f"[{several}]"), spelled).otherwise(folded)
     return F.when(text.rlike("[^\\x00-\\x7f]"), spelled).otherwise(text)
 
 
+_HANGUL = ("\uac00", "\ud7a3")
+
+
+def _jamo(syllable: Column) -> Column:
+    """The two or three letters of a Hangul syllable, by its place among the syllables: 19 initial
+    consonants by 21 vowels by 28 finals, of which the first is none."""
+    at = F.ascii(syllable) - ord(_HANGUL[0])
+
+    def letter(first: int, count: int, place: Column) -> Column:
+        letters = ", ".join(sqltext.quote(chr(first + i)) for i in range(count))
+        return F.get(F.expr(f"array({letters})"), F.floor(place).cast("int"))
+
+    final = at % 28
+    return F.concat(letter(0x1100, 19, at / 588), letter(0x1161, 21, at % 588 / 28),
+                    F.when(final == 0, "").otherwise(letter(0x11A8, 27, final - 1)))
+
+
 @functools.cache
 def _accent_table() -> tuple[str, str, str, dict[str, str]]:
     """The accent fold, derived from the Unicode character database."""
@@ -150,11 +168,10 @@ def _accent_table() -> tuple[str, str, str, dict[str, str]]:
         if 0xAC00 <= code <= 0xD7A3 or 0xD800 <= code <= 0xDFFF:
             continue
         ch = chr(code)
-        if u.combining(ch):
-            marks.append(ch)
-            continue
         base = [c for c in u.normalize("NFKD", ch) if not u.combining(c)]
-        if len(base) == 1 and base[0] != ch:
+        if not base:
+            marks.append(ch)
+        elif len(base) == 1 and base[0] != ch:
             accented.append(ch)
             plain.append(base[0])
         elif len(base) > 1:

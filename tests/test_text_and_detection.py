@@ -203,3 +203,13 @@ def test_strip_accents(spark):
     df = spark.createDataFrame([("Ébène größe ñandú é Ångström plain",)], "t string")
     assert df.select(txt.strip_accents(F.col("t"))).first()[0] == \
         "Ebene große nandu e Angstrom plain"
+
+
+def test_accents_of_all_code_points(spark):
+    import unicodedata as u
+    points = [c for c in range(1, 0x110000) if not 0xD800 <= c < 0xE000]
+    texts = ["".join(map(chr, points[i:i + 4096])) for i in range(0, len(points), 4096)]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    for r in df.select("id", txt.strip_accents(F.col("t")).alias("t")).collect():
+        want = "".join(c for ch in texts[r.id] for c in u.normalize("NFKD", ch) if not u.combining(c))
+        assert r.t == want, r.id
