@@ -10,6 +10,7 @@ from civiltext.functions import sqltext as sql
 from civiltext.functions.text import contains_one_of
 from civiltext.operators.exploration import discover_labels
 from civiltext.operators.sampling import balanced_sample, shuffle_rows
+from civiltext.sources.records import read_csv
 
 
 def read_texts(spark: SparkSession, path: str) -> DataFrame:
@@ -35,11 +36,9 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 def read_labeled_csv(spark: SparkSession, path: str) -> DataFrame:
     """A labelled corpus: ``id, comment_text`` and whichever label columns the header names.
 
-    Comments may hold line breaks and doubled quotes. Quoted line breaks make a file
-    unsplittable, so large corpora should come as many files in one folder.
+    Comments may hold line breaks and doubled quotes; a large file is read by many tasks.
     """
-    raw = (spark.read.option("header", True).option("multiLine", True)
-           .option("quote", '"').option("escape", '"').csv(path))
+    raw = read_csv(spark, path)
     labels = discover_labels(raw)
     return raw.select("id", "comment_text", *[F.col(c).cast("int").alias(c) for c in labels])
 
