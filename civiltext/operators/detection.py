@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from civiltext import tables
 from civiltext.functions import numbers, patterns, sqltext as sql, text as txt
 from civiltext.functions.barrier import computed_once, rows_of
-from civiltext.operators.broadcasts import is_small, lookup_join
+from civiltext.operators.broadcasts import lookup_join
 from civiltext.operators.lexicon import Lexicon
 from civiltext.operators.lookup import LexiconIndex, Marker, escape_html, fold
 from civiltext.sources.shared import cut_lineage
@@ -179,9 +179,9 @@ def token_hits_by_join(df: DataFrame, id_col: str, lexicon: DataFrame,
                        text_col: str = "text") -> DataFrame:
     """Token hits as rows, for a lexicon given as a table of any size.
 
-    Tokens are looked up before anything is built for them; the words before a hit are cut
-    from its own text. If the lexicon is too large to broadcast, the distinct words of the
-    texts are looked up first and only known ones take part in the second, smaller join.
+    A lexicon that was counted and found small is looked up in the text's own row, so that only
+    hits become rows. For a larger one every token becomes a row, with the three words before it,
+    and is joined with the lexicon.
     """
     return _token_hits(df, [id_col], lexicon, text_col)
 
@@ -189,23 +189,46 @@ def token_hits_by_join(df: DataFrame, id_col: str, lexicon: DataFrame,
 def _token_hits(df: DataFrame, keep: list[str], lexicon: DataFrame, text_col: str) -> DataFrame:
     terms = (lexicon.filter(~F.col("is_phrase"))
              .select(F.col("term").alias("word"), "category"))
-    texts = split_texts(df, keep, text_col).select(*keep, "_words")
-    tokens = texts.select(*keep, "_words", F.posexplode_outer("_words").alias("position", "word")) \
-                  .filter(F.col("word").isNotNull())
-    if is_small(terms, ["word", "category"]):
-        found = tokens.join(F.broadcast(terms), "word")
+    if _fits(terms, "word"):
+        rows = terms.toArrow()
+        index = LexiconIndex(rows["word"].to_pylist(), rows["category"].to_pylist(),
+                             [False] * len(rows))
+        flat = F.coalesce(txt.collapse_space(F.lower(F.col(text_col))), F.lit(""))
+        norm = F.regexp_replace(flat, f"[^{patterns.WORD} ]+", "")
+        found = rows_of(df, keep, _token_finder(df, index)(norm), "word")
     else:
+        texts = split_texts(df, keep, text_col).select(*keep, "_words")
+        tokens = texts.select(*keep, "_words", F.posexplode_outer("_words").alias("position", "word")) \
+                      .filter(F.col("word").isNotNull())
         three = F.slice("_words", F.greatest(F.col("position") - 2, F.lit(1)),
                         F.least(F.col("position"), F.lit(3)))
         found = lookup_join(tokens.select(*keep, "position", "word", three.alias("_before")), terms,
                             "word", spread=F.struct(*keep, "position"))
-    before = "slice(_words, greatest(position - 2, 1), least(position, 3))" \
-        if "_words" in found.columns else "_before"
     return found.select(
         *keep, "word", "category", "position", F.lit(False).alias("is_phrase"),
-        F.expr(f"coalesce({sql.is_one_of(f'try_element_at({before}, -1)', tables.INTENSIFIERS)}, "
+        F.expr(f"coalesce({sql.is_one_of('try_element_at(_before, -1)', tables.INTENSIFIERS)}, "
                "false)").alias("has_intensifier"),
-        F.expr(f"exists({before}, x -> {sql.is_one_of('x', tables.NEGATORS)})").alias("is_negated"))
+        F.expr(f"exists(_before, x -> {sql.is_one_of('x', tables.NEGATORS)})").alias("is_negated"))
+
+
+def _token_finder(df: DataFrame, index: LexiconIndex):
+    sent = df.sparkSession.sparkContext.broadcast(index)
+
+    def find(norm: pa.Array) -> pa.Array:
+        index, found, before = sent.value, [], []
+        for text in norm.to_pylist():
+            own, words = index.words_in(text), text.split(" ")
+            found.append(own)
+            before += [words[max(0, at - 3):at] for at, _ in own]
+        flat = [hit for own in found for hit in own]
+        places = pa.array([at for at, _ in flat], pa.int32())
+        return _lists(found, [*_named(index, [i for _, i in flat]), places,
+                              pa.array(before, pa.list_(pa.string()))],
+                      ["word", "category", "position", "_before"])
+
+    find.__annotations__ = {"norm": pa.Array, "return": pa.Array}
+    return F.arrow_udf(find, returnType="array<struct<word:string,category:string,position:int,"
+                                        "_before:array<string>>>")
 
 
 AUTOMATON_BYTES = 4 << 20   # of phrases in one automaton; its nodes take some fifty times that
@@ -277,6 +300,13 @@ MAX_INDEX_ROWS = 500_000
 MAX_INDEX_BYTES = 16 << 20
 
 
+def _fits(lexicon: DataFrame, term_col: str) -> bool:
+    """Whether a lexicon may be sent to the tasks, by counting at most one row too many."""
+    rows, octets = lexicon.limit(MAX_INDEX_ROWS + 1).agg(
+        F.count("*"), F.coalesce(F.sum(F.octet_length(term_col)), F.lit(0))).first()
+    return rows <= MAX_INDEX_ROWS and octets <= MAX_INDEX_BYTES
+
+
 def detect_table(df: DataFrame, lexicon: DataFrame, text_col: str = "text") -> DataFrame:
     """``detect`` for a lexicon given as a table (``term, category, is_phrase, ord``) of any size.
 
@@ -286,8 +316,7 @@ def detect_table(df: DataFrame, lexicon: DataFrame, text_col: str = "text") -> D
     the text's digest, so ids may be missing or repeated and copies are looked up once.
     """
     lexicon = cut_lineage(lexicon.select("term", "category", "is_phrase", "ord"))
-    size = lexicon.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("term")), F.lit(0))).first()
-    if size[0] <= MAX_INDEX_ROWS and size[1] <= MAX_INDEX_BYTES:
+    if _fits(lexicon, "term"):
         return _detect_in_row(df, lexicon, text_col)
     return _detect_by_digest(df, lexicon, text_col)
 

@@ -49,14 +49,6 @@ def test_join_form_equals_array_form(spark, texts):
     assert sorted(map(tuple, array_form.collect())) == sorted(map(tuple, join_form.collect()))
 
 
-def test_salted_join_equals_broadcast(spark, texts, monkeypatch):
-    from civiltext.operators import broadcasts
-    small = det.detect_by_join(texts, "id", Lexicon.default().table(spark)).collect()
-    monkeypatch.setattr(broadcasts, "MAX_BROADCAST_BYTES", 1)
-    salted = det.detect_by_join(texts, "id", Lexicon.default().table(spark)).collect()
-    assert sorted(map(tuple, small)) == sorted(map(tuple, salted))
-
-
 def test_lexicon_counts_and_override(spark):
     lex = Lexicon.default()
     assert len(lex.terms) == 92 and len(lex.phrases) == 23
@@ -115,6 +107,13 @@ def by_digest(monkeypatch):
     monkeypatch.setattr(det, "AUTOMATON_BYTES", 60)
 
 
+def test_salted_join_equals_lookup(spark, texts, request):
+    small = det.detect_by_join(texts, "id", Lexicon.default().table(spark)).collect()
+    request.getfixturevalue("by_digest")
+    salted = det.detect_by_join(texts, "id", Lexicon.default().table(spark)).collect()
+    assert sorted(map(tuple, small)) == sorted(map(tuple, salted))
+
+
 TABLE_COLUMNS = ["id", "toxic_words", "toxic_count", "categories_found", "intensity_score",
                  "highlighted_text", "non_toxic_words"]
 
