@@ -41,12 +41,12 @@ def phrase_hits(low: str, lexicon: Lexicon) -> Column:
 
 
 # Modifier flags of the token at ``i``: the word before it, and the three words before it.
-def _intensified(words: str) -> str:
-    return f"coalesce({sql.is_one_of(f'get({words}, i - 1)', tables.INTENSIFIERS)}, false)"
+def _intensified(words: str, i: str = "i") -> str:
+    return f"coalesce({sql.is_one_of(f'get({words}, {i} - 1)', tables.INTENSIFIERS)}, false)"
 
 
-def _negated(words: str) -> str:
-    return (f"exists(slice({words}, greatest(i - 2, 1), least(i, 3)), "
+def _negated(words: str, i: str = "i") -> str:
+    return (f"exists(slice({words}, greatest({i} - 2, 1), least({i}, 3)), "
             f"x -> {sql.is_one_of('x', tables.NEGATORS)})")
 
 
@@ -171,7 +171,8 @@ def split_texts(df: DataFrame, keep: list[str], text_col: str) -> DataFrame:
 
 def token_table(df: DataFrame, id_col: str, text_col: str = "text") -> DataFrame:
     """One row per token: id, ``position``, ``token`` and normalized ``word``."""
-    row = "transform(_words, (w, i) -> named_struct('position', i, 'token', get(_tokens, i), 'word', w))"
+    row = ("transform(_words, (w, i) -> named_struct('position', i, 'token', get(_tokens, i), "
+           "'word', w))")
     return rows_of(split_texts(df, [id_col], text_col), [id_col], F.expr(row), "position")
 
 
@@ -368,10 +369,10 @@ def _detect_in_row(df: DataFrame, lexicon: DataFrame, text_col: str) -> DataFram
                      "p.category, 'position', -1, 'is_phrase', true, 'has_intensifier', false, "
                      "'is_negated', false))")
     tokens = F.expr(
-        "transform(transform(_found.tokens, t -> struct(t, t.position AS i)), p -> "
-        "named_struct('word', p.t.word, 'category', p.t.category, 'position', p.i, 'is_phrase', "
-        f"false, 'has_intensifier', {_intensified('_words').replace('i - 1', 'p.i - 1')}, "
-        f"'is_negated', {_negated('_words').replace('i - 2', 'p.i - 2').replace('least(i,', 'least(p.i,')}))")
+        "transform(_found.tokens, t -> named_struct('word', t.word, 'category', t.category, "
+        "'position', t.position, 'is_phrase', false, "
+        f"'has_intensifier', {_intensified('_words', 't.position')}, "
+        f"'is_negated', {_negated('_words', 't.position')}))")
     staged = staged.withColumn("_words", F.split("_norm", " "))
     staged = computed_once(staged, {
         "toxic_words": F.concat(phrases, tokens).cast(HITS), "_n": F.size("_words"),
