@@ -65,12 +65,15 @@ def text_words(text: str, doc_id, min_length: int, damage: int | None) -> Counte
     counts = Counter({run: n for run, n in counts.items() if len(run) >= min_length})
     if damage:
         start = zlib.crc32(f"{'' if doc_id is None else doc_id}:".encode())
-        for run, n in list(counts.items()):
+        # Apart from the runs still to come: one may lose a code point to what another became.
+        damaged = Counter()
+        for run, n in counts.items():
             crc = zlib.crc32(run.encode(), start)
             if crc % damage == 0:
-                del counts[run]
                 at = crc % len(run)
-                counts[run[:at] + run[at + 1:]] += n
+                run = run[:at] + run[at + 1:]
+            damaged[run] += n
+        return damaged
     return counts
 
 
@@ -205,7 +208,8 @@ def _cut(words: DataFrame, n: int, block_words: int) -> list[Blocks]:
     sample = words.filter(F.pmod(F.xxhash64("word"), F.lit(2**30)) < share)
     found = [sorted({r[0] for r in sample.select(F.left(text, F.lit(BOUNDARY_LENGTH))).collect()})
              for text in (F.col("word"), F.reverse("word"))]
-    return [Blocks([texts[i * len(texts) // blocks] for i in range(1, blocks)] if texts else [])
+    # Fewer texts than blocks make fewer blocks.
+    return [Blocks(sorted({texts[i * len(texts) // blocks] for i in range(1, blocks)}) if texts else [])
             for texts in found]
 
 

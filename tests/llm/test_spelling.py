@@ -117,6 +117,25 @@ def test_no_words(spark, frame):
         assert spelling.group_variants(frame(rows)).collect() == []
 
 
+def test_damaged_runs_that_become_each_other():
+    """A run that loses a code point may become another run of the text that loses one too."""
+    text = "aaaaaaaaa " * 3 + "aaaaaaaa " * 5 + "aaaaaaa"
+    assert spelling.text_words(text, 1, 6, 1) == {"a" * 8: 3, "a" * 7: 5, "a" * 6: 1}
+    rng = random.Random(12)
+    for doc_id in range(50):
+        text = " ".join("".join(rng.choice("abÉ") for _ in range(rng.randrange(6, 9))) for _ in range(400))
+        got = spelling.text_words(text, doc_id, 6, 3)
+        assert {w: n for w, n in got.items() if len(w) >= 6} == plain_words([(doc_id, text)], 3, 6, 1)
+
+
+def test_blocks_of_words_with_one_long_beginning(spark):
+    """Where words are cut apart by sampled beginnings that are alike, blocks are fewer."""
+    counts = {"x" * 300 + a + b: 5 + i for i, a in enumerate("abcdefgh") for b in "abcdefgh"}
+    words = spark.createDataFrame(list(counts.items()), "word string, n long")
+    got = {r[0]: tuple(r[1:]) for r in spelling.near_words(words, 5).collect()}
+    assert got == plain_near(counts)
+
+
 def test_texts_in_parts(monkeypatch):
     text = "Wörter " + "immer " * 50 + "x" * 500 + "-Ende"
     whole = spelling.text_words(text, 3, 1, 2)
