@@ -6,20 +6,23 @@ may be replaced in turn. But a text is only touched by the terms that occur in i
 over all terms finds them, and after each replacement looks again around the places that changed.
 
 A table that was counted and found small is sent to the tasks, and nothing is shuffled. Of a larger
-one, each distinct text gets the terms that can come up in it, by joins on the first words of the
+one, each block of texts gets the terms that can come up in it, by joins on the first words of the
 terms; the wording of what was found is looked up in turn until nothing is added.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Callable, Iterator
 from functools import cached_property
+from heapq import heapify, heappop, heappush
+from typing import Iterator as Batches, Tuple
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from civiltext.functions import patterns, text as txt
-from civiltext.operators.broadcasts import lookup_join
+from civiltext.functions import patterns
+from civiltext.operators.blocks import BLOCK, ITEM, beside, block_words, looked_up, with_blocks
 from civiltext.operators.lexicon import replacement_order
 from civiltext.operators.lookup import fold
 from civiltext.sources.shared import cut_lineage
@@ -29,6 +32,8 @@ MAX_BYTES = 16 << 20
 CHANGES = "array<struct<old:string,new:string>>"
 _WORD = re.compile(r"\w")
 _FIRST = re.compile(r"\w+|\W")
+# Characters that case-insensitive patterns equate in another way than ``fold`` does.
+_ODD_CASE = re.compile("[\u0345\u0390\u03b0\u1f80-\u1fff\ufb05\ufb06]")
 
 
 def _whole_words(text: str, start: int, end: int) -> str:
@@ -78,9 +83,10 @@ class Replacer:
             self._patterns[number] = re.compile(before + re.escape(term) + after, re.I)
         return self._patterns[number]
 
-    def occurring(self, text: str) -> set[int]:
-        """Numbers of the terms that stand in a text with a word's end at both their ends."""
-        low, found = fold(text), set()
+    def occurring(self, low: str) -> set[int]:
+        """Numbers of the terms that stand in a text, given as ``fold`` makes it, with a word's end
+        at both their ends."""
+        found = set()
         for last, (size, numbers) in self.automaton.iter(low):
             start = last + 1 - size
             if self._edge(low, start) and self._edge(low, last + 1):
@@ -93,32 +99,55 @@ class Replacer:
         before = at > 0 and _WORD.match(text[at - 1]) is not None
         return before != (at < len(text) and _WORD.match(text[at]) is not None)
 
+    def _matches(self, number: int, text: str, low: str, plain: bool) -> list[tuple[int, int]]:
+        """Where a term stands in a text; without odd letters, no pattern is needed."""
+        term = self.terms[number]
+        if not plain or _ODD_CASE.search(term):
+            return [match.span() for match in self._pattern(number).finditer(text)]
+        term, found = fold(term), []
+        at, size = low.find(term), len(term)
+        while at >= 0:
+            whole = self._edge(low, at) and self._edge(low, at + size)
+            if whole:
+                found.append((at, at + size))
+            at = low.find(term, at + (size if whole else 1))
+        return found
+
     def replace(self, text: str, made: set[str] | None = None) -> tuple[str, list[tuple[str, str]]]:
         """The new text, and the terms that changed it with their wording; ``made`` takes in the
         words and other characters that stood at changed places meanwhile."""
-        log, done = [], -1
+        log = []
         if not len(self.automaton):
             return text, log
-        todo = self.occurring(text)
+        low, plain = fold(text), not _ODD_CASE.search(text)
+        queued = self.occurring(low)
+        todo = [*queued]
+        heapify(todo)
         while todo:
-            number = min(todo)
-            todo.discard(number)
-            done, neutral = number, self.neutrals[number]
-            parts, places, at, size = [], [], 0, 0
-            for match in self._pattern(number).finditer(text):
-                parts += [text[at:match.start()], neutral]
-                size += match.start() - at
+            done = heappop(todo)
+            neutral = self.neutrals[done]
+            low_neutral = fold(neutral)
+            parts, lows, places, at, size = [], [], [], 0, 0
+            for start, end in self._matches(done, text, low, plain):
+                parts += [text[at:start], neutral]
+                lows += [low[at:start], low_neutral]
+                size += start - at
                 places.append((size, size + len(neutral)))
-                size, at = size + len(neutral), match.end()
+                size, at = size + len(neutral), end
             if not places:
                 continue
             new = "".join([*parts, text[at:]])
             if new != text:
-                log.append((self.terms[number], neutral))
+                log.append((self.terms[done], neutral))
+                low = "".join([*lows, low[at:]])
+                plain = plain and not _ODD_CASE.search(neutral)
                 for a, b in places:
                     # One character more, to see the words' ends.
-                    near = new[max(0, a - self.longest - 1):b + self.longest + 1]
-                    todo |= {i for i in self.occurring(near) if i > done}
+                    near = low[max(0, a - self.longest - 1):b + self.longest + 1]
+                    for i in self.occurring(near):
+                        if i > done and i not in queued:
+                            queued.add(i)
+                            heappush(todo, i)
                     if made is not None:
                         made.update(_FIRST.findall(fold(_whole_words(new, a, b))))
             text = new
@@ -151,7 +180,7 @@ def with_replacements(df: DataFrame, col: str, table: DataFrame, out: str) -> Da
     rows, size = ordered.agg(F.count("*"), F.coalesce(F.sum(octets), F.lit(0))).first()
     if rows <= MAX_ROWS and size <= MAX_BYTES:
         return _in_row(df, col, ordered, out)
-    return _by_digest(df, col, ordered, out)
+    return _by_blocks(df, col, ordered, out)
 
 
 def _in_row(df: DataFrame, col: str, ordered: DataFrame, out: str) -> DataFrame:
@@ -166,76 +195,86 @@ def _in_row(df: DataFrame, col: str, ordered: DataFrame, out: str) -> DataFrame:
     return df.withColumn(out, F.arrow_udf(replace, returnType=RESULT)(F.col(col)))
 
 
-def _firsts(texts: Column) -> Column:
+def _first_words(text: str) -> set[str]:
     """What a term that stands in a text may start with: its words and other characters."""
+    return set(_FIRST.findall(fold(text)))
+
+
+def _firsts(texts: Column) -> Column:
     def firsts(texts: pa.Array) -> pa.Array:
-        return pa.array([sorted(set(_FIRST.findall(fold(t)))) if t else [] for t in
-                         texts.to_pylist()], pa.list_(pa.string()))
+        return pa.array([sorted(_first_words(t)) if t else [] for t in texts.to_pylist()],
+                        pa.list_(pa.string()))
 
     firsts.__annotations__ = {"texts": pa.Array, "return": pa.Array}
     return F.arrow_udf(firsts, returnType="array<string>")(texts)
 
 
-def _by_digest(df: DataFrame, col: str, ordered: DataFrame, out: str) -> DataFrame:
-    key = f"{out}_key"
+def _by_blocks(df: DataFrame, col: str, ordered: DataFrame, out: str) -> DataFrame:
+    texts, blocks = with_blocks(df, col)
     ordered = ordered.filter(F.col("term").rlike(f"[^{patterns.SPACE}]"))
-    texts = df.withColumn(key, F.md5(F.col(col).cast("binary")))
     # A term starts with a word or another character, the same as the text where it stands.
     starts = cut_lineage(ordered.withColumn("first", F.get(_starts(F.col("term")), F.lit(0))))
-    once = texts.filter(F.col(col).isNotNull()).select(key, col).dropDuplicates([key])
-    new = once.select(key, F.explode_outer(_firsts(txt.null_to_empty(F.col(col)))).alias("first")) \
-              .filter("first IS NOT NULL").distinct()
     # Terms that end in a word let nothing grow together: what comes up is in their wording.
     edges = f"^[^{patterns.WORD}]|[^{patterns.WORD}]\\z"
     apart = ordered.filter(F.col("term").rlike(edges)).isEmpty()
-    found, seen = None, None
+    new = block_words(texts.filter(F.col(col).isNotNull()), [col], _first_words)
+    found = None
     while True:
-        new = cut_lineage(new)
-        if new.isEmpty():
+        # A block has a word once, so no word is a hot key.
+        hits = new.join(starts, "first").select(BLOCK, "term", "neutral", "step")
+        if found is not None:
+            hits = hits.join(found.select(BLOCK, "step"), [BLOCK, "step"], "left_anti")
+        hits = cut_lineage(hits)
+        if hits.isEmpty():
             break
-        seen = new if seen is None else seen.unionByName(new)
-        hits = cut_lineage(lookup_join(new, starts, "first", spread=F.col(key))
-                           .select(key, "term", "neutral", "step"))
         found = hits if found is None else found.unionByName(hits)
-        made = hits.select(key, _firsts(F.col("neutral")).alias("made")) if apart else \
-            once.join(_listed(found, key), key).select(key, _made(col).alias("made"))
-        new = made.select(key, F.explode_outer("made").alias("first")) \
-                  .filter("first IS NOT NULL").distinct().join(seen, [key, "first"], "left_anti")
+        new = hits.select(BLOCK, F.explode(_firsts(F.col("neutral"))).alias("first")).distinct() \
+            if apart else _made(texts, col, found, blocks)
     if found is None:
         return _in_row(df, col, ordered.limit(0), out)
 
-    def replace(texts: pa.Array, listed: pa.Array) -> pa.Array:
-        return _results([None if text is None else _replacer(own).replace(text)
-                         for text, own in zip(texts.to_pylist(), listed.to_pylist())])
+    def replace(batches):
+        for done in looked_up(batches, _replacing):
+            yield _results(done)
 
-    replace.__annotations__ = {"texts": pa.Array, "listed": pa.Array, "return": pa.Array}
-    return texts.join(_listed(found, key), key, "left").withColumn(
-        out, F.arrow_udf(replace, returnType=RESULT)(F.col(col), F.col("_listed"))) \
-        .drop("_listed", key)
+    replace.__annotations__ = {"batches": Batches[Tuple[pa.Array, ...]], "return": Batches[pa.Array]}
+    # It goes by the order of the rows: nothing may be moved past it.
+    replaced = F.arrow_udf(replace, returnType=RESULT).asNondeterministic()
+    return beside(texts, found, blocks).withColumn(out, replaced(BLOCK, ITEM, col)) \
+        .filter(F.col(ITEM).isNull()).drop(BLOCK, ITEM)
 
 
-def _listed(found: DataFrame, key: str) -> DataFrame:
-    """The terms that may come up in each text, in the order of application."""
-    return found.groupBy(key).agg(F.array_sort(F.collect_set(
-        F.struct("step", "term", "neutral"))).alias("_listed"))
+def _replacer(listed: list[dict]) -> Replacer:
+    listed = sorted(listed, key=lambda r: r["step"])
+    return Replacer([r["term"] for r in listed], [r["neutral"] for r in listed])
 
 
-def _replacer(listed: list[dict] | None) -> Replacer:
-    return Replacer([r["term"] for r in listed or ()], [r["neutral"] for r in listed or ()])
+def _replacing(listed: list[dict]) -> Callable:
+    own = _replacer(listed)
+    return lambda text: None if text is None else own.replace(text)
 
 
-def _made(col: str) -> Column:
-    """What stands at changed places while the listed terms are replaced."""
-    def made(texts: pa.Array, listed: pa.Array) -> pa.Array:
-        out = []
-        for text, own in zip(texts.to_pylist(), listed.to_pylist()):
-            words: set[str] = set()
-            _replacer(own).replace(text, words)
-            out.append(sorted(words))
-        return pa.array(out, pa.list_(pa.string()))
+def _made(texts: DataFrame, col: str, found: DataFrame, blocks: int) -> DataFrame:
+    """What stands at changed places while the terms found for each block are replaced."""
+    def made_of(listed: list[dict]) -> Callable:
+        own = _replacer(listed)
 
-    made.__annotations__ = {"texts": pa.Array, "listed": pa.Array, "return": pa.Array}
-    return F.arrow_udf(made, returnType="array<string>")(F.col(col), F.col("_listed"))
+        def made(number: int, text: str | None) -> tuple[int, set[str]]:
+            words: set[str] = set()
+            if text is not None:
+                own.replace(text, words)
+            return number, words
+        return made
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for done in looked_up((batch.columns for batch in batches), made_of):
+            rows = sorted({(number, word) for number, words in filter(None, done) for word in words})
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()),
+                                              pa.array([r[1] for r in rows], pa.string())],
+                                             names=[BLOCK, "first"])
+
+    rows = beside(texts, found, blocks).select(BLOCK, ITEM, F.col(BLOCK).alias("_own"), col)
+    return rows.mapInArrow(run, f"{BLOCK} int, first string").distinct()
 
 
 def _starts(terms: Column) -> Column:
