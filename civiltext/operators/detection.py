@@ -9,13 +9,19 @@ prefix-sharing pattern for words); only rows with a hit are split into tokens.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from typing import Iterator as Batches, Tuple
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import BooleanType, IntegerType, StringType, StructField, StructType
 
 from civiltext import tables
 from civiltext.functions import numbers, patterns, sqltext as sql, text as txt
 from civiltext.functions.barrier import computed_once, rows_of
+from civiltext.operators.blocks import BLOCK, ITEM, beside, block_words, looked_up, with_blocks
 from civiltext.operators.broadcasts import lookup_join
 from civiltext.operators.lexicon import Lexicon
 from civiltext.operators.lookup import LexiconIndex, Marker, escape_html, fold
@@ -313,27 +319,66 @@ def detect_table(df: DataFrame, lexicon: DataFrame, text_col: str = "text") -> D
 
     Appends the same columns. A lexicon that was counted and found within ``MAX_INDEX_ROWS`` and
     ``MAX_INDEX_BYTES`` is sent to the tasks, and everything about a text is found in its own row.
-    A larger one is joined with the words of the distinct texts; hits come back to their texts by
-    the text's digest, so ids may be missing or repeated and copies are looked up once.
+    Of a larger one, each block of texts gets the terms that its words lead to, and the texts are
+    looked up where these stand; ids may be missing or repeated.
     """
     lexicon = cut_lineage(lexicon.select("term", "category", "is_phrase", "ord"))
     if _fits(lexicon, "term"):
         return _detect_in_row(df, lexicon, text_col)
-    return _detect_by_digest(df, lexicon, text_col)
+    return _detect_by_blocks(df, lexicon, text_col)
+
+
+def _staged(df: DataFrame, text_col: str) -> DataFrame:
+    """With the text, lower-cased, with single blanks, and without what belongs to no word."""
+    staged = df.withColumn("_text", txt.null_to_empty(F.col(text_col)))
+    staged = staged.withColumn("_low", F.lower("_text"))
+    staged = staged.withColumn("_flat", txt.collapse_space(F.col("_low")))
+    return computed_once(staged, {"_low": F.col("_low"), "_flat": F.col("_flat"),
+                                  "_norm": F.regexp_replace("_flat", f"[^{patterns.WORD} ]+", "")})
+
 
+_FOUND = "tokens:array<struct<word:string,category:string,position:int>>,marked:string,kept:array<boolean>"
 
-def _finish(staged: DataFrame, tokens: Column) -> DataFrame:
-    """What follows from ``toxic_words``, ``_low``, ``_flat``; ``tokens``: how many there are."""
+
+def _found(tokens: list[list[tuple]], marked: list, norms: list) -> list[pa.Array]:
+    """Columns of ``_FOUND`` from the hits ``word, category, position`` of each text; ``kept``
+    tells of every token whether it is none."""
+    flat = [hit for own in tokens for hit in own]
+    ends = np.cumsum([0, *(0 if n is None else n.count(" ") + 1 for n in norms)])
+    kept = np.ones(ends[-1], bool)
+    kept[[start + at for start, own in zip(ends.tolist(), tokens) for _, _, at in own]] = False
+    return [_lists(tokens, [pa.array([w for w, _, _ in flat], pa.string()),
+                            pa.array([c for _, c, _ in flat], pa.string()),
+                            pa.array([at for _, _, at in flat], pa.int32())],
+                   ["word", "category", "position"]),
+            pa.array(marked, pa.string()),
+            pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(kept))]
+
+
+def _completed(staged: DataFrame) -> DataFrame:
+    """What follows from ``_phrases``, ``_found``, ``_flat`` and ``_norm``."""
+    phrases = F.expr("transform(_phrases, p -> named_struct('word', p.word, 'category', "
+                     "p.category, 'position', -1, 'is_phrase', true, 'has_intensifier', false, "
+                     "'is_negated', false))")
+    tokens = F.expr(
+        "transform(_found.tokens, t -> named_struct('word', t.word, 'category', t.category, "
+        "'position', t.position, 'is_phrase', false, "
+        f"'has_intensifier', {_intensified('_words', 't.position')}, "
+        f"'is_negated', {_negated('_words', 't.position')}))")
+    staged = staged.withColumn("_words", F.split("_norm", " "))
+    staged = computed_once(staged, {
+        "toxic_words": F.concat(phrases, tokens).cast(HITS), "_n": F.size("_words"),
+        "highlighted_text": F.col("_found.marked"), "_kept": F.col("_found.kept")},
+        "_words", "_norm", "_found", "_phrases")
     hits, hit = F.col("toxic_words"), F.size("toxic_words") > 0
-    staged = staged.withColumn("_raw", F.when(hit, raw_intensity("toxic_words", tokens)))
-    staged = computed_once(staged, {"_at": F.transform(hits, lambda h: h.position)})
+    staged = staged.withColumn("_raw", F.when(hit, raw_intensity("toxic_words", F.col("_n"))))
     return staged.withColumns({
         "toxic_count": F.size(hits),
         "categories_found": categories_of(hits),
         "intensity_score": F.coalesce(numbers.round_exact(F.col("_raw"), 3), F.lit(0.0)),
         "non_toxic_words": F.when(F.col("_flat") == "", F.array().cast("array<string>")).otherwise(
-            F.filter(F.split("_flat", " "), lambda w, i: ~F.array_contains("_at", i))),
-    }).drop("_raw", "_at")
+            F.filter(F.split("_flat", " "), lambda w, i: F.get(F.col("_kept"), i))),
+    }).drop("_raw", "_text", "_low", "_flat", "_n", "_kept")
 
 
 def _detect_in_row(df: DataFrame, lexicon: DataFrame, text_col: str) -> DataFrame:
@@ -342,101 +387,101 @@ def _detect_in_row(df: DataFrame, lexicon: DataFrame, text_col: str) -> DataFram
         LexiconIndex(*(rows[c].to_pylist() for c in ("term", "category", "is_phrase"))))
 
     def look_up(text: pa.Array, low: pa.Array, words: pa.Array) -> pa.Array:
-        index = sent.value
+        index, norms = sent.value, words.to_pylist()
         phrases = [index.phrases_in(t) for t in low.to_pylist()]
-        tokens = [index.words_in(t) for t in words.to_pylist()]
+        tokens = [[(index.terms[i], index.categories[i], at) for at, i in index.words_in(t)]
+                  for t in norms]
         marked = [index.marker.mark(t, index.folded) if p or w else escape_html(t)
                   for t, p, w in zip(text.to_pylist(), phrases, tokens)]
-        numbers = [i for found in tokens for _, i in found]
-        places = pa.array([at for found in tokens for at, _ in found], pa.int32())
         return pa.StructArray.from_arrays(
             [_lists(phrases, _named(index, [i for f in phrases for i in f]), ["word", "category"]),
-             _lists(tokens, [*_named(index, numbers), places], ["word", "category", "position"]),
-             pa.array(marked, pa.string())], ["phrases", "tokens", "marked"])
+             *_found(tokens, marked, norms)], ["phrases", "tokens", "marked", "kept"])
 
     look_up.__annotations__ = {"text": pa.Array, "low": pa.Array, "words": pa.Array,
                                "return": pa.Array}
-    kind = "array<struct<word:string,category:string{}>>"
-    finder = F.arrow_udf(look_up, returnType=f"struct<phrases:{kind.format('')},"
-                         f"tokens:{kind.format(',position:int')},marked:string>")
-    staged = df.withColumn("_text", txt.null_to_empty(F.col(text_col)))
-    staged = staged.withColumn("_low", F.lower("_text"))
-    staged = staged.withColumn("_flat", txt.collapse_space(F.col("_low")))
-    staged = computed_once(staged, {"_low": F.col("_low"), "_flat": F.col("_flat"),
-                                    "_norm": F.regexp_replace("_flat", f"[^{patterns.WORD} ]+", "")})
-    staged = staged.withColumn("_found", finder("_text", "_low", "_norm"))
-    phrases = F.expr("transform(_found.phrases, p -> named_struct('word', p.word, 'category', "
-                     "p.category, 'position', -1, 'is_phrase', true, 'has_intensifier', false, "
-                     "'is_negated', false))")
-    tokens = F.expr(
-        "transform(_found.tokens, t -> named_struct('word', t.word, 'category', t.category, "
-        "'position', t.position, 'is_phrase', false, "
-        f"'has_intensifier', {_intensified('_words', 't.position')}, "
-        f"'is_negated', {_negated('_words', 't.position')}))")
-    staged = staged.withColumn("_words", F.split("_norm", " "))
-    staged = computed_once(staged, {
-        "toxic_words": F.concat(phrases, tokens).cast(HITS), "_n": F.size("_words"),
-        "highlighted_text": F.col("_found.marked")}, "_words", "_norm", "_found")
-    return _finish(staged, F.col("_n")).drop("_text", "_low", "_flat", "_n")
-
-
-def _detect_by_digest(df: DataFrame, lexicon: DataFrame, text_col: str) -> DataFrame:
-    key = "_text_key"
-    texts = df.withColumn(key, F.md5(txt.null_to_empty(F.col(text_col)).cast("binary")))
-    once = cut_lineage(texts.select(key, text_col).dropDuplicates([key]))
-    rank = lexicon.select(F.col("term").alias("word"), F.col("ord").alias("_ord"))
-    phrases = lookup_join(_phrase_hits(once, [key], lexicon, text_col), rank, "word",
-                          spread=F.col(key))
-    hits = _token_hits(once, [key], lexicon, text_col).withColumn(
-        "_ord", F.lit(None).cast(lexicon.schema["ord"].dataType)).unionByName(phrases)
-    # Phrases first, in lexicon order, then tokens by position. A text bounds its own hits.
-    order = F.struct((~F.col("is_phrase")).alias("a"), "_ord", "position",
-                     F.struct("word", "category", "position", "is_phrase", "has_intensifier",
-                              "is_negated").alias("hit"))
-    per_text = hits.groupBy(key).agg(F.array_sort(F.collect_list(order)).alias("_hits")) \
-                   .select(key, F.transform("_hits", lambda h: h.hit).alias("_hits"))
-    found = texts.join(per_text, key, "left").join(
-        _marks(once, key, lexicon, text_col), key, "left").withColumns({
-            "toxic_words": F.coalesce(F.col("_hits").cast(HITS), F.expr(f"cast(array() AS {HITS})")),
-            "_low": F.lower(txt.null_to_empty(F.col(text_col)))})
-    found = found.withColumn("_flat", txt.collapse_space(F.col("_low")))
-
-    def mark(text: pa.Array, terms: pa.Array) -> pa.Array:
-        # Whichever candidates are terms, they are terms for the punctuation they come with.
-        return pa.array([Marker.of(known).mark(t, set(known)) if known else escape_html(t)
-                         for t, known in zip(text.to_pylist(), terms.to_pylist())], pa.string())
-
-    mark.__annotations__ = {"text": pa.Array, "terms": pa.Array, "return": pa.Array}
-    marked = F.arrow_udf(mark, returnType="string")(
-        txt.null_to_empty(F.col(text_col)),
-        F.when(F.col("_hits").isNotNull(), F.col("_terms")))
-    found = found.withColumn("highlighted_text", marked)
-    return _finish(found, F.size(F.split("_flat", " "))).drop("_hits", "_terms", "_low", "_flat", key)
-
-
-def _marks(once: DataFrame, key: str, lexicon: DataFrame, text_col: str) -> DataFrame:
-    """``key, _terms``: what is to be marked in each text, with letter case taken away.
-
-    Only words travel to the lexicon, not the texts they stand in.
-    """
+    finder = F.arrow_udf(look_up, returnType="struct<phrases:array<struct<word:string,"
+                         f"category:string>>,{_FOUND}>")
+    staged = _staged(df, text_col).withColumn("_found", finder("_text", "_low", "_norm"))
+    return _completed(staged.withColumn("_phrases", F.col("_found.phrases")))
+
+
+def _detect_by_blocks(df: DataFrame, lexicon: DataFrame, text_col: str) -> DataFrame:
+    words = lexicon.filter(~F.col("is_phrase"))
+    marks = words.filter(F.col("term") != "").select(_folded(F.col("term")).alias("first")).distinct()
+    edges = f"^[^{patterns.WORD}]|[^{patterns.WORD}]\\z"
+    marker = Marker(marks.filter(F.col("first").rlike(edges)).agg(
+        F.coalesce(F.max(F.length("first")), F.lit(0))).first()[0])
+    # What a token may be, and what a stretch of one without letter case may be.
+    keys = words.select(F.col("term").alias("first"), "category", F.lit(True).alias("is_word"),
+                        F.lit(False).alias("is_mark")).unionByName(
+        marks.select("first", F.lit(None).cast("string").alias("category"),
+                     F.lit(False).alias("is_word"), F.lit(True).alias("is_mark")))
+    keys = keys.groupBy("first").agg(*(F.max(c).alias(c) for c in ("category", "is_word", "is_mark")))
+
+    def in_text(text: str, norm: str) -> set[str]:
+        return {*norm.split(" "), *marker.all_candidates(text)}
+
+    def finding(listed: list[dict]) -> Callable:
+        known = {r["first"]: r["category"] for r in listed if r["is_word"]}
+        marks = {r["first"] for r in listed if r["is_mark"]}
+
+        def find(text: str, norm: str, has_phrase: bool) -> tuple[list, str, str]:
+            hits = [(w, known[w], at) for at, w in enumerate(norm.split(" ")) if w in known]
+            marked = marker.mark(text, marks) if hits or has_phrase else escape_html(text)
+            return hits, marked, norm
+        return find
+
+    def look_up(batches):
+        for done in looked_up(batches, finding):
+            hits, marked, norms = zip(*(d or ([], None, None) for d in done)) if done else [()] * 3
+            yield pa.StructArray.from_arrays(_found(hits, marked, norms), ["tokens", "marked", "kept"])
+
+    look_up.__annotations__ = {"batches": Batches[Tuple[pa.Array, ...]], "return": Batches[pa.Array]}
+    # It goes by the order of the rows: nothing may be moved past it.
+    finder = F.arrow_udf(look_up, returnType=f"struct<{_FOUND}>").asNondeterministic()
+    texts, blocks = with_blocks(df, text_col)
+    listed = block_words(_staged(texts, text_col), ["_text", "_norm"], in_text)
+    staged = _staged(beside(texts, listed.join(keys, "first"), blocks), text_col)
+    staged = staged.withColumn("_phrases", _phrases_of(df.sparkSession, F.col("_low"), lexicon))
+    staged = staged.withColumn("_found", finder(BLOCK, ITEM, "_text", "_norm", F.size("_phrases") > 0))
+    return _completed(staged.filter(F.col(ITEM).isNull()).drop(BLOCK, ITEM))
+
+
+def _folded(terms: Column) -> Column:
     def folded(terms: pa.Array) -> pa.Array:
         return pa.array([fold(t) for t in terms.to_pylist()], pa.string())
 
     folded.__annotations__ = {"terms": pa.Array, "return": pa.Array}
-    words = lexicon.filter(~F.col("is_phrase") & (F.col("term") != "")) \
-        .select(F.arrow_udf(folded, returnType="string")(F.col("term")).alias("term")).distinct()
-    edges = f"^[^{patterns.WORD}]|[^{patterns.WORD}]\\z"
-    longest = words.filter(F.col("term").rlike(edges)).agg(
-        F.coalesce(F.max(F.length("term")), F.lit(0))).first()[0]
-    marker = Marker(longest)
-
-    def candidates(texts: pa.Array) -> pa.Array:
-        return pa.array([marker.all_candidates(t) for t in texts.to_pylist()],
-                        pa.list_(pa.string()))
-
-    candidates.__annotations__ = {"texts": pa.Array, "return": pa.Array}
-    made = F.arrow_udf(candidates, returnType="array<string>")(
-        txt.null_to_empty(F.col(text_col)))
-    rows = once.select(key, F.explode_outer(made).alias("term")).filter("term IS NOT NULL")
-    return lookup_join(rows, words, "term", spread=F.col(key)).groupBy(key) \
-        .agg(F.collect_set("term").alias("_terms"))
+    return F.arrow_udf(folded, returnType="string")(terms)
+
+
+def _phrases_of(spark: SparkSession, low: Column, lexicon: DataFrame) -> Column:
+    """The phrases that occur anywhere in a lower-cased text, in lexicon order, by as many automata
+    as there are ``AUTOMATON_BYTES`` of them."""
+    phrases = cut_lineage(lexicon.filter(F.col("is_phrase") & (F.col("term") != ""))
+                          .select("term", "category", "ord"))
+    octets = phrases.agg(F.coalesce(F.sum(F.octet_length("term")), F.lit(0))).first()[0]
+    automata = max(1, -(-octets // AUTOMATON_BYTES))
+    number = F.pmod(F.xxhash64("term"), F.lit(automata))
+    kind = f"array<struct<ord:{phrases.schema['ord'].dataType.simpleString()},word:string,category:string>>"
+    found = []
+    for i in range(automata):
+        rows = phrases.filter(number == i).toArrow()
+        index = LexiconIndex(rows["term"].to_pylist(), rows["category"].to_pylist(),
+                             [True] * len(rows))
+        places = pa.array(rows["ord"].to_pylist(), rows.schema.field("ord").type)
+        found.append(F.arrow_udf(_ordered_finder(spark.sparkContext.broadcast((index, places))),
+                                 returnType=kind)(low))
+    return F.array_sort(F.concat(*found))
+
+
+def _ordered_finder(sent: Broadcast) -> Callable:
+    def find(low: pa.Array) -> pa.Array:
+        index, places = sent.value
+        found = [index.phrases_in(t) for t in low.to_pylist()]
+        numbers = [i for f in found for i in f]
+        return _lists(found, [places.take(pa.array(numbers, pa.int64())), *_named(index, numbers)],
+                      ["ord", "word", "category"])
+
+    find.__annotations__ = {"low": pa.Array, "return": pa.Array}
+    return find
