@@ -202,15 +202,22 @@ def _token_hits(df: DataFrame, keep: list[str], lexicon: DataFrame, text_col: st
                              [False] * len(rows))
         flat = F.coalesce(txt.collapse_space(F.lower(F.col(text_col))), F.lit(""))
         norm = F.regexp_replace(flat, f"[^{patterns.WORD} ]+", "")
-        found = rows_of(df, keep, _token_finder(df, index)(norm), "word")
-    else:
-        texts = split_texts(df, keep, text_col).select(*keep, "_words")
-        tokens = texts.select(*keep, "_words", F.posexplode_outer("_words").alias("position", "word")) \
-                      .filter(F.col("word").isNotNull())
-        three = F.slice("_words", F.greatest(F.col("position") - 2, F.lit(1)),
-                        F.least(F.col("position"), F.lit(3)))
-        found = lookup_join(tokens.select(*keep, "position", "word", three.alias("_before")), terms,
-                            "word", spread=F.struct(*keep, "position"))
+        found = StructType([
+            *(df.schema[c] for c in keep), StructField("word", StringType()),
+            StructField("category", StringType()), StructField("position", IntegerType()),
+            StructField("has_intensifier", BooleanType()), StructField("is_negated", BooleanType())])
+        sent = df.sparkSession.sparkContext.broadcast(index)
+        hits = df.select(*keep, norm.alias("_norm")).mapInArrow(
+            lambda batches: _hit_rows(batches, sent.value, found.names), found)
+        return hits.select(*keep, "word", "category", "position", F.lit(False).alias("is_phrase"),
+                           "has_intensifier", "is_negated")
+    texts = split_texts(df, keep, text_col).select(*keep, "_words")
+    tokens = texts.select(*keep, "_words", F.posexplode_outer("_words").alias("position", "word")) \
+                  .filter(F.col("word").isNotNull())
+    three = F.slice("_words", F.greatest(F.col("position") - 2, F.lit(1)),
+                    F.least(F.col("position"), F.lit(3)))
+    found = lookup_join(tokens.select(*keep, "position", "word", three.alias("_before")), terms,
+                        "word", spread=F.struct(*keep, "position"))
     return found.select(
         *keep, "word", "category", "position", F.lit(False).alias("is_phrase"),
         F.expr(f"coalesce({sql.is_one_of('try_element_at(_before, -1)', tables.INTENSIFIERS)}, "
@@ -218,24 +225,34 @@ def _token_hits(df: DataFrame, keep: list[str], lexicon: DataFrame, text_col: st
         F.expr(f"exists(_before, x -> {sql.is_one_of('x', tables.NEGATORS)})").alias("is_negated"))
 
 
-def _token_finder(df: DataFrame, index: LexiconIndex):
-    sent = df.sparkSession.sparkContext.broadcast(index)
-
-    def find(norm: pa.Array) -> pa.Array:
-        index, found, before = sent.value, [], []
-        for text in norm.to_pylist():
-            own, words = index.words_in(text), text.split(" ")
-            found.append(own)
-            before += [words[max(0, at - 3):at] for at, _ in own]
-        flat = [hit for own in found for hit in own]
-        places = pa.array([at for at, _ in flat], pa.int32())
-        return _lists(found, [*_named(index, [i for _, i in flat]), places,
-                              pa.array(before, pa.list_(pa.string()))],
-                      ["word", "category", "position", "_before"])
-
-    find.__annotations__ = {"norm": pa.Array, "return": pa.Array}
-    return F.arrow_udf(find, returnType="array<struct<word:string,category:string,position:int,"
-                                        "_before:array<string>>>")
+HITS_AT_ONCE = 50_000   # rows that a task makes before it hands them on, or the hits of one text
+
+
+def _hit_rows(batches: Iterator[pa.RecordBatch], index: LexiconIndex,
+              names: list[str]) -> Iterator[pa.RecordBatch]:
+    """A row per hit from rows whose last column is the normalized text."""
+    strong, negators = set(tables.INTENSIFIERS), set(tables.NEGATORS)
+    for batch in batches:
+        kept, texts, rows = batch.columns[:-1], batch.columns[-1], []
+
+        def made() -> pa.RecordBatch:
+            row, number, at, has, is_negated = list(zip(*rows)) or [()] * 5
+            return pa.RecordBatch.from_arrays(
+                [*(c.take(pa.array(row, pa.int64())) for c in kept), *_named(index, number),
+                 pa.array(at, pa.int32()), pa.array(has, pa.bool_()),
+                 pa.array(is_negated, pa.bool_())], names=names)
+
+        for row in range(batch.num_rows):
+            text = texts[row].as_py()
+            if own := index.words_in(text):
+                words = text.split(" ")
+                rows += [(row, number, at, at > 0 and words[at - 1] in strong,
+                          not negators.isdisjoint(words[max(0, at - 3):at])) for at, number in own]
+            if len(rows) >= HITS_AT_ONCE:
+                yield made()
+                rows = []
+        if rows:
+            yield made()
 
 
 AUTOMATON_BYTES = 4 << 20   # of phrases in one automaton; its nodes take some fifty times that
