@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from civiltext.functions import text as txt
 from civiltext.functions.barrier import computed_once, elements_of
 from civiltext.operators.broadcasts import is_small, lookup_join
+from civiltext.operators.termcodes import pieces
 
 
 def _changes(lemmas: DataFrame) -> DataFrame:
@@ -53,10 +54,13 @@ def lemmatize(df: DataFrame, clean_col: str, lemmas: DataFrame | None,
 
 def _in_row(table: dict[str, str]):
     """A column function that replaces the tokens found in ``table``."""
+    known = table.get
+
     def replace(texts: pa.Array) -> pa.Array:
-        known = table.get
-        return pa.array([t if t is None else " ".join([known(w, w) for w in t.split(" ")])
-                         for t in texts.to_pylist()], pa.string())
+        # Piece by piece: a batch has as many texts as Spark likes, however long they are.
+        made = [pa.array([t if t is None else " ".join([known(w, w) for w in t.split(" ")])
+                          for t in piece.to_pylist()], pa.string()) for piece in pieces(texts)]
+        return pa.concat_arrays(made) if made else texts
 
     replace.__annotations__ = {"texts": pa.Array, "return": pa.Array}
     return F.arrow_udf(replace, returnType="string")
