@@ -72,8 +72,8 @@ def sentences(words: Words) -> tuple[np.ndarray, np.ndarray]:
     for sign in _CLOSERS if len(other) else ():
         at = other[_ends_in(words, other, words.ends[other], sign)]
         closes[at] |= _marked(words, at, words.ends[at] - len(sign))
-    lines = np.concatenate([[0], np.cumsum(_BREAKS[words.data])])
-    closes[:-1] |= lines[words.starts[1:]] > lines[words.ends[:-1]]
+    breaks = np.flatnonzero(_BREAKS[words.data])
+    closes[:-1] |= np.searchsorted(breaks, words.starts[1:]) > np.searchsorted(breaks, words.ends[:-1])
     stops = words.first[1:] - 1
     closes[stops[words.counts > 0]] = True
     begins = np.concatenate([[0], np.flatnonzero(closes) + 1])
