@@ -192,7 +192,8 @@ def remove_repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str
     first = (_runs_of(docs, min_sentences, min_words).select("run", place.alias("place"))
              .groupBy("run").agg(F.min("place").alias("first"), F.max("place").alias("last"))
              .filter(~F.col("first").eqNullSafe(F.col("last"))).select("run", "first"))
-    first = cut_lineage(first)
+    # Repeated runs are few: a file of them per shuffle partition would be mostly small ones.
+    first = cut_lineage(first.coalesce(4 * docs.sparkSession.sparkContext.defaultParallelism))
     filter_ = docs.sparkSession.sparkContext.broadcast(bloom.build(first, "run"))
     again = (_runs_of(docs, min_sentences, min_words, filter_).join(first, "run")
              .filter(~place.eqNullSafe(F.col("first"))))
