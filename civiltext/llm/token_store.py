@@ -15,7 +15,7 @@ import functools
 import os
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,14 +24,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from civiltext.llm import rans
-from civiltext.llm.words import BLANKS, slices, text_bytes
+from civiltext.llm.words import BLANKS, slices, text_bytes, text_hashes
 
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 0
 SEGMENT_TOKENS = 1 << 20       # a segment is closed by the document that reaches this
-CACHE_BYTES = 380 << 20        # of words kept per Python worker, in two generations
-CACHED_LENGTH = 64             # code points; longer words are kept for one call only
-_ENTRY_BYTES = 230             # of a word and its ids, besides some eight for each code point
+CACHE_BYTES = 160 << 20        # of words kept per Python worker, in two generations
+CACHED_LENGTH = 64             # code points; longer words are not kept
 WORDS = 64                     # new words that are encoded together
 TEXT_BYTES = 8 << 20           # of texts whose words are looked up together
 
@@ -46,34 +45,132 @@ _OTHER = BLANKS & ~_SINGLE
 
 
 class Recent:
-    """Ids of the words seen last: those of this generation and of the one before."""
+    """Words seen last and their ids, found by hash; equal words decide, not equal hashes.
 
-    def __init__(self, always: dict[str, bytes]):
+    ``words[numbers[i]]`` has the hash ``keys[i]``, in ascending order; the ids of word ``n``
+    are ``ids[ends[n]:ends[n + 1]]``. Of words with equal hashes the first one is kept.
+    """
+
+    def __init__(self):
+        self.words = pa.array([], pa.string())
+        self.keys, self.numbers = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.ids, self.ends = np.zeros(0, "<u4"), np.zeros(1, np.int64)
+
+    @property
+    def held(self) -> int:
+        """Bytes of all arrays."""
+        return sum(x.nbytes for x in (self.words, self.keys, self.numbers, self.ids, self.ends))
+
+    def find(self, words: pa.Array, keys: np.ndarray) -> np.ndarray:
+        """Numbers of ``words``, -1 for those not kept."""
+        out = np.full(len(words), -1)
+        if not len(self.keys):
+            return out
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        there = np.flatnonzero(self.keys[at] == keys)
+        found = self.numbers[at[there]]
+        same = pc.equal(words.take(pa.array(there)), self.words.take(pa.array(found)))
+        same = same.to_numpy(zero_copy_only=False)
+        out[there[same]] = found[same]
+        return out
+
+    def add(self, words: pa.Array, keys: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
+        """Keep words that were not found; ``keys`` ascend. Long words are left out."""
+        at = np.searchsorted(self.keys, keys)
+        keep = pc.less_equal(pc.utf8_length(words), CACHED_LENGTH).to_numpy(zero_copy_only=False)
+        if len(self.keys):
+            keep &= self.keys[np.minimum(at, len(self.keys) - 1)] != keys
+        chosen = np.flatnonzero(keep)
+        chosen = chosen[np.diff(keys[chosen], prepend=~keys[chosen[:1]]) != 0]
+        ids, sizes = spread(ids, bounds(sizes), chosen)
+        self.numbers = np.insert(self.numbers, at[chosen],
+                                 len(self.words) + np.arange(len(chosen)))
+        self.keys = np.insert(self.keys, at[chosen], keys[chosen])
+        self.words = pa.concat_arrays([self.words, words.take(pa.array(chosen))])
+        self.ids = np.concatenate([self.ids, ids])
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
+
+
+class Cache:
+    """Words of this generation and of the one before."""
+
+    def __init__(self, always: dict[str, np.ndarray]):
         self.always = always
-        self.new, self.old = dict(always), {}
-        self.held, self.long = 0, []
+        self.recent, self.old = self._start(), Recent()
+
+    def _start(self) -> Recent:
+        words, out = pa.array(list(self.always), pa.string()), Recent()
+        keys = text_hashes(words)
+        order = np.argsort(keys)
+        out.add(words.take(pa.array(order)), keys[order],
+                *joined([list(self.always.values())[i] for i in order.tolist()]))
+        return out
+
+    @property
+    def new(self) -> list[str]:
+        """The words of this generation."""
+        return self.recent.words.to_pylist()
 
-    def count(self, words: list[str]) -> None:
-        """Note what ``words``, new in this generation, take."""
-        self.held += _ENTRY_BYTES * len(words) + 8 * sum(map(len, words))
-        self.long += [w for w in words if len(w) > CACHED_LENGTH]
+    @property
+    def held(self) -> int:
+        return self.recent.held
 
     def turn(self, size: int) -> None:
-        """Let long words go, and start a generation if this one holds ``size`` bytes."""
-        for word in self.long:
-            if word not in self.always and self.new.pop(word, None) is not None:
-                self.held -= _ENTRY_BYTES + 8 * len(word)
-        self.long = []
-        if self.held >= size:
-            self.new, self.old, self.held = dict(self.always), self.new, 0
-
-    def take_over(self, words: list[str]) -> list[str]:
-        """Bring ``words`` into this generation; returns those that are not known."""
-        if not self.old:
-            return words
-        found = list(map(self.old.get, words))
-        self.new.update((w, ids) for w, ids in zip(words, found) if ids is not None)
-        return [w for w, ids in zip(words, found) if ids is None]
+        """Start a generation if this one holds ``size`` bytes."""
+        if self.recent.held >= size:
+            self.recent, self.old = self._start(), self.recent
+
+    def table(self, words: pa.Array, learn: Callable) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of different ``words``, and how many each has; ``learn`` tells those of words not
+        kept."""
+        keys = text_hashes(words)
+        order = np.argsort(keys)
+        keys, words = keys[order], words.take(pa.array(order))
+        number = self.recent.find(words, keys)
+        ids, sizes = spread(self.recent.ids, self.recent.ends, number[number >= 0])
+        parts, place = [(ids, sizes)], [np.flatnonzero(number >= 0)]
+        left = np.flatnonzero(number < 0)
+        for known in (self.old, None):
+            if not len(left):
+                break
+            some = words.take(pa.array(left))
+            if known:
+                number = known.find(some, keys[left])
+                hit = np.flatnonzero(number >= 0)
+                ids, sizes = spread(known.ids, known.ends, number[hit])
+            else:
+                hit = np.arange(len(left))
+                ids, sizes = learn(some.to_pylist())
+            if len(hit):
+                self.recent.add(some.take(pa.array(hit)), keys[left[hit]], ids, sizes)
+                parts.append((ids, sizes))
+                place.append(left[hit])
+                left = np.delete(left, hit)
+        back = np.empty(len(order), np.int64)
+        back[order[np.concatenate(place)]] = np.arange(len(order))
+        ids, sizes = (np.concatenate(x) for x in zip(*parts))
+        return spread(ids, bounds(sizes), back)
+
+
+def joined(arrays: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Arrays one after the other, and how long each is."""
+    return np.concatenate(arrays), np.array([len(a) for a in arrays], np.int64)
+
+
+def bounds(sizes: np.ndarray) -> np.ndarray:
+    """Where each of some runs that follow each other begins, and where the last ends."""
+    return np.concatenate([[0], np.cumsum(sizes)])
+
+
+def spread(ids: np.ndarray, ends: np.ndarray, numbers: np.ndarray
+           ) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of the words ``numbers`` one after the other, and how many each has."""
+    begin = ends[numbers]
+    many = ends[numbers + 1] - begin
+    total = np.cumsum(many)
+    index = np.repeat(begin - total + many, many)
+    index += np.arange(len(index))
+    return ids[index], many
 
 
 class WordTokenizer:
@@ -101,38 +198,29 @@ class WordTokenizer:
                                for i in range(size)])
         #: Words at the start of a line, and words after a space; a space that ends a text and a
         #: line break are words of their own.
-        line = self.line.tobytes()
-        self.first = Recent({"\n": line, "": b""})
-        self.later = Recent({"\n": line, "": self.space.tobytes()})
+        self.first = Cache({"\n": self.line, "": np.zeros(0, "<u4")})
+        self.later = Cache({"\n": self.line, "": self.space})
 
-    def _learn(self, known: dict[str, bytes], words: list[str], spaced: bool) -> None:
-        """Encode new words, many at a time: spaces before them, or line breaks between them,
-        tell their ids apart, as no word holds either."""
+    def _learn(self, words: list[str], spaced: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of new words, and how many each has. Many are encoded at a time: spaces before
+        them, or line breaks between them, tell their ids apart, as no word holds either."""
         parts = [words[at:at + WORDS] for at in range(0, len(words), WORDS)]
         texts = [" " + " ".join(some) if spaced else "\n".join(some) for some in parts]
-        coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False) if parts else []
-        for some, found in zip(parts, coded):
+        every, sizes = [], []
+        for some, found in zip(parts, self.tokenizer.encode_batch_fast(
+                texts, add_special_tokens=False)):
             ids = np.array(found.ids, "<u4")
             if spaced:
-                begin = np.flatnonzero(self.opens[ids])
-                end = np.append(begin[1:], len(ids))
+                many = np.diff(np.flatnonzero(self.opens[ids]), append=len(ids))
             else:
-                end = np.append(np.flatnonzero(ids == self.line[0]), len(ids))
-                begin = np.append(0, end[:-1] + 1)
-            if len(begin) != len(some):
+                cut = ids == self.line[0]
+                many = np.diff(np.flatnonzero(cut), prepend=-1, append=len(ids)) - 1
+                ids = ids[~cut]
+            if len(many) != len(some):
                 raise ValueError("the tokenizer does not cut at blanks")
-            data = ids.tobytes()
-            for word, a, b in zip(some, (4 * begin).tolist(), (4 * end).tolist()):
-                known[word] = data[a:b]
-
-    def _ids(self, known: Recent, words: list[str], spaced: bool) -> list[bytes]:
-        found = list(map(known.new.get, words))
-        if None in found:
-            new = [w for w, ids in zip(words, found) if ids is None]
-            known.count(new)
-            self._learn(known.new, known.take_over(new), spaced)
-            found = list(map(known.new.__getitem__, words))
-        return found
+            every.append(ids)
+            sizes.append(many)
+        return np.concatenate(every), np.concatenate(sizes)
 
     def _whole(self, texts: pa.Array) -> np.ndarray:
         """Which texts have to be encoded whole."""
@@ -156,25 +244,24 @@ class WordTokenizer:
         words = pc.split_pattern(pc.replace_substring(texts, "\n", " \n "), " ")
         ends = words.offsets.to_numpy().astype(np.int64)
         coded = words.flatten().dictionary_encode()
-        code, names = coded.indices.to_numpy(), coded.dictionary.to_pylist()
-        line = coded.dictionary.index("\n").as_py()
+        code, names = coded.indices.to_numpy(), coded.dictionary.cast(pa.string())
+        line = names.index("\n").as_py()
         starts = np.zeros(len(code), bool)
         starts[ends[:-1][ends[:-1] < len(code)]] = True
         starts[1:] |= code[:-1] == line
         # Two words for each name: after a space, and at the start of a line (where it occurs).
-        opening = np.unique(code[starts])
-        table = self._ids(self.later, names, True) \
-            + self._ids(self.first, [names[i] for i in opening.tolist()], False)
+        opening = np.zeros(len(names), bool)
+        opening[code[starts]] = True
+        opening = np.flatnonzero(opening)
+        parts = (self.later.table(names, lambda new: self._learn(new, True)),
+                 self.first.table(names.take(pa.array(opening)),
+                                  lambda new: self._learn(new, False)))
+        ids, sizes = (np.concatenate(x) for x in zip(*parts))
         place = np.zeros(len(names), np.int64)
         place[opening] = len(names) + np.arange(len(opening))
         code = np.where(starts, place[code], code)
-        sizes = np.fromiter(map(len, table), np.int64, len(table)) // 4
-        ids = np.frombuffer(b"".join(table), "<u4")
-        begin = np.cumsum(sizes) - sizes
-        many = sizes[code]
-        total = np.concatenate([[0], np.cumsum(many)])
-        index = np.repeat(begin[code] - total[:-1], many) + np.arange(total[-1])
-        return ids[index], np.diff(total[ends])
+        ids, many = spread(ids, bounds(sizes), code)
+        return ids, np.diff(bounds(many)[ends])
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all ``texts`` one after the other, and how many each has."""
@@ -197,6 +284,23 @@ def _tokenizer(vocabulary: str) -> WordTokenizer:
     return WordTokenizer(vocabulary)
 
 
+def gathered(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
+    """Small batches put together until they have ``limit`` bytes; larger ones as they are."""
+    held, size = [], 0
+    for batch in batches:
+        if held and size + batch.nbytes > limit:
+            some, held, size = pa.concat_batches(held), [], 0
+            yield some
+            del some
+        if batch.nbytes >= limit:
+            yield batch
+        else:
+            held.append(batch)
+            size += batch.nbytes
+    if held:
+        yield pa.concat_batches(held)
+
+
 def write_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
                  vocabulary: str = VOCABULARY, end_id: int = END_ID,
                  segment_tokens: int = SEGMENT_TOKENS) -> None:
@@ -219,7 +323,7 @@ def write_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
                           pa.binary())],
                 names=["part", "seq", "start", "n_tokens", "ids", "segment"])
 
-        for batch in batches:
+        for batch in gathered(batches, TEXT_BYTES):
             id_type = batch.schema.field("id").type
             for piece in slices(batch, "text", TEXT_BYTES):
                 found, many = _tokenizer(vocabulary).encode(piece.column("text"))

@@ -46,6 +46,54 @@ def test_documents_encode_as_the_whole_text(tables, monkeypatch):
             assert ids.tolist() == plain.encode(text, add_special_tokens=False).ids
 
 
+class Counting:
+    """A tokenizer that counts the bytes it is given in batches."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.given = tokenizer, 0
+
+    def encode_batch_fast(self, texts, **options):
+        self.given += sum(map(len, texts))
+        return self.tokenizer.encode_batch_fast(texts, **options)
+
+
+def test_many_words_are_kept_in_few_bytes(monkeypatch):
+    """30,000 words, seen again and again, take the tokenizer no second time."""
+    monkeypatch.setattr(token_store, "CACHE_BYTES", 4 << 20)
+    coder = token_store.WordTokenizer(token_store.VOCABULARY)
+    texts = [" ".join(f"w{(7919 * i) % 30_011}x" for i in range(at, at + 3000))
+             for at in range(0, 30_000, 3000)]
+    first = [encoded(coder, [text])[0].tolist() for text in texts]
+    coder.tokenizer = Counting(coder.tokenizer)
+    for _ in range(2):
+        assert [encoded(coder, [text])[0].tolist() for text in texts] == first
+    assert coder.tokenizer.given == 0
+    plain = coder.tokenizer.tokenizer
+    assert first == [plain.encode(text, add_special_tokens=False).ids for text in texts]
+
+
+def test_words_with_equal_hashes(monkeypatch):
+    hashes = token_store.text_hashes
+    monkeypatch.setattr(token_store, "text_hashes", lambda words: hashes(words) >> np.uint64(58))
+    monkeypatch.setattr(token_store, "CACHE_BYTES", 3000)
+    plain = Tokenizer.from_file(public_tokenizers.path(token_store.VOCABULARY))
+    coder = token_store.WordTokenizer(token_store.VOCABULARY)
+    assert len(set(coder.later.new)) == 2
+    for at in range(0, 600, 40):
+        texts = [" ".join(f"ab{i * j % 97}" for j in range(9)) + "\n" for i in range(at, at + 60)]
+        for text, ids in zip(texts, encoded(coder, texts)):
+            assert ids.tolist() == plain.encode(text, add_special_tokens=False).ids
+    assert len(coder.later.new) <= 64
+
+
+def test_small_batches_are_put_together():
+    batches = [pa.record_batch({"text": pa.array(["x" * 100] * n, pa.string())})
+               for n in (2, 1, 0, 5, 90, 2)]
+    got = list(token_store.gathered(iter(batches), 700))
+    assert [b.num_rows for b in got] == [3, 5, 90, 2] and got[2] is batches[4]
+    assert list(token_store.gathered(iter([]), 800)) == []
+
+
 def test_segments_round_trip():
     rng = np.random.default_rng(1)
     for sizes in ([], [0], [1], [0, 5, 0], [300_000], list(rng.integers(0, 3000, 200))):
