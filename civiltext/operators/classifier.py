@@ -16,7 +16,6 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from civiltext.functions import numbers
@@ -50,11 +49,12 @@ def fit_naive_bayes(training: DataFrame, labels: list[str], tfidf: TfidfModel,
     def sums(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
         found = np.zeros((len(labels) + 1, size))
         for batch in batches:
-            row, idx, weight = sent.value.entries(batch.column("tokens"))
-            found[0] += np.bincount(idx, weights=weight, minlength=size)
-            for i, label in enumerate(labels, 1):
-                own = batch.column(label).to_numpy()[row] == 1
-                found[i] += np.bincount(idx[own], weights=weight[own], minlength=size)
+            toxic = [batch.column(c).to_numpy() == 1 for c in labels]
+            for texts, row, idx, weight in sent.value.by_piece(batch.column("tokens")):
+                found[0] += np.bincount(idx, weights=weight, minlength=size)
+                for i, marked in enumerate(toxic, 1):
+                    own = marked[texts][row]
+                    found[i] += np.bincount(idx[own], weights=weight[own], minlength=size)
         return found
 
     both = summed(training.select("tokens", *labels), sums, (len(labels) + 1, size))
@@ -210,12 +210,8 @@ def train(df: DataFrame, id_col: str = "id", text_col: str = "comment_text",
             tables, intercepts = fit_naive_bayes(training, learnable, tfidf, totals)
         else:
             with regression.blocks(training, learnable, tfidf) as blocks:
-                blocks.persist(StorageLevel.MEMORY_AND_DISK)
-                try:
-                    found, gradients = regression.minimize(blocks, len(tfidf.terms), rows,
-                                                           [totals[c] for c in learnable])
-                finally:
-                    blocks.unpersist()
+                found, gradients = regression.minimize(blocks, len(tfidf.terms), rows,
+                                                       [totals[c] for c in learnable])
             tables = np.stack([np.zeros_like(found[:, :-1]), found[:, :-1]], axis=1)
             intercepts = found[:, -1]
         model = ToxicityModel(

@@ -23,7 +23,11 @@ from civiltext.sources.shared import stored
 GRADIENT = 0.01     # largest entry of the gradient at the end
 MAX_STEPS = 500
 MEMORY = 100        # steps kept per label: with few, more texts take ever more passes
-BLOCK_ENTRIES = 1 << 18     # of a block, or a single text
+BLOCK_ENTRIES = 1 << 15     # of a block, or a single text
+# A reader holds a row group, and a writer so many rows before it looks at their size.
+FILES = {"parquet.block.size": 8 << 20, "parquet.block.size.row.check.min": 8,
+         "parquet.page.size.row.check.min": 1, "compression": "uncompressed"}
+TASKS_A_CORE = 2            # of a pass; each hands on a matrix (labels x terms)
 _DECREASE = 1e-4    # share of the promised decrease that a step has to bring
 
 
@@ -37,23 +41,24 @@ def blocks(training: DataFrame, labels: list[str], tfidf: TfidfModel) -> Iterato
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            row, idx, weight = sent.value.entries(batch.column("tokens"))
-            y = np.stack([batch.column(c).to_numpy() for c in labels]).astype(np.int8)
-            starts, first = np.searchsorted(row, np.arange(batch.num_rows + 1)), 0
-            while first < batch.num_rows:
-                last = int(np.searchsorted(starts, starts[first] + BLOCK_ENTRIES, side="right")) - 1
-                last = max(first + 1, last)
-                own = slice(starts[first], starts[last])
-                parts = (y[:, first:last], (row[own] - first).astype(np.int32),
-                         idx[own].astype(np.int32), weight[own])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([np.ascontiguousarray(p).tobytes()], pa.binary()) for p in parts],
-                    names=["y", "row", "idx", "weight"])
-                first = last
+            every = np.stack([batch.column(c).to_numpy() for c in labels]).astype(np.int8)
+            for texts, row, idx, weight in sent.value.by_piece(batch.column("tokens")):
+                y, first = every[:, texts], 0
+                starts = np.searchsorted(row, np.arange(y.shape[1] + 1))
+                while first < y.shape[1]:
+                    last = int(np.searchsorted(starts, starts[first] + BLOCK_ENTRIES, side="right")) - 1
+                    last = max(first + 1, last)
+                    own = slice(starts[first], starts[last])
+                    parts = (y[:, first:last], np.diff(starts[first:last + 1]).astype(np.int32),
+                             idx[own].astype(np.int32), weight[own])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([np.ascontiguousarray(p).tobytes()], pa.binary()) for p in parts],
+                        names=["y", "size", "idx", "weight"])
+                    first = last
 
     made = training.select("tokens", *labels).mapInArrow(
-        run, "y binary, row binary, idx binary, weight binary")
-    with stored(made, "blocks") as made:
+        run, "y binary, size binary, idx binary, weight binary")
+    with stored(made, "blocks", **FILES) as made:
         yield made
 
 
@@ -70,10 +75,12 @@ def value_and_gradient(made: DataFrame, points: dict[int, np.ndarray], rows: int
     def losses(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
         at, found = sent.value, np.zeros((n, size + 2))
         for batch in batches:
-            for y, row, idx, weight in zip(*(c.to_pylist() for c in batch.columns)):
-                y = np.frombuffer(y, np.int8).reshape(every, -1)[which]
-                row, idx = (np.frombuffer(p, np.int32).astype(np.intp) for p in (row, idx))
-                weight = np.frombuffer(weight)
+            # Looked at where they are: a batch is not held twice.
+            for parts in zip(*batch.columns):
+                y, entries, idx, weight = (np.frombuffer(p.as_buffer(), kind) for p, kind in zip(
+                    parts, (np.int8, np.int32, np.int32, np.float64)))
+                y, idx = y.reshape(every, -1)[which], idx.astype(np.intp)
+                row = np.repeat(np.arange(len(entries)), entries)
                 for i in range(n):
                     z = np.bincount(row, weight * at[i, idx], y.shape[1]) + at[i, size]
                     cost = balance[i, y[i]]
@@ -83,7 +90,8 @@ def value_and_gradient(made: DataFrame, points: dict[int, np.ndarray], rows: int
                     found[i, size + 1] += (cost * (np.logaddexp(0, z) - y[i] * z)).sum()
         return found
 
-    total = summed(made, losses, (n, size + 2))
+    tasks = TASKS_A_CORE * made.sparkSession.sparkContext.defaultParallelism
+    total = summed(made.coalesce(tasks), losses, (n, size + 2))
     sent.destroy()
     gradient = total[:, :size + 1]
     gradient[:, :size] += points[:, :size]
@@ -107,9 +115,11 @@ class _Descent:
                 self.step *= min(0.5, max(0.1, -slope * self.step / (2 * bend)))
                 self.trial = self.point + self.step * self.direction
                 return
-            moved, turned = self.trial - self.point, gradient - self.gradient
-            if moved @ turned > 1e-12:
-                self.pairs.append((moved, turned, 1 / (moved @ turned)))
+            # Half the bytes: a step kept is a hint at the curvature, never part of a result.
+            moved = (self.trial - self.point).astype(np.float32)
+            turned = (gradient - self.gradient).astype(np.float32)
+            if (bend := moved.astype(float) @ turned) > 1e-12:
+                self.pairs.append((moved, turned, 1 / bend))
         self.point, self.value, self.gradient = self.trial, value, gradient
         self.direction = -self._solved(gradient)
         self.step = 1.0 if self.pairs else 1 / max(1.0, np.linalg.norm(gradient))
@@ -123,7 +133,7 @@ class _Descent:
             q -= shares[-1] * turned
         if self.pairs:
             moved, turned, rho = self.pairs[-1]
-            q /= rho * (turned @ turned)
+            q /= rho * (turned.astype(float) @ turned)
         for (moved, turned, rho), share in zip(self.pairs, reversed(shares)):
             q += (share - rho * (turned @ q)) * moved
         return q
