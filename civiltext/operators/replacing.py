@@ -154,7 +154,7 @@ class Replacer:
         return text, log
 
 
-def _results(found: list) -> pa.Array:
+def results(found: list) -> pa.Array:
     """Structs ``text, log`` from pairs; None stays null."""
     logs = [None if f is None else [{"old": a, "new": b} for a, b in f[1]] for f in found]
     kind = pa.list_(pa.struct([("old", pa.string()), ("new", pa.string())]))
@@ -189,7 +189,7 @@ def _in_row(df: DataFrame, col: str, ordered: DataFrame, out: str) -> DataFrame:
         Replacer(rows["term"].to_pylist(), rows["neutral"].to_pylist()))
 
     def replace(texts: pa.Array) -> pa.Array:
-        return _results([None if t is None else sent.value.replace(t) for t in texts.to_pylist()])
+        return results([None if t is None else sent.value.replace(t) for t in texts.to_pylist()])
 
     replace.__annotations__ = {"texts": pa.Array, "return": pa.Array}
     return df.withColumn(out, F.arrow_udf(replace, returnType=RESULT)(F.col(col)))
@@ -235,7 +235,7 @@ def _by_blocks(df: DataFrame, col: str, ordered: DataFrame, out: str) -> DataFra
 
     def replace(batches):
         for done in looked_up(batches, _replacing):
-            yield _results(done)
+            yield results(done)
 
     replace.__annotations__ = {"batches": Batches[Tuple[pa.Array, ...]], "return": Batches[pa.Array]}
     # It goes by the order of the rows: nothing may be moved past it.

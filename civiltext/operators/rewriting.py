@@ -17,6 +17,7 @@ from civiltext import tables
 from civiltext.functions import numbers, patterns, sqltext as sql, text as txt
 from civiltext.functions.barrier import computed_once
 from civiltext.operators.replacing import with_replacements
+from civiltext.operators.rewriter import Rewriter
 
 CHANGES = "array<struct<old:string,new:string>>"
 REST = 1 << 30  # "up to the end" for substring
@@ -260,19 +261,30 @@ def neutralize(df: DataFrame, text_col: str = "text", strategy: str = "combined"
     df = (df.withColumn("_todo", F.when(gate, F.col(text_col)))
           .withColumn("_sentence", sentence_rewrite("_todo", wording))
           .withColumn("_in", F.when(F.col("_sentence").isNull(), F.col("_todo"))))
-    stages = Stages(df, "_in", "_in")
-    _word_stages(stages, wording)
-    if strategy in ("combined", "rule_based"):
-        _rule_stages(stages, wording)
-    cleaned = final_cleanup(stages.df, stages.source, "_clean")
-    own = ["_sentence", "_in", "_clean", *stages.columns]
-    df = computed_once(cleaned, {c: F.col(c) for c in own}, "_todo")
+    with_rules = strategy in ("combined", "rule_based")
+    if wording.table is None:
+        # All steps at once, in a worker: a column for each costs several times as much.
+        rewriter = Rewriter(wording.application_order(), wording.rules if with_rules else [],
+                            wording.shout_only, clean=True)
+        own = ["_sentence", "_in", "_new"]
+        df = computed_once(df.withColumn("_new", rewriter.column(F.col("_in"))),
+                           {c: F.col(c) for c in own}, "_todo")
+        clean, log = F.col("_new.text"), F.col("_new.log")
+    else:
+        stages = Stages(df, "_in", "_in")
+        _word_stages(stages, wording)
+        if with_rules:
+            _rule_stages(stages, wording)
+        own = ["_sentence", "_in", "_clean", *stages.columns]
+        df = computed_once(final_cleanup(stages.df, stages.source, "_clean"),
+                           {c: F.col(c) for c in own}, "_todo")
+        clean, log = F.col("_clean"), stages.log()
     whole = F.array(F.struct(F.col(text_col).alias("old"), F.col("_sentence").alias("new")))
     df = df.withColumn("changes_made", F.when(F.col("_sentence").isNotNull(), whole.cast(CHANGES))
-                       .otherwise(F.coalesce(stages.log(), _log())))
+                       .otherwise(F.coalesce(log, _log())))
     df = neutralization_score(df, "changes_made", text_col, "neutralization_score")
     return df.withColumns({
-        "neutral_text": F.coalesce("_sentence", "_clean", text_col),
+        "neutral_text": F.coalesce(F.col("_sentence"), clean, F.col(text_col)),
         "strategy_used": F.when(F.col("_sentence").isNotNull(), F.lit("sentence_rewrite"))
                           .when(F.size("changes_made") > 0, F.lit("combined"))
                           .otherwise(F.lit("none")),
