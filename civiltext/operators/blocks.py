@@ -8,6 +8,7 @@ is made per text and word.
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -15,6 +16,7 @@ from pyspark.sql import DataFrame, functions as F
 
 BLOCK_BYTES = 32 << 20      # of texts in a block, about
 HELD_BYTES = 32 << 20       # of words that a task lists before it hands them on
+ROWS = 500                  # looked up at once
 BLOCK, ITEM = "_block", "_item"
 
 
@@ -87,3 +89,23 @@ def looked_up(batches: Iterator, make: Callable[[list[dict]], Callable]) -> Iter
                 work, items = make(items), []
             found.append(work(*values))
         yield found
+
+
+def looked_up_arrays(batches: Iterator, make: Callable[[list[dict]], Callable],
+                     build: Callable[[list], pa.Array]) -> Iterator[pa.Array]:
+    """An array per batch: what ``build`` makes of what ``looked_up`` says, ``ROWS`` rows at a time,
+    so that no whole batch and its outcome become Python objects."""
+    counts, parts = deque(), []
+
+    def slices() -> Iterator:
+        for columns in batches:
+            starts = range(0, max(1, len(columns[0])), ROWS)
+            counts.append(len(starts))
+            yield from (tuple(c.slice(at, ROWS) for c in columns) for at in starts)
+
+    for found in looked_up(slices(), make):
+        parts.append(build(found))
+        if len(parts) == counts[0]:
+            yield pa.concat_arrays(parts)
+            counts.popleft()
+            parts = []

@@ -21,7 +21,7 @@ from pyspark.sql.types import BooleanType, IntegerType, StringType, StructField,
 from civiltext import tables
 from civiltext.functions import numbers, patterns, sqltext as sql, text as txt
 from civiltext.functions.barrier import computed_once, rows_of
-from civiltext.operators.blocks import BLOCK, ITEM, beside, block_words, looked_up, with_blocks
+from civiltext.operators.blocks import BLOCK, ITEM, beside, block_words, looked_up_arrays, with_blocks
 from civiltext.operators.broadcasts import lookup_join
 from civiltext.operators.lexicon import Lexicon
 from civiltext.operators.lookup import LexiconIndex, Marker, escape_html, fold
@@ -448,10 +448,12 @@ def _detect_by_blocks(df: DataFrame, lexicon: DataFrame, text_col: str) -> DataF
             return hits, marked, norm
         return find
 
+    def struct(done: list) -> pa.Array:
+        hits, marked, norms = zip(*(d or ([], None, None) for d in done)) if done else [()] * 3
+        return pa.StructArray.from_arrays(_found(hits, marked, norms), ["tokens", "marked", "kept"])
+
     def look_up(batches):
-        for done in looked_up(batches, finding):
-            hits, marked, norms = zip(*(d or ([], None, None) for d in done)) if done else [()] * 3
-            yield pa.StructArray.from_arrays(_found(hits, marked, norms), ["tokens", "marked", "kept"])
+        yield from looked_up_arrays(batches, finding, struct)
 
     look_up.__annotations__ = {"batches": Batches[Tuple[pa.Array, ...]], "return": Batches[pa.Array]}
     # It goes by the order of the rows: nothing may be moved past it.
