@@ -22,7 +22,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from civiltext.functions import patterns
-from civiltext.operators.blocks import BLOCK, ITEM, beside, block_words, looked_up, with_blocks
+from civiltext.operators.blocks import (BLOCK, ITEM, beside, block_words, looked_up,
+                                        looked_up_arrays, with_blocks)
 from civiltext.operators.lexicon import replacement_order
 from civiltext.operators.lookup import fold
 from civiltext.sources.shared import cut_lineage
@@ -32,6 +33,9 @@ MAX_BYTES = 16 << 20
 CHANGES = "array<struct<old:string,new:string>>"
 _WORD = re.compile(r"\w")
 _FIRST = re.compile(r"\w+|\W")
+_WORDS = re.compile(r"\w+")
+_PARTS = re.compile(r"(\w+)")
+MAX_KEPT = 100_000  # words of texts whose outcome is kept
 # Characters that case-insensitive patterns equate in another way than ``fold`` does.
 _ODD_CASE = re.compile("[\u0345\u0390\u03b0\u1f80-\u1fff\ufb05\ufb06]")
 
@@ -113,9 +117,76 @@ class Replacer:
             at = low.find(term, at + (size if whole else 1))
         return found
 
+    @cached_property
+    def by_word(self) -> bool:
+        """Whether all terms are single words, without odd letters in them or in their wording. No
+        replacement then joins two words, so each word of a text comes out as if it stood alone."""
+        return all(_WORDS.fullmatch(t) for t in self.terms if t.strip()) and not any(
+            map(_ODD_CASE.search, [*self.terms, *self.neutrals]))
+
+    @cached_property
+    def _outcomes(self) -> dict[str, tuple[str, list[int]]]:
+        return {}
+
     def replace(self, text: str, made: set[str] | None = None) -> tuple[str, list[tuple[str, str]]]:
         """The new text, and the terms that changed it with their wording; ``made`` takes in the
         words and other characters that stood at changed places meanwhile."""
+        if made is None and self.by_word and not _ODD_CASE.search(text):
+            text, log = self._word_by_word(text)
+        else:
+            text, log = self._in_turn(text, made)
+        return text, [(self.terms[i], self.neutrals[i]) for i in log]
+
+    def _word_by_word(self, text: str) -> tuple[str, list[int]]:
+        parts, log, known, terms = _PARTS.split(text), set(), self._outcomes, self._numbers
+        for i in range(1, len(parts), 2):
+            word = parts[i]
+            if fold(word) not in terms:
+                continue
+            if word not in known:
+                if len(known) >= MAX_KEPT:
+                    known.clear()
+                known[word] = self._of_word(word)
+            parts[i], changed = known[word]
+            if changed:
+                log.update(changed)
+        return "".join(parts), sorted(log)
+
+    @cached_property
+    def _numbers(self) -> dict[str, list[int]]:
+        """The terms that are a word, by the word."""
+        found: dict[str, list[int]] = {}
+        for i, term in enumerate(self.terms):
+            if term.strip():
+                found.setdefault(fold(term), []).append(i)
+        return found
+
+    def _of_word(self, word: str) -> tuple[str, list[int]]:
+        """``_in_turn`` for a text of one word if all terms are single words: no automaton is made."""
+        todo = [*self._numbers[fold(word)]]
+        parts, log, queued = ["", word, ""], [], set(todo)
+        while todo:
+            done = heappop(todo)
+            term, neutral = fold(self.terms[done]), self.neutrals[done]
+            made, new = _PARTS.split(neutral), [parts[0]]
+            for i in range(1, len(parts), 2):
+                if fold(parts[i]) != term:
+                    new += parts[i:i + 2]
+                    continue
+                new[-1] += made[0]
+                new += made[1:]
+                new[-1] += parts[i + 1]
+                if parts[i] != neutral and log[-1:] != [done]:
+                    log.append(done)
+                    for number in {n for w in made[1::2] for n in self._numbers.get(fold(w), ())}:
+                        if number > done and number not in queued:
+                            queued.add(number)
+                            heappush(todo, number)
+            parts = new
+        return "".join(parts), log
+
+    def _in_turn(self, text: str, made: set[str] | None) -> tuple[str, list[int]]:
+        """The new text and the numbers of the terms that changed it, one term after the other."""
         log = []
         if not len(self.automaton):
             return text, log
@@ -138,7 +209,7 @@ class Replacer:
                 continue
             new = "".join([*parts, text[at:]])
             if new != text:
-                log.append((self.terms[done], neutral))
+                log.append(done)
                 low = "".join([*lows, low[at:]])
                 plain = plain and not _ODD_CASE.search(neutral)
                 for a, b in places:
@@ -197,7 +268,8 @@ def _in_row(df: DataFrame, col: str, ordered: DataFrame, out: str) -> DataFrame:
 
 def _first_words(text: str) -> set[str]:
     """What a term that stands in a text may start with: its words and other characters."""
-    return set(_FIRST.findall(fold(text)))
+    low = fold(text)
+    return {*_WORDS.findall(low), *(c for c in set(low) if not _WORD.match(c))}
 
 
 def _firsts(texts: Column) -> Column:
@@ -234,8 +306,7 @@ def _by_blocks(df: DataFrame, col: str, ordered: DataFrame, out: str) -> DataFra
         return _in_row(df, col, ordered.limit(0), out)
 
     def replace(batches):
-        for done in looked_up(batches, _replacing):
-            yield results(done)
+        yield from looked_up_arrays(batches, _replacing, results)
 
     replace.__annotations__ = {"batches": Batches[Tuple[pa.Array, ...]], "return": Batches[pa.Array]}
     # It goes by the order of the rows: nothing may be moved past it.
